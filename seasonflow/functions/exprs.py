@@ -60,6 +60,17 @@ def safe_divide(num, den) -> Column:
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
+def round_ratio(num, den, digits: int = 2) -> Column:
+    """round(num / den, digits), exact HALF_UP (decimal division), NULL when den = 0.
+
+    Rounding a binary double at a decimal tie is engine-dependent, so rates
+    that are published rounded are divided in decimals and cast to double last.
+    """
+    n = _c(num).cast("decimal(38,6)")
+    d = _c(den).cast("decimal(38,6)")
+    return F.round(F.try_divide(n, F.when(d != 0, d)), digits).cast("double")
+
+
 # F03 ---------------------------------------------------------------------
 def season_display(season_key) -> Column:
     s = _c(season_key).cast("string")

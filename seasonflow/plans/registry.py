@@ -45,6 +45,20 @@ sides AS (
 teams AS (
   SELECT n_nationkey AS team, n_name AS team_name, n_regionkey AS conference_id, r_name AS conference
   FROM nation LEFT JOIN region ON n_regionkey = r_regionkey),
+player_games AS (
+  SELECT l_orderkey AS game_id, l_suppkey AS player, s_name AS player_name, s_nationkey AS team,
+         CAST(year(o_orderdate) AS INTEGER) AS season, CAST(o_orderdate AS DATE) AS game_date,
+         CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'P' THEN 3 ELSE 1 END AS game_type,
+         goals, assists, goals + assists AS points, shots, toi_seconds, pim
+  FROM (SELECT l_orderkey, l_suppkey,
+               CAST(sum(CAST(floor(l_quantity) AS BIGINT) % 5) AS BIGINT) AS goals,
+               CAST(sum(l_linenumber % 3) AS BIGINT) AS assists,
+               CAST(sum(CAST(floor(l_quantity) AS BIGINT) % 5 + l_linenumber % 4) AS BIGINT) AS shots,
+               CAST(sum(CAST(floor(l_extendedprice) AS BIGINT) % 1200 + 300) AS BIGINT) AS toi_seconds,
+               CAST(sum(CASE WHEN l_returnflag = 'R' THEN 2 ELSE 0 END) AS BIGINT) AS pim
+        FROM lineitem GROUP BY l_orderkey, l_suppkey) pl
+  JOIN orders ON l_orderkey = o_orderkey
+  JOIN supplier ON l_suppkey = s_suppkey),
 plays AS (
   SELECT event_id AS play_id, ts, CAST(ts AS DATE) AS play_date, user_id AS player,
          event_type AS type, value, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
@@ -66,3 +80,12 @@ def register(key: str, oracle: str | None = None):
             ORACLE[key] = oracle
         return fn
     return deco
+
+
+def rr(num: str, den: str, digits: int = 2, scale: int = 1) -> str:
+    """Oracle form of ``round_ratio`` for non-negative integer expressions:
+    exact HALF_UP by integer arithmetic.  ``scale`` multiplies the numerator
+    (e.g. 3600 for per-hour rates)."""
+    m = 10 ** digits
+    return (f"(CASE WHEN ({den}) = 0 THEN NULL ELSE CAST((CAST({num} AS HUGEINT) * {scale * m * 2} + ({den})) "
+            f"// (2 * ({den})) AS DOUBLE) / {m} END)")

@@ -14,7 +14,7 @@ with the tables):
 * plays     — events: player = user_id, type = event_type, k = props.k.
 * snapshot  — per (user, day) cumulative purchase count / value.
 
-Every frame here is a lazy plan; the matching SQL lives in ``oracle.CTE``.
+Every frame here is a lazy plan; the matching SQL lives in ``registry.BASE_CTE``.
 """
 
 from __future__ import annotations
@@ -100,3 +100,35 @@ class Bed:
             F.col("user_id").alias("player"), F.col("event_type").alias("type"),
             "value",
             F.get_json_object("props", "$.k").try_cast("int").alias("k"))
+
+    # -- player game lines -----------------------------------------------------
+    def player_games(self) -> DataFrame:
+        """(game, player) lines: player = supplier, team = supplier's nation.
+
+        Per line: goals = floor(qty) % 5, assists = linenumber % 3,
+        shots = goals + linenumber % 4, toi = floor(price) % 1200 + 300 s,
+        pim = 2 on returned lines.  Lines are pre-aggregated on
+        (order, supplier) before the order join (partial aggregation).
+        """
+        li = self.t("lineitem", "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity",
+                    "l_extendedprice", "l_returnflag")
+        q = F.floor("l_quantity")
+        g = q % 5
+        per = li.groupBy(F.col("l_orderkey").alias("game_id"), F.col("l_suppkey").alias("player")).agg(
+            F.sum(g).cast("bigint").alias("goals"),
+            F.sum(F.col("l_linenumber") % 3).cast("bigint").alias("assists"),
+            F.sum(g + F.col("l_linenumber") % 4).cast("bigint").alias("shots"),
+            F.sum(F.floor("l_extendedprice") % 1200 + 300).cast("bigint").alias("toi_seconds"),
+            F.sum(F.when(F.col("l_returnflag") == "R", 2).otherwise(0)).cast("bigint").alias("pim"))
+        o = self.t("orders", "o_orderkey", "o_orderdate", "o_orderstatus")
+        s = self.t("supplier", "s_suppkey", "s_name", "s_nationkey")
+        return (per.join(o, per.game_id == o.o_orderkey, "inner")
+                   .join(s, per.player == s.s_suppkey, "inner")
+                   .select("game_id", "player", F.col("s_name").alias("player_name"),
+                           F.col("s_nationkey").alias("team"),
+                           F.year("o_orderdate").cast("int").alias("season"),
+                           F.col("o_orderdate").cast("date").alias("game_date"),
+                           F.when(F.col("o_orderstatus") == "F", 2).when(F.col("o_orderstatus") == "P", 3)
+                            .otherwise(1).alias("game_type"),
+                           "goals", "assists", (F.col("goals") + F.col("assists")).alias("points"),
+                           "shots", "toi_seconds", "pim"))
