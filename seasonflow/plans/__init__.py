@@ -2,5 +2,5 @@
 
 Importing this package registers every query module.
 """
-from seasonflow.plans import aggregates, league, scalars  # noqa: F401
+from seasonflow.plans import aggregates, latest, league, scalars  # noqa: F401
 from seasonflow.plans.registry import ORACLE, QUERIES  # noqa: F401

@@ -62,7 +62,13 @@ player_games AS (
 plays AS (
   SELECT event_id AS play_id, ts, CAST(ts AS DATE) AS play_date, user_id AS player,
          event_type AS type, value, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
-  FROM events)
+  FROM events),
+snapshots AS (
+  SELECT player, play_date, CAST(year(play_date) AS INTEGER) AS season,
+         CAST(sum(day_n) OVER (PARTITION BY player ORDER BY play_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_n,
+         CAST(sum(day_value) OVER (PARTITION BY player ORDER BY play_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cum_value
+  FROM (SELECT player, play_date, count(*) AS day_n, sum(CAST(value AS DECIMAL(18,2))) AS day_value
+        FROM plays WHERE type = 'purchase' GROUP BY player, play_date) d)
 """
 
 

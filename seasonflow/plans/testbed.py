@@ -132,3 +132,20 @@ class Bed:
                             .otherwise(1).alias("game_type"),
                            "goals", "assists", (F.col("goals") + F.col("assists")).alias("points"),
                            "shots", "toi_seconds", "pim"))
+
+    # -- standings-like daily snapshots -----------------------------------------
+    def snapshots(self) -> DataFrame:
+        """(player, day) cumulative purchase count and value, only on days with a
+        purchase (so a calendar gap-fill has real gaps).  The running window is
+        partitioned by player over *daily* rows, bounded by the calendar."""
+        from pyspark.sql import Window
+        p = self.plays().filter(F.col("type") == "purchase")
+        d = p.groupBy("player", "play_date").agg(
+            F.count(F.lit(1)).alias("day_n"),
+            F.sum(F.col("value").cast("decimal(18,2)")).alias("day_value"))
+        w = (Window.partitionBy("player").orderBy("play_date")
+                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return d.select("player", "play_date",
+                        F.year("play_date").alias("season"),
+                        F.sum("day_n").over(w).alias("cum_n"),
+                        F.sum("day_value").over(w).cast("double").alias("cum_value"))
