@@ -2,5 +2,5 @@
 
 Importing this package registers every query module.
 """
-from seasonflow.plans import aggregates, calendar, latest, league, relations, scalars  # noqa: F401
+from seasonflow.plans import aggregates, calendar, games, latest, league, relations, scalars  # noqa: F401
 from seasonflow.plans.registry import ORACLE, QUERIES  # noqa: F401
