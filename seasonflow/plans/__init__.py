@@ -2,5 +2,5 @@
 
 Importing this package registers every query module.
 """
-from seasonflow.plans import aggregates, calendar, events, games, latest, league, power, relations, scalars  # noqa: F401
+from seasonflow.plans import aggregates, bridge, calendar, events, games, latest, league, power, relations, scalars  # noqa: F401
 from seasonflow.plans.registry import ORACLE, QUERIES  # noqa: F401
