@@ -68,21 +68,32 @@ def in_range(df: DataFrame, col: str, lo=None, hi=None, where: Column | None = N
 
 def freshness(df: DataFrame, loaded_at: str, as_of, warn_after_hours: float,
               error_after_hours: float, target: str = "source") -> DataFrame:
-    """Q07 — age of the newest load against ``as_of``: pass / warn / error."""
+    """Q07 — age of the newest load against ``as_of``: pass / warn / error.
+
+    Ages are whole seconds (exact); hours are derived by exact decimal rounding.
+    """
+    from seasonflow.functions.exprs import round_ratio
     latest = df.agg(F.max(loaded_at).alias("latest_load"))
-    age = ((F.unix_timestamp(F.lit(as_of).cast("timestamp")) -
-            F.unix_timestamp(F.col("latest_load").cast("timestamp"))) / 3600.0)
+    age_s = (F.unix_timestamp(F.lit(as_of).cast("timestamp")) -
+             F.unix_timestamp(F.col("latest_load").cast("timestamp")))
     return latest.select(
         F.lit("freshness").alias("check"), F.lit(target).alias("target"),
-        F.col("latest_load"), F.round(age, 2).alias("age_hours"),
-        F.when(age > error_after_hours, ERROR).when(age > warn_after_hours, WARN)
-         .otherwise("pass").alias("severity"))
-
-
-def summary(results: Sequence[DataFrame]) -> DataFrame:
-    """Q08 — one row per check: violation total and status (warn vs error)."""
-    parts = [r.groupBy("check", "target", "severity")
-              .agg(F.sum("violations").cast("bigint").alias("violations")) for r in results]
+        F.col("latest_load"), round_ratio(age_s, F.lit(3600), 2).alias("age_hours"),
+        F.when(age_s > int(error_after_hours * 3600), ERROR)
+         .when(age_s > int(warn_after_hours * 3600), WARN).otherwise("pass").alias("severity"))
+
+
+def summary(checks) -> DataFrame:
+    """Q08 — one row per check: violation total (0 when clean) and status.
+
+    ``checks`` holds (check, target, severity, violations_df) tuples; each total
+    is a one-row global aggregate, so a clean check still reports ``pass``.
+    """
+    parts = []
+    for check, target, severity, df in checks:
+        parts.append(df.agg(F.coalesce(F.sum("violations"), F.lit(0)).cast("bigint").alias("violations"))
+                       .select(F.lit(check).alias("check"), F.lit(target).alias("target"),
+                               F.lit(severity).alias("severity"), "violations"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
