@@ -68,13 +68,15 @@ def not_in(df: DataFrame, col: str, sub: DataFrame, sub_col: str) -> DataFrame:
 
 
 def both_sides_in(games: DataFrame, participants: DataFrame, period_col: str,
-                  home_col: str, away_col: str, team_col: str) -> DataFrame:
+                  home_col: str, away_col: str, team_col: str, bounded: bool = False) -> DataFrame:
     """Keep a game only when both sides are participants of its period.
 
-    Two left-semi joins against the distinct (period, team) list; the list is
-    small next to the games but not assumed bounded, so AQE picks the plan.
+    Two left-semi joins against the distinct (period, team) list.  With
+    ``bounded=True`` (periods x league size) the list is broadcast and the
+    games are never shuffled; otherwise AQE picks the strategy.
     """
     p = participants.select(period_col, team_col).distinct()
+    p = F.broadcast(p) if bounded else p
     ph = p.select(F.col(period_col).alias("__p"), F.col(team_col).alias("__t"))
     g = games.join(ph, (F.col(period_col) == F.col("__p")) & (F.col(home_col) == F.col("__t")), "left_semi")
     return g.join(ph, (F.col(period_col) == F.col("__p")) & (F.col(away_col) == F.col("__t")), "left_semi")
@@ -108,3 +110,14 @@ def scalar_join(df: DataFrame, one_row: DataFrame) -> DataFrame:
 def key_by_case(df: DataFrame, name: str, expr: Column) -> DataFrame:
     """Materialise a CASE-chosen join key (J17) so the join stays an equi-join."""
     return df.withColumn(name, expr)
+
+
+def keep_max(df: DataFrame, col: str) -> DataFrame:
+    """Rows whose ``col`` equals its global maximum (J16 ``= (select max ...)``).
+
+    Written as an equi-join with the one-row maximum (broadcast), so when
+    ``col`` is a partition column dynamic partition pruning skips the other
+    partitions of the scan.
+    """
+    top = df.agg(F.max(col).alias(col))
+    return df.join(F.broadcast(top), col, "inner")

@@ -34,8 +34,7 @@ FROM player_games
 
 
 def _latest_totals(bed: Bed) -> DataFrame:
-    t = season_totals_df(bed)
-    return J.scalar_join(t, t.agg(F.max("season").alias("__s"))).filter(F.col("season") == F.col("__s")).drop("__s")
+    return J.keep_max(season_totals_df(bed), "season")
 
 
 def top_k_leaders(spark: SparkSession, root: str) -> DataFrame:

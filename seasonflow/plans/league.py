@@ -46,9 +46,7 @@ league AS (
 
 
 def latest_season_table(bed: Bed) -> DataFrame:
-    t = league_table(bed)
-    latest = t.agg(F.max("season").alias("__latest"))
-    return (J.scalar_join(t, latest).filter(F.col("season") == F.col("__latest")).drop("__latest")
+    return (J.keep_max(league_table(bed), "season")
               .join(F.broadcast(bed.teams().select("team", "conference")), "team", "left"))
 
 
@@ -100,18 +98,8 @@ register("two_sided_unpivot", sql("SELECT * FROM sides"))(two_sided_unpivot_q)
 
 # ---------------------------------------------------------- side lines
 def side_lines(bed: Bed) -> DataFrame:
-    """Per (game, side) counts from the game's lines: odd lines are the home side."""
-    li = bed.t("lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_discount")
-    u = bed.universe().select("game_id", "season", "game_type", "home_team", "away_team")
-    j = li.join(u, li.l_orderkey == u.game_id, "inner")
-    home = (F.col("l_linenumber") % 2) == 1
-    j = j.withColumn("is_home", home).withColumn(
-        "team", F.when(home, F.col("home_team")).otherwise(F.col("away_team")))
-    return j.groupBy("game_id", "season", "game_type", "is_home", "team").agg(
-        F.count(F.lit(1)).alias("shots"),
-        F.sum(F.floor("l_quantity")).cast("bigint").alias("goals"),
-        F.count_if(F.col("l_returnflag") == "R").alias("shorthanded"),
-        F.count_if(F.col("l_discount") >= 0.05).alias("pp_goals"))
+    """Per (game, side) counts from the game's lines (materialised by the bed)."""
+    return bed.side_lines()
 
 
 SIDE_LINES_SQL = """

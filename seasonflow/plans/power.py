@@ -50,12 +50,15 @@ def _season_scalars(bed: Bed) -> DataFrame:
     return cur.crossJoin(prev)
 
 
+def _in_season(df: DataFrame, sc: DataFrame, which: str) -> DataFrame:
+    """Rows of the season named by the one-row scalar ``sc`` — an equi-join with
+    a broadcast row, so a season-partitioned scan is pruned dynamically."""
+    return df.join(F.broadcast(sc.select(F.col(which).alias("season"))), "season", "inner")
+
+
 def latest_period_filter(spark: SparkSession, root: str) -> DataFrame:
     """Rows of the latest season via a broadcast one-row global max."""
-    bed = Bed(spark, root)
-    s = bed.sides()
-    return (J.scalar_join(s, s.agg(F.max("season").alias("__cur")))
-              .filter(F.col("season") == F.col("__cur")).drop("__cur"))
+    return J.keep_max(Bed(spark, root).sides(), "season")
 
 
 register("latest_period_filter", sql("""
@@ -76,7 +79,7 @@ def previous_final(bed: Bed) -> DataFrame:
     """W19 + playoff carry-over: the previous season's final regular table ranked
     by (pct desc, wins desc, goal diff desc, team), and its carried score."""
     sc = _season_scalars(bed)
-    s = J.scalar_join(bed.sides(), sc).filter(F.col("season") == F.col("prev_season"))
+    s = _in_season(bed.sides(), sc, "prev_season")
     reg = _table(s.filter(F.col("game_type") == 2)).withColumn(
         "pct", _div(F.col("wins") * 2 + F.col("ties"), F.col("gp") * 2))
     reg = R.multi_key_rank(reg, [F.col("pct").desc(), F.col("wins").desc(),
@@ -169,10 +172,9 @@ def current_metrics(bed: Bed) -> DataFrame:
     """Latest-season per-team rates (regular season) plus form and schedule."""
     from seasonflow.plans.league import side_lines
     sc = _season_scalars(bed)
-    s = J.scalar_join(bed.sides(), sc).filter(F.col("season") == F.col("cur_season"))
+    s = _in_season(bed.sides(), sc, "cur_season")
     reg = _table(s.filter(F.col("game_type") == 2))
-    sl = J.scalar_join(side_lines(bed), sc).filter((F.col("season") == F.col("cur_season")) &
-                                                   (F.col("game_type") == 2))
+    sl = _in_season(side_lines(bed), sc, "cur_season").filter(F.col("game_type") == 2)
     lines = sl.groupBy("team").agg(F.sum("shots").alias("shots"), F.sum("pp_goals").alias("pp_goals"),
                                    F.sum("shorthanded").alias("sh"))
     last10 = W.last_n(s, ["team"], [F.col("game_date").desc(), F.col("game_id").desc()], 10).groupBy("team").agg(
@@ -183,8 +185,8 @@ def current_metrics(bed: Bed) -> DataFrame:
         F.count_if(F.col("goals_for") > F.col("goals_against")).alias("r_w"),
         F.count_if(F.col("goals_for") < F.col("goals_against")).alias("r_l"),
         F.count(F.lit(1)).alias("r_n"), F.sum(F.col("goals_for") - F.col("goals_against")).alias("recent_gd"))
-    opp = J.scalar_join(opponent_strength_df(bed), sc).filter(F.col("season") == F.col("cur_season")) \
-           .select("team", F.col("opponent_avg_points_pct").alias("sos"))
+    opp = _in_season(opponent_strength_df(bed), sc, "cur_season") \
+        .select("team", F.col("opponent_avg_points_pct").alias("sos"))
     m = (reg.join(lines, "team", "left").join(last10, "team", "left").join(last5, "team", "left")
             .join(opp, "team", "left"))
     # power-play / penalty-kill: own pp goals over opponents' short-handed counts

@@ -27,12 +27,44 @@ from seasonflow.operators.reshape import two_sided_unpivot
 from seasonflow.sources.readers import read_raw
 
 
+_INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+def _code_version() -> str:
+    import hashlib
+    import os
+    here = os.path.dirname(os.path.abspath(__file__))
+    h = hashlib.sha1()
+    for f in ("testbed.py",):
+        with open(os.path.join(here, f), "rb") as fh:
+            h.update(fh.read())
+    return h.hexdigest()[:10]
+
+
 class Bed:
-    """Lazy table access + shared derived views for one ``sf_dir``."""
+    """Lazy table access + shared derived views for one ``sf_dir``.
+
+    The shared intermediate models (games, league universe, side lines, player
+    game lines) are materialised once per dataset in the shared checkpoint
+    folder — the same choice the reference makes for its intermediate tables
+    — partitioned by season, so every mart reads them instead of re-deriving
+    them from lineitem.  ``materialize=False`` keeps everything lazy.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, materialize: bool = True):
         self.spark = spark
         self.root = root
+        self.materialize = materialize
+
+    def _mat(self, name: str, builder, partition_by=("season",)) -> DataFrame:
+        if not self.materialize:
+            return builder()
+        from seasonflow.session import ensure_checkpoint_dir, materialize, path_signature
+        from seasonflow.sources.readers import table_path
+        base = ensure_checkpoint_dir(self.spark).rstrip("/")
+        sig = path_signature(self.spark, [table_path(self.root, t) for t in _INPUTS])
+        path = f"{base}/seasonflow-tables/{sig}-{_code_version()}/{name}"
+        return materialize(builder, self.spark, path, partition_by)
 
     def t(self, name: str, *cols: str) -> DataFrame:
         return read_raw(self.spark, self.root, name, list(cols) or None)
@@ -57,6 +89,9 @@ class Bed:
             F.sum(F.when(~odd, goals).otherwise(F.lit(0))).cast("bigint").alias("away_score"))
 
     def games(self) -> DataFrame:
+        return self._mat("games", self._games)
+
+    def _games(self) -> DataFrame:
         o = self.t("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
         c = self.t("customer", "c_custkey", "c_nationkey")
         s = self.t("supplier", "s_suppkey", "s_nationkey")
@@ -76,11 +111,15 @@ class Bed:
     def universe(self) -> DataFrame:
         """League games: regular/playoff, two distinct teams, both participants
         of that season's regular schedule (J04)."""
+        return self._mat("universe", self._universe)
+
+    def _universe(self) -> DataFrame:
         g = self.games().filter(F.col("game_type").isin(2, 3) &
                                 (F.col("home_team") != F.col("away_team")))
         part = (self.games().filter(F.col("game_type") == 2)
                 .select("season", F.col("home_team").alias("team")))
-        return both_sides_in(g, part, "season", "home_team", "away_team", "team")
+        # participants are (season, nation) pairs: bounded by seasons x 25 nations
+        return both_sides_in(g, part, "season", "home_team", "away_team", "team", bounded=True)
 
     def sides(self, games: DataFrame | None = None) -> DataFrame:
         """Two rows per game with own / opponent values."""
@@ -91,6 +130,24 @@ class Bed:
             away={"team": "away_team", "goals_for": "away_score"},
         ).withColumnRenamed("opp_team", "opponent").withColumnRenamed("opp_goals_for", "goals_against")
 
+    # -- side lines (M28 base) --------------------------------------------------
+    def side_lines(self) -> DataFrame:
+        return self._mat("side_lines", self._side_lines)
+
+    def _side_lines(self) -> DataFrame:
+        """Per (game, side) counts from the game's lines: odd lines are the home side."""
+        li = self.t("lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_discount")
+        u = self.universe().select("game_id", "season", "game_type", "home_team", "away_team")
+        j = li.join(u, li.l_orderkey == u.game_id, "inner")
+        home = (F.col("l_linenumber") % 2) == 1
+        j = j.withColumn("is_home", home).withColumn(
+            "team", F.when(home, F.col("home_team")).otherwise(F.col("away_team")))
+        return j.groupBy("game_id", "season", "game_type", "is_home", "team").agg(
+            F.count(F.lit(1)).alias("shots"),
+            F.sum(F.floor("l_quantity")).cast("bigint").alias("goals"),
+            F.count_if(F.col("l_returnflag") == "R").alias("shorthanded"),
+            F.count_if(F.col("l_discount") >= 0.05).alias("pp_goals"))
+
     # -- plays (events) --------------------------------------------------------
     def plays(self) -> DataFrame:
         e = self.t("events", "event_id", "ts", "user_id", "event_type", "value", "props")
@@ -103,6 +160,9 @@ class Bed:
 
     # -- player game lines -----------------------------------------------------
     def player_games(self) -> DataFrame:
+        return self._mat("player_games", self._player_games)
+
+    def _player_games(self) -> DataFrame:
         """(game, player) lines: player = supplier, team = supplier's nation.
 
         Per line: goals = floor(qty) % 5, assists = linenumber % 3,

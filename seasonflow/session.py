@@ -64,3 +64,48 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+# -- materialised intermediate tables ------------------------------------------
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf), p
+
+
+def path_signature(spark: SparkSession, paths) -> str:
+    """Size + modification time of input files: a cheap content fingerprint so a
+    materialised table is rebuilt when its inputs change."""
+    import hashlib
+    h = hashlib.sha1()
+    for path in paths:
+        fs, p = _fs(spark, path)
+        if fs.exists(p):
+            st = fs.getFileStatus(p)
+            h.update(f"{path}|{st.getLen()}|{st.getModificationTime()}".encode())
+        else:
+            h.update(f"{path}|missing".encode())
+    return h.hexdigest()[:16]
+
+
+def materialize(df_builder, spark: SparkSession, path: str, partition_by=()) -> DataFrame:
+    """Write ``df_builder()`` once to ``path`` (shared folder) and read it back.
+
+    The table is written to a fresh sibling directory and renamed into place,
+    so readers never see a half-written table; a lost executor only costs the
+    retry of its tasks.  Later calls read the finished table directly.
+    """
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+        w = df_builder().write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(tmp)
+        _, tp = _fs(spark, tmp)
+        if not fs.rename(tp, p):
+            fs.delete(tp, True)          # another job published it first
+            if not fs.exists(p):
+                raise RuntimeError(f"could not publish materialised table {path}")
+    return spark.read.parquet(path)
