@@ -56,7 +56,8 @@ def stg_game_summaries(raw: DataFrame) -> DataFrame:
     g = g.select(F.col("SEASON").try_cast("int").alias("season"), F.col("ID").alias("game_id"),
                  game_type_label("GAMETYPE").alias("game_type"), F.col("GAMEDATE").alias("game_date"),
                  F.col("STARTTIMEUTC").alias("start_time_utc"), F.col("VENUE_DEFAULT").alias("venue"),
-                 F.col("PERIODDESCRIPTOR_PERIODTYPE").alias("last_period_type"), "*")
+                 F.col("PERIODDESCRIPTOR_PERIODTYPE").alias("last_period_type"),
+                 *[F.col(f"{side}TEAM_{c}") for side in ("HOME", "AWAY") for c in ("ABBREV", "ID", "SCORE", "SOG")])
     out = two_sided_unpivot(
         g, ["season", "game_id", "game_type", "game_date", "start_time_utc", "venue", "last_period_type"],
         home={"team_abv": "HOMETEAM_ABBREV", "team_id": "HOMETEAM_ID", "goals": "HOMETEAM_SCORE",
