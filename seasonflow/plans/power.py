@@ -10,50 +10,26 @@ see fact-grain data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonflow.functions import exprs as X
 from seasonflow.operators import joins as J
-from seasonflow.operators import ranking as R
-from seasonflow.operators import windows as W
+from seasonflow.plans import power_model as PM
 from seasonflow.plans.registry import register, rr, sql
 from seasonflow.plans.testbed import Bed
 
-# Fixed values of the power model (must equal the reference's):
-#   league size for the previous-rank scale 32 -> rank100 = 100 * (32 - rank) / 31
-#   playoff carry-over: 0.5 * rank100 + 0.5 * (wins / 16 * 100 * 0.6
-#     + win_pct * 100 * 0.2 + (goal_diff_per_game + 2) * 10 * 0.2); no playoffs 0.8 * rank100
-#   blend: current weight = min(gp / 20, 1)
-#   goal component 0.5 diff + 0.3 for + 0.2 against; advanced 0.4 shots + 0.3 pp + 0.3 pk (gp >= 5)
-#   momentum: gp >= 10 0.6 last10 + 0.4 recent diff; gp >= 5 0.5 trend + 0.5 recent diff; else 50
-#   final weights (points, goal, advanced, schedule, momentum):
-#     gp < 5: .35 .30 .15 .10 .10; gp < 10: .32 .28 .18 .12 .10; otherwise .30 .25 .20 .15 .10
-LEAGUE_SIZE = 32
-NEUTRAL = 50.0
 
-
-def _f(c) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("double")
-
-
-def _div(a, b) -> Column:
-    return F.try_divide(_f(a), _f(b))
-
-
-def _season_scalars(bed: Bed) -> DataFrame:
-    """One row: current season = max, previous = max below it."""
-    s = bed.sides().select("season")
-    cur = s.agg(F.max("season").alias("cur_season"))
-    prev = s.join(F.broadcast(cur), F.col("season") < F.col("cur_season")).agg(
-        F.max("season").alias("prev_season"))
-    return cur.crossJoin(prev)
-
-
-def _in_season(df: DataFrame, sc: DataFrame, which: str) -> DataFrame:
-    """Rows of the season named by the one-row scalar ``sc`` — an equi-join with
-    a broadcast row, so a season-partitioned scan is pruned dynamically."""
-    return df.join(F.broadcast(sc.select(F.col(which).alias("season"))), "season", "inner")
+def team_games(bed: Bed) -> DataFrame:
+    """Binding of the standard team-game table to the test tables: the two-sided
+    game rows plus the per-side line counts (shots; pp goals; short-handed)."""
+    s = bed.sides()
+    sl = bed.side_lines().select("game_id", "is_home", "shots", "pp_goals", "shorthanded")
+    j = s.join(sl, ["game_id", "is_home"], "left")
+    return j.select("season", "team", "opponent", "game_id", "game_date",
+                    F.when(F.col("game_type") == 2, "regular").when(F.col("game_type") == 3, "playoff")
+                     .alias("game_type"),
+                    "goals_for", "goals_against", "shots", "pp_goals", F.col("shots").alias("pp_attempts"),
+                    F.col("shots").alias("pk_attempts"), F.col("shorthanded").alias("pk_goals_against"))
 
 
 def latest_period_filter(spark: SparkSession, root: str) -> DataFrame:
@@ -66,37 +42,6 @@ SELECT * FROM sides WHERE season = (SELECT max(season) FROM sides)
 """))(latest_period_filter)
 
 
-def _table(s: DataFrame) -> DataFrame:
-    return s.groupBy("team").agg(
-        F.count(F.lit(1)).alias("gp"),
-        F.count_if(F.col("goals_for") > F.col("goals_against")).alias("wins"),
-        F.count_if(F.col("goals_for") < F.col("goals_against")).alias("losses"),
-        F.count_if(F.col("goals_for") == F.col("goals_against")).alias("ties"),
-        F.sum("goals_for").alias("gf"), F.sum("goals_against").alias("ga"))
-
-
-def previous_final(bed: Bed) -> DataFrame:
-    """W19 + playoff carry-over: the previous season's final regular table ranked
-    by (pct desc, wins desc, goal diff desc, team), and its carried score."""
-    sc = _season_scalars(bed)
-    s = _in_season(bed.sides(), sc, "prev_season")
-    reg = _table(s.filter(F.col("game_type") == 2)).withColumn(
-        "pct", _div(F.col("wins") * 2 + F.col("ties"), F.col("gp") * 2))
-    reg = R.multi_key_rank(reg, [F.col("pct").desc(), F.col("wins").desc(),
-                                 (F.col("gf") - F.col("ga")).desc(), F.col("team").asc()], name="final_rank")
-    po = _table(s.filter(F.col("game_type") == 3)).select(
-        "team", F.col("gp").alias("p_gp"), F.col("wins").alias("p_wins"),
-        _div("wins", "gp").alias("p_win_pct"), _div(F.col("gf") - F.col("ga"), "gp").alias("p_gd_pg"))
-    j = reg.join(po, "team", "left")
-    rank100 = F.lit(100.0) * _f(F.lit(LEAGUE_SIZE) - F.col("final_rank")) / F.lit(LEAGUE_SIZE - 1.0)
-    playoff = ((_f("p_wins") / F.lit(16.0)) * F.lit(100.0) * F.lit(0.6)
-               + F.col("p_win_pct") * F.lit(100.0) * F.lit(0.2)
-               + (F.col("p_gd_pg") + F.lit(2.0)) * F.lit(10.0) * F.lit(0.2))
-    score = F.when(F.col("p_gp") > 0, rank100 * F.lit(0.5) + playoff * F.lit(0.5)).otherwise(rank100 * F.lit(0.8))
-    return j.select("team", "gp", "wins", "pct", "final_rank", rank100.alias("rank100"),
-                    F.coalesce("p_gp", F.lit(0)).alias("playoff_games"), score.alias("prev_power_score"))
-
-
 _PREV_SQL = """
 , sc AS (SELECT max(season) AS cur_season, (SELECT max(season) FROM sides s2
                                              WHERE s2.season < (SELECT max(season) FROM sides)) AS prev_season FROM sides)
@@ -124,31 +69,17 @@ _PREV_SQL = """
 
 
 def previous_period_final(spark: SparkSession, root: str) -> DataFrame:
-    return previous_final(Bed(spark, root))
+    """W19 + playoff carry-over for the previous season."""
+    return PM.previous_final(team_games(Bed(spark, root)))
 
 
 register("previous_period_final", sql(_PREV_SQL + "SELECT * FROM prev"))(previous_period_final)
 
 
 # ------------------------------------------------------- opponent strength
-def opponent_strength_df(bed: Bed) -> DataFrame:
-    """Mean opponent points share (both sides, all game types) per (season, team).
-    Each opponent share is fixed at 4 decimals (integer ten-thousandths, exact
-    HALF_UP) so the mean is exact too."""
-    s = bed.sides()
-    tab = s.groupBy("season", "team").agg(
-        F.count(F.lit(1)).alias("gp"),
-        F.sum(F.when(F.col("goals_for") > F.col("goals_against"), 2)
-               .when(F.col("goals_for") == F.col("goals_against"), 1).otherwise(0)).alias("pts"))
-    share = tab.select("season", F.col("team").alias("opponent"),
-                       X.round_ratio(F.col("pts") * 10000, F.col("gp") * 2, 0).cast("bigint").alias("opp_share_e4"))
-    j = s.join(share, ["season", "opponent"], "inner")
-    agg = j.groupBy("season", "team").agg(F.sum("opp_share_e4").alias("__s"), F.count(F.lit(1)).alias("__n"))
-    return agg.select("season", "team", X.round_ratio("__s", F.col("__n") * 10000, 4).alias("opponent_avg_points_pct"))
-
-
 def opponent_strength(spark: SparkSession, root: str) -> DataFrame:
-    return opponent_strength_df(Bed(spark, root))
+    """Mean opponent points share per (season, team), exact to 4 decimals."""
+    return PM.opponent_strength(team_games(Bed(spark, root)))
 
 
 _OPP_SQL = """
@@ -163,45 +94,7 @@ _OPP_SQL = """
 register("opponent_strength", sql(_OPP_SQL + "SELECT * FROM opp"))(opponent_strength)
 
 
-# ----------------------------------------------------------- current metrics
-_METRICS = ["points_pct", "goals_for_pg", "goals_against_pg", "goal_diff_pg", "shots_pg", "pp_pct", "pk_pct",
-            "sos", "last10_pct", "recent_gd"]
-
-
-def current_metrics(bed: Bed) -> DataFrame:
-    """Latest-season per-team rates (regular season) plus form and schedule."""
-    from seasonflow.plans.league import side_lines
-    sc = _season_scalars(bed)
-    s = _in_season(bed.sides(), sc, "cur_season")
-    reg = _table(s.filter(F.col("game_type") == 2))
-    sl = _in_season(side_lines(bed), sc, "cur_season").filter(F.col("game_type") == 2)
-    lines = sl.groupBy("team").agg(F.sum("shots").alias("shots"), F.sum("pp_goals").alias("pp_goals"),
-                                   F.sum("shorthanded").alias("sh"))
-    last10 = W.last_n(s, ["team"], [F.col("game_date").desc(), F.col("game_id").desc()], 10).groupBy("team").agg(
-        F.sum(F.when(F.col("goals_for") > F.col("goals_against"), 2)
-               .when(F.col("goals_for") == F.col("goals_against"), 1).otherwise(0)).alias("l10_pts"),
-        F.count(F.lit(1)).alias("l10_n"))
-    last5 = W.last_n(s, ["team"], [F.col("game_date").desc(), F.col("game_id").desc()], 5).groupBy("team").agg(
-        F.count_if(F.col("goals_for") > F.col("goals_against")).alias("r_w"),
-        F.count_if(F.col("goals_for") < F.col("goals_against")).alias("r_l"),
-        F.count(F.lit(1)).alias("r_n"), F.sum(F.col("goals_for") - F.col("goals_against")).alias("recent_gd"))
-    opp = _in_season(opponent_strength_df(bed), sc, "cur_season") \
-        .select("team", F.col("opponent_avg_points_pct").alias("sos"))
-    m = (reg.join(lines, "team", "left").join(last10, "team", "left").join(last5, "team", "left")
-            .join(opp, "team", "left"))
-    # power-play / penalty-kill: own pp goals over opponents' short-handed counts
-    # are approximated per team by own counts (both sides of every game present)
-    return m.select(
-        "team", "gp", "wins", "losses",
-        _div(F.col("wins") * 2 + F.col("ties"), F.col("gp") * 2).alias("points_pct"),
-        _div("gf", "gp").alias("goals_for_pg"), _div("ga", "gp").alias("goals_against_pg"),
-        _div(F.col("gf") - F.col("ga"), "gp").alias("goal_diff_pg"),
-        _div("shots", "gp").alias("shots_pg"),
-        _div("pp_goals", "shots").alias("pp_pct"),
-        _div(F.col("shots") - F.col("sh"), "shots").alias("pk_pct"),
-        "sos", _div("l10_pts", F.col("l10_n") * 2).alias("last10_pct"),
-        _f("recent_gd").alias("recent_gd"),
-        _div(F.col("r_w") - F.col("r_l"), "r_n").alias("trend"))
+_METRICS = PM.METRICS
 
 
 _CUR_SQL = _PREV_SQL + _OPP_SQL + """
@@ -232,13 +125,6 @@ _CUR_SQL = _PREV_SQL + _OPP_SQL + """
 """
 
 
-def _scaled(bed: Bed) -> DataFrame:
-    m = current_metrics(bed)
-    flags = {c: c == "goals_against_pg" for c in _METRICS}
-    out = R.minmax_normalize(m, flags, suffix="_scaled", neutral=NEUTRAL)
-    return out.withColumn("trend_scaled", F.coalesce((F.col("trend") + F.lit(1.0)) * F.lit(50.0), F.lit(NEUTRAL)))
-
-
 def _scale_sql(c: str, invert: bool) -> str:
     num = f"(max({c}) OVER () - {c})" if invert else f"({c} - min({c}) OVER ())"
     return (f"coalesce({num} / nullif(max({c}) OVER () - min({c}) OVER (), 0) * 100.0::DOUBLE, 50.0::DOUBLE)"
@@ -254,29 +140,16 @@ _SCALED_SQL = _CUR_SQL + """
 def minmax_normalize(spark: SparkSession, root: str) -> DataFrame:
     """Ten metrics min-max scaled to 0-100 over the league (goals against
     inverted); zero range or NULL -> 50."""
-    return _scaled(Bed(spark, root))
+    return PM.scaled(team_games(Bed(spark, root)))
 
 
 register("minmax_normalize", sql(_SCALED_SQL + "SELECT * FROM scaled"))(minmax_normalize)
 
 
-def _blended(bed: Bed) -> DataFrame:
-    s = _scaled(bed)
-    prev = previous_final(bed).select("team", "prev_power_score", F.col("pct").alias("prev_pct"))
-    prev = R.minmax_normalize(prev, {"prev_pct": False}, suffix="_scaled", neutral=NEUTRAL)
-    j = s.join(prev, "team", "left")
-    gp = F.col("gp")
-    cw = F.when(gp >= 20, F.lit(1.0)).when(gp == 0, F.lit(0.0)).otherwise(_f(gp) / F.lit(20.0))
-    pw = F.when(gp >= 20, F.lit(0.0)).when(gp == 0, F.lit(1.0)).otherwise(F.lit(1.0) - _f(gp) / F.lit(20.0))
-    return j.select("*", cw.alias("current_weight"), pw.alias("previous_weight"),
-                    F.coalesce("prev_power_score", F.lit(NEUTRAL)).alias("prev_score"),
-                    F.coalesce("prev_pct_scaled", F.lit(NEUTRAL)).alias("prev_points_scaled"))
-
-
 def weighted_blend(spark: SparkSession, root: str) -> DataFrame:
     """M44 step 8: weight of the current season grows linearly with games / 20;
     blended points = cw * current + pw * previous (previous default 50)."""
-    b = _blended(Bed(spark, root))
+    b = PM.blended(team_games(Bed(spark, root)))
     return b.select("team", "gp", "current_weight", "previous_weight", "prev_score",
                     (F.col("points_pct_scaled") * F.col("current_weight")
                      + F.col("prev_points_scaled") * F.col("previous_weight")).alias("blended_points"))
@@ -304,34 +177,7 @@ FROM blended
 def composite_score(spark: SparkSession, root: str) -> DataFrame:
     """M44 steps 9-11 / M52 / W18: five components with activation thresholds,
     final weights by games played, rank with team tie-break, rounded display."""
-    b = _blended(Bed(spark, root))
-    gp = F.col("gp")
-    c = lambda n: F.col(n)
-    points = c("points_pct_scaled")
-    goal = c("goal_diff_pg_scaled") * 0.5 + c("goals_for_pg_scaled") * 0.3 + c("goals_against_pg_scaled") * 0.2
-    adv = F.when(gp >= 5, c("shots_pg_scaled") * 0.4 + c("pp_pct_scaled") * 0.3 + c("pk_pct_scaled") * 0.3) \
-           .otherwise(F.lit(NEUTRAL))
-    sched = F.when(gp >= 5, c("sos_scaled")).otherwise(F.lit(NEUTRAL))
-    mom = (F.when(gp >= 10, c("last10_pct_scaled") * 0.6 + c("recent_gd_scaled") * 0.4)
-            .when(gp >= 5, c("trend_scaled") * 0.5 + c("recent_gd_scaled") * 0.5).otherwise(F.lit(NEUTRAL)))
-    comp = b.select("team", "gp", "current_weight", "previous_weight", "prev_score",
-                    points.alias("points_component"), goal.alias("goal_component"),
-                    adv.alias("advanced_component"), sched.alias("schedule_component"),
-                    mom.alias("momentum_component"))
-
-    def mix(w):
-        return (c("points_component") * w[0] + c("goal_component") * w[1] + c("advanced_component") * w[2]
-                + c("schedule_component") * w[3] + c("momentum_component") * w[4])
-    full = mix((0.30, 0.25, 0.20, 0.15, 0.10))
-    blend = lambda w: c("prev_score") * c("previous_weight") + mix(w) * c("current_weight")
-    score = (F.when(gp == 0, c("prev_score"))
-              .when(gp < 5, blend((0.35, 0.30, 0.15, 0.10, 0.10)))
-              .when(gp < 10, blend((0.32, 0.28, 0.18, 0.12, 0.10)))
-              .when(gp < 20, blend((0.30, 0.25, 0.20, 0.15, 0.10)))
-              .otherwise(full))
-    out = comp.withColumn("power_score", score)
-    out = R.multi_key_rank(out, [F.col("power_score").desc(), F.col("team").asc()], name="power_rank")
-    return out.withColumn("power_score_display", F.round("power_score", 1))
+    return PM.composite(team_games(Bed(spark, root)))
 
 
 def _mix_sql(w) -> str:

@@ -13,18 +13,26 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from seasonflow.params import Params
-from seasonflow.plans.season import dims, facts, marts
+from seasonflow.session import cut_lineage
+from seasonflow.plans.season import dims, facts, marts, metrics
 from seasonflow.plans.season import intermediate as I
 from seasonflow.plans.season import staging as ST
 
 MATERIALISED = ("league_games", "skater_game_lines", "goalie_game_lines", "standings_by_day", "fct_plays",
-                "team_game_line")
+                "team_game_line", "fct_team_game")
+
+
+def checkpointed(name: str, df: DataFrame) -> DataFrame:
+    """Default materialisation: a reliable checkpoint into the shared folder named
+    by ``spark.checkpoint.dir`` (cuts lineage; survives executor loss)."""
+    return cut_lineage(df) if name in MATERIALISED else df
 
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], p: Params = Params(),
           calendar_start: dt.date = dt.date(2015, 10, 1), persist=None) -> dict[str, DataFrame]:
-    """``persist(name, df) -> df`` may materialise a model (e.g. write + read back)."""
-    keep = persist or (lambda name, df: df)
+    """``persist(name, df) -> df`` materialises the shared models (default: a
+    reliable checkpoint; pass a table writer to publish them instead)."""
+    keep = persist or checkpointed
     m: dict[str, DataFrame] = {}
     m["stg_games"] = ST.stg_games(raw["games"])
     m["stg_daily_standings"] = ST.stg_daily_standings(raw["daily_standings"])
@@ -58,7 +66,7 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], p: Params = Params(),
     m["fct_games"] = facts.fct_games(m["team_game_line"], m["league_games"])
     m["fct_goalie_game"] = facts.fct_goalie_game(m["goalie_game_lines"], p)
     m["fct_player_game"] = facts.fct_player_game(m["skater_game_lines"], m["fct_plays"], m["team_game_line"])
-    m["fct_team_game"] = facts.fct_team_game(m["team_game_line"], m["fct_plays"])
+    m["fct_team_game"] = keep("fct_team_game", facts.fct_team_game(m["team_game_line"], m["fct_plays"]))
     m["fct_standings_daily"] = facts.fct_standings_daily(m["standings_by_day"], p)
 
     m["dim_dates"] = dims.dim_dates(spark, calendar_start, m["season_dates"], p)
@@ -71,6 +79,11 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], p: Params = Params(),
             m["fct_upcoming_games"] = facts.fct_upcoming_games(m["stg_schedules"], m["dim_teams"], p)
             m["upcoming_games"] = marts.upcoming_games_mart(m["fct_upcoming_games"], m["dim_teams"])
 
+    teams = m.get("dim_teams")
+    m["team_power_rankings"] = metrics.team_power_rankings(m["fct_team_game"], teams)
+    m["team_season_metrics"] = metrics.team_season_metrics(m["fct_team_game"], teams)
+    m["mart_team_power_rankings"] = metrics.mart_team_power_rankings(m["team_power_rankings"])
+
     m["all_players"] = marts.all_players(m["roster_players"])
     m["all_plays"] = marts.all_plays(m["stg_plays"])
     m["current_statwise_rankings"] = marts.statwise_rankings(m["team_season_regular"])

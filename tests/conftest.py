@@ -10,6 +10,6 @@ sys.path.insert(0, ROOT)
 @pytest.fixture(scope="session")
 def spark():
     from seasonflow.session import build_session
-    s = build_session("local[4]", 4)
+    s = build_session("local[4]", 4, extra={"spark.driver.memory": "6g"})
     yield s
     s.stop()
