@@ -124,3 +124,19 @@ def rosters(spark):
             row(S.TEAM_ROSTERS, TEAM_ABV="DAL", FORWARDS=json.dumps([p(7, "A", "Skater", "C"), p(11, "F", "One", "C")]),
                 DEFENSEMEN="[]", GOALIES=None, _loaded_at=T1)]
     return spark.createDataFrame(rows, S.TEAM_ROSTERS)
+
+
+def current_teams(spark):
+    rows = [row(S.CURRENT_TEAMS, ID=100, ABBREV="NSH", NAME_DEFAULT="Nashville", FRENCH="false", _loaded_at=T1),
+            row(S.CURRENT_TEAMS, ID=200, ABBREV="DAL", NAME_DEFAULT="Dallas", FRENCH="false", _loaded_at=T1)]
+    return spark.createDataFrame(rows, S.CURRENT_TEAMS)
+
+
+def schedules(spark):
+    def g(gid, d, state, home, away, start):
+        return row(S.SEASON_SCHEDULES, ID=gid, SEASON=20252026, GAMETYPE=2, GAMESTATE=state, GAMEDATE=d,
+                   HOMETEAM_ABBREV=home, AWAYTEAM_ABBREV=away, STARTTIMEUTC=start, _loaded_at=T1)
+    rows = [g(10, dt.date(2025, 10, 14), "FUT", "NSH", "DAL", "2025-10-15T00:00:00Z"),
+            g(11, dt.date(2025, 10, 18), "FUT", "DAL", "NSH", "2025-10-18T19:00:00Z"),
+            g(1, dt.date(2025, 10, 8), "OFF", "NSH", "DAL", "2025-10-09T00:00:00Z")]
+    return spark.createDataFrame(rows, S.SEASON_SCHEDULES)

@@ -26,7 +26,8 @@ def models(spark):
             {"game": 3, "event": 1, "type": "goal", "team": 900, "period": 1, "clock": "01:00"},
         ]),
         "game_summaries": FX.summaries(spark), "game_boxscore": FX.boxscore(spark),
-        "team_rosters": FX.rosters(spark),
+        "team_rosters": FX.rosters(spark), "current_teams": FX.current_teams(spark),
+        "season_schedules": FX.schedules(spark),
     }
     return pipeline.build(spark, raw, Params(as_of=dt.date(2025, 10, 12)))
 
@@ -89,3 +90,25 @@ def test_plays_strength_and_empty_net(models):
 def test_game_winning_goal(models):
     pg = {r.player_id: r for r in models["fct_player_game"].filter("game_id = 1").collect()}
     assert set(pg) == {11, 12, 7}
+
+
+def test_upcoming_and_power(models):
+    up = {r.game_id: r for r in models["upcoming_games"].collect()}
+    assert set(up) == {10, 11} and up[10].days_until_game == 2 and up[10].is_division_game is True
+    pr = models["team_power_rankings"].collect()
+    assert sorted(r.power_rank for r in pr) == [1, 2]
+
+
+def test_cards_and_checks(models, spark):
+    from seasonflow.plans.season import cards as C
+    from seasonflow.plans.season.checks import run_checks
+    t = C.detailed_team_table(models["standings_by_day"], models["dim_teams"]).collect()
+    assert [r.team_abv for r in t] == ["NSH", "DAL"]
+    assert C.leaders(models["skaters_season_stats_regular"], "goals", k=1).collect()[0].player_id == 7
+    assert C.standings_series(models["standings_by_day"], team="NSH", cap=2).count() == 2
+    assert C.team_future_games(models["upcoming_games"], "DAL", dt.date(2025, 10, 15)).count() == 1
+    assert C.player_compare(models["fct_player_game"], [11]).collect()[0].games == 2
+    assert C.running_stats(models["fct_player_game"], models["league_games"], 11).count() == 2
+    summary = {r.target: r.status for r in run_checks(models).collect()}
+    assert summary["league_games(game_id)"] == "pass"
+    assert summary["fct_team_game.game_result"] == "pass"
