@@ -3,8 +3,10 @@
 These run *after* aggregation to the (period, entity) grain.  Rank windows are
 partitioned by period wherever the model allows; an un-partitioned window is
 only used on already-aggregated frames whose size is bounded by the entity
-domain (teams), never on fact-grain rows.  Min-max scaling uses one global
-aggregate row broadcast back (a bounded scalar), not an ``over ()`` window.
+domain (teams), never on fact-grain rows.  Min-max scaling of a large frame
+uses one global aggregate row broadcast back (a bounded scalar); on a frame
+known to be entity-grain it uses an ``over ()`` window so the frame is
+evaluated once.
 """
 
 from __future__ import annotations
@@ -60,16 +62,22 @@ def multi_key_rank(df: DataFrame, order: Sequence[Column], partition: Sequence[s
 
 
 def minmax_normalize(df: DataFrame, cols: Mapping[str, bool], partition: Sequence[str] = (),
-                     suffix: str = "_scaled", neutral: float = 50.0) -> DataFrame:
+                     suffix: str = "_scaled", neutral: float = 50.0, bounded: bool = False) -> DataFrame:
     """``(x - min) / (max - min) * 100`` (inverted when the flag is True).
 
     min/max come from one aggregate (per partition, or one global row that is
-    broadcast); a zero range or a NULL value yields ``neutral``.
+    broadcast); a zero range or a NULL value yields ``neutral``.  With
+    ``bounded=True`` (an entity-grain frame, e.g. one row per team) an
+    ``over ()`` window is used instead, so the frame is evaluated once.
     """
     aggs = []
     for c in cols:
         aggs += [F.min(c).alias(f"__min_{c}"), F.max(c).alias(f"__max_{c}")]
-    if partition:
+    if bounded:
+        w = Window.partitionBy(*partition) if partition else Window.partitionBy()
+        joined = df.select("*", *[F.min(c).over(w).alias(f"__min_{c}") for c in cols],
+                           *[F.max(c).over(w).alias(f"__max_{c}") for c in cols])
+    elif partition:
         stats = df.groupBy(*partition).agg(*aggs)
         joined = df.join(stats, list(partition), "left")
     else:

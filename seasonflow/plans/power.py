@@ -20,16 +20,8 @@ from seasonflow.plans.testbed import Bed
 
 
 def team_games(bed: Bed) -> DataFrame:
-    """Binding of the standard team-game table to the test tables: the two-sided
-    game rows plus the per-side line counts (shots; pp goals; short-handed)."""
-    s = bed.sides()
-    sl = bed.side_lines().select("game_id", "is_home", "shots", "pp_goals", "shorthanded")
-    j = s.join(sl, ["game_id", "is_home"], "left")
-    return j.select("season", "team", "opponent", "game_id", "game_date",
-                    F.when(F.col("game_type") == 2, "regular").when(F.col("game_type") == 3, "playoff")
-                     .alias("game_type"),
-                    "goals_for", "goals_against", "shots", "pp_goals", F.col("shots").alias("pp_attempts"),
-                    F.col("shots").alias("pk_attempts"), F.col("shorthanded").alias("pk_goals_against"))
+    """The standard team-game table bound to the test tables (materialised by the bed)."""
+    return bed.team_games()
 
 
 def latest_period_filter(spark: SparkSession, root: str) -> DataFrame:

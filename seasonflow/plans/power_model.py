@@ -75,24 +75,35 @@ def record_table(g: DataFrame) -> DataFrame:
         F.sum("pk_goals_against").alias("pk_goals_against"))
 
 
+def _split_table(g: DataFrame) -> DataFrame:
+    """Regular-season record and playoff record per team in ONE aggregate."""
+    reg, po = F.col("game_type") == "regular", F.col("game_type") == "playoff"
+    w, l, t = (F.col("goals_for") > F.col("goals_against"), F.col("goals_for") < F.col("goals_against"),
+               F.col("goals_for") == F.col("goals_against"))
+    return g.groupBy("team").agg(
+        F.count_if(reg).alias("gp"), F.count_if(reg & w).alias("wins"), F.count_if(reg & l).alias("losses"),
+        F.count_if(reg & t).alias("ties"), F.sum(F.when(reg, F.col("goals_for"))).alias("gf"),
+        F.sum(F.when(reg, F.col("goals_against"))).alias("ga"),
+        F.count_if(po).alias("p_gp"), F.count_if(po & w).alias("p_wins"),
+        F.sum(F.when(po, F.col("goals_for") - F.col("goals_against"))).alias("p_gd"))
+
+
 def previous_final(g: DataFrame) -> DataFrame:
-    """W19 + playoff carry-over for the previous season."""
-    s = in_season(g, season_scalars(g), "prev_season")
-    reg = record_table(s.filter(F.col("game_type") == "regular")).withColumn(
-        "pct", _div(F.col("wins") * 2 + F.col("ties"), F.col("gp") * 2))
-    reg = R.multi_key_rank(reg, [F.col("pct").desc(), F.col("wins").desc(),
-                                 (F.col("gf") - F.col("ga")).desc(), F.col("team").asc()], name="final_rank")
-    po = record_table(s.filter(F.col("game_type") == "playoff")).select(
-        "team", F.col("gp").alias("p_gp"), F.col("wins").alias("p_wins"),
-        _div("wins", "gp").alias("p_win_pct"), _div(F.col("gf") - F.col("ga"), "gp").alias("p_gd_pg"))
-    j = reg.join(po, "team", "left")
+    """W19 + playoff carry-over for the previous season (regular and playoff
+    records from one aggregate; teams without regular games drop out)."""
+    t = _split_table(in_season(g, season_scalars(g), "prev_season")).filter(F.col("gp") > 0)
+    t = t.withColumn("pct", _div(F.col("wins") * 2 + F.col("ties"), F.col("gp") * 2))
+    t = R.multi_key_rank(t, [F.col("pct").desc(), F.col("wins").desc(),
+                             (F.col("gf") - F.col("ga")).desc(), F.col("team").asc()], name="final_rank")
+    p_gp = F.when(F.col("p_gp") > 0, F.col("p_gp"))
+    t = t.withColumns({"p_win_pct": _div("p_wins", p_gp), "p_gd_pg": _div("p_gd", p_gp)})
     rank100 = F.lit(100.0) * _f(F.lit(LEAGUE_SIZE) - F.col("final_rank")) / F.lit(LEAGUE_SIZE - 1.0)
     playoff = ((_f("p_wins") / F.lit(16.0)) * F.lit(100.0) * F.lit(0.6)
                + F.col("p_win_pct") * F.lit(100.0) * F.lit(0.2)
                + (F.col("p_gd_pg") + F.lit(2.0)) * F.lit(10.0) * F.lit(0.2))
     score = F.when(F.col("p_gp") > 0, rank100 * F.lit(0.5) + playoff * F.lit(0.5)).otherwise(rank100 * F.lit(0.8))
-    return j.select("team", "gp", "wins", "pct", "final_rank", rank100.alias("rank100"),
-                    F.coalesce("p_gp", F.lit(0)).alias("playoff_games"), score.alias("prev_power_score"))
+    return t.select("team", "gp", "wins", "pct", "final_rank", rank100.alias("rank100"),
+                    F.col("p_gp").alias("playoff_games"), score.alias("prev_power_score"))
 
 
 def opponent_strength(g: DataFrame) -> DataFrame:
@@ -108,20 +119,30 @@ def opponent_strength(g: DataFrame) -> DataFrame:
 
 def current_metrics(g: DataFrame) -> DataFrame:
     """Latest-season per-team rates (regular season) plus last-10 / last-5 form
-    (all game types, newest first, game id breaks ties) and schedule strength."""
+    (all game types, newest first, game id breaks ties) and schedule strength.
+
+    One window (recency rank per team) and one aggregate produce the record,
+    the rates and both form windows; schedule strength is computed on the
+    current season only (the season-partitioned input is pruned to it).
+    """
     sc = season_scalars(g)
     s = in_season(g, sc, "cur_season")
-    reg = record_table(s.filter(F.col("game_type") == "regular"))
-    order = [F.col("game_date").desc(), F.col("game_id").desc()]
-    last10 = W.last_n(s, ["team"], order, 10).groupBy("team").agg(
-        F.sum(_pts()).alias("l10_pts"), F.count(F.lit(1)).alias("l10_n"))
-    last5 = W.last_n(s, ["team"], order, 5).groupBy("team").agg(
-        F.count_if(F.col("goals_for") > F.col("goals_against")).alias("r_w"),
-        F.count_if(F.col("goals_for") < F.col("goals_against")).alias("r_l"),
-        F.count(F.lit(1)).alias("r_n"), F.sum(F.col("goals_for") - F.col("goals_against")).alias("recent_gd"))
-    opp = in_season(opponent_strength(g), sc, "cur_season").select(
-        "team", F.col("opponent_avg_points_pct").alias("sos"))
-    m = reg.join(last10, "team", "left").join(last5, "team", "left").join(opp, "team", "left")
+    s = W.nth_in_group(s, ["team"], [F.col("game_date").desc(), F.col("game_id").desc()], "__rn")
+    reg = F.col("game_type") == "regular"
+    w, l, t = (F.col("goals_for") > F.col("goals_against"), F.col("goals_for") < F.col("goals_against"),
+               F.col("goals_for") == F.col("goals_against"))
+    r10, r5 = F.col("__rn") <= 10, F.col("__rn") <= 5
+    m = s.groupBy("team").agg(
+        F.count_if(reg).alias("gp"), F.count_if(reg & w).alias("wins"), F.count_if(reg & l).alias("losses"),
+        F.count_if(reg & t).alias("ties"),
+        *[F.sum(F.when(reg, F.col(c))).alias(o) for o, c in (
+            ("gf", "goals_for"), ("ga", "goals_against"), ("shots", "shots"), ("pp_goals", "pp_goals"),
+            ("pp_attempts", "pp_attempts"), ("pk_attempts", "pk_attempts"), ("pk_goals_against", "pk_goals_against"))],
+        F.sum(F.when(r10, _pts())).alias("l10_pts"), F.count_if(r10).alias("l10_n"),
+        F.count_if(r5 & w).alias("r_w"), F.count_if(r5 & l).alias("r_l"), F.count_if(r5).alias("r_n"),
+        F.sum(F.when(r5, F.col("goals_for") - F.col("goals_against"))).alias("recent_gd")).filter(F.col("gp") > 0)
+    opp = opponent_strength(s.drop("__rn")).select("team", F.col("opponent_avg_points_pct").alias("sos"))
+    m = m.join(opp, "team", "left")
     return m.select(
         "team", "gp", "wins", "losses",
         _div(F.col("wins") * 2 + F.col("ties"), F.col("gp") * 2).alias("points_pct"),
@@ -137,7 +158,7 @@ def scaled(g: DataFrame) -> DataFrame:
     """The ten metrics min-max scaled to 0-100 (goals against inverted),
     zero range or NULL -> 50; trend mapped from [-1, 1] to [0, 100]."""
     out = R.minmax_normalize(current_metrics(g), {c: c == "goals_against_pg" for c in METRICS},
-                             suffix="_scaled", neutral=NEUTRAL)
+                             suffix="_scaled", neutral=NEUTRAL, bounded=True)
     return out.withColumn("trend_scaled", F.coalesce((F.col("trend") + F.lit(1.0)) * F.lit(50.0), F.lit(NEUTRAL)))
 
 
@@ -146,7 +167,7 @@ def blended(g: DataFrame) -> DataFrame:
     score defaults to 50 (so the 'no previous season' branch is dead, D5)."""
     s = scaled(g)
     prev = previous_final(g).select("team", "prev_power_score", F.col("pct").alias("prev_pct"))
-    prev = R.minmax_normalize(prev, {"prev_pct": False}, suffix="_scaled", neutral=NEUTRAL)
+    prev = R.minmax_normalize(prev, {"prev_pct": False}, suffix="_scaled", neutral=NEUTRAL, bounded=True)
     j = s.join(prev, "team", "left")
     gp = F.col("gp")
     cw = F.when(gp >= 20, F.lit(1.0)).when(gp == 0, F.lit(0.0)).otherwise(_f(gp) / F.lit(20.0))

@@ -148,6 +148,22 @@ class Bed:
             F.count_if(F.col("l_returnflag") == "R").alias("shorthanded"),
             F.count_if(F.col("l_discount") >= 0.05).alias("pp_goals"))
 
+    # -- standard team-game table (power model input) ----------------------------
+    def team_games(self) -> DataFrame:
+        return self._mat("team_games", self._team_games)
+
+    def _team_games(self) -> DataFrame:
+        """Two-sided game rows plus per-side line counts: shots; power-play
+        goals over shots; short-handed lines as goals against on the kill."""
+        s = self.sides()
+        sl = self.side_lines().select("game_id", "is_home", "shots", "pp_goals", "shorthanded")
+        j = s.join(sl, ["game_id", "is_home"], "left")
+        return j.select("season", "team", "opponent", "game_id", "game_date",
+                        F.when(F.col("game_type") == 2, "regular").when(F.col("game_type") == 3, "playoff")
+                         .alias("game_type"),
+                        "goals_for", "goals_against", "shots", "pp_goals", F.col("shots").alias("pp_attempts"),
+                        F.col("shots").alias("pk_attempts"), F.col("shorthanded").alias("pk_goals_against"))
+
     # -- plays (events) --------------------------------------------------------
     def plays(self) -> DataFrame:
         e = self.t("events", "event_id", "ts", "user_id", "event_type", "value", "props")
