@@ -32,12 +32,21 @@ def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[Column],
 
 def partition_counts(df: DataFrame, group: Sequence[str],
                      counts: Mapping[str, Column | None]) -> DataFrame:
-    """``count(*) over (partition by g)`` and ``count_if(cond) over (...)``."""
-    w = Window.partitionBy(*group)
-    cols = []
-    for name, cond in counts.items():
-        cols.append((F.count(F.lit(1)) if cond is None else F.count_if(cond)).over(w).alias(name))
-    return df.select("*", *cols)
+    """``count(*) over (partition by g)`` and ``count_if(cond) over (...)``.
+
+    Computed as a partial (map-side combined) aggregate joined back on the
+    group keys (NULL-safe, like a window partition) instead of a window: a hot
+    group holding a third of the rows is never sorted whole in one task, and
+    AQE splits the skewed side of the join.
+    """
+    aggs = [(F.count(F.lit(1)) if cond is None else F.count_if(cond)).alias(name) for name, cond in counts.items()]
+    stats = df.groupBy(*group).agg(*aggs)
+    stats = stats.select(*[F.col(g).alias(f"__g_{g}") for g in group], *counts.keys())
+    cond = None
+    for g in group:
+        e = F.col(g).eqNullSafe(F.col(f"__g_{g}"))
+        cond = e if cond is None else cond & e
+    return df.join(stats, cond, "left").drop(*[f"__g_{g}" for g in group])
 
 
 def previous_value(df: DataFrame, group: Sequence[str], order: Sequence[Column],

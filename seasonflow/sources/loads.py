@@ -95,3 +95,12 @@ def date_partitioned_load(df: DataFrame, path: str, date_col: str, start: _dt.da
     (sliced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("slice_date").parquet(path))
     return sliced
+
+
+def write_sorted(df: DataFrame, path: str, keys: Sequence[str], partitions: int | None = None) -> None:
+    """Ordered table output without a global sort on one task — range
+    partitioned on the keys, each partition sorted locally (files come out in
+    key order, file by file)."""
+    n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    (df.repartitionByRange(int(n), *keys).sortWithinPartitions(*keys)
+       .write.mode("overwrite").parquet(path))

@@ -90,3 +90,24 @@ def test_incremental_ingest_latest_wins_across_batches(spark):
     again = incremental_ingest(spark, f"{base}/drop/*", schema, f"{base}/table", f"{base}/ckpt", ["k"],
                                [F.col("ts").desc()])
     assert again is None
+
+
+def test_seeds_sorted_write_and_time_helpers(spark):
+    from seasonflow.functions import exprs as X
+    from seasonflow.plans.season.schemas import SEED_HISTORY
+    from seasonflow.sources.readers import infer_schema, read_seed
+    base = _tmp()
+    with open(f"{base}/history.csv", "w") as fh:
+        fh.write("team_abv,founded_year,previous_name,current_location_since,is_expansion_team,"
+                 "is_original_or_relocated\nNSH,1998,,1998,true,false\nUTA,2024,Arizona,2024,false,true\n")
+    seed = {r.team_abv: r for r in read_seed(spark, f"{base}/history.csv", SEED_HISTORY).collect()}
+    assert seed["NSH"].previous_name is None and seed["UTA"].founded_year == 2024
+    df = spark.createDataFrame([(3,), (1,), (2,)], "k int")
+    L.write_sorted(df, f"{base}/sorted", ["k"], partitions=2)
+    assert [r.k for r in spark.read.parquet(f"{base}/sorted").collect()] == [1, 2, 3]
+    assert [f.name for f in infer_schema(spark, f"{base}/sorted").fields] == ["k"]
+    t = spark.createDataFrame([("2025-10-09T00:00:00Z", "-04:00")], "s string, off string")
+    r = t.select(X.parse_utc("s").alias("ts"), X.to_local(X.parse_utc("s"), "America/New_York").alias("loc"),
+                 X.add_offset_hours(X.parse_utc("s"), F.col("off")).alias("shifted")).collect()[0]
+    assert r.ts == dt.datetime(2025, 10, 9, 0, 0) and r.loc == dt.datetime(2025, 10, 8, 20, 0)
+    assert r.shifted == dt.datetime(2025, 10, 8, 20, 0)
