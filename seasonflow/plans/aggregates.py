@@ -164,7 +164,7 @@ register("share_of_group", sql("""
   SELECT game_id, (l_linenumber % 2 = 1) AS is_home,
          CASE WHEN l_linenumber % 2 = 1 THEN home_team ELSE away_team END AS team, count(*) AS shots
   FROM lineitem JOIN universe ON l_orderkey = game_id GROUP BY ALL)
-SELECT sl.*, g.total AS game_shots, """ + rr("shots", "g.total", 4) + """ AS shot_share
+SELECT sl.*, CAST(g.total AS BIGINT) AS game_shots, """ + rr("shots", "g.total", 4) + """ AS shot_share
 FROM sl JOIN (SELECT game_id, sum(shots) AS total FROM sl GROUP BY game_id) g USING (game_id)
 """))(share_of_group)
 

@@ -305,7 +305,7 @@ register("running_totals", sql("""
 , day AS (SELECT player, play_date, count(*) AS events, sum(CAST(value AS DECIMAL(18,2))) AS value
           FROM plays GROUP BY 1, 2)
 SELECT player, play_date, events,
-       (SELECT sum(events) FROM day d2 WHERE d2.player = d.player AND d2.play_date <= d.play_date) AS cum_events,
+       CAST((SELECT sum(events) FROM day d2 WHERE d2.player = d.player AND d2.play_date <= d.play_date) AS BIGINT) AS cum_events,
        CAST(value AS DOUBLE) AS value,
        CAST((SELECT sum(value) FROM day d2 WHERE d2.player = d.player AND d2.play_date <= d.play_date) AS DOUBLE) AS cum_value
 FROM day d

@@ -173,12 +173,12 @@ def home_away_pivot(spark: SparkSession, root: str) -> DataFrame:
 
 register("home_away_pivot", sql(SIDE_LINES_SQL + """
 SELECT game_id, season,
-       sum(CASE WHEN is_home THEN shots END) AS home_shots,
+       CAST(sum(CASE WHEN is_home THEN shots END) AS BIGINT) AS home_shots,
        CAST(sum(CASE WHEN is_home THEN goals END) AS BIGINT) AS home_goals,
-       sum(CASE WHEN is_home THEN pp_goals END) AS home_pp_goals,
-       sum(CASE WHEN NOT is_home THEN shots END) AS away_shots,
+       CAST(sum(CASE WHEN is_home THEN pp_goals END) AS BIGINT) AS home_pp_goals,
+       CAST(sum(CASE WHEN NOT is_home THEN shots END) AS BIGINT) AS away_shots,
        CAST(sum(CASE WHEN NOT is_home THEN goals END) AS BIGINT) AS away_goals,
-       sum(CASE WHEN NOT is_home THEN pp_goals END) AS away_pp_goals
+       CAST(sum(CASE WHEN NOT is_home THEN pp_goals END) AS BIGINT) AS away_pp_goals
 FROM side_lines GROUP BY game_id, season
 """))(home_away_pivot)
 

@@ -72,9 +72,43 @@ snapshots AS (
 """
 
 
+def _balanced(text: str, i: int) -> int:
+    """Index just past the parenthesis group opening at ``text[i] == '('``."""
+    depth = 0
+    for j in range(i, len(text)):
+        if text[j] == "(":
+            depth += 1
+        elif text[j] == ")":
+            depth -= 1
+            if depth == 0:
+                return j + 1
+    raise ValueError("unbalanced parentheses")
+
+
+def _bigint_count_if(text: str) -> str:
+    """DuckDB types ``count_if`` as HUGEINT; Spark's is BIGINT.  Wrap every call
+    (with its OVER clause, if any) in ``CAST(... AS BIGINT)``."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        k = text.find(key, i)
+        if k < 0:
+            out.append(text[i:])
+            return "".join(out)
+        end = _balanced(text, k + len(key) - 1)
+        rest = text[end:]
+        stripped = rest.lstrip()
+        if stripped.upper().startswith("OVER"):
+            p = end + (len(rest) - len(stripped)) + 4
+            while text[p].isspace():
+                p += 1
+            end = _balanced(text, p)
+        out.append(text[i:k] + "CAST(" + text[k:end] + " AS BIGINT)")
+        i = end
+
+
 def sql(body: str) -> str:
     """Prefix ``body`` (a query that may reference the base CTEs) with them."""
-    return "WITH " + BASE_CTE.strip() + "\n" + body.strip()
+    return _bigint_count_if("WITH " + BASE_CTE.strip() + "\n" + body.strip())
 
 
 def register(key: str, oracle: str | None = None):
