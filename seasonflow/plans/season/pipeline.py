@@ -11,7 +11,9 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from seasonflow.operators.dedup import dedup_latest
 from seasonflow.params import Params
 from seasonflow.session import cut_lineage
 from seasonflow.plans.season import dims, facts, marts, metrics
@@ -29,7 +31,8 @@ def checkpointed(name: str, df: DataFrame) -> DataFrame:
 
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], p: Params = Params(),
-          calendar_start: dt.date = dt.date(2015, 10, 1), persist=None) -> dict[str, DataFrame]:
+          calendar_start: dt.date = dt.date(2015, 10, 1), persist=None,
+          seeds: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """``persist(name, df) -> df`` materialises the shared models (default: a
     reliable checkpoint; pass a table writer to publish them instead)."""
     keep = persist or checkpointed
@@ -45,6 +48,14 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], p: Params = Params(),
         m["stg_current_teams"] = ST.stg_current_teams(raw["current_teams"])
     if "season_schedules" in raw:
         m["stg_schedules"] = ST.stg_schedules(raw["season_schedules"])
+    if "current_standings" in raw:
+        m["stg_current_standings"] = ST.stg_current_standings(raw["current_standings"])
+        m["current_standings"] = I.current_standings(m["stg_current_standings"])
+    m["all_games"] = I.all_games(raw["game_summaries"], m["stg_games"])
+    m["basic_games_info"] = I.basic_games_info(m["stg_games"])
+    if "current_teams" in raw:
+        m["teams_basic_info"] = I.teams_basic_info(
+            dedup_latest(raw["current_teams"], ["ID"], [F.col("_loaded_at").desc()]))
 
     m["league_games"] = keep("league_games", I.league_games(m["stg_games"], m["stg_daily_standings"]))
     m["roster_players"] = I.roster_players(m["stg_rosters"])
@@ -74,7 +85,7 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], p: Params = Params(),
     m["dim_players"] = dims.dim_players(m["roster_players"], m["skater_game_lines"], m["goalie_game_lines"], p)
     m["dim_player_team_bridge"] = dims.dim_player_team_bridge(m["skater_game_lines"], m["league_games"])
     if "stg_current_teams" in m:
-        m["dim_teams"] = dims.dim_teams(m["stg_current_teams"], m["stg_daily_standings"])
+        m["dim_teams"] = dims.dim_teams(m["stg_current_teams"], m["stg_daily_standings"], seeds)
         if "stg_schedules" in m:
             m["fct_upcoming_games"] = facts.fct_upcoming_games(m["stg_schedules"], m["dim_teams"], p)
             m["upcoming_games"] = marts.upcoming_games_mart(m["fct_upcoming_games"], m["dim_teams"])

@@ -29,7 +29,10 @@ def models(spark):
         "team_rosters": FX.rosters(spark), "current_teams": FX.current_teams(spark),
         "season_schedules": FX.schedules(spark),
     }
-    return pipeline.build(spark, raw, Params(as_of=dt.date(2025, 10, 12)))
+    raw["current_standings"] = FX.daily_standings(spark)
+    seeds = {"colors": spark.createDataFrame([("NSH", "gold", "navy")], "team_abv string, primary_color string, "
+                                                                       "secondary_color string")}
+    return pipeline.build(spark, raw, Params(as_of=dt.date(2025, 10, 12)), seeds=seeds)
 
 
 def test_every_model_executes(models):
@@ -112,3 +115,11 @@ def test_cards_and_checks(models, spark):
     summary = {r.target: r.status for r in run_checks(models).collect()}
     assert summary["league_games(game_id)"] == "pass"
     assert summary["fct_team_game.game_result"] == "pass"
+
+
+def test_teams_dimension_with_seeds_and_current_table(models):
+    t = {r.team_abv: r for r in models["dim_teams"].collect()}
+    assert t["NSH"].primary_color == "gold" and t["DAL"].primary_color is None
+    assert t["NSH"].division == "Central" and t["NSH"].is_current is True
+    cur = {r.team_abv: r for r in models["current_standings"].collect()}
+    assert set(cur) == {"NSH", "DAL"}
