@@ -16,10 +16,17 @@ def nth_in_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
 
 
-def last_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """The last ``n`` rows per group (``order`` newest first)."""
+def last_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int,
+           rank_col: str | None = None) -> DataFrame:
+    """The last ``n`` rows per group (``order`` newest first).
+
+    ``row_number() <= n`` is planned as a WindowGroupLimit: each map task keeps
+    at most ``n`` rows per group before the shuffle, so a group holding a third
+    of all rows is never sorted whole.  ``rank_col`` keeps the position.
+    """
     w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
+    out = df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n)
+    return out.withColumnRenamed("__rn", rank_col) if rank_col else out.drop("__rn")
 
 
 def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[Column],

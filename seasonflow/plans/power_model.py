@@ -50,11 +50,14 @@ def _pts() -> Column:
 
 
 def season_scalars(g: DataFrame) -> DataFrame:
-    """One row: current season = max, previous = max below it."""
-    s = g.select("season")
-    cur = s.agg(F.max("season").alias("cur_season"))
-    prev = s.join(F.broadcast(cur), F.col("season") < F.col("cur_season")).agg(F.max("season").alias("prev_season"))
-    return cur.crossJoin(prev)
+    """One row: current season = max, previous = max below it.
+
+    Distinct seasons (partial aggregate), the newest two kept by a top-k, then
+    one global row — no fact-grain join.
+    """
+    top2 = g.select("season").distinct().orderBy(F.col("season").desc()).limit(2)
+    return top2.agg(F.max("season").alias("cur_season"),
+                    F.when(F.count(F.lit(1)) == 2, F.min("season")).alias("prev_season"))
 
 
 def in_season(df: DataFrame, sc: DataFrame, which: str) -> DataFrame:
@@ -121,27 +124,33 @@ def current_metrics(g: DataFrame) -> DataFrame:
     """Latest-season per-team rates (regular season) plus last-10 / last-5 form
     (all game types, newest first, game id breaks ties) and schedule strength.
 
-    One window (recency rank per team) and one aggregate produce the record,
-    the rates and both form windows; schedule strength is computed on the
-    current season only (the season-partitioned input is pruned to it).
+    The record is one partial aggregate; the form windows come from a top-10
+    group limit per team (never a full sort of a team's season in one task);
+    schedule strength is computed on the current season only (the
+    season-partitioned input is pruned to it).
     """
     sc = season_scalars(g)
     s = in_season(g, sc, "cur_season")
-    s = W.nth_in_group(s, ["team"], [F.col("game_date").desc(), F.col("game_id").desc()], "__rn")
     reg = F.col("game_type") == "regular"
     w, l, t = (F.col("goals_for") > F.col("goals_against"), F.col("goals_for") < F.col("goals_against"),
                F.col("goals_for") == F.col("goals_against"))
-    r10, r5 = F.col("__rn") <= 10, F.col("__rn") <= 5
-    m = s.groupBy("team").agg(
+    record = s.groupBy("team").agg(
         F.count_if(reg).alias("gp"), F.count_if(reg & w).alias("wins"), F.count_if(reg & l).alias("losses"),
         F.count_if(reg & t).alias("ties"),
         *[F.sum(F.when(reg, F.col(c))).alias(o) for o, c in (
             ("gf", "goals_for"), ("ga", "goals_against"), ("shots", "shots"), ("pp_goals", "pp_goals"),
-            ("pp_attempts", "pp_attempts"), ("pk_attempts", "pk_attempts"), ("pk_goals_against", "pk_goals_against"))],
-        F.sum(F.when(r10, _pts())).alias("l10_pts"), F.count_if(r10).alias("l10_n"),
+            ("pp_attempts", "pp_attempts"), ("pk_attempts", "pk_attempts"), ("pk_goals_against", "pk_goals_against"))]
+    ).filter(F.col("gp") > 0)
+    # last-10 rows per team through a group limit (top-10 kept map-side), then
+    # the last-5 subset by position inside it
+    top10 = W.last_n(s, ["team"], [F.col("game_date").desc(), F.col("game_id").desc()], 10, rank_col="__rn")
+    r5 = F.col("__rn") <= 5
+    form = top10.groupBy("team").agg(
+        F.sum(_pts()).alias("l10_pts"), F.count(F.lit(1)).alias("l10_n"),
         F.count_if(r5 & w).alias("r_w"), F.count_if(r5 & l).alias("r_l"), F.count_if(r5).alias("r_n"),
-        F.sum(F.when(r5, F.col("goals_for") - F.col("goals_against"))).alias("recent_gd")).filter(F.col("gp") > 0)
-    opp = opponent_strength(s.drop("__rn")).select("team", F.col("opponent_avg_points_pct").alias("sos"))
+        F.sum(F.when(r5, F.col("goals_for") - F.col("goals_against"))).alias("recent_gd"))
+    m = record.join(form, "team", "left")
+    opp = opponent_strength(s).select("team", F.col("opponent_avg_points_pct").alias("sos"))
     m = m.join(opp, "team", "left")
     return m.select(
         "team", "gp", "wins", "losses",
