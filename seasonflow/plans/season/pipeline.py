@@ -59,6 +59,10 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], p: Params = Params(),
 
     m["league_games"] = keep("league_games", I.league_games(m["stg_games"], m["stg_daily_standings"]))
     m["roster_players"] = I.roster_players(m["stg_rosters"])
+    m["all_forwards"] = I.roster_players(m["stg_rosters"], ("forward",))
+    m["all_defensemen"] = I.roster_players(m["stg_rosters"], ("defense",))
+    m["all_goalies"] = I.roster_players(m["stg_rosters"], ("goalie",))
+    m["all_skaters"] = I.all_skaters(m["stg_rosters"])
     m["game_faceoffs"] = I.game_faceoffs(m["stg_plays"], m["league_games"])
     m["game_penalties"] = I.game_penalties(m["stg_plays"], m["league_games"])
     m["skater_game_lines"] = keep("skater_game_lines", I.skater_game_lines(m["stg_boxscore"], m["league_games"]))
@@ -109,4 +113,7 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], p: Params = Params(),
     m["skaters_season_stats_regular"] = marts.skater_season_mart(m["fct_player_game"], "regular", p)
     m["skaters_season_stats_playoff"] = marts.skater_season_mart(m["fct_player_game"], "playoff", p)
     m["standings_by_day_mart"] = marts.standings_by_day_mart(m["standings_by_day"])
+    m["team_season_stats_regular"] = m["team_season_regular"]
+    m["team_season_stats_playoff"] = m["team_season_playoff"]
+    m["season_dates_mart"] = m["season_dates"]
     return m

@@ -62,7 +62,10 @@ class Bed:
         from seasonflow.session import ensure_checkpoint_dir, materialize, path_signature
         from seasonflow.sources.readers import table_path
         base = ensure_checkpoint_dir(self.spark).rstrip("/")
-        sig = path_signature(self.spark, [table_path(self.root, t) for t in _INPUTS])
+        try:
+            sig = path_signature(self.spark, [table_path(self.root, t) for t in _INPUTS])
+        except Exception:  # noqa: BLE001 - no JVM handle (Spark Connect): stay lazy
+            return builder()
         path = f"{base}/seasonflow-tables/{sig}-{_code_version()}/{name}"
         return materialize(builder, self.spark, path, partition_by)
 

@@ -42,7 +42,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     The cluster names it; we only set our own when it is unset (tests).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no context
+        return spark.conf.get("spark.checkpoint.dir", None) or os.path.join("/tmp", "seasonflow-checkpoints")
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -96,7 +99,10 @@ def materialize(df_builder, spark: SparkSession, path: str, partition_by=()) ->
     so readers never see a half-written table; a lost executor only costs the
     retry of its tasks.  Later calls read the finished table directly.
     """
-    fs, p = _fs(spark, path)
+    try:
+        fs, p = _fs(spark, path)
+    except Exception:  # noqa: BLE001 - no JVM handle (Spark Connect): stay lazy
+        return df_builder()
     if not fs.exists(p):
         tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
         w = df_builder().write.mode("overwrite")
