@@ -248,11 +248,14 @@ def team_game_line(summaries: DataFrame, faceoffs: DataFrame, penalties: DataFra
     if skaters is not None:
         ppg = skaters.groupBy("game_id", "team_abv").agg(F.sum("pp_goals").alias("pp_goals"),
                                                          F.sum("hits").alias("hits"),
-                                                         F.sum("blocked_shots").alias("blocks"))
+                                                         F.sum("blocked_shots").alias("blocks"),
+                                                         F.sum("giveaways").alias("giveaways"),
+                                                         F.sum("takeaways").alias("takeaways"))
         t = t.join(ppg, ["game_id", "team_abv"], "left")
     else:
         t = t.withColumns({"pp_goals": F.lit(0).cast("bigint"), "hits": F.lit(None).cast("bigint"),
-                           "blocks": F.lit(None).cast("bigint")})
+                           "blocks": F.lit(None).cast("bigint"), "giveaways": F.lit(None).cast("bigint"),
+                           "takeaways": F.lit(None).cast("bigint")})
     t = J.opponent_join(t, ["game_id"], "team_id", ["times_shorthanded", "pp_goals", "shots"], how="left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     pp_att, pk_att, pk_ga = z("opp_times_shorthanded"), z("times_shorthanded"), z("opp_pp_goals")
@@ -265,7 +268,7 @@ def team_game_line(summaries: DataFrame, faceoffs: DataFrame, penalties: DataFra
         X.safe_divide(pk_att - pk_ga, pk_att).alias("pk_pct"),
         X.fraction_text(z("pp_goals"), pp_att).alias("pp_text"),
         z("faceoffs_won").alias("faceoffs_won"), z("faceoffs_in_game").alias("faceoffs_in_game"),
-        X.safe_divide("saves", "shots_against").alias("save_pct"), "hits", "blocks")
+        X.safe_divide("saves", "shots_against").alias("save_pct"), "hits", "blocks", "giveaways", "takeaways")
 
 
 def team_season(team_lines: DataFrame, game_type: str = "regular") -> DataFrame:
@@ -277,7 +280,8 @@ def team_season(team_lines: DataFrame, game_type: str = "regular") -> DataFrame:
         F.sum("shots").alias("shots"), F.sum("pim").alias("pim"), F.sum("pp_goals").alias("pp_goals"),
         F.sum("pp_attempts").alias("pp_attempts"), F.sum("pk_attempts").alias("pk_attempts"),
         F.sum("pk_goals_against").alias("pk_goals_against"), F.sum("faceoffs_won").alias("faceoffs_won"),
-        F.sum("faceoffs_in_game").alias("faceoffs_total"))
+        F.sum("faceoffs_in_game").alias("faceoffs_total"), F.sum("hits").alias("hits"),
+        F.sum("blocks").alias("blocks"), F.sum("takeaways").alias("takeaways"), F.sum("giveaways").alias("giveaways"))
     return s.select(
         "*", X.round_ratio("goals", "gp", 2).alias("goals_per_game"),
         X.round_ratio("goals_against", "gp", 2).alias("goals_against_average"),
@@ -285,7 +289,10 @@ def team_season(team_lines: DataFrame, game_type: str = "regular") -> DataFrame:
         X.round_ratio("pim", "gp", 2).alias("pim_per_game"),
         X.round_ratio(F.col("pp_goals") * 100, "pp_attempts", 2).alias("pp_pct"),
         X.round_ratio((F.col("pk_attempts") - F.col("pk_goals_against")) * 100, "pk_attempts", 2).alias("pk_pct"),
-        X.round_ratio(F.col("faceoffs_won") * 100, "faceoffs_total", 2).alias("faceoff_pct"))
+        X.round_ratio(F.col("faceoffs_won") * 100, "faceoffs_total", 2).alias("faceoff_pct"),
+        X.round_ratio("hits", "gp", 2).alias("hits_per_game"), X.round_ratio("blocks", "gp", 2).alias("blocks_per_game"),
+        X.round_ratio("takeaways", "gp", 2).alias("takeaways_per_game"),
+        X.round_ratio("giveaways", "gp", 2).alias("giveaways_per_game"))
 
 
 def teams_basic_info(teams_raw: DataFrame) -> DataFrame:

@@ -123,3 +123,11 @@ def test_teams_dimension_with_seeds_and_current_table(models):
     assert t["NSH"].division == "Central" and t["NSH"].is_current is True
     cur = {r.team_abv: r for r in models["current_standings"].collect()}
     assert set(cur) == {"NSH", "DAL"}
+
+
+def test_statwise_rankings_cover_all_eleven_stats(models):
+    from seasonflow.plans.season.marts import STATWISE
+    cols = models["current_statwise_rankings"].columns
+    assert all(f"{s}_rank_ordinal" in cols for s in STATWISE)
+    r = {x.team_abv: x for x in models["current_statwise_rankings"].collect()}
+    assert {r["NSH"].goals_per_game_rank, r["DAL"].goals_per_game_rank} == {1, 2}
