@@ -220,24 +220,47 @@ def composite(g: DataFrame) -> DataFrame:
 
 
 def season_metrics(g: DataFrame, conference: DataFrame | None = None) -> DataFrame:
-    """Latest-season totals and rates with defaults on zero denominators
-    (PP 0, PK 100, shooting 0), points = 2W + T, 13-style ranks (lower-is-better
-    ascending), conference ranks and percentiles."""
+    """Latest-season totals and rates; defaults when a denominator is 0
+    (PP 0, PK 100, faceoff 50, shooting 0, save 100); points = 2W + T; ranks
+    for every available metric (lower-is-better ones ascending), conference
+    ranks, and percentiles.  Optional columns (shots against, hits, blocks,
+    giveaways, takeaways, faceoffs) are used when the input carries them."""
     sc = season_scalars(g)
-    t = record_table(in_season(g, sc, "cur_season").filter(F.col("game_type") == "regular"))
-    t = t.select("*", (F.col("wins") * 2 + F.col("ties")).alias("points"),
-                 _div("gf", "gp").alias("goals_per_game"), _div("ga", "gp").alias("goals_against_per_game"),
-                 _div("shots", "gp").alias("shots_per_game"),
-                 F.coalesce(X.round_ratio(F.col("pp_goals") * 100, "pp_attempts", 1), F.lit(0.0)).alias("power_play_pct"),
-                 F.coalesce(X.round_ratio((F.col("pk_attempts") - F.col("pk_goals_against")) * 100, "pk_attempts", 1),
-                            F.lit(100.0)).alias("penalty_kill_pct"),
-                 F.coalesce(X.round_ratio(F.col("gf") * 100, "shots", 1), F.lit(0.0)).alias("shooting_pct"))
+    cur = in_season(g, sc, "cur_season").filter(F.col("game_type") == "regular")
+    opt = [c for c in ("shots_against", "hits", "blocks", "giveaways", "takeaways", "faceoffs_won",
+                       "faceoffs_in_game") if c in g.columns]
+    t = record_table(cur)
+    if opt:
+        t = t.join(cur.groupBy("team").agg(*[F.sum(c).alias(c) for c in opt]), "team", "left")
+    cols = [(F.col("wins") * 2 + F.col("ties")).alias("points"),
+            _div("gf", "gp").alias("goals_per_game"), _div("ga", "gp").alias("goals_against_per_game"),
+            _div("shots", "gp").alias("shots_per_game"),
+            F.coalesce(X.round_ratio(F.col("pp_goals") * 100, "pp_attempts", 1), F.lit(0.0)).alias("power_play_pct"),
+            F.coalesce(X.round_ratio((F.col("pk_attempts") - F.col("pk_goals_against")) * 100, "pk_attempts", 1),
+                       F.lit(100.0)).alias("penalty_kill_pct"),
+            F.coalesce(X.round_ratio(F.col("gf") * 100, "shots", 1), F.lit(0.0)).alias("shooting_pct")]
+    ranks = {"goals_per_game": False, "power_play_pct": False, "shots_per_game": False, "shooting_pct": False,
+             "goals_against_per_game": True, "penalty_kill_pct": False, "points": False}
+    if "shots_against" in opt:
+        cols += [_div("shots_against", "gp").alias("shots_against_per_game"),
+                 F.coalesce(X.round_ratio((F.col("shots_against") - F.col("ga")) * 100, "shots_against", 1),
+                            F.lit(100.0)).alias("save_pct")]
+        ranks.update({"shots_against_per_game": True, "save_pct": False})
+    for c, lower in (("hits", False), ("blocks", False), ("takeaways", False), ("giveaways", True)):
+        if c in opt:
+            cols.append(_div(c, "gp").alias(f"{c}_per_game"))
+            ranks[f"{c}_per_game"] = lower
+    if "faceoffs_won" in opt:
+        cols.append(F.coalesce(X.round_ratio(F.col("faceoffs_won") * 100, "faceoffs_in_game", 1), F.lit(50.0))
+                    .alias("faceoff_win_pct"))
+        ranks["faceoff_win_pct"] = False
+    t = t.select("*", *cols)
     if conference is not None:
         t = t.join(F.broadcast(conference), "team", "left")
-    t = R.rank_metrics(t, {"goals_per_game": False, "power_play_pct": False, "shots_per_game": False,
-                           "shooting_pct": False, "goals_against_per_game": True, "penalty_kill_pct": False,
-                           "points": False})
+    t = R.rank_metrics(t, ranks)
     if conference is not None:
         t = R.rank_metrics(t, {"points": False}, partition=["conference"], suffix="_conference_rank")
-    return R.percentile_metrics(t, {"goals_per_game": False, "goals_against_per_game": True,
-                                    "power_play_pct": False, "penalty_kill_pct": False})
+    pct = {"goals_per_game": False, "goals_against_per_game": True, "power_play_pct": False,
+           "penalty_kill_pct": False}
+    pct.update({k: False for k in ("hits_per_game", "blocks_per_game") if k in ranks})
+    return R.percentile_metrics(t, pct)

@@ -95,12 +95,21 @@ def fct_games(team_lines: DataFrame, league: DataFrame) -> DataFrame:
         ((hg + ag) <= 3).alias("is_low_scoring"), (end != "REG").alias("went_to_overtime"))
 
 
-def fct_goalie_game(goalies: DataFrame, p: Params = Params()) -> DataFrame:
+def fct_goalie_game(goalies: DataFrame, p: Params = Params(), plays_fact: DataFrame | None = None) -> DataFrame:
     """Keeper line with GA per 60, shutout (GA 0 and the only keeper of his
     team with ice time), save tiers, relief, quality / bad starts, saves above
-    the league-average save percentage."""
+    the league-average save percentage, and (with the plays fact) goals
+    against by period from the goalie in net."""
     w = Window.partitionBy("game_id", "team_abv")
     g = goalies.withColumn("goalies_used", F.count_if(F.col("toi_seconds") > 0).over(w))
+    if plays_fact is not None:
+        ga = (goal_events(plays_fact).filter(F.col("goalie_player_key").isNotNull())
+              .groupBy("game_id", F.col("goalie_player_key").alias("player_id")).agg(
+                  *[F.count_if(F.col("period") == n).alias(f"ga_p{n}") for n in (1, 2, 3)],
+                  F.count_if(F.col("period") > 3).alias("ga_ot")))
+        g = g.join(ga, ["game_id", "player_id"], "left")
+    else:
+        g = g.withColumns({c: F.lit(None).cast("bigint") for c in ("ga_p1", "ga_p2", "ga_p3", "ga_ot")})
     saves, sa = F.col("shots_saved"), F.col("shots_against")
     pct = X.safe_divide(saves, sa)
     avg = F.lit(Decimal(str(p.avg_save_pct))).cast("decimal(4,3)")
@@ -115,7 +124,9 @@ def fct_goalie_game(goalies: DataFrame, p: Params = Params()) -> DataFrame:
         (~F.coalesce(F.col("starter"), F.lit(False)) & (F.col("toi_seconds") > 0)).alias("is_relief"),
         (F.col("starter") & (pct >= 0.917) & (F.col("goals_against") <= 2)).alias("quality_start"),
         (F.col("starter") & (pct < 0.850)).alias("bad_start"),
-        F.round(saves - sa * avg, 2).cast("double").alias("saves_above_average"))
+        F.round(saves - sa * avg, 2).cast("double").alias("saves_above_average"),
+        *[F.coalesce(F.col(c), F.lit(0)).alias(c) if plays_fact is not None else F.col(c)
+          for c in ("ga_p1", "ga_p2", "ga_p3", "ga_ot")])
 
 
 def goal_events(plays_fact: DataFrame) -> DataFrame:
@@ -192,6 +203,7 @@ def fct_team_game(team_lines: DataFrame, plays_fact: DataFrame) -> DataFrame:
         (z("p1") > z("opp_p1")).alias("lead_after_1st"), (z("p2") > z("opp_p2")).alias("lead_after_2nd"),
         (win & ((z("p1") < z("opp_p1")) | (z("p2") < z("opp_p2")))).alias("comeback_win_flag"),
         "pp_goals", "pp_attempts", "pk_attempts", "pk_goals_against", "pim",
+        "hits", "blocks", "giveaways", "takeaways", "faceoffs_won", "faceoffs_in_game",
         F.col("last_period_type").alias("game_outcome"))
 
 

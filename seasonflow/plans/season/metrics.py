@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 from seasonflow.plans import power_model as PM
 
 
+OPTIONAL = ("shots_against", "hits", "blocks", "giveaways", "takeaways", "faceoffs_won", "faceoffs_in_game")
+
+
 def team_games(team_games_fact: DataFrame) -> DataFrame:
     return team_games_fact.select(
         "season", F.col("team_id").alias("team"), F.col("opponent_team_id").alias("opponent"), "game_id",
         "game_date", "game_type", F.col("goals").alias("goals_for"), "goals_against", "shots", "pp_goals",
-        "pp_attempts", "pk_attempts", "pk_goals_against")
+        "pp_attempts", "pk_attempts", "pk_goals_against",
+        *[c for c in OPTIONAL if c in team_games_fact.columns])
 
 
 def team_power_rankings(team_games_fact: DataFrame, teams: DataFrame | None = None) -> DataFrame:

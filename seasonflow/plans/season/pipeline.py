@@ -79,7 +79,7 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], p: Params = Params(),
 
     m["fct_plays"] = keep("fct_plays", facts.fct_plays(m["stg_plays"], m["league_games"], p))
     m["fct_games"] = facts.fct_games(m["team_game_line"], m["league_games"])
-    m["fct_goalie_game"] = facts.fct_goalie_game(m["goalie_game_lines"], p)
+    m["fct_goalie_game"] = facts.fct_goalie_game(m["goalie_game_lines"], p, m["fct_plays"])
     m["fct_player_game"] = facts.fct_player_game(m["skater_game_lines"], m["fct_plays"], m["team_game_line"])
     m["fct_team_game"] = keep("fct_team_game", facts.fct_team_game(m["team_game_line"], m["fct_plays"]))
     m["fct_standings_daily"] = facts.fct_standings_daily(m["standings_by_day"], p)

@@ -131,3 +131,14 @@ def test_statwise_rankings_cover_all_eleven_stats(models):
     assert all(f"{s}_rank_ordinal" in cols for s in STATWISE)
     r = {x.team_abv: x for x in models["current_statwise_rankings"].collect()}
     assert {r["NSH"].goals_per_game_rank, r["DAL"].goals_per_game_rank} == {1, 2}
+
+
+def test_goalie_goals_by_period_and_season_metrics(models):
+    g = {(r.game_id, r.player_id): r for r in models["fct_goalie_game"].collect()}
+    # game 1: DAL goals in P1 and P3 against the NSH goalie in net (none recorded) -> zeros
+    assert g[(1, 9)].ga_p1 == 0
+    m = {r.team: r for r in models["team_season_metrics"].collect()}
+    assert set(m) == {100, 200}
+    r = m[100]
+    assert r.points == 2 and 0 <= r.faceoff_win_pct <= 100 and r.save_pct is not None
+    assert "hits_per_game_rank" in models["team_season_metrics"].columns
