@@ -155,6 +155,12 @@ def age_years(birth, as_of) -> Column:
     return F.floor(F.datediff(_lit(as_of), _c(birth)) / F.lit(365.25)).cast("int")
 
 
+def ntz(ts) -> Column:
+    """A wall-clock timestamp literal (TIMESTAMP_NTZ): comparing it with NTZ
+    columns never involves the session time zone."""
+    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 # F19 / F20 / F21 ---------------------------------------------------------
 def parse_utc(text, fmt: str = "yyyy-MM-dd'T'HH:mm:ss'Z'") -> Column:
     return F.try_to_timestamp(_c(text), F.lit(fmt))

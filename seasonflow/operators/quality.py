@@ -70,12 +70,16 @@ def freshness(df: DataFrame, loaded_at: str, as_of, warn_after_hours: float,
               error_after_hours: float, target: str = "source") -> DataFrame:
     """Q07 — age of the newest load against ``as_of``: pass / warn / error.
 
-    Ages are whole seconds (exact); hours are derived by exact decimal rounding.
+    Ages are whole elapsed seconds computed on wall-clock (NTZ) timestamps, so
+    the session time zone does not matter; hours use exact decimal rounding.
     """
+    import datetime as _dt
     from seasonflow.functions.exprs import round_ratio
+    if not isinstance(as_of, _dt.datetime):
+        as_of = _dt.datetime(as_of.year, as_of.month, as_of.day)
+    now = F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     latest = df.agg(F.max(loaded_at).alias("latest_load"))
-    age_s = (F.unix_timestamp(F.lit(as_of).cast("timestamp")) -
-             F.unix_timestamp(F.col("latest_load").cast("timestamp")))
+    age_s = F.timestamp_diff("SECOND", F.col("latest_load").cast("timestamp_ntz"), now)
     return latest.select(
         F.lit("freshness").alias("check"), F.lit(target).alias("target"),
         F.col("latest_load"), round_ratio(age_s, F.lit(3600), 2).alias("age_hours"),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seasonflow.functions import exprs as X
 from seasonflow.session import shared_path
 from seasonflow.sources.loads import evolve_schema, merge_upsert
 from seasonflow.sources.readers import table_path
@@ -27,8 +28,8 @@ def union_schema_drift(spark: SparkSession, root: str) -> DataFrame:
     name, the missing column NULL-filled."""
     e = Bed(spark, root).t("events", "event_id", "ts", "user_id", "event_type", "value", "props")
     base = ["event_id", "ts", "user_id", "event_type", "value"]
-    early = e.filter(F.col("ts") < F.lit(SPLIT)).select(*base)
-    late = (e.filter(F.col("ts") >= F.lit(SPLIT))
+    early = e.filter(F.col("ts") < X.ntz(SPLIT)).select(*base)
+    late = (e.filter(F.col("ts") >= X.ntz(SPLIT))
               .select(*base, F.get_json_object("props", "$.k").try_cast("int").alias("k")))
     return evolve_schema(early, late)
 
@@ -44,8 +45,8 @@ def merge_upsert_q(spark: SparkSession, root: str) -> DataFrame:
     """target = loads before day 20; delta = re-extraction from day 15 with
     corrected values (x 2, two decimals) -> updated keys replaced, new keys inserted."""
     e = Bed(spark, root).t("events", "event_id", "ts", "user_id", "event_type", "value")
-    target = e.filter(F.col("ts") < F.lit(dt.datetime(2024, 1, 20)))
-    delta = (e.filter(F.col("ts") >= F.lit(SPLIT))
+    target = e.filter(F.col("ts") < X.ntz(dt.datetime(2024, 1, 20)))
+    delta = (e.filter(F.col("ts") >= X.ntz(SPLIT))
                .withColumn("value", (F.col("value").cast("decimal(18,2)") * 2).cast("double")))
     return merge_upsert(target, delta, ["event_id"], [F.col("ts").desc()])
 

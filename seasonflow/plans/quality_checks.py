@@ -111,7 +111,7 @@ def dq_freshness(spark: SparkSession, root: str) -> DataFrame:
 
 register("dq_freshness", sql(f"""
 , a AS (SELECT max(ts) AS latest_load,
-               CAST(epoch(TIMESTAMP '{FRESHNESS_AS_OF:%Y-%m-%d %H:%M:%S}') - epoch(date_trunc('second', max(ts))) AS BIGINT) AS s
+               CAST(date_sub('second', max(ts), TIMESTAMP '{FRESHNESS_AS_OF:%Y-%m-%d %H:%M:%S}') AS BIGINT) AS s
         FROM events)
 SELECT 'freshness' AS "check", 'events' AS target, CAST(latest_load AS VARCHAR) AS latest_load,
        """ + rr("s", "3600") + """ AS age_hours,
