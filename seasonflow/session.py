@@ -22,6 +22,34 @@ BASE_CONF = {
 }
 
 
+# Suggested settings for a large cluster (~1000 executors, ~100 TB of input).
+# Shuffle partitions are an upper bound that AQE coalesces down to the
+# advisory size; skewed partitions above the thresholds are split.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
+def apply_cluster_settings(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Runtime SQL settings for large jobs (session-scoped, no restart needed)."""
+    conf = dict(BASE_CONF)
+    conf.pop("spark.ui.enabled", None)
+    conf.pop("spark.ui.showConsoleProgress", None)
+    conf.update(CLUSTER_CONF)
+    conf.update(overrides or {})
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app: str = "seasonflow", extra: dict | None = None) -> SparkSession:
     """Local/test session.  On a cluster use the provided session instead."""
