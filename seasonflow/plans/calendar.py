@@ -170,22 +170,8 @@ WHERE isodow(play_date) = 1 OR play_date = (SELECT max(play_date) FROM filled f2
 
 # -------------------------------------------------------- team standings
 def team_standings_daily(bed: Bed) -> DataFrame:
-    """M27 on teams: cumulative (gp, wins, points, goal diff) per (season, team, day),
-    scaffolded over the season's days and forward-filled; the conference joins
-    from the 25-row team dimension."""
-    s = bed.sides().filter(F.col("game_type") == 2)
-    day = s.groupBy("season", "team", "game_date").agg(
-        F.count(F.lit(1)).alias("d_gp"),
-        F.count_if(F.col("goals_for") > F.col("goals_against")).alias("d_w"),
-        F.sum(F.when(F.col("goals_for") > F.col("goals_against"), 2)
-               .when(F.col("goals_for") == F.col("goals_against"), 1).otherwise(0)).alias("d_pts"),
-        F.sum(F.col("goals_for") - F.col("goals_against")).alias("d_gd"))
-    cum = W.running_totals(day, ["season", "team"], [F.col("game_date")],
-                           {"gp": "d_gp", "wins": "d_w", "points": "d_pts", "goal_diff": "d_gd"})
-    cum = cum.select("season", "team", F.col("game_date").alias("date"), "gp", "wins", "points", "goal_diff")
-    filled = G.gap_fill(cum, "season", "team", "date", {"gp": 0, "wins": 0, "points": 0, "goal_diff": 0})
-    teams = F.broadcast(bed.teams().select("team", "team_name", "conference"))
-    return filled.join(teams, "team", "inner")
+    """M27 on teams (materialised by the bed, partitioned by season)."""
+    return bed.team_standings()
 
 
 _TEAM_STANDINGS_SQL = """

@@ -167,6 +167,30 @@ class Bed:
                         "goals_for", "goals_against", "shots", "pp_goals", F.col("shots").alias("pp_attempts"),
                         F.col("shots").alias("pk_attempts"), F.col("shorthanded").alias("pk_goals_against"))
 
+    # -- team standings by day (M27 analogue) -------------------------------------
+    def team_standings(self) -> DataFrame:
+        return self._mat("team_standings", self._team_standings)
+
+    def _team_standings(self) -> DataFrame:
+        """Cumulative (gp, wins, points, goal diff) per (season, team, day) over
+        regular games, scaffolded over the season's days and forward-filled;
+        windows are partitioned by (season, team) at daily grain."""
+        from seasonflow.operators import gapfill as G
+        from seasonflow.operators import windows as W
+        s = self.sides().filter(F.col("game_type") == 2)
+        day = s.groupBy("season", "team", "game_date").agg(
+            F.count(F.lit(1)).alias("d_gp"),
+            F.count_if(F.col("goals_for") > F.col("goals_against")).alias("d_w"),
+            F.sum(F.when(F.col("goals_for") > F.col("goals_against"), 2)
+                   .when(F.col("goals_for") == F.col("goals_against"), 1).otherwise(0)).alias("d_pts"),
+            F.sum(F.col("goals_for") - F.col("goals_against")).alias("d_gd"))
+        cum = W.running_totals(day, ["season", "team"], [F.col("game_date")],
+                               {"gp": "d_gp", "wins": "d_w", "points": "d_pts", "goal_diff": "d_gd"})
+        cum = cum.select("season", "team", F.col("game_date").alias("date"), "gp", "wins", "points", "goal_diff")
+        filled = G.gap_fill(cum, "season", "team", "date", {"gp": 0, "wins": 0, "points": 0, "goal_diff": 0})
+        teams = F.broadcast(self.teams().select("team", "team_name", "conference"))
+        return filled.join(teams, "team", "inner")
+
     # -- plays (events) --------------------------------------------------------
     def plays(self) -> DataFrame:
         e = self.t("events", "event_id", "ts", "user_id", "event_type", "value", "props")
