@@ -47,23 +47,57 @@ def dim_dates(spark: SparkSession, start: dt.date, season_dates: DataFrame, p: P
                     (dow.isin(5, 6) | ((dow == 4) & m.isin(10, 11, 12, 1, 2, 3))).alias("is_prime_game_day"))
 
 
-def dim_seasons(league: DataFrame, p: Params = Params()) -> DataFrame:
-    """Bounds and game counts by type, lengths, display and flags.
-    ``is_shortened`` treats an unfinished season as shortened (D12, reproduced)."""
+# Fixed values (must equal the reference's): per-season salary cap and the
+# cup-winning captain, keyed by season, in season order; the COVID season.
+SALARY_CAP = {
+    20152016: 71500000, 20162017: 73000000, 20172018: 75000000, 20182019: 79500000,
+    20192020: 81500000, 20202021: 81500000, 20212022: 81500000, 20222023: 82500000,
+    20232024: 83500000, 20242025: 88000000, 20252026: 95500000,
+}
+CUP_CAPTAIN = {
+    20152016: "Jonathan Toews", 20162017: "Sidney Crosby", 20172018: "Alexander Ovechkin",
+    20182019: "Alex Pietrangelo", 20192020: "Victor Hedman", 20202021: "Victor Hedman",
+    20212022: "Gabriel Landeskog", 20222023: "Jonathan Marchessault", 20232024: "Aleksander Barkov",
+}
+COVID_SEASON = 20202021
+
+
+def _literal_map(d: dict):
+    return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
+
+
+def dim_seasons(league: DataFrame, p: Params = Params(), season_dates: DataFrame | None = None) -> DataFrame:
+    """Bounds and game counts by type, lengths, display, flags and literal
+    lookups (``create_map``).  ``is_shortened`` treats an unfinished season as
+    shortened (D12, reproduced)."""
     reg, po = F.col("game_type") == "regular", F.col("game_type") == "playoff"
     s = league.groupBy("season").agg(
         F.count_distinct(F.when(reg, F.col("game_id"))).alias("regular_season_games"),
         F.count_distinct(F.when(po, F.col("game_id"))).alias("playoff_games"),
+        F.count_distinct("game_id").alias("total_games"),
         F.min(F.when(reg, F.col("game_date"))).alias("regular_season_start"),
         F.max(F.when(reg, F.col("game_date"))).alias("regular_season_end"),
         F.min(F.when(po, F.col("game_date"))).alias("playoffs_start"),
         F.max(F.when(po, F.col("game_date"))).alias("playoffs_end"),
         F.count_distinct("home_team_abv").alias("teams"))
+    if season_dates is not None:
+        s = s.join(season_dates, "season", "left")
+    else:
+        s = s.withColumns({"start_date": F.col("regular_season_start"),
+                           "end_date": F.coalesce("playoffs_end", "regular_season_end")})
     full = p.regular_season_games * p.team_count // 2
+    key = F.col("season")
     return s.select("*", X.season_display("season").alias("season_display"),
+                    F.substring(key.cast("string"), 1, 4).cast("int").alias("start_year"),
+                    F.substring(key.cast("string"), 5, 4).cast("int").alias("end_year"),
+                    (F.datediff("end_date", "start_date") + 1).alias("season_length_days"),
                     (F.datediff("regular_season_end", "regular_season_start") + 1).alias("regular_season_days"),
+                    (F.datediff("playoffs_end", "playoffs_start") + 1).alias("playoff_length_days"),
+                    (key == COVID_SEASON).alias("is_covid_season"),
                     (F.col("regular_season_games") < full).alias("is_shortened_season"),
-                    (F.col("playoff_games") > 0).alias("has_playoffs"))
+                    (F.col("playoff_games") > 0).alias("has_playoffs"),
+                    F.element_at(_literal_map(SALARY_CAP), key).alias("salary_cap"),
+                    F.element_at(_literal_map(CUP_CAPTAIN), key).alias("cup_captain"))
 
 
 def dim_teams(current_teams: DataFrame, daily_standings: DataFrame, seeds: dict[str, DataFrame] | None = None) -> DataFrame:

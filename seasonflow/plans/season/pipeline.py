@@ -85,7 +85,7 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], p: Params = Params(),
     m["fct_standings_daily"] = facts.fct_standings_daily(m["standings_by_day"], p)
 
     m["dim_dates"] = dims.dim_dates(spark, calendar_start, m["season_dates"], p)
-    m["dim_seasons"] = dims.dim_seasons(m["league_games"], p)
+    m["dim_seasons"] = dims.dim_seasons(m["league_games"], p, m["season_dates"])
     m["dim_players"] = dims.dim_players(m["roster_players"], m["skater_game_lines"], m["goalie_game_lines"], p)
     m["dim_player_team_bridge"] = dims.dim_player_team_bridge(m["skater_game_lines"], m["league_games"])
     if "stg_current_teams" in m:

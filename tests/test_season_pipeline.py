@@ -142,3 +142,10 @@ def test_goalie_goals_by_period_and_season_metrics(models):
     r = m[100]
     assert r.points == 2 and 0 <= r.faceoff_win_pct <= 100 and r.save_pct is not None
     assert "hits_per_game_rank" in models["team_season_metrics"].columns
+
+
+def test_season_dimension_lookups(models):
+    r = models["dim_seasons"].collect()[0]
+    assert (r.season, r.regular_season_games, r.start_year, r.end_year) == (20252026, 2, 2025, 2026)
+    assert r.salary_cap == 95500000 and r.cup_captain is None and r.is_shortened_season is True
+    assert r.season_display == "2025-26" and r.season_length_days == 4
