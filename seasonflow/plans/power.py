@@ -50,6 +50,8 @@ _PREV_SQL = """
   SELECT team, gp, wins, pct, final_rank,
          100.0::DOUBLE * CAST(32 - final_rank AS DOUBLE) / 31.0::DOUBLE AS rank100,
          coalesce(p_gp, 0) AS playoff_games,
+         CASE WHEN p_wins >= 12 THEN 4 WHEN p_wins >= 8 THEN 3 WHEN p_wins >= 4 THEN 2 WHEN p_gp > 0 THEN 1 ELSE 0 END
+           AS playoff_round_reached,
          CASE WHEN p_gp > 0 THEN
               (100.0::DOUBLE * CAST(32 - final_rank AS DOUBLE) / 31.0::DOUBLE) * 0.5::DOUBLE
               + ((CAST(p_wins AS DOUBLE) / 16.0::DOUBLE) * 100.0::DOUBLE * 0.6::DOUBLE
@@ -148,7 +150,7 @@ def weighted_blend(spark: SparkSession, root: str) -> DataFrame:
 
 
 _BLEND_SQL = _SCALED_SQL + """
-, prevs AS (SELECT team, prev_power_score,
+, prevs AS (SELECT team, prev_power_score, playoff_round_reached,
                    coalesce((pct - min(pct) OVER ()) / nullif(max(pct) OVER () - min(pct) OVER (), 0) * 100.0::DOUBLE,
                             50.0::DOUBLE) AS prev_pct_scaled FROM prev)
 , blended AS (
@@ -156,6 +158,7 @@ _BLEND_SQL = _SCALED_SQL + """
          CASE WHEN gp >= 20 THEN 1.0::DOUBLE WHEN gp = 0 THEN 0.0::DOUBLE ELSE CAST(gp AS DOUBLE) / 20.0::DOUBLE END AS current_weight,
          CASE WHEN gp >= 20 THEN 0.0::DOUBLE WHEN gp = 0 THEN 1.0::DOUBLE ELSE 1.0::DOUBLE - CAST(gp AS DOUBLE) / 20.0::DOUBLE END AS previous_weight,
          coalesce(p.prev_power_score, 50.0::DOUBLE) AS prev_score,
+         coalesce(p.playoff_round_reached, 0) AS prev_playoff_round,
          coalesce(p.prev_pct_scaled, 50.0::DOUBLE) AS prev_points_scaled
   FROM scaled s LEFT JOIN prevs p USING (team))
 """
@@ -179,7 +182,8 @@ def _mix_sql(w) -> str:
 
 register("composite_score", sql(_BLEND_SQL + """
 , comp AS (
-  SELECT team, gp, current_weight, previous_weight, prev_score, points_pct_scaled AS points_component,
+  SELECT team, gp, current_weight, previous_weight, prev_score, prev_playoff_round,
+         points_pct_scaled AS points_component,
          goal_diff_pg_scaled * 0.5::DOUBLE + goals_for_pg_scaled * 0.3::DOUBLE + goals_against_pg_scaled * 0.2::DOUBLE AS goal_component,
          CASE WHEN gp >= 5 THEN shots_pg_scaled * 0.4::DOUBLE + pp_pct_scaled * 0.3::DOUBLE + pk_pct_scaled * 0.3::DOUBLE
               ELSE 50.0::DOUBLE END AS advanced_component,
@@ -195,6 +199,8 @@ register("composite_score", sql(_BLEND_SQL + """
                  ELSE """ + _mix_sql((0.30, 0.25, 0.20, 0.15, 0.10)) + """ END AS power_score
   FROM comp)
 SELECT *, CAST(row_number() OVER (ORDER BY power_score DESC, team) AS INTEGER) AS power_rank,
-       round(power_score, 1) AS power_score_display
+       round(power_score, 1) AS power_score_display,
+       CASE prev_playoff_round WHEN 4 THEN 'Finalist' WHEN 3 THEN 'Conference Final' WHEN 2 THEN 'Second Round'
+            WHEN 1 THEN 'First Round' ELSE 'Missed Playoffs' END AS prev_playoff_label
 FROM fin
 """))(composite_score)

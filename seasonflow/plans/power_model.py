@@ -105,8 +105,12 @@ def previous_final(g: DataFrame) -> DataFrame:
                + F.col("p_win_pct") * F.lit(100.0) * F.lit(0.2)
                + (F.col("p_gd_pg") + F.lit(2.0)) * F.lit(10.0) * F.lit(0.2))
     score = F.when(F.col("p_gp") > 0, rank100 * F.lit(0.5) + playoff * F.lit(0.5)).otherwise(rank100 * F.lit(0.8))
+    # Playoff round reached by wins >= 12 / 8 / 4, any playoff game -> 1
+    rnd = (F.when(F.col("p_wins") >= 12, 4).when(F.col("p_wins") >= 8, 3).when(F.col("p_wins") >= 4, 2)
+            .when(F.col("p_gp") > 0, 1).otherwise(0))
     return t.select("team", "gp", "wins", "pct", "final_rank", rank100.alias("rank100"),
-                    F.col("p_gp").alias("playoff_games"), score.alias("prev_power_score"))
+                    F.col("p_gp").alias("playoff_games"), rnd.alias("playoff_round_reached"),
+                    score.alias("prev_power_score"))
 
 
 def opponent_strength(g: DataFrame) -> DataFrame:
@@ -175,7 +179,8 @@ def blended(g: DataFrame) -> DataFrame:
     """Step 8: the current weight grows linearly with games / 20; the previous
     score defaults to 50 (so the 'no previous season' branch is dead, D5)."""
     s = scaled(g)
-    prev = previous_final(g).select("team", "prev_power_score", F.col("pct").alias("prev_pct"))
+    prev = previous_final(g).select("team", "prev_power_score", "playoff_round_reached",
+                                    F.col("pct").alias("prev_pct"))
     prev = R.minmax_normalize(prev, {"prev_pct": False}, suffix="_scaled", neutral=NEUTRAL, bounded=True)
     j = s.join(prev, "team", "left")
     gp = F.col("gp")
@@ -199,6 +204,7 @@ def composite(g: DataFrame) -> DataFrame:
     mom = (F.when(gp >= 10, c("last10_pct_scaled") * 0.6 + c("recent_gd_scaled") * 0.4)
             .when(gp >= 5, c("trend_scaled") * 0.5 + c("recent_gd_scaled") * 0.5).otherwise(F.lit(NEUTRAL)))
     comp = b.select("team", "gp", "current_weight", "previous_weight", "prev_score",
+                    F.coalesce("playoff_round_reached", F.lit(0)).alias("prev_playoff_round"),
                     c("points_pct_scaled").alias("points_component"), goal.alias("goal_component"),
                     adv.alias("advanced_component"), sched.alias("schedule_component"),
                     mom.alias("momentum_component"))
@@ -216,7 +222,12 @@ def composite(g: DataFrame) -> DataFrame:
               .otherwise(mix((0.30, 0.25, 0.20, 0.15, 0.10))))
     out = R.multi_key_rank(comp.withColumn("power_score", score),
                            [F.col("power_score").desc(), F.col("team").asc()], name="power_rank")
-    return out.withColumn("power_score_display", F.round("power_score", 1))
+    # Playoff label by round reached (4 Finalist, 3 Conference
+    # Final, 2 Second Round, 1 First Round, 0 Missed Playoffs)
+    label = (F.when(F.col("prev_playoff_round") == 4, "Finalist").when(F.col("prev_playoff_round") == 3, "Conference Final")
+              .when(F.col("prev_playoff_round") == 2, "Second Round").when(F.col("prev_playoff_round") == 1, "First Round")
+              .otherwise("Missed Playoffs"))
+    return out.withColumns({"power_score_display": F.round("power_score", 1), "prev_playoff_label": label})
 
 
 def season_metrics(g: DataFrame, conference: DataFrame | None = None) -> DataFrame:
