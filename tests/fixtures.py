@@ -19,20 +19,20 @@ def games(spark):
     rows = [
         # game 1 loaded twice: the later load (final) wins
         row(S.GAMES, ID=1, SEASON=20252026, GAMETYPE=2, GAMEDATE=dt.date(2025, 10, 8), GAMESTATE="LIVE",
-            HOMETEAM_ID=100, HOMETEAM_ABBREV="NSH", AWAYTEAM_ID=200, AWAYTEAM_ABBREV="DAL", _loaded_at=T0,
+            HOMETEAM_ID=100, HOMETEAM_ABBREV="HOM", AWAYTEAM_ID=200, AWAYTEAM_ABBREV="AWY", _loaded_at=T0,
             STARTTIMEUTC="2025-10-09T00:00:00Z"),
         row(S.GAMES, ID=1, SEASON=20252026, GAMETYPE=2, GAMEDATE=dt.date(2025, 10, 8), GAMESTATE="OFF",
-            GAMEOUTCOME_LASTPERIODTYPE="REG", HOMETEAM_ID=100, HOMETEAM_ABBREV="NSH", AWAYTEAM_ID=200,
-            AWAYTEAM_ABBREV="DAL", _loaded_at=T1, STARTTIMEUTC="2025-10-09T00:00:00Z"),
+            GAMEOUTCOME_LASTPERIODTYPE="REG", HOMETEAM_ID=100, HOMETEAM_ABBREV="HOM", AWAYTEAM_ID=200,
+            AWAYTEAM_ABBREV="AWY", _loaded_at=T1, STARTTIMEUTC="2025-10-09T00:00:00Z"),
         row(S.GAMES, ID=2, SEASON=20252026, GAMETYPE=2, GAMEDATE=dt.date(2025, 10, 10), GAMESTATE="OFF",
-            GAMEOUTCOME_LASTPERIODTYPE="OT", HOMETEAM_ID=200, HOMETEAM_ABBREV="DAL", AWAYTEAM_ID=100,
-            AWAYTEAM_ABBREV="NSH", _loaded_at=T1),
+            GAMEOUTCOME_LASTPERIODTYPE="OT", HOMETEAM_ID=200, HOMETEAM_ABBREV="AWY", AWAYTEAM_ID=100,
+            AWAYTEAM_ABBREV="HOM", _loaded_at=T1),
         # special event between non-participants: dropped by the universe
         row(S.GAMES, ID=3, SEASON=20252026, GAMETYPE=2, GAMEDATE=dt.date(2025, 10, 11), GAMESTATE="OFF",
-            HOMETEAM_ID=900, HOMETEAM_ABBREV="CAN", AWAYTEAM_ID=901, AWAYTEAM_ABBREV="USA", _loaded_at=T1),
+            HOMETEAM_ID=900, HOMETEAM_ABBREV="XXA", AWAYTEAM_ID=901, AWAYTEAM_ABBREV="XXB", _loaded_at=T1),
         # preseason: dropped
         row(S.GAMES, ID=4, SEASON=20252026, GAMETYPE=1, GAMEDATE=dt.date(2025, 10, 1), GAMESTATE="OFF",
-            HOMETEAM_ID=100, HOMETEAM_ABBREV="NSH", AWAYTEAM_ID=200, AWAYTEAM_ABBREV="DAL", _loaded_at=T1),
+            HOMETEAM_ID=100, HOMETEAM_ABBREV="HOM", AWAYTEAM_ID=200, AWAYTEAM_ABBREV="AWY", _loaded_at=T1),
     ]
     return spark.createDataFrame(rows, S.GAMES)
 
@@ -41,12 +41,12 @@ def daily_standings(spark):
     def st(d, team, gp, pts, w, div="Central", conf="Western"):
         return row(S.DAILY_STANDINGS, DATE=d, SEASONID=20252026, TEAMABBREV_DEFAULT=team, GAMESPLAYED=gp,
                    POINTS=pts, WINS=w, DIVISIONNAME=div, CONFERENCENAME=conf, STREAKCODE="W", _loaded_at=T1)
-    rows = [st(dt.date(2025, 10, 8), "NSH", 1, 2, 1),
-            # gap on 10-09 and 10-10 for NSH
-            st(dt.date(2025, 10, 11), "NSH", 2, 3, 1),
-            # DAL starts one day late
-            st(dt.date(2025, 10, 9), "DAL", 1, 0, 0),
-            st(dt.date(2025, 10, 11), "DAL", 2, 2, 1)]
+    rows = [st(dt.date(2025, 10, 8), "HOM", 1, 2, 1),
+            # gap on 10-09 and 10-10 for HOM
+            st(dt.date(2025, 10, 11), "HOM", 2, 3, 1),
+            # AWY starts one day late
+            st(dt.date(2025, 10, 9), "AWY", 1, 0, 0),
+            st(dt.date(2025, 10, 11), "AWY", 2, 2, 1)]
     return spark.createDataFrame(rows, S.DAILY_STANDINGS)
 
 
@@ -63,21 +63,21 @@ def plays(spark, events):
 
 
 def summaries(spark):
-    stars = json.dumps([{"star": 1, "playerId": 9, "name": {"default": "J. Saros"}, "teamAbbrev": "NSH",
+    stars = json.dumps([{"star": 1, "playerId": 9, "name": {"default": "G. One"}, "teamAbbrev": "HOM",
                          "position": "G"},
-                        {"star": 2, "playerId": 7, "name": {"default": "A. Skater"}, "teamAbbrev": "DAL",
+                        {"star": 2, "playerId": 7, "name": {"default": "A. Skater"}, "teamAbbrev": "AWY",
                          "position": "C", "goals": 1, "assists": 1, "points": 2}])
     rows = [row(S.GAME_SUMMARIES, ID=1, SEASON="20252026", GAMETYPE=2, GAMEDATE=dt.date(2025, 10, 8),
-                HOMETEAM_ID=100, HOMETEAM_ABBREV="NSH", HOMETEAM_SCORE=3, HOMETEAM_SOG=30, AWAYTEAM_ID=200,
-                AWAYTEAM_ABBREV="DAL", AWAYTEAM_SCORE=2, AWAYTEAM_SOG=25, PERIODDESCRIPTOR_PERIODTYPE="REG",
+                HOMETEAM_ID=100, HOMETEAM_ABBREV="HOM", HOMETEAM_SCORE=3, HOMETEAM_SOG=30, AWAYTEAM_ID=200,
+                AWAYTEAM_ABBREV="AWY", AWAYTEAM_SCORE=2, AWAYTEAM_SOG=25, PERIODDESCRIPTOR_PERIODTYPE="REG",
                 SUMMARY_THREESTARS=stars, _loaded_at=T1),
             row(S.GAME_SUMMARIES, ID=2, SEASON="20252026", GAMETYPE=2, GAMEDATE=dt.date(2025, 10, 10),
-                HOMETEAM_ID=200, HOMETEAM_ABBREV="DAL", HOMETEAM_SCORE=4, HOMETEAM_SOG=33, AWAYTEAM_ID=100,
-                AWAYTEAM_ABBREV="NSH", AWAYTEAM_SCORE=3, AWAYTEAM_SOG=28, PERIODDESCRIPTOR_PERIODTYPE="OT",
+                HOMETEAM_ID=200, HOMETEAM_ABBREV="AWY", HOMETEAM_SCORE=4, HOMETEAM_SOG=33, AWAYTEAM_ID=100,
+                AWAYTEAM_ABBREV="HOM", AWAYTEAM_SCORE=3, AWAYTEAM_SOG=28, PERIODDESCRIPTOR_PERIODTYPE="OT",
                 SUMMARY_THREESTARS="[]", _loaded_at=T1),
             row(S.GAME_SUMMARIES, ID=3, SEASON="20252026", GAMETYPE=2, GAMEDATE=dt.date(2025, 10, 11),
-                HOMETEAM_ID=900, HOMETEAM_ABBREV="CAN", HOMETEAM_SCORE=1, HOMETEAM_SOG=10, AWAYTEAM_ID=901,
-                AWAYTEAM_ABBREV="USA", AWAYTEAM_SCORE=0, AWAYTEAM_SOG=12, SUMMARY_THREESTARS=None, _loaded_at=T1)]
+                HOMETEAM_ID=900, HOMETEAM_ABBREV="XXA", HOMETEAM_SCORE=1, HOMETEAM_SOG=10, AWAYTEAM_ID=901,
+                AWAYTEAM_ABBREV="XXB", AWAYTEAM_SCORE=0, AWAYTEAM_SOG=12, SUMMARY_THREESTARS=None, _loaded_at=T1)]
     return spark.createDataFrame(rows, S.GAME_SUMMARIES)
 
 
@@ -101,34 +101,34 @@ def boxscore(spark):
                    PLAYERBYGAMESTATS_HOMETEAM_GOALIES=json.dumps(hg), PLAYERBYGAMESTATS_AWAYTEAM_FORWARDS=json.dumps(af),
                    PLAYERBYGAMESTATS_AWAYTEAM_DEFENSE=json.dumps(ad), PLAYERBYGAMESTATS_AWAYTEAM_GOALIES=json.dumps(ag),
                    _loaded_at=T1)
-    rows = [box(1, "NSH", "DAL", [skater(11, "F. One", 2, 0)], [skater(12, "D. One", 0, 1, pos="D")],
-                [goalie(9, "J. Saros", True, 2, 23, 25, "60:00", "W"), goalie(19, "B. Backup", False, 0, 0, 0, "00:00")],
-                [skater(7, "A. Skater", 1, 1)], [], [goalie(8, "D. Goalie", True, 3, 27, 30, "59:00", "L")]),
-            box(2, "DAL", "NSH", [skater(7, "A. Skater", 3, 0)], [], [goalie(8, "D. Goalie", True, 3, 25, 28, "64:00", "W")],
+    rows = [box(1, "HOM", "AWY", [skater(11, "F. One", 2, 0)], [skater(12, "D. One", 0, 1, pos="D")],
+                [goalie(9, "G. One", True, 2, 23, 25, "60:00", "W"), goalie(19, "G. Three", False, 0, 0, 0, "00:00")],
+                [skater(7, "A. Skater", 1, 1)], [], [goalie(8, "G. Two", True, 3, 27, 30, "59:00", "L")]),
+            box(2, "AWY", "HOM", [skater(7, "A. Skater", 3, 0)], [], [goalie(8, "G. Two", True, 3, 25, 28, "64:00", "W")],
                 [skater(11, "F. One", 1, 1)], [skater(12, "D. One", 1, 0, pos="D")],
-                [goalie(9, "J. Saros", True, 4, 29, 33, "63:30", "O")])]
+                [goalie(9, "G. One", True, 4, 29, 33, "63:30", "O")])]
     return spark.createDataFrame(rows, S.GAME_BOXSCORE)
 
 
 def rosters(spark):
     def p(pid, first, last, pos, birth="1995-05-05"):
         return {"id": pid, "firstName": {"default": first}, "lastName": {"default": last}, "positionCode": pos,
-                "sweaterNumber": pid % 99, "birthDate": birth, "birthCountry": "CAN", "headshot": None}
-    rows = [row(S.TEAM_ROSTERS, TEAM_ABV="NSH", FORWARDS=json.dumps([p(11, "F", "One", "C")]),
-                DEFENSEMEN=json.dumps([p(12, "D", "One", "D")]), GOALIES=json.dumps([p(9, "J", "Saros", "G")]),
+                "sweaterNumber": pid % 99, "birthDate": birth, "birthCountry": "XXA", "headshot": None}
+    rows = [row(S.TEAM_ROSTERS, TEAM_ABV="HOM", FORWARDS=json.dumps([p(11, "F", "One", "C")]),
+                DEFENSEMEN=json.dumps([p(12, "D", "One", "D")]), GOALIES=json.dumps([p(9, "G", "One", "G")]),
                 _loaded_at=T0),
-            row(S.TEAM_ROSTERS, TEAM_ABV="NSH", FORWARDS=json.dumps([p(11, "F", "One", "C"), p(13, "N", "Ew", "L")]),
-                DEFENSEMEN=json.dumps([p(12, "D", "One", "D")]), GOALIES=json.dumps([p(9, "J", "Saros", "G")]),
+            row(S.TEAM_ROSTERS, TEAM_ABV="HOM", FORWARDS=json.dumps([p(11, "F", "One", "C"), p(13, "N", "Ew", "L")]),
+                DEFENSEMEN=json.dumps([p(12, "D", "One", "D")]), GOALIES=json.dumps([p(9, "G", "One", "G")]),
                 _loaded_at=T1),
-            # player 11 also on DAL's roster (two rosters in one season)
-            row(S.TEAM_ROSTERS, TEAM_ABV="DAL", FORWARDS=json.dumps([p(7, "A", "Skater", "C"), p(11, "F", "One", "C")]),
+            # player 11 also on AWY's roster (two rosters in one season)
+            row(S.TEAM_ROSTERS, TEAM_ABV="AWY", FORWARDS=json.dumps([p(7, "A", "Skater", "C"), p(11, "F", "One", "C")]),
                 DEFENSEMEN="[]", GOALIES=None, _loaded_at=T1)]
     return spark.createDataFrame(rows, S.TEAM_ROSTERS)
 
 
 def current_teams(spark):
-    rows = [row(S.CURRENT_TEAMS, ID=100, ABBREV="NSH", NAME_DEFAULT="Nashville", FRENCH="false", _loaded_at=T1),
-            row(S.CURRENT_TEAMS, ID=200, ABBREV="DAL", NAME_DEFAULT="Dallas", FRENCH="false", _loaded_at=T1)]
+    rows = [row(S.CURRENT_TEAMS, ID=100, ABBREV="HOM", NAME_DEFAULT="Home City", FRENCH="false", _loaded_at=T1),
+            row(S.CURRENT_TEAMS, ID=200, ABBREV="AWY", NAME_DEFAULT="Away City", FRENCH="false", _loaded_at=T1)]
     return spark.createDataFrame(rows, S.CURRENT_TEAMS)
 
 
@@ -136,7 +136,7 @@ def schedules(spark):
     def g(gid, d, state, home, away, start):
         return row(S.SEASON_SCHEDULES, ID=gid, SEASON=20252026, GAMETYPE=2, GAMESTATE=state, GAMEDATE=d,
                    HOMETEAM_ABBREV=home, AWAYTEAM_ABBREV=away, STARTTIMEUTC=start, _loaded_at=T1)
-    rows = [g(10, dt.date(2025, 10, 14), "FUT", "NSH", "DAL", "2025-10-15T00:00:00Z"),
-            g(11, dt.date(2025, 10, 18), "FUT", "DAL", "NSH", "2025-10-18T19:00:00Z"),
-            g(1, dt.date(2025, 10, 8), "OFF", "NSH", "DAL", "2025-10-09T00:00:00Z")]
+    rows = [g(10, dt.date(2025, 10, 14), "FUT", "HOM", "AWY", "2025-10-15T00:00:00Z"),
+            g(11, dt.date(2025, 10, 18), "FUT", "AWY", "HOM", "2025-10-18T19:00:00Z"),
+            g(1, dt.date(2025, 10, 8), "OFF", "HOM", "AWY", "2025-10-09T00:00:00Z")]
     return spark.createDataFrame(rows, S.SEASON_SCHEDULES)

@@ -35,8 +35,8 @@ def test_faceoff_counts_by_team(spark):
 
 
 def test_goalie_season_gaa_is_per_sixty(spark):
-    rows = [(1, 20252026, "regular", "NSH", 9, "J. Saros", True, "W", 2, 30, 32, 3600),
-            (2, 20252026, "regular", "NSH", 9, "J. Saros", False, "L", 2, 10, 12, 1800)]
+    rows = [(1, 20252026, "regular", "HOM", 9, "G. One", True, "W", 2, 30, 32, 3600),
+            (2, 20252026, "regular", "HOM", 9, "G. One", False, "L", 2, 10, 12, 1800)]
     lines = spark.createDataFrame(rows, "game_id long, season int, game_type string, team_abv string, "
                                         "player_id long, name string, starter boolean, result string, "
                                         "goals_against int, shots_saved int, shots_against int, toi_seconds int")

@@ -30,7 +30,7 @@ def models(spark):
         "season_schedules": FX.schedules(spark),
     }
     raw["current_standings"] = FX.daily_standings(spark)
-    seeds = {"colors": spark.createDataFrame([("NSH", "gold", "navy")], "team_abv string, primary_color string, "
+    seeds = {"colors": spark.createDataFrame([("HOM", "gold", "navy")], "team_abv string, primary_color string, "
                                                                        "secondary_color string")}
     return pipeline.build(spark, raw, Params(as_of=dt.date(2025, 10, 12)), seeds=seeds)
 
@@ -48,7 +48,7 @@ def test_universe_drops_special_events_and_preseason(models):
 
 def test_summaries_unpivot_two_rows_swapped(models):
     rows = {(r.game_id, r.team_abv): (r.goals, r.goals_against, r.type) for r in models["stg_game_summaries"].collect()}
-    assert rows[(1, "NSH")] == (3, 2, "home") and rows[(1, "DAL")] == (2, 3, "away")
+    assert rows[(1, "HOM")] == (3, 2, "home") and rows[(1, "AWY")] == (2, 3, "away")
 
 
 def test_three_stars_empty_and_null_arrays_vanish(models):
@@ -57,16 +57,16 @@ def test_three_stars_empty_and_null_arrays_vanish(models):
 
 def test_rosters_latest_load_and_null_array(models):
     rows = models["roster_players"].collect()
-    assert sorted(r.player_id for r in rows if r.team_abv == "NSH") == [9, 11, 12, 13]
-    assert sorted(r.player_id for r in rows if r.team_abv == "DAL") == [7, 11]
+    assert sorted(r.player_id for r in rows if r.team_abv == "HOM") == [9, 11, 12, 13]
+    assert sorted(r.player_id for r in rows if r.team_abv == "AWY") == [7, 11]
 
 
 def test_standings_gap_fill_and_late_start(models):
     rows = {(r.team_abv, r.date): r for r in models["standings_by_day"].collect()}
     assert len(rows) == 8
-    assert rows[("NSH", dt.date(2025, 10, 10))].points == 2        # carried forward
-    assert rows[("DAL", dt.date(2025, 10, 8))].points == 0         # before first snapshot: default
-    assert rows[("DAL", dt.date(2025, 10, 8))].divisionname is None
+    assert rows[("HOM", dt.date(2025, 10, 10))].points == 2        # carried forward
+    assert rows[("AWY", dt.date(2025, 10, 8))].points == 0         # before first snapshot: default
+    assert rows[("AWY", dt.date(2025, 10, 8))].divisionname is None
 
 
 def test_goalie_backup_with_zero_clock_and_tiers(models):
@@ -77,9 +77,9 @@ def test_goalie_backup_with_zero_clock_and_tiers(models):
 
 def test_team_game_results_and_score_state(models):
     t = {(r.game_id, r.team_abv): r for r in models["fct_team_game"].collect()}
-    assert t[(2, "NSH")].game_result == "OTL" and t[(2, "NSH")].points == 1
-    assert t[(2, "DAL")].game_result == "W"
-    assert t[(1, "DAL")].score_first_flag is True and t[(1, "NSH")].comeback_win_flag is True
+    assert t[(2, "HOM")].game_result == "OTL" and t[(2, "HOM")].points == 1
+    assert t[(2, "AWY")].game_result == "W"
+    assert t[(1, "AWY")].score_first_flag is True and t[(1, "HOM")].comeback_win_flag is True
 
 
 def test_plays_strength_and_empty_net(models):
@@ -106,10 +106,10 @@ def test_cards_and_checks(models, spark):
     from seasonflow.plans.season import cards as C
     from seasonflow.plans.season.checks import run_checks
     t = C.detailed_team_table(models["standings_by_day"], models["dim_teams"]).collect()
-    assert [r.team_abv for r in t] == ["NSH", "DAL"]
+    assert [r.team_abv for r in t] == ["HOM", "AWY"]
     assert C.leaders(models["skaters_season_stats_regular"], "goals", k=1).collect()[0].player_id == 7
-    assert C.standings_series(models["standings_by_day"], team="NSH", cap=2).count() == 2
-    assert C.team_future_games(models["upcoming_games"], "DAL", dt.date(2025, 10, 15)).count() == 1
+    assert C.standings_series(models["standings_by_day"], team="HOM", cap=2).count() == 2
+    assert C.team_future_games(models["upcoming_games"], "AWY", dt.date(2025, 10, 15)).count() == 1
     assert C.player_compare(models["fct_player_game"], [11]).collect()[0].games == 2
     assert C.running_stats(models["fct_player_game"], models["league_games"], 11).count() == 2
     summary = {r.target: r.status for r in run_checks(models).collect()}
@@ -119,10 +119,10 @@ def test_cards_and_checks(models, spark):
 
 def test_teams_dimension_with_seeds_and_current_table(models):
     t = {r.team_abv: r for r in models["dim_teams"].collect()}
-    assert t["NSH"].primary_color == "gold" and t["DAL"].primary_color is None
-    assert t["NSH"].division == "Central" and t["NSH"].is_current is True
+    assert t["HOM"].primary_color == "gold" and t["AWY"].primary_color is None
+    assert t["HOM"].division == "Central" and t["HOM"].is_current is True
     cur = {r.team_abv: r for r in models["current_standings"].collect()}
-    assert set(cur) == {"NSH", "DAL"}
+    assert set(cur) == {"HOM", "AWY"}
 
 
 def test_statwise_rankings_cover_all_eleven_stats(models):
@@ -130,12 +130,12 @@ def test_statwise_rankings_cover_all_eleven_stats(models):
     cols = models["current_statwise_rankings"].columns
     assert all(f"{s}_rank_ordinal" in cols for s in STATWISE)
     r = {x.team_abv: x for x in models["current_statwise_rankings"].collect()}
-    assert {r["NSH"].goals_per_game_rank, r["DAL"].goals_per_game_rank} == {1, 2}
+    assert {r["HOM"].goals_per_game_rank, r["AWY"].goals_per_game_rank} == {1, 2}
 
 
 def test_goalie_goals_by_period_and_season_metrics(models):
     g = {(r.game_id, r.player_id): r for r in models["fct_goalie_game"].collect()}
-    # game 1: DAL goals in P1 and P3 against the NSH goalie in net (none recorded) -> zeros
+    # game 1: AWY goals in P1 and P3 against the HOM goalie in net (none recorded) -> zeros
     assert g[(1, 9)].ga_p1 == 0
     m = {r.team: r for r in models["team_season_metrics"].collect()}
     assert set(m) == {100, 200}

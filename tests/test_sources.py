@@ -16,7 +16,7 @@ def _tmp():
 
 def test_flatten_and_nested_to_json(spark):
     schema = "id int, awayTeam struct<abbrev:string, name:struct<default:string>>, tags array<string>"
-    df = spark.createDataFrame([(1, ("DAL", ("Dallas",)), ["a"])], schema)
+    df = spark.createDataFrame([(1, ("AWY", ("Away City",)), ["a"])], schema)
     flat = SH.flatten_structs(df, upper=True)
     assert flat.columns == ["ID", "AWAYTEAM_ABBREV", "AWAYTEAM_NAME_DEFAULT", "TAGS"]
     assert flat.collect()[0].TAGS == '["a"]'
@@ -99,9 +99,9 @@ def test_seeds_sorted_write_and_time_helpers(spark):
     base = _tmp()
     with open(f"{base}/history.csv", "w") as fh:
         fh.write("team_abv,founded_year,previous_name,current_location_since,is_expansion_team,"
-                 "is_original_or_relocated\nNSH,1998,,1998,true,false\nUTA,2024,Arizona,2024,false,true\n")
+                 "is_original_or_relocated\nHOM,1998,,1998,true,false\nNEW,2024,Old Name,2024,false,true\n")
     seed = {r.team_abv: r for r in read_seed(spark, f"{base}/history.csv", SEED_HISTORY).collect()}
-    assert seed["NSH"].previous_name is None and seed["UTA"].founded_year == 2024
+    assert seed["HOM"].previous_name is None and seed["NEW"].founded_year == 2024
     df = spark.createDataFrame([(3,), (1,), (2,)], "k int")
     L.write_sorted(df, f"{base}/sorted", ["k"], partitions=2)
     assert [r.k for r in spark.read.parquet(f"{base}/sorted").collect()] == [1, 2, 3]
