@@ -30,7 +30,12 @@ from seasonflow.sources.readers import read_raw
 _INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
+_VERSION: list = []
+
+
 def _code_version() -> str:
+    if _VERSION:
+        return _VERSION[0]
     import hashlib
     import os
     here = os.path.dirname(os.path.abspath(__file__))
@@ -38,7 +43,8 @@ def _code_version() -> str:
     for f in ("testbed.py",):
         with open(os.path.join(here, f), "rb") as fh:
             h.update(fh.read())
-    return h.hexdigest()[:10]
+    _VERSION.append(h.hexdigest()[:10])
+    return _VERSION[0]
 
 
 class Bed:

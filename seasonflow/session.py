@@ -109,6 +109,10 @@ def path_signature(spark: SparkSession, paths) -> str:
     """Size + modification time of input files: a cheap content fingerprint so a
     materialised table is rebuilt when its inputs change."""
     import hashlib
+    paths = list(paths)
+    key = (id(spark), tuple(paths))
+    if key in _SIGNATURES:
+        return _SIGNATURES[key]
     h = hashlib.sha1()
     for path in paths:
         fs, p = _fs(spark, path)
@@ -117,7 +121,12 @@ def path_signature(spark: SparkSession, paths) -> str:
             h.update(f"{path}|{st.getLen()}|{st.getModificationTime()}".encode())
         else:
             h.update(f"{path}|missing".encode())
-    return h.hexdigest()[:16]
+    _SIGNATURES[key] = h.hexdigest()[:16]
+    return _SIGNATURES[key]
+
+
+_SIGNATURES: dict = {}
+_TABLES: dict = {}
 
 
 def materialize(df_builder, spark: SparkSession, path: str, partition_by=()) -> DataFrame:
@@ -127,6 +136,9 @@ def materialize(df_builder, spark: SparkSession, path: str, partition_by=()) ->
     so readers never see a half-written table; a lost executor only costs the
     retry of its tasks.  Later calls read the finished table directly.
     """
+    cached = _TABLES.get((id(spark), path))
+    if cached is not None:
+        return cached
     try:
         fs, p = _fs(spark, path)
     except Exception:  # noqa: BLE001 - no JVM handle (Spark Connect): stay lazy
@@ -142,4 +154,6 @@ def materialize(df_builder, spark: SparkSession, path: str, partition_by=()) ->
             fs.delete(tp, True)          # another job published it first
             if not fs.exists(p):
                 raise RuntimeError(f"could not publish materialised table {path}")
-    return spark.read.parquet(path)
+    df = spark.read.parquet(path)
+    _TABLES[(id(spark), path)] = df
+    return df
