@@ -1,16 +1,22 @@
 """X01 — incremental ingest of file drops with latest-wins upsert.
 
 The reference appends every re-extraction and lets the latest load per key
-win.  The streaming form: ``readStream`` over the landing folder, one
-``foreachBatch`` per micro-batch that (1) keeps the latest row per key inside
-the batch, (2) merges it into the previous table version (anti-join + union)
-and (3) writes the result as version ``v=<batchId>``.
-
-Idempotence: micro-batch ids are consecutive, so batch N always reads version
-N-1 and overwrites version N; a batch replayed after a failure rewrites the
-same directory with the same content.  Readers take the highest version.
-``dropDuplicates`` is deliberately not used: it keeps the *first* row seen,
-while the model needs the *latest*.
+win.  The streaming form: ``readStream`` over the landing folder and one
+``foreachBatch`` per micro-batch that keeps the latest row per key inside the
+batch and merges it into the table (anti-join + union).  ``dropDuplicates`` is
+deliberately not used: it keeps the *first* row seen, the model needs the
+*latest*.
+
+Two table layouts:
+
+* bucketed (default): the table is partitioned by ``pmod(hash(keys), B)``;
+  a batch reads only the buckets it touches (a left-semi join with the
+  batch's bucket ids, so dynamic partition pruning skips the rest), merges,
+  and replaces just those buckets with dynamic partition overwrite.  Cost per
+  batch grows with the batch, not with the table.  Replaying a batch merges
+  the same rows again and leaves the same state (latest-wins is idempotent).
+* versioned (``buckets=None``): batch N reads version N-1 and writes version
+  ``v=N`` whole — simple and idempotent, O(table) per batch.
 """
 
 from __future__ import annotations
@@ -42,15 +48,44 @@ def upsert_batch_writer(target: str, schema: T.StructType, keys: Sequence[str],
     return write
 
 
+def _bucketed_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType(list(schema.fields) + [T.StructField("bucket", T.IntegerType(), True)])
+
+
+def bucket_upsert_writer(target: str, schema: T.StructType, keys: Sequence[str],
+                         order_by: Sequence[Column], buckets: int):
+    """foreachBatch function for the bucketed layout."""
+    from pyspark.sql.utils import AnalysisException
+    from seasonflow.operators.dedup import dedup_latest
+    full = _bucketed_schema(schema)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        b = batch.select(*schema.fieldNames()).withColumn(
+            "bucket", F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
+        latest = dedup_latest(b, keys, order_by)
+        touched = latest.select("bucket").distinct()          # at most ``buckets`` rows
+        try:
+            cur = spark.read.schema(full).parquet(target).join(F.broadcast(touched), "bucket", "left_semi")
+        except AnalysisException:                              # first batch: no table yet
+            cur = spark.createDataFrame([], full)
+        merged = merge_upsert(cur, latest, keys)
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("bucket").parquet(target))
+    return write
+
+
 def incremental_ingest(spark: SparkSession, source: str, schema: T.StructType, target: str,
                        checkpoint: str, keys: Sequence[str], order_by: Sequence[Column],
-                       max_files_per_trigger: int | None = None) -> int | None:
+                       max_files_per_trigger: int | None = None, buckets: int | None = 64) -> int | None:
     """Process everything available now and return the last batch id (None if none ran)."""
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = r.parquet(source)
-    q = (stream.writeStream.foreachBatch(upsert_batch_writer(target, schema, keys, order_by))
+    writer = (bucket_upsert_writer(target, schema, keys, order_by, buckets) if buckets
+              else upsert_batch_writer(target, schema, keys, order_by))
+    q = (stream.writeStream.foreachBatch(writer)
                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     last = None
@@ -62,7 +97,15 @@ def incremental_ingest(spark: SparkSession, source: str, schema: T.StructType, t
     return last
 
 
-def read_current(spark: SparkSession, target: str, schema: T.StructType, last_batch: int | None) -> DataFrame:
+def read_current(spark: SparkSession, target: str, schema: T.StructType, last_batch: int | None,
+                 buckets: int | None = 64) -> DataFrame:
+    """The current table: all buckets (bucketed layout) or the last version."""
+    from pyspark.sql.utils import AnalysisException
+    if buckets:
+        try:
+            return spark.read.schema(_bucketed_schema(schema)).parquet(target).drop("bucket")
+        except AnalysisException:
+            return spark.createDataFrame([], schema)
     if last_batch is None:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(_version_path(target, last_batch))

@@ -90,6 +90,11 @@ def test_incremental_ingest_latest_wins_across_batches(spark):
     again = incremental_ingest(spark, f"{base}/drop/*", schema, f"{base}/table", f"{base}/ckpt", ["k"],
                                [F.col("ts").desc()])
     assert again is None
+    # versioned layout gives the same table
+    last_v = incremental_ingest(spark, f"{base}/drop/*", schema, f"{base}/vtable", f"{base}/vckpt", ["k"],
+                                [F.col("ts").desc()], max_files_per_trigger=1, buckets=None)
+    outv = {r.k: r.v for r in read_current(spark, f"{base}/vtable", schema, last_v, buckets=None).collect()}
+    assert outv == out
 
 
 def test_seeds_sorted_write_and_time_helpers(spark):
