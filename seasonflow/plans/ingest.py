@@ -16,6 +16,7 @@ from seasonflow.sources.readers import table_path
 from seasonflow.sources.shaping import flatten_structs, nested_to_json, parse_json
 from seasonflow.streaming.incremental import incremental_ingest as run_incremental
 from seasonflow.streaming.incremental import read_current
+from seasonflow.plans import latest as _latest  # noqa: F401  registers the oracle reused below
 from seasonflow.plans.registry import ORACLE, register, sql
 from seasonflow.plans.testbed import Bed
 
