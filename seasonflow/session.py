@@ -105,6 +105,15 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(conf), p
 
 
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """True / False when the filesystem can be asked, None otherwise."""
+    try:
+        fs, p = _fs(spark, path)
+        return bool(fs.exists(p))
+    except Exception:  # noqa: BLE001 - no JVM handle
+        return None
+
+
 def path_signature(spark: SparkSession, paths) -> str:
     """Size + modification time of input files: a cheap content fingerprint so a
     materialised table is rebuilt when its inputs change."""

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seasonflow.session import path_exists
 from seasonflow.sources.loads import merge_upsert
 
 
@@ -65,10 +66,13 @@ def bucket_upsert_writer(target: str, schema: T.StructType, keys: Sequence[str],
             "bucket", F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
         latest = dedup_latest(b, keys, order_by)
         touched = latest.select("bucket").distinct()          # at most ``buckets`` rows
-        try:
-            cur = spark.read.schema(full).parquet(target).join(F.broadcast(touched), "bucket", "left_semi")
-        except AnalysisException:                              # first batch: no table yet
+        if path_exists(spark, target) is False:               # first batch: no table yet
             cur = spark.createDataFrame([], full)
+        else:
+            try:
+                cur = spark.read.schema(full).parquet(target).join(F.broadcast(touched), "bucket", "left_semi")
+            except AnalysisException:
+                cur = spark.createDataFrame([], full)
         merged = merge_upsert(cur, latest, keys)
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy("bucket").parquet(target))
@@ -102,6 +106,8 @@ def read_current(spark: SparkSession, target: str, schema: T.StructType, last_ba
     """The current table: all buckets (bucketed layout) or the last version."""
     from pyspark.sql.utils import AnalysisException
     if buckets:
+        if path_exists(spark, target) is False:
+            return spark.createDataFrame([], schema)
         try:
             return spark.read.schema(_bucketed_schema(schema)).parquet(target).drop("bucket")
         except AnalysisException:
