@@ -117,3 +117,34 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], p: Params = Params(),
     m["team_season_stats_playoff"] = m["team_season_playoff"]
     m["season_dates_mart"] = m["season_dates"]
     return m
+
+
+def table_writer(base: str, spark: SparkSession):
+    """A ``persist`` callback that publishes each shared model as a parquet table
+    under ``base`` (partitioned by season when the model has one) and reads it
+    back, instead of a checkpoint."""
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        if name not in MATERIALISED:
+            return df
+        w = df.write.mode("overwrite")
+        if "season" in df.columns:
+            w = w.partitionBy("season")
+        w.parquet(f"{base.rstrip('/')}/{name}")
+        return spark.read.parquet(f"{base.rstrip('/')}/{name}")
+    return keep
+
+
+def publish(models: dict[str, DataFrame], base: str, names=None) -> list[str]:
+    """Write the selected models (default: every mart and fact) as parquet
+    tables under ``base``; returns the written names.  Season-partitioned where
+    the model has a season column (dynamic partition overwrite)."""
+    chosen = names or [n for n in models if n.startswith(("fct_", "dim_", "mart_")) or n in (
+        "team_power_rankings", "team_season_metrics", "standings_by_day_mart", "skaters_season_stats_regular",
+        "goalies_season_stats_regular", "current_statwise_rankings", "players_history", "upcoming_games")]
+    for n in chosen:
+        df = models[n]
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        if "season" in df.columns:
+            w = w.partitionBy("season")
+        w.parquet(f"{base.rstrip('/')}/{n}")
+    return chosen

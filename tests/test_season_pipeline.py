@@ -149,3 +149,13 @@ def test_season_dimension_lookups(models):
     assert (r.season, r.regular_season_games, r.start_year, r.end_year) == (20252026, 2, 2025, 2026)
     assert r.salary_cap == 95500000 and r.cup_captain is None and r.is_shortened_season is True
     assert r.season_display == "2025-26" and r.season_length_days == 4
+
+
+def test_publish_and_table_writer(spark, models):
+    import tempfile
+    base = tempfile.mkdtemp(prefix="sf-pub-", dir="/tmp")
+    written = pipeline.publish(models, base, ["fct_team_game", "mart_head_to_head", "dim_seasons"])
+    assert spark.read.parquet(f"{base}/fct_team_game").count() == models["fct_team_game"].count()
+    keep = pipeline.table_writer(base, spark)
+    df = keep("league_games", models["league_games"])
+    assert df.count() == 2 and len(written) == 3
