@@ -159,3 +159,20 @@ def test_publish_and_table_writer(spark, models):
     keep = pipeline.table_writer(base, spark)
     df = keep("league_games", models["league_games"])
     assert df.count() == 2 and len(written) == 3
+
+
+def test_batch_job_end_to_end(spark):
+    import tempfile
+    from seasonflow.plans.season import run
+    raw_dir = tempfile.mkdtemp(prefix="sf-raw-", dir="/tmp")
+    out_dir = tempfile.mkdtemp(prefix="sf-out-", dir="/tmp")
+    FX.games(spark).write.parquet(f"{raw_dir}/games")
+    FX.daily_standings(spark).write.parquet(f"{raw_dir}/daily_standings")
+    FX.plays(spark, [{"game": 1, "event": 1, "type": "goal", "team": 100, "period": 1, "clock": "01:00"}]) \
+        .write.parquet(f"{raw_dir}/play_by_play")
+    FX.summaries(spark).write.parquet(f"{raw_dir}/game_summaries")
+    FX.boxscore(spark).write.parquet(f"{raw_dir}/game_boxscore")
+    FX.rosters(spark).write.parquet(f"{raw_dir}/team_rosters")
+    run.main(["--raw", raw_dir, "--out", out_dir, "--as-of", "2025-10-12", "--no-cluster-settings"])
+    assert spark.read.parquet(f"{out_dir}/fct_team_game").count() == 4
+    assert spark.read.parquet(f"{out_dir}/_checks").filter("status = 'fail'").count() == 0
