@@ -61,13 +61,18 @@ def safe_divide(num, den) -> Column:
 
 
 def round_ratio(num, den, digits: int = 2) -> Column:
-    """round(num / den, digits), exact HALF_UP (decimal division), NULL when den = 0.
+    """round(num / den, digits), exact HALF_UP, NULL when den = 0 — for integer
+    num and den (counts, sums of counts, seconds).
 
     Rounding a binary double at a decimal tie is engine-dependent, so rates
-    that are published rounded are divided in decimals and cast to double last.
+    that are published rounded are divided in decimals and cast to double
+    last.  The operands are decimal(20,0) (every bigint fits), which leaves 18
+    fractional digits in the quotient — far below any integer-ratio tie — so
+    the single final rounding is exact (a narrow quotient scale would round
+    twice).
     """
-    n = _c(num).cast("decimal(38,6)")
-    d = _c(den).cast("decimal(38,6)")
+    n = _c(num).cast("decimal(20,0)")
+    d = _c(den).cast("decimal(20,0)")
     return F.round(F.try_divide(n, F.when(d != 0, d)), digits).cast("double")
 
 

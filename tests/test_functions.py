@@ -19,6 +19,8 @@ def test_safe_divide_and_exact_rounding(spark):
     # 201 / 200 = 1.005 exactly -> HALF_UP 1.01 (a binary double would give 1.0)
     assert one(spark, X.round_ratio(F.lit(201), F.lit(200), 2)) == 1.01
     assert one(spark, X.round_ratio(F.lit(5), F.lit(0), 2)) is None
+    # 0.12344999 must round to 0.1234 (rounding the quotient at 6 digits first would give 0.1235)
+    assert one(spark, X.round_ratio(F.lit(12344999), F.lit(100000000), 4)) == 0.1234
 
 
 def test_display_strings(spark):
