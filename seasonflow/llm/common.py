@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,25 @@ def prepare(spark: SparkSession) -> None:
     """Session settings the operators rely on (runtime SQL settings only)."""
     for k, v in _SETTINGS.items():
         spark.conf.set(k, v)
+    _ship(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Sends this package to the executors once per application, so that Python
+    workers can import it wherever the driver found it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="seasonflow-code-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)
 
 
 def work_dir(spark: SparkSession) -> str:
