@@ -193,3 +193,45 @@ def total_bytes(df: DataFrame, column: str) -> int:
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     prepare(df.sparkSession)
     return df.mapInArrow(fn, schema)
+
+
+# -- words of many texts at once -------------------------------------------------------
+_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_BYTES = byte_table(1)
+_powers: list[np.ndarray] = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the hash base and of its inverse modulo 2^64."""
+    if len(_powers[0]) < n:
+        size = max(n, KERNEL_BYTES)
+        for k, x in enumerate((_BASE, _BASE_INVERSE)):
+            p = np.full(size, x, np.uint64)
+            p[0] = 1
+            _powers[k] = np.multiply.accumulate(p)
+    return _powers[0][:n], _powers[1][:n]
+
+
+def hash_words(flat: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    """Words (runs without the fixed white space) of the texts in ``flat``:
+    ``(text index, start, 64-bit hash)`` in order.  ``lower`` maps A-Z to a-z.
+    The hash is a polynomial over random words for the bytes, mixed with the
+    word's length."""
+    n = len(flat)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    space = (flat == 32) | ((flat >= 9) & (flat <= 13))
+    begin = np.zeros(n + 1, bool)
+    begin[offsets[:-1]] = True
+    after = np.r_[True, space] | begin
+    starts = np.flatnonzero(~space & after[:n])
+    closes = np.r_[space, True] | begin
+    ends = np.flatnonzero(~space & closes[1:]) + 1
+    if lower:
+        flat = np.where((flat >= 65) & (flat <= 90), flat + np.uint8(32), flat)
+    up, down = powers(n)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTES[flat] * up, out=total[1:])
+    h = mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return np.searchsorted(offsets, starts, "right") - 1, starts, h
