@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, line_dedup, mixing, packing, quality, warc
+from . import fingerprints, line_dedup, mixing, packing, quality, secret_scan, warc
 from .common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,6 +108,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f LEFT JOIN rates ON f.source IS NOT DISTINCT FROM rates.source"""
 
 
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select(
+        "doc_id", *[F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
+                    for k in ("assign", "access", "hex")],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 @query
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(_table(spark, sf_dir, "documents", "doc_id", "text"))
