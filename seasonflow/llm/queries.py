@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, line_dedup, mixing, packing, quality, secret_scan, warc
+from . import fingerprints, line_dedup, mixing, packing, quality, secret_scan, suffix_dedup, warc
 from .common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,6 +120,12 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return suffix_dedup.remove_repeats(docs, length=50, with_text=False)
+
+
 @query
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(_table(spark, sf_dir, "documents", "doc_id", "text"))
