@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import _BYTES, Scratch, flat_text, map_arrow, mix64, own_columns, powers, text_slices
+from .packed import grouped, rows_of, schema, share, spread, unpack
 
 SUFFIXES_A_PART = 1_000_000     # of a range partition, on average
 TEXT_A_PART = 8 << 20           # bytes of text in a partition by id
@@ -98,10 +99,6 @@ def multikey_sort(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
-def _packed(names: dict[str, str], head: str) -> str:
-    return head + "".join(f", {n} binary" for n in names)
-
-
 # arrays of a row of packed suffixes, requests or ranges; ids and marks name texts, at points into them
 _SUFFIX = {"ids": "i8", "marks": "i8", "homes": "i4", "at": "u4", "key": "u8", "stretch": "u8", "start": "u4",
            "count": "u2"}
@@ -110,38 +107,6 @@ _STRING = {"ids": "i8", "marks": "i8", "homes": "i4", "at": "u4", "start": "u4",
            "text": "u1"}
 
 
-def _rows(fields: dict[str, str], lead: dict[str, list], rows: list[dict]) -> pa.RecordBatch:
-    cols = [pa.array(v, pa.int32()) for v in lead.values()]
-    cols += [pa.array([np.ascontiguousarray(r[n], t).tobytes() for r in rows], pa.binary()) for n, t in fields.items()]
-    return pa.RecordBatch.from_arrays(cols, [*lead, *fields])
-
-
-def _unpack(table, fields: dict[str, str]) -> dict[str, np.ndarray]:
-    """All rows' arrays, one after another; ``at`` points into the joined texts."""
-    out, base = {n: [] for n in fields}, 0
-    for i in range(table.num_rows):
-        for n, t in fields.items():
-            x = np.frombuffer(table.column(n)[i].as_buffer(), t)
-            out[n].append(x.astype(np.int64) + base if n == "at" else x)
-        base += len(out["ids"][-1])
-    return {n: np.concatenate(v) if v else np.zeros(0, np.int64 if n == "at" else t)
-            for (n, t), v in zip(fields.items(), out.values(), strict=True)}
-
-
-def _by(groups: np.ndarray):
-    """``(group, its indices)`` in order."""
-    order = np.argsort(groups, kind="stable")
-    cut = np.flatnonzero(np.diff(groups[order])) + 1
-    return [(int(groups[x[0]]), x) for x in np.split(order, cut) if len(x)]
-
-
-def _share(x: dict, pick: np.ndarray, names) -> dict:
-    """The picked entries with the texts they name."""
-    texts, at = np.unique(x["at"][pick], return_inverse=True)
-    return {n: x[n][texts] for n in ("ids", "marks", "homes") if n in names} | {"at": at} | {
-        n: x[n][pick] for n in names if n not in ("ids", "marks", "homes", "at")}
-
-
 def repeated_ranges(docs: DataFrame, length: int, parts: int, homes: int, scratch: Scratch) -> list[DataFrame]:
     """Packed byte ranges to remove, by the home of their text.  ``docs``: id (no
     nulls), mark, home, text."""
@@ -167,10 +132,10 @@ def repeated_ranges(docs: DataFrame, length: int, parts: int, homes: int, scratc
 
         def flush():
             x = {n: np.concatenate([h[n] for h in held]) for n in _SUFFIX}
-            groups = _by(np.searchsorted(splitters, x["key"], "right"))
+            groups = grouped(np.searchsorted(splitters, x["key"], "right"))
             # in key order inside each group, so that the sort there merges runs
-            rows = [_share(x, pick[np.argsort(x["key"][pick], kind="stable")], _SUFFIX) for _, pick in groups]
-            return _rows(_SUFFIX, {"part": [g for g, _ in groups]}, rows)
+            rows = [share(x, pick[np.argsort(x["key"][pick], kind="stable")], _SUFFIX) for _, pick in groups]
+            return rows_of(_SUFFIX, {"part": [g for g, _ in groups]}, rows)
 
         for b in batches:
             for part, flat, offsets in text_slices([b], "text"):
@@ -189,7 +154,7 @@ def repeated_ranges(docs: DataFrame, length: int, parts: int, homes: int, scratc
             yield flush()
 
     def match(key, table):
-        x = _unpack(table, _SUFFIX)
+        x = unpack(table, _SUFFIX)
         order = np.argsort(x["key"], kind="stable")
         k = x["key"][order]
         again = np.r_[False, k[1:] == k[:-1]]
@@ -211,22 +176,22 @@ def repeated_ranges(docs: DataFrame, length: int, parts: int, homes: int, scratc
             home = x["homes"][x["at"]]
             for kind, chosen in ((0, gone), (1, ask)):
                 pick = order[chosen]
-                for g, own in _by(home[pick]):
+                for g, own in grouped(home[pick]):
                     out[0]["home"].append(g)
                     out[0]["kind"].append(kind)
-                    out[1].append(_share(x, pick[own], _RANGE))
-        return pa.Table.from_batches([_rows(_RANGE, *out)])
+                    out[1].append(share(x, pick[own], _RANGE))
+        return pa.Table.from_batches([rows_of(_RANGE, *out)])
 
-    packed = map_arrow(texts, cut, _packed(_SUFFIX, "part int"))
-    schema = _packed(_RANGE, "home int, kind int")
-    found = scratch.save(packed.groupBy("part").applyInArrow(match, schema), "ranges")
+    packed = map_arrow(texts, cut, schema(_SUFFIX, "part int"))
+    kinds = schema(_RANGE, "home int, kind int")
+    found = scratch.save(packed.groupBy("part").applyInArrow(match, kinds), "ranges")
     whole, asked = found.where("kind = 0").drop("kind"), found.where("kind = 1").drop("kind")
 
     def write_out(key, left, right):
         """The bytes of the stretches that are asked for."""
         out = {"part": []}, []
         if left.num_rows and right.num_rows:
-            x = _unpack(right, _RANGE)
+            x = unpack(right, _RANGE)
             flat, offsets = flat_text(left.column("text").combine_chunks())
             rows = _find_rows(left, x)
             which = rows[x["at"]]
@@ -234,28 +199,28 @@ def repeated_ranges(docs: DataFrame, length: int, parts: int, homes: int, scratc
             begin = offsets[which] + x["start"]
             size = x["count"].astype(np.int64) + (length - 1)
             x["homes"] = np.full(len(x["ids"]), key[0].as_py())
-            for g, pick in _by(np.searchsorted(splitters, x["key"], "right")):
+            for g, pick in grouped(np.searchsorted(splitters, x["key"], "right")):
                 pick = pick[keep[pick]]
-                row = _share(x, pick, [n for n in _STRING if n != "text"])
-                row["text"] = flat[_ranges(begin[pick], size[pick])]
+                row = share(x, pick, [n for n in _STRING if n != "text"])
+                row["text"] = flat[spread(begin[pick], size[pick])]
                 out[0]["part"].append(g)
                 out[1].append(row)
-        return pa.Table.from_batches([_rows(_STRING, *out)])
+        return pa.Table.from_batches([rows_of(_STRING, *out)])
 
     strings = (texts.groupBy("home").cogroup(asked.groupBy("home"))
-               .applyInArrow(write_out, _packed(_STRING, "part int")))
+               .applyInArrow(write_out, schema(_STRING, "part int")))
 
     def compare(key, table):
         """Sorts the windows of stretches by all their bytes and keeps those that
         an earlier document has."""
-        x = _unpack(table, _STRING)
+        x = unpack(table, _STRING)
         size = x["count"].astype(np.int64) + (length - 1)
         base = np.cumsum(size) - size
         entry = np.repeat(np.arange(len(size)), x["count"])
-        shift = _ranges(np.zeros(len(size), np.int64), x["count"].astype(np.int64))
+        shift = spread(np.zeros(len(size), np.int64), x["count"].astype(np.int64))
         out = {"home": []}, []
         if len(entry):
-            groups = _by(x["key"][entry] % np.uint64(1 + len(entry) // 500_000))
+            groups = grouped(x["key"][entry] % np.uint64(1 + len(entry) // 500_000))
             doc = x["ids"][x["at"]]
             hits = []
             for _, pick in groups:       # equal windows have equal keys
@@ -270,22 +235,15 @@ def repeated_ranges(docs: DataFrame, length: int, parts: int, homes: int, scratc
                 "at": x["at"][entry], "start": x["start"][entry] + shift, "count": np.ones(len(entry), np.int64),
                 "key": np.zeros(len(entry), np.uint64)}
             home = x["homes"][y["at"]]
-            for g, own in _by(home[hit]):
+            for g, own in grouped(home[hit]):
                 out[0]["home"].append(g)
-                out[1].append(_share(y, hit[own], _RANGE))
-        return pa.Table.from_batches([_rows(_RANGE, *out)])
+                out[1].append(share(y, hit[own], _RANGE))
+        return pa.Table.from_batches([rows_of(_RANGE, *out)])
 
-    inner = scratch.save(strings.groupBy("part").applyInArrow(compare, _packed(_RANGE, "home int")), "inner")
+    inner = scratch.save(strings.groupBy("part").applyInArrow(compare, schema(_RANGE, "home int")), "inner")
     return [whole, inner]
 
 
-def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """All numbers of the ranges ``start .. start + size``, one after another."""
-    ends = np.cumsum(size)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total) + np.repeat(start - (ends - size), size)
-
-
 def _find_rows(left, x) -> np.ndarray:
     """The row of ``left`` that has each text's id and mark, or -1."""
     rows = {(i, m): r for r, (i, m) in enumerate(zip(left.column("id").to_pylist(), left.column("mark").to_pylist(),
@@ -323,7 +281,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for r, im in enumerate(zip(left.column("id").to_pylist(), left.column("mark").to_pylist(), strict=True)):
             same.setdefault(im, []).append(r)
         if right.num_rows:
-            x = _unpack(right, _RANGE)
+            x = unpack(right, _RANGE)
             where = _find_rows(left, x)
             ok = where[x["at"]] >= 0
             begin = offsets[where[x["at"]][ok]] + x["start"][ok]
