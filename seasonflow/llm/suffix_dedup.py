@@ -119,8 +119,8 @@ def repeated_ranges(docs: DataFrame, length: int, parts: int, homes: int, scratc
                 yield pa.RecordBatch.from_arrays([pa.array((key ^ np.uint64(1 << 63)).view(np.int64))], ["key"])
 
     if parts > 1:
-        share = min(1.0, max(2000, 20 * parts) / max(1, docs.count()))
-        sample = map_arrow(texts.sample(share, 7), keys, "key long")
+        fraction = min(1.0, max(2000, 20 * parts) / max(1, docs.count()))
+        sample = map_arrow(texts.sample(fraction, 7), keys, "key long")
         found = sample.agg(F.percentile_approx("key", [i / parts for i in range(1, parts)], 100 * parts)).first()[0]
         splitters = np.unique(np.array(found or [], np.int64)).view(np.uint64) ^ np.uint64(1 << 63)
     else:
