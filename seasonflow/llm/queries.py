@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, line_dedup, mixing, packing, quality, secret_scan, suffix_dedup, warc
+from . import fingerprints, line_dedup, mixing, ngram_join, packing, quality, secret_scan, suffix_dedup, warc
 from .common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,12 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
 FROM f"""
 
 
+@query
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return ngram_join.link_groups(docs, words=3, min_pct=90).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text", "source")
