@@ -16,6 +16,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +84,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of a folder that tasks read and write themselves."""
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri[5:]
+    return pafs.FileSystem.from_uri(uri)
+
+
 class Scratch:
     """Intermediate tables of one operator run; ``drop`` removes those that no
     later step reads any more."""
@@ -92,9 +100,9 @@ class Scratch:
         self.spark = spark
         self.paths: dict[int, str] = {}
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         path = new_path(self.spark, name)
-        df.write.parquet(path)
+        df.write.option("compression", compression).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         out._scratch = self          # keeps ids unique while the table is in use

@@ -70,9 +70,9 @@ def pack_sizes(sizes: np.ndarray, capacity: int) -> np.ndarray:
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
-           capacity: int = 4096, end_id: int = 2, with_ids: bool = True) -> DataFrame:
+           capacity: int = 4096, end_id: int = 2, with_ids: bool = True, dtype: str = "<u4") -> DataFrame:
     """Tokenises whole texts and cuts them: ``doc_id, start, length, ids_crc32,
-    doc_tokens, row`` and, with ``with_ids``, ``ids`` (little-endian uint32).
+    doc_tokens, row`` and, with ``with_ids``, ``ids`` (binary, ``dtype``).
 
     Null text is empty, so that it is the end id alone.  Every row of ``docs`` is
     a document of its own, also where ids repeat or are null; ``row`` is its place
@@ -99,7 +99,8 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
                     for k in ("start", "length", "crc", "total", "row"))]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "row"]
             if with_ids:
-                cols, names = [*cols, binary(out["ids"])], [*names, "ids"]
+                ids = [np.frombuffer(x, "<u4").astype(dtype).tobytes() for x in out["ids"]]
+                cols, names = [*cols, binary(ids)], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(cols, names)
 
     kind = docs.schema[id_col].dataType.simpleString()

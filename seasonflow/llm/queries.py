@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, line_dedup, mixing, ngram_join, packing, quality, secret_scan, suffix_dedup, warc
+from . import fingerprints, line_dedup, mixing, ngram_join, packing, quality, secret_scan, suffix_dedup, token_shards, warc
 from .common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,15 @@ _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwx
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
+@query
+def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    path, index = token_shards.write_shards(docs, sequence=512, shard_records=16_384)
+    back = token_shards.read_slots(spark, path, with_ids=False).select("slot", "ids_crc32")
+    return (index.join(back, "slot", "left")
+            .select("doc_id", "start", "length", "slot", "shard", "shard_offset", "ids_crc32"))
+
+
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")

@@ -21,13 +21,12 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition,
                                     IsNotNull, IsNull, StringStartsWith, WriterCommitMessage)
 
-from .common import new_path, own_columns, prepare
+from .common import filesystem, new_path, own_columns, prepare
 
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
@@ -42,12 +41,6 @@ MANIFEST = "manifest.json"
 BATCH_BYTES = 4 << 20
 
 
-def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    if uri.startswith("file:/") and not uri.startswith("file://"):
-        uri = "file://" + uri[5:]
-    return pafs.FileSystem.from_uri(uri)
-
-
 def digest(payload: bytes) -> str:
     """Bare upper-case base32 SHA-1."""
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
@@ -155,7 +148,7 @@ class WarcReader(DataSourceReader):
 
     def __init__(self, options):
         self.path, self.payload = options["path"], options.get("payload", "full")
-        self.limit = int(options.get("partitionbytes", 128 << 20))
+        self.limit = int(options.get("partitionbytes", 32 << 20))
         self.tests = []
 
     def pushFilters(self, filters):
