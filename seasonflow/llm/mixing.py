@@ -87,11 +87,14 @@ def _pivot(size: np.ndarray, p: np.ndarray, draw: np.ndarray) -> tuple[np.ndarra
     return p, cur
 
 
-def _settle_large(size: np.ndarray, p: np.ndarray, draw: np.ndarray, share: float = 0.02) -> None:
+def _settle_large(size: np.ndarray, p: np.ndarray, draw: np.ndarray, share: float = 0.02, huge: float = 0.2) -> None:
     """Rounds, in place, documents of more than ``share`` of the words that are
     still open, against all smaller ones together: their probabilities move by one
     common step.  One by one these could never outweigh it, and it would be left
-    over.  A direction that the others cannot balance is not taken."""
+    over.  Where the others can balance one direction only, the document waits for
+    its turn, unless it has more than ``huge`` of all words: then that direction is
+    taken, as the other would miss the target."""
+    whole = size[(p > 1e-9) & (p < 1 - 1e-9)].sum()
     for i in range(len(p) - 1):
         rest = np.flatnonzero((p[i + 1:] > 1e-9) & (p[i + 1:] < 1 - 1e-9)) + i + 1
         total = size[rest].sum()
@@ -101,7 +104,7 @@ def _settle_large(size: np.ndarray, p: np.ndarray, draw: np.ndarray, share: floa
             continue
         up, down = (1 - p[i]) * size[i] / total, p[i] * size[i] / total
         can_up, can_down = up <= p[rest].min(), down <= 1 - p[rest].max()
-        if not (can_up or can_down):
+        if not (can_up and can_down) and not ((can_up or can_down) and size[i] > huge * whole):
             continue
         if can_up and (draw[i] < p[i] or not can_down):
             p[i], p[rest] = 1.0, p[rest] - up

@@ -203,7 +203,8 @@ def _meetings(sets: DataFrame, min_pct: int, grams: int) -> DataFrame:
 
 def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of every set in ``a`` with every set in ``b``,
-    counted per vertical fragment of their common order and summed."""
+    counted per vertical fragment of their common order and summed.  Where both
+    are the same list, a set's count with itself is left incomplete."""
     out = np.zeros((len(a), len(b)), np.float32)
     both = a if a is b else [*a, *b]
     key = np.concatenate(both)
