@@ -18,6 +18,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,15 +76,16 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
     doc_tokens, row`` and, with ``with_ids``, ``ids`` (binary, ``dtype``).
 
     Null text is empty, so that it is the end id alone.  Every row of ``docs`` is
-    a document of its own, also where ids repeat or are null; ``row`` is its place
-    among the rows its task read and spreads equal ids over groups.
+    a document of its own, also where ids repeat or are null; ``row`` numbers rows
+    (task, then place among the rows it read), tells such rows apart and spreads
+    them over groups.
     """
     own_columns(docs, id_col, text_col)
     path = tokenizer or public_path(TOKENIZER)
     end = np.array([end_id], np.uint32).tobytes()
 
     def cut(batches):
-        enc, row = encoder(path), 0
+        enc, row = encoder(path), TaskContext.get().partitionId() << 33
         for b in batches:
             out = {k: [] for k in ("at", "start", "length", "crc", "total", "row", "ids")}
             for i, text in enumerate(b.column(1)):

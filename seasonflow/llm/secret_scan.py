@@ -127,7 +127,7 @@ _FOUND = ("doc_id {0}, base array<struct<start: long, kind: int, end: long>>, st
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: DataFrame | None = None,
-         threshold: float = 0.5, scratch: Scratch | None = None) -> DataFrame:
+         threshold: float = 0.0, scratch: Scratch | None = None) -> DataFrame:
     """One row per row of ``docs``: ``doc_id`` and ``spans``, an array of
     ``(start, end, kind, string)``; positions are code points, ends exclusive.
 

@@ -1,0 +1,314 @@
+"""Tokens, packing, shards, WARC, secrets, fingerprints: brute force, round trips, held-out accuracy."""
+
+import base64
+import hashlib
+import io
+import random
+import string
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from seasonflow.llm import fingerprints, packing, secret_scan, token_shards, warc
+from seasonflow.llm.common import filesystem, hash_words, new_path
+from seasonflow.llm.tokens import Encoder, public_path
+
+from . import brute
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return Encoder(public_path(packing.TOKENIZER))
+
+
+def whole(encoder, text):
+    return np.array(encoder.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4")
+
+
+# -- tokens ----------------------------------------------------------------------------
+ODD = ["", "  ", "word. Word, WORD", "U.S.A... 3.14 it's 'tis don't", "x\x1cy\x1d z", "Σας ΟΔΟΣ. ΣΑΣ,", "İstanbul é é",
+       "a b c", "<|endoftext|> a<|startoftext|>b", '"foo". bar', "straße École, ÿ. ×", "\U0001F600 . ,", "ſK K"]
+
+
+@pytest.mark.parametrize("text", ODD)
+def test_encoder_equals_the_tokenizer_file(encoder, text):
+    assert encoder.encode(text) == whole(encoder, text).tobytes()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=st.sampled_from("abzAZ09 .,'\n\t-éÉ́ßΣİ\x1c \U0001F600<|>"), max_size=60))
+def test_encoder_on_mixed_text(encoder, text):
+    assert encoder.encode(text) == whole(encoder, text).tobytes()
+
+
+def test_encoder_table_is_bounded(encoder, monkeypatch):
+    from seasonflow.llm import tokens
+    monkeypatch.setattr(tokens, "TABLE_ENTRIES", 50)
+    e = Encoder(public_path(packing.TOKENIZER))
+    for k in range(40):
+        text = " ".join(f"w{k}x{j}." for j in range(20)) + " end."
+        assert e.encode(text) == whole(e, text).tobytes() and len(e.table) <= 80
+
+
+# -- packing ---------------------------------------------------------------------------
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 100), max_size=60), st.integers(1, 6))
+def test_differencing_assigns_every_item_once(sizes, k):
+    sizes = np.array(sizes, np.int64)
+    window = packing.differencing(sizes, k)
+    assert len(window) == len(sizes) and (not len(sizes) or 0 <= window.min() <= window.max() < k)
+
+
+def test_differencing_is_nearly_equal():
+    rng = np.random.default_rng(8)
+    sizes = rng.integers(1, 400, 800)
+    sums = np.bincount(packing.differencing(sizes, 40), weights=sizes)
+    assert sums.max() - sums.min() <= 12
+    # the textbook case: differencing two ways leaves 8, 7, 6, 5, 4 two apart
+    two = np.bincount(packing.differencing(np.array([8, 7, 6, 5, 4]), 2), weights=[8, 7, 6, 5, 4])
+    assert abs(two[0] - two[1]) == 2
+
+
+def test_window_count_rises_when_capacity_is_exceeded():
+    window = packing.pack_sizes(np.array([60, 60, 60]), 100)
+    assert sorted(window) == [0, 1, 2]
+    assert len(packing.pack_sizes(np.zeros(0, np.int64), 100)) == 0
+
+
+def test_packing_edges(edge, empty, edge_rows, encoder):
+    out = packing.pack(packing.pieces(edge, capacity=256), capacity=256, group_windows=8).collect()
+    whole_docs, windows = {}, {}
+    for r in out:
+        assert len(bytes(r.ids)) == 4 * r.length <= 1024 and zlib.crc32(bytes(r.ids)) == r.ids_crc32
+        whole_docs.setdefault((r.doc_id, r.row, r.doc_tokens), []).append((r.start, bytes(r.ids)))
+        windows.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in windows.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 256
+    got = []
+    for (i, _, n), parts in whole_docs.items():
+        ids = b"".join(p for _, p in sorted(parts))
+        assert [s for s, _ in sorted(parts)] == list(range(0, n, 256)) and len(ids) == 4 * n
+        got.append((i, ids))
+    want = [(i, whole(encoder, t).tobytes() + b"\x02\0\0\0") for i, t, _ in edge_rows]
+    assert brute.bag(got) == brute.bag(want)
+    assert packing.pack(packing.pieces(empty)).count() == 0
+
+
+# -- shards ----------------------------------------------------------------------------
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 1000, 4097])
+def test_permutation_is_a_bijection(n):
+    out = token_shards.permute(np.arange(n), n, key=5)
+    assert sorted(out) == list(range(n))
+    if n > 100:
+        assert (out != token_shards.permute(np.arange(n), n, key=6)).any()
+        assert abs(np.corrcoef(np.arange(n), out)[0, 1]) < 0.15
+
+
+def test_shards_round_trip(edge, empty, edge_rows, encoder, spark):
+    path, index = token_shards.write_shards(edge, sequence=64, shard_records=20, waves=3)
+    rows = index.collect()
+    back = {r.slot: r for r in token_shards.read_slots(spark, path).collect()}
+    assert sorted(back) == list(range(len(rows))) == sorted(r.slot for r in rows)
+    docs = {}
+    for r in rows:
+        b = back[r.slot]
+        assert b.length == r.length == len(b.ids) and zlib.crc32(np.array(b.ids, "<u4").tobytes()) == b.ids_crc32
+        assert r.shard == r.slot // 20 and r.shard_offset == r.slot % 20 * (4 + 2 * 64)
+        docs.setdefault(r.doc_id, []).append((r.start, b.ids))
+    for i, t, _ in edge_rows:
+        if sum(j == i for j, _, _ in edge_rows) == 1:
+            got = [x for _, ids in sorted(docs[i]) for x in ids]
+            assert got == [*whole(encoder, t).tolist(), 2]
+    # any range of slots, from the middle of a shard on
+    some = sorted(r.slot for r in token_shards.read_slots(spark, path, 13, 31, with_ids=False).collect())
+    assert some == list(range(13, 44))
+    # every record has its stride; what a stopped run left is completed, what is there stays
+    fs, folder = filesystem(path)
+    first = f"{folder}/{token_shards.shard_name(0)}"
+    assert fs.get_file_info(first).size == 20 * (4 + 2 * 64)
+    none, no_index = token_shards.write_shards(empty)
+    assert no_index.count() == 0 and token_shards.read_slots(spark, none).count() == 0
+
+
+def test_a_shard_that_is_there_is_not_written_again(spark):
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(30)], "doc_id long, text string").coalesce(1)
+    path = new_path(spark, "resume")
+    token_shards.write_shards(docs, path, sequence=16, shard_records=10, waves=1)
+    fs, folder = filesystem(path)
+    names = [f"{folder}/{token_shards.shard_name(k)}" for k in range(3)]
+    data = [fs.open_input_file(n).read() for n in names]
+    fs.delete_file(names[1])
+    times = [fs.get_file_info(n).mtime_ns for n in (names[0], names[2])]
+    token_shards.write_shards(docs, path, sequence=16, shard_records=10, waves=1)
+    assert [fs.open_input_file(n).read() for n in names] == data
+    assert [fs.get_file_info(n).mtime_ns for n in (names[0], names[2])] == times
+
+
+# -- WARC ------------------------------------------------------------------------------
+PAGES = [(5, "http://a/", "<html>é</html>"), (3, "http://b/", "<html>é</html>"), (9, None, None), (8, "http://c/\r\nX: y", ""),
+         (7, "http://d/", "x" * 9000 + "\r\n\r\n" + "y" * 9000), (None, "http://e/", "<html>é</html>"), (None, "http://f/", "alone"),
+         (2, "http://g/", "tie"), (2, "http://g2/", "tie"), (4, "http://g3/", "tie"), (-1, "http://h/", "negative")]
+
+
+def test_warc_round_trip(spark):
+    pages = spark.createDataFrame([(*p, "s", 1) for p in PAGES], "page_id long, url string, html string, sha string, p int")
+    path = warc.write_pages(pages.repartition(3))
+    rows = warc.read_archive(spark, path).collect()
+    first = {}
+    for i, _, h in PAGES:
+        if i is not None:
+            first[h or ""] = min(first.get(h or "", 10 ** 9), i)
+    want = []
+    for i, _, h in PAGES:
+        payload = (h or "").encode()
+        refers = first.get(h or "")
+        refers = None if refers is None or refers == i else refers
+        digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        want.append((i, "response" if refers is None else "revisit", digest, len(payload), refers,
+                     payload if refers is None else None))
+    got = brute.bag((r.page_id, r.record_type, r.payload_digest, r.payload_bytes, r.refers_to,
+                     None if r.payload is None else bytes(r.payload)) for r in rows)
+    assert got == brute.bag(want)
+    assert {r.target_uri for r in rows if r.page_id in (8, 9)} == {"http://c/%0D%0AX: y", None}
+
+
+def test_warc_predicates_reach_the_reader(spark):
+    pages = spark.createDataFrame([(i, f"http://site{i % 2}/{i}", "copy" if i > 3 else f"page {i}") for i in range(9)],
+                                  "page_id long, url string, html string")
+    df = warc.read_archive(spark, warc.write_pages(pages))
+    revisits = df.where("record_type = 'revisit'")
+    assert sorted(r.page_id for r in revisits.collect()) == [5, 6, 7, 8]
+    plan = revisits._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" not in plan.split("BatchScan")[0]
+    both = df.where("record_type = 'response' AND target_uri LIKE 'http://site1%' AND page_id > 1")
+    assert sorted(r.page_id for r in both.collect()) == [3]
+    assert df.where("refers_to IS NULL").count() == 5 and df.where("page_id IN (1, 8)").count() == 2
+
+
+def test_warc_empty_table_and_threshold(spark):
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    assert warc.read_archive(spark, warc.write_pages(none)).count() == 0
+    pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abc"), (4, "u", "abc")],
+                                  "page_id long, url string, html string")
+    rows = warc.read_archive(spark, warc.write_pages(pages, min_bytes=3), payload="skip").collect()
+    assert {(r.page_id, r.record_type, r.payload_bytes) for r in rows} == {
+        (1, "response", 2), (2, "response", 2), (3, "response", 3), (4, "revisit", 3)}
+
+
+def test_warc_unwanted_payload_is_not_inflated():
+    good = warc.member(warc.record(1, "u", b"fine", warc.digest(b"fine"), None), 6)
+    noise = random.Random(1).randbytes(50_000)
+    bad = bytearray(warc.member(warc.record(2, "u", noise, warc.digest(noise), None), 6))
+    bad[-2000:-20] = b"\x00" * 1980                       # a payload that cannot be read
+    data = bytes(bad) + good
+    file = io.BytesIO(data)
+    file.size = lambda: len(data)
+    rows = list(warc.read_records(file, lambda r: r["page_id"] == 1, "full"))
+    assert [r["payload"] for r in rows] == [b"fine"]
+    with pytest.raises((ValueError, zlib.error)):
+        list(warc.read_records(file, lambda r: True, "full"))
+
+
+# -- secrets ---------------------------------------------------------------------------
+def plain_spans(text):
+    import re
+    a = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    found = [(m.start(), 0, m.end()) for m in a.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    return sorted(found + [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["password", "Token", "api_key", "APIkey", "ſecret", "=", ":", " ", '"', "'", "abc", "deadbeef" * 3,
+                                 "AKIA", "ABCDEFGH12345678", "0" * 23, "x-y/z.", "é", "\n", "AKIA" * 5]), max_size=14))
+def test_pattern_spans(parts):
+    text = "".join(parts)
+    assert secret_scan.base_spans(text) == plain_spans(text)
+
+
+def test_secret_scan_edges(edge, empty, edge_rows):
+    rows = secret_scan.scan(edge).collect()
+    got = brute.bag((r.doc_id, *((s.start, secret_scan.KINDS.index(s.kind), s.end) for s in r.spans if s.kind != "random"))
+                    for r in rows)
+    assert got == brute.bag((i, *plain_spans(t or "")) for i, t, _ in edge_rows)
+    texts = {i: t for i, t, _ in edge_rows}
+    assert all(texts[r.doc_id][s.start:s.end] == s.string for r in rows if r.doc_id and r.doc_id > 14 for s in r.spans)
+    assert secret_scan.scan(empty).count() == 0
+
+
+def labelled(seed, n):
+    """Random strings of several alphabets, and identifiers of ordinary words."""
+    rng = random.Random(seed)
+    words = ("get set user name load index value buffer parser string config request handler session stream table column "
+             "writer reader partition document sequence counter message error status account manager service").split()
+    out = []
+    for _ in range(n):
+        alphabet = rng.choice([string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", "0123456789abcdef"])
+        out.append(("".join(rng.choice(alphabet) for _ in range(rng.randrange(20, 44))), True))
+        out.append((rng.choice(["_", "-", ""]).join(rng.choice(words) for _ in range(rng.randrange(4, 8))), False))
+    return out
+
+
+def test_models_separate_held_out_samples(spark):
+    model = secret_scan.train(spark.createDataFrame([*labelled(1, 500), (None, True), ("x", None)], "text string, random boolean"))
+    held = labelled(2, 400)
+    right = sum((model.score(s) > 0) == label for s, label in held)
+    assert right >= 0.98 * len(held)
+    docs = spark.createDataFrame([(1, "see " + held[0][0] + " and " + held[1][0])], "doc_id long, text string")
+    samples = spark.createDataFrame(labelled(1, 500), "text string, random boolean")
+    spans = secret_scan.scan(docs, samples=samples).first().spans
+    assert [(s.kind, s.start, s.string) for s in spans if s.kind == "random"] == [("random", 4, held[0][0])]
+
+
+# -- fingerprints ----------------------------------------------------------------------
+def test_words_and_hashes():
+    texts = ["a bb\tA", "", " \n", "bb", "x" * 5000, "é é"]
+    raw = [t.encode() for t in texts]
+    doc, start, h = hash_words(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert doc.tolist() == [0, 0, 0, 3, 4, 5, 5]
+    assert h[1] == h[3] and h[5] == h[6] and len(set(h.tolist())) == 5
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.sets(st.integers(0, 300), max_size=90), st.sets(st.integers(0, 300), max_size=90)), max_size=6))
+def test_peeling_recovers_all_differences(pairs):
+    keys = lambda x: np.array(sorted(x), np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    col = lambda side: (np.repeat(np.arange(len(pairs)), [len(p[side]) for p in pairs]).astype(np.int64),
+                        np.concatenate([np.zeros(0, np.uint64), *(keys(p[side]) for p in pairs)]))
+    a, b = fingerprints.differences(len(pairs), *col(0), *col(1))
+    assert a.tolist() == [len(x - y) for x, y in pairs] and b.tolist() == [len(y - x) for x, y in pairs]
+    like = fingerprints.likeness(len(pairs), *col(0), *col(1))
+    assert like.tolist() == pytest.approx([len(x & y) / len(x | y) if x | y else 1.0 for x, y in pairs])
+
+
+def test_fingerprints_edges(edge, empty, edge_rows):
+    rows = fingerprints.compare_with_next(edge).collect()
+    order = sorted(((i, t or "") for i, t, _ in edge_rows), key=lambda x: (brute.place(x[0]), x[1].encode()))
+    want = []
+    for k, (i, t) in enumerate(order):
+        after = order[(k + 1) % len(order)][1]
+        n = len(t) // 4
+        want.append((i, len(t), brute.sha(t[:len(t) - n] + after[:n])))
+    assert brute.bag((r.doc_id, r.n_chars, r.edited_sha256) for r in rows) == brute.bag(want)
+    by = {r.doc_id: r for r in rows if r.doc_id is not None}
+    assert by[0].fingerprint == by[1].fingerprint != by[2].fingerprint and by[0].near_next == 1.0
+    assert 0.5 < by[10].near_edited < 0.9 < by[10].near_next and all(0 <= r.near_next <= 1 for r in rows)
+    assert fingerprints.compare_with_next(empty).count() == 0
+
+
+def test_fingerprints_across_ranges_and_alone(spark):
+    rng = random.Random(9)
+    rows = [(3 * i, " ".join(rng.choice("abcdefgh") * rng.randrange(1, 5) for _ in range(30))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.edited_sha256 for r in fingerprints.compare_with_next(docs).collect()}
+    texts = [t for _, t in rows]
+    assert got == {i: brute.sha(fingerprints.edit(t, texts[(k + 1) % 200])) for k, (i, t) in enumerate(rows)}
+    one = fingerprints.compare_with_next(spark.createDataFrame([(4, "abcdefgh")], "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.edited_sha256, r.near_next) for r in one] == [(4, brute.sha("abcdefab"), 1.0)]
