@@ -210,10 +210,6 @@ def surrogate_key(*cols) -> Column:
 
 
 # F28 / F29 ---------------------------------------------------------------
-def bool_rank(b) -> Column:
-    return _c(b).cast("int")
-
-
 def text_to_bool(t) -> Column:
     return _c(t).try_cast("boolean")
 
@@ -244,8 +240,8 @@ def penalty_severity(type_code, minutes) -> Column:
 
 def save_pct_tier(pct) -> Column:
     p = _c(pct)
-    return (F.when(p >= 0.950, "Elite").when(p >= 0.920, "Great")
-            .when(p >= 0.900, "Good").when(p >= 0.880, "Average").otherwise("Poor"))
+    return (F.when(p >= 0.950, "Elite").when(p >= 0.920, "Excellent")
+            .when(p >= 0.900, "Good").when(p >= 0.880, "Average").otherwise("Below Average"))
 
 
 def strength_columns(code, event_team, home_team, away_team) -> dict[str, Column]:

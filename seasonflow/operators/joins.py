@@ -52,19 +52,18 @@ def anti(df: DataFrame, keys: DataFrame, on) -> DataFrame:
 def not_in(df: DataFrame, col: str, sub: DataFrame, sub_col: str) -> DataFrame:
     """SQL ``col NOT IN (select sub_col ...)`` with its NULL semantics.
 
-    A NULL on the left never qualifies; a NULL anywhere in the subquery makes
-    the predicate unknown for every row, so the result is empty.  The NULL
-    test is a one-row global aggregate (bounded, broadcast), and the anti join
-    itself is a regular shuffle/broadcast join chosen by AQE.
+    A NULL on the left qualifies only when the subquery is empty; a NULL
+    anywhere in the subquery makes the predicate unknown for every row, so the
+    result is empty.  Both facts are a one-row global aggregate (bounded,
+    broadcast), and the anti join itself is a regular shuffle/broadcast join
+    chosen by AQE.
     """
     sub_keys = sub.select(F.col(sub_col).alias("__k"))
-    has_null = sub_keys.agg(F.max(F.col("__k").isNull().cast("int")).alias("__has_null"))
-    kept = (df.filter(F.col(col).isNotNull())
-              .join(sub_keys.filter(F.col("__k").isNotNull()),
-                    F.col(col) == F.col("__k"), "left_anti"))
-    return (kept.crossJoin(F.broadcast(has_null))
-                .filter(F.coalesce(F.col("__has_null"), F.lit(0)) == 0)
-                .drop("__has_null"))
+    facts = sub_keys.agg(F.count(F.lit(1)).alias("__rows"), F.count_if(F.col("__k").isNull()).alias("__nulls"))
+    kept = df.join(sub_keys.filter(F.col("__k").isNotNull()), F.col(col) == F.col("__k"), "left_anti")
+    return (kept.crossJoin(F.broadcast(facts))
+                .filter((F.col("__nulls") == 0) & (F.col(col).isNotNull() | (F.col("__rows") == 0)))
+                .drop("__rows", "__nulls"))
 
 
 def both_sides_in(games: DataFrame, participants: DataFrame, period_col: str,
@@ -103,8 +102,16 @@ def opponent_join(df: DataFrame, group: Sequence[str], side: str,
 
 
 def scalar_join(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a one-row scalar result to every row (J08, J16): bounded broadcast."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Attach a one-row scalar result to every row.
+
+    The scalar side is folded into exactly one row, whose values are NULL when it
+    has none; with more than one row the query fails, as a SQL scalar subquery does.
+    """
+    cols = one_row.columns
+    folded = one_row.agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in cols])
+    checked = folded.select(*[F.when(F.col("__n") > 1, F.raise_error(F.lit("a scalar subquery gave more than one row")))
+                              .otherwise(F.col(c)).alias(c) for c in cols])
+    return df.crossJoin(F.broadcast(checked))
 
 
 def key_by_case(df: DataFrame, name: str, expr: Column) -> DataFrame:

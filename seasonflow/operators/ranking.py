@@ -106,9 +106,3 @@ def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
     """Global top-k: ``orderBy().limit()`` plans as TakeOrderedAndProject
     (each task keeps k rows; the driver merges k x partitions)."""
     return df.orderBy(*order).limit(k)
-
-
-def top_k_per_group(df: DataFrame, k: int, group: Sequence[str], order: Sequence[Column],
-                    name: str = "rn") -> DataFrame:
-    w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k)

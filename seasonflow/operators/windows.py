@@ -54,15 +54,3 @@ def partition_counts(df: DataFrame, group: Sequence[str],
         e = F.col(g).eqNullSafe(F.col(f"__g_{g}"))
         cond = e if cond is None else cond & e
     return df.join(stats, cond, "left").drop(*[f"__g_{g}" for g in group])
-
-
-def previous_value(df: DataFrame, group: Sequence[str], order: Sequence[Column],
-                   cols: Mapping[str, str]) -> DataFrame:
-    """``lag(col)`` per group (W09); ``cols`` maps output -> input."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    return df.select("*", *[F.lag(c).over(w).alias(o) for o, c in cols.items()])
-
-
-def group_max(df: DataFrame, group: Sequence[str], col: str, name: str) -> DataFrame:
-    """Per-group maximum carried on every row."""
-    return df.withColumn(name, F.max(col).over(Window.partitionBy(*group)))

@@ -22,3 +22,5 @@ class Params:
     # When True, period 5 is always labelled a shootout (the reference's rule);
     # otherwise the feed's period type decides.
     period5_is_shootout: bool = False
+    # Folder of player pictures, used where the roster has none (None: no picture).
+    headshot_prefix: str | None = None

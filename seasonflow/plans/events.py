@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonflow.functions import exprs as X
+from seasonflow.operators import joins as J
 from seasonflow.operators.netting import offset_netting
 from seasonflow.operators.reshape import unpivot_structs
 from seasonflow.plans.registry import register, rr, sql
@@ -56,15 +57,15 @@ FROM pen p GROUP BY p.game_id, p.side
 # -------------------------------------------------------------- attribution
 def attributed_plays(bed: Bed) -> DataFrame:
     """Primary / secondary / tertiary actor by event type."""
-    p = bed.plays()
-    t, u, k = F.col("type"), F.col("player"), F.col("k")
+    p = J.scalar_join(bed.plays(), bed.player_range())
+    t, u, k, n = F.col("type"), F.col("player"), F.col("k"), F.col("n_players")
     primary = (F.when(t.isin("purchase", "click", "view", "signup"), u)
                 .when(t == "error", F.when(k % 5 == 0, F.lit(None)).otherwise(u)))
-    served = F.when((t == "error") & (k % 5 == 0), (u + 1) % 150)
-    secondary = (F.when(t == "purchase", (u + k) % 150).when(t == "click", (u + 75) % 150)
-                  .when(t == "view", (u + k) % 150).when(t == "error", (u + 2 * k) % 150)
-                  .when(t == "signup", (u + 1) % 150))
-    tertiary = F.when((t == "purchase") & (k % 2 == 1), (u + 2 * k) % 150)
+    served = F.when((t == "error") & (k % 5 == 0), (u + 1) % n)
+    secondary = (F.when(t == "purchase", (u + k) % n).when(t == "click", (u + 75) % n)
+                  .when(t == "view", (u + k) % n).when(t == "error", (u + 2 * k) % n)
+                  .when(t == "signup", (u + 1) % n))
+    tertiary = F.when((t == "purchase") & (k % 2 == 1), (u + 2 * k) % n)
     return p.select("play_id", "play_date", "type",
                     F.coalesce(primary, served).alias("primary_player"),
                     secondary.alias("secondary_player"), tertiary.alias("tertiary_player"))
@@ -104,17 +105,18 @@ def event_attribution(spark: SparkSession, root: str) -> DataFrame:
 
 
 register("event_attribution", sql("""
+, plays_n AS (SELECT plays.*, (SELECT max(user_id) + 1 FROM events) AS n FROM plays)
 , r AS (
   SELECT play_date, player AS p, CASE type WHEN 'purchase' THEN 'goal' WHEN 'click' THEN 'shot' WHEN 'view' THEN 'hit'
          WHEN 'error' THEN 'penalty' ELSE 'faceoff_won' END AS role
-  FROM plays WHERE NOT (type = 'error' AND k % 5 = 0)
-  UNION ALL SELECT play_date, (player + 1) % 150, 'penalty' FROM plays WHERE type = 'error' AND k % 5 = 0
-  UNION ALL SELECT play_date, (player + k) % 150, 'assist' FROM plays WHERE type = 'purchase'
-  UNION ALL SELECT play_date, (player + 2 * k) % 150, 'assist' FROM plays WHERE type = 'purchase' AND k % 2 = 1
-  UNION ALL SELECT play_date, (player + 75) % 150, 'shot_faced' FROM plays WHERE type = 'click'
-  UNION ALL SELECT play_date, (player + k) % 150, 'hit_taken' FROM plays WHERE type = 'view'
-  UNION ALL SELECT play_date, (player + 2 * k) % 150, 'penalty_drawn' FROM plays WHERE type = 'error'
-  UNION ALL SELECT play_date, (player + 1) % 150, 'faceoff_lost' FROM plays WHERE type = 'signup')
+  FROM plays_n WHERE NOT (type = 'error' AND k % 5 = 0)
+  UNION ALL SELECT play_date, (player + 1) % n, 'penalty' FROM plays_n WHERE type = 'error' AND k % 5 = 0
+  UNION ALL SELECT play_date, (player + k) % n, 'assist' FROM plays_n WHERE type = 'purchase'
+  UNION ALL SELECT play_date, (player + 2 * k) % n, 'assist' FROM plays_n WHERE type = 'purchase' AND k % 2 = 1
+  UNION ALL SELECT play_date, (player + 75) % n, 'shot_faced' FROM plays_n WHERE type = 'click'
+  UNION ALL SELECT play_date, (player + k) % n, 'hit_taken' FROM plays_n WHERE type = 'view'
+  UNION ALL SELECT play_date, (player + 2 * k) % n, 'penalty_drawn' FROM plays_n WHERE type = 'error'
+  UNION ALL SELECT play_date, (player + 1) % n, 'faceoff_lost' FROM plays_n WHERE type = 'signup')
 SELECT p AS player, play_date, count_if(role = 'goal') AS goals, count_if(role = 'assist') AS assists,
        count_if(role = 'shot') AS shots, count_if(role = 'shot_faced') AS shot_faceds,
        count_if(role = 'hit') AS hits, count_if(role = 'hit_taken') AS hit_takens,

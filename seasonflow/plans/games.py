@@ -215,8 +215,8 @@ def goalie_game_line(spark: SparkSession, root: str) -> DataFrame:
 
     def pct_at_least(num, den):   # saves / shots >= num / den, exactly
         return (sa > 0) & (saves * den >= sa * num)
-    tier = (F.when(pct_at_least(950, 1000), "Elite").when(pct_at_least(920, 1000), "Great")
-             .when(pct_at_least(900, 1000), "Good").when(pct_at_least(880, 1000), "Average").otherwise("Poor"))
+    tier = (F.when(pct_at_least(950, 1000), "Elite").when(pct_at_least(920, 1000), "Excellent")
+             .when(pct_at_least(900, 1000), "Good").when(pct_at_least(880, 1000), "Average").otherwise("Below Average"))
     avg = F.lit(Decimal("0.910")).cast("decimal(4,3)")
     return g.select(
         "game_id", "player", "season", "shots_against", "goals_against", saves.alias("saves"), "toi",
@@ -240,10 +240,10 @@ SELECT game_id, player, season, shots_against, goals_against, shots_against - go
        coalesce(""" + rr("goals_against", "toi", 2, 3600) + """, 0.0) AS ga_per_60,
        goals_against = 0 AND toi > 0 AND keepers_used = 1 AS is_shutout,
        CASE WHEN shots_against > 0 AND (shots_against - goals_against) * 1000 >= shots_against * 950 THEN 'Elite'
-            WHEN shots_against > 0 AND (shots_against - goals_against) * 1000 >= shots_against * 920 THEN 'Great'
+            WHEN shots_against > 0 AND (shots_against - goals_against) * 1000 >= shots_against * 920 THEN 'Excellent'
             WHEN shots_against > 0 AND (shots_against - goals_against) * 1000 >= shots_against * 900 THEN 'Good'
             WHEN shots_against > 0 AND (shots_against - goals_against) * 1000 >= shots_against * 880 THEN 'Average'
-            ELSE 'Poor' END AS save_tier,
+            ELSE 'Below Average' END AS save_tier,
        starter, NOT starter AND toi > 0 AS is_relief,
        starter AND shots_against > 0 AND (shots_against - goals_against) * 1000 >= shots_against * 917
          AND goals_against <= 2 AS quality_start,

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from seasonflow.functions import exprs as X
 from seasonflow.operators import dedup as D
+from seasonflow.operators import ranking as R
 from seasonflow.plans.registry import register, sql
 from seasonflow.plans.testbed import Bed
 
+CARD_ROWS = 2000      # fixed value: rows the standings card shows
 
 def dedup_latest(spark: SparkSession, root: str) -> DataFrame:
     """One row per user — the latest event (ts desc, event id desc)."""
@@ -119,15 +121,14 @@ ORDER BY o_totalprice DESC, o_orderkey
 
 
 def limited_series(spark: SparkSession, root: str) -> DataFrame:
-    """Newest 2,000 snapshot rows (the card's row cap is the feature),
-    then re-sorted oldest first."""
+    """The newest snapshot rows up to the card's own limit, then
+    re-sorted oldest first."""
     s = Bed(spark, root).snapshots()
-    newest = s.orderBy(F.col("play_date").desc(), F.col("player").asc()).limit(2000)
-    return newest.orderBy("play_date", "player")
+    return R.top_k(s, CARD_ROWS, [F.col("play_date").desc(), F.col("player").asc()]).orderBy("play_date", "player")
 
 
-register("limited_series", sql("""
-SELECT * FROM (SELECT * FROM snapshots ORDER BY play_date DESC, player ASC LIMIT 2000) ORDER BY play_date, player
+register("limited_series", sql(f"""
+SELECT * FROM (SELECT * FROM snapshots ORDER BY play_date DESC, player ASC LIMIT {CARD_ROWS}) ORDER BY play_date, player
 """))(limited_series)
 
 

@@ -200,7 +200,7 @@ register("composite_score", sql(_BLEND_SQL + """
   FROM comp)
 SELECT *, CAST(row_number() OVER (ORDER BY power_score DESC, team) AS INTEGER) AS power_rank,
        round(power_score, 1) AS power_score_display,
-       CASE prev_playoff_round WHEN 4 THEN 'Finalist' WHEN 3 THEN 'Conference Final' WHEN 2 THEN 'Second Round'
-            WHEN 1 THEN 'First Round' ELSE 'Missed Playoffs' END AS prev_playoff_label
+       CASE prev_playoff_round WHEN 4 THEN 'Cup Finals' WHEN 3 THEN 'Conference Finals' WHEN 2 THEN 'Second Round'
+            WHEN 1 THEN 'First Round' WHEN 0 THEN 'Missed Playoffs' END AS prev_playoff_label
 FROM fin
 """))(composite_score)

@@ -3,9 +3,12 @@ team-game table, so one implementation serves every binding.
 
 Input columns (one row per team per game):
   season, team, opponent, game_id, game_date, game_type ('regular' | 'playoff'),
-  goals_for, goals_against, shots, pp_goals, pp_attempts, pk_attempts,
+  goals_for, goals_against, points, shots, pp_goals, pp_attempts, pk_attempts,
   pk_goals_against
 
+``points`` are the standings points of the game (2 for a win, 1 for an overtime
+or shootout loss), so a season's points are 2 W + OTL.
+
 After the first aggregation every frame is at team grain — bounded by the
 league size — so the global windows and the one-row min/max broadcast never
 see fact-grain rows.
@@ -44,11 +47,6 @@ def _div(a, b) -> Column:
     return F.try_divide(_f(a), _f(b))
 
 
-def _pts() -> Column:
-    return (F.when(F.col("goals_for") > F.col("goals_against"), 2)
-             .when(F.col("goals_for") == F.col("goals_against"), 1).otherwise(0))
-
-
 def season_scalars(g: DataFrame) -> DataFrame:
     """One row: current season = max, previous = max below it.
 
@@ -66,12 +64,17 @@ def in_season(df: DataFrame, sc: DataFrame, which: str) -> DataFrame:
     return df.join(F.broadcast(sc.select(F.col(which).alias("season"))), "season", "inner")
 
 
+def _overtime_loss() -> Column:
+    """A lost game that still gave a point."""
+    return (F.col("goals_for") < F.col("goals_against")) & (F.col("points") == 1)
+
+
 def record_table(g: DataFrame) -> DataFrame:
     return g.groupBy("team").agg(
         F.count(F.lit(1)).alias("gp"),
         F.count_if(F.col("goals_for") > F.col("goals_against")).alias("wins"),
         F.count_if(F.col("goals_for") < F.col("goals_against")).alias("losses"),
-        F.count_if(F.col("goals_for") == F.col("goals_against")).alias("ties"),
+        F.count_if(_overtime_loss()).alias("ot_losses"), F.sum("points").alias("points"),
         F.sum("goals_for").alias("gf"), F.sum("goals_against").alias("ga"),
         F.sum("shots").alias("shots"), F.sum("pp_goals").alias("pp_goals"),
         F.sum("pp_attempts").alias("pp_attempts"), F.sum("pk_attempts").alias("pk_attempts"),
@@ -81,11 +84,10 @@ def record_table(g: DataFrame) -> DataFrame:
 def _split_table(g: DataFrame) -> DataFrame:
     """Regular-season record and playoff record per team in ONE aggregate."""
     reg, po = F.col("game_type") == "regular", F.col("game_type") == "playoff"
-    w, l, t = (F.col("goals_for") > F.col("goals_against"), F.col("goals_for") < F.col("goals_against"),
-               F.col("goals_for") == F.col("goals_against"))
+    w, l = F.col("goals_for") > F.col("goals_against"), F.col("goals_for") < F.col("goals_against")
     return g.groupBy("team").agg(
         F.count_if(reg).alias("gp"), F.count_if(reg & w).alias("wins"), F.count_if(reg & l).alias("losses"),
-        F.count_if(reg & t).alias("ties"), F.sum(F.when(reg, F.col("goals_for"))).alias("gf"),
+        F.sum(F.when(reg, F.col("points"))).alias("points"), F.sum(F.when(reg, F.col("goals_for"))).alias("gf"),
         F.sum(F.when(reg, F.col("goals_against"))).alias("ga"),
         F.count_if(po).alias("p_gp"), F.count_if(po & w).alias("p_wins"),
         F.sum(F.when(po, F.col("goals_for") - F.col("goals_against"))).alias("p_gd"))
@@ -95,7 +97,7 @@ def previous_final(g: DataFrame) -> DataFrame:
     """W19 + playoff carry-over for the previous season (regular and playoff
     records from one aggregate; teams without regular games drop out)."""
     t = _split_table(in_season(g, season_scalars(g), "prev_season")).filter(F.col("gp") > 0)
-    t = t.withColumn("pct", _div(F.col("wins") * 2 + F.col("ties"), F.col("gp") * 2))
+    t = t.withColumn("pct", _div("points", F.col("gp") * 2))
     t = R.multi_key_rank(t, [F.col("pct").desc(), F.col("wins").desc(),
                              (F.col("gf") - F.col("ga")).desc(), F.col("team").asc()], name="final_rank")
     p_gp = F.when(F.col("p_gp") > 0, F.col("p_gp"))
@@ -116,7 +118,7 @@ def previous_final(g: DataFrame) -> DataFrame:
 def opponent_strength(g: DataFrame) -> DataFrame:
     """Mean opponent points share (all game types, D14) per (season, team); each
     share fixed at 4 decimals (integer ten-thousandths) so the mean is exact."""
-    tab = g.groupBy("season", "team").agg(F.count(F.lit(1)).alias("gp"), F.sum(_pts()).alias("pts"))
+    tab = g.groupBy("season", "team").agg(F.count(F.lit(1)).alias("gp"), F.sum("points").alias("pts"))
     share = tab.select("season", F.col("team").alias("opponent"),
                        X.round_ratio(F.col("pts") * 10000, F.col("gp") * 2, 0).cast("bigint").alias("e4"))
     agg = (g.join(share, ["season", "opponent"], "inner")
@@ -136,13 +138,11 @@ def current_metrics(g: DataFrame) -> DataFrame:
     sc = season_scalars(g)
     s = in_season(g, sc, "cur_season")
     reg = F.col("game_type") == "regular"
-    w, l, t = (F.col("goals_for") > F.col("goals_against"), F.col("goals_for") < F.col("goals_against"),
-               F.col("goals_for") == F.col("goals_against"))
+    w, l = F.col("goals_for") > F.col("goals_against"), F.col("goals_for") < F.col("goals_against")
     record = s.groupBy("team").agg(
         F.count_if(reg).alias("gp"), F.count_if(reg & w).alias("wins"), F.count_if(reg & l).alias("losses"),
-        F.count_if(reg & t).alias("ties"),
         *[F.sum(F.when(reg, F.col(c))).alias(o) for o, c in (
-            ("gf", "goals_for"), ("ga", "goals_against"), ("shots", "shots"), ("pp_goals", "pp_goals"),
+            ("points", "points"), ("gf", "goals_for"), ("ga", "goals_against"), ("shots", "shots"), ("pp_goals", "pp_goals"),
             ("pp_attempts", "pp_attempts"), ("pk_attempts", "pk_attempts"), ("pk_goals_against", "pk_goals_against"))]
     ).filter(F.col("gp") > 0)
     # last-10 rows per team through a group limit (top-10 kept map-side), then
@@ -150,7 +150,7 @@ def current_metrics(g: DataFrame) -> DataFrame:
     top10 = W.last_n(s, ["team"], [F.col("game_date").desc(), F.col("game_id").desc()], 10, rank_col="__rn")
     r5 = F.col("__rn") <= 5
     form = top10.groupBy("team").agg(
-        F.sum(_pts()).alias("l10_pts"), F.count(F.lit(1)).alias("l10_n"),
+        F.sum("points").alias("l10_pts"), F.count(F.lit(1)).alias("l10_n"),
         F.count_if(r5 & w).alias("r_w"), F.count_if(r5 & l).alias("r_l"), F.count_if(r5).alias("r_n"),
         F.sum(F.when(r5, F.col("goals_for") - F.col("goals_against"))).alias("recent_gd"))
     m = record.join(form, "team", "left")
@@ -158,7 +158,7 @@ def current_metrics(g: DataFrame) -> DataFrame:
     m = m.join(opp, "team", "left")
     return m.select(
         "team", "gp", "wins", "losses",
-        _div(F.col("wins") * 2 + F.col("ties"), F.col("gp") * 2).alias("points_pct"),
+        _div("points", F.col("gp") * 2).alias("points_pct"),
         _div("gf", "gp").alias("goals_for_pg"), _div("ga", "gp").alias("goals_against_pg"),
         _div(F.col("gf") - F.col("ga"), "gp").alias("goal_diff_pg"), _div("shots", "gp").alias("shots_pg"),
         _div("pp_goals", "pp_attempts").alias("pp_pct"),
@@ -204,7 +204,7 @@ def composite(g: DataFrame) -> DataFrame:
     mom = (F.when(gp >= 10, c("last10_pct_scaled") * 0.6 + c("recent_gd_scaled") * 0.4)
             .when(gp >= 5, c("trend_scaled") * 0.5 + c("recent_gd_scaled") * 0.5).otherwise(F.lit(NEUTRAL)))
     comp = b.select("team", "gp", "current_weight", "previous_weight", "prev_score",
-                    F.coalesce("playoff_round_reached", F.lit(0)).alias("prev_playoff_round"),
+                    F.col("playoff_round_reached").alias("prev_playoff_round"),
                     c("points_pct_scaled").alias("points_component"), goal.alias("goal_component"),
                     adv.alias("advanced_component"), sched.alias("schedule_component"),
                     mom.alias("momentum_component"))
@@ -222,17 +222,17 @@ def composite(g: DataFrame) -> DataFrame:
               .otherwise(mix((0.30, 0.25, 0.20, 0.15, 0.10))))
     out = R.multi_key_rank(comp.withColumn("power_score", score),
                            [F.col("power_score").desc(), F.col("team").asc()], name="power_rank")
-    # Playoff label by round reached (4 Finalist, 3 Conference
-    # Final, 2 Second Round, 1 First Round, 0 Missed Playoffs)
-    label = (F.when(F.col("prev_playoff_round") == 4, "Finalist").when(F.col("prev_playoff_round") == 3, "Conference Final")
-              .when(F.col("prev_playoff_round") == 2, "Second Round").when(F.col("prev_playoff_round") == 1, "First Round")
-              .otherwise("Missed Playoffs"))
+    # Playoff label by round reached; NULL where no previous season is loaded
+    reached = F.col("prev_playoff_round")
+    label = (F.when(reached == 4, "Cup Finals").when(reached == 3, "Conference Finals")
+              .when(reached == 2, "Second Round").when(reached == 1, "First Round")
+              .when(reached.isNotNull(), "Missed Playoffs"))
     return out.withColumns({"power_score_display": F.round("power_score", 1), "prev_playoff_label": label})
 
 
 def season_metrics(g: DataFrame, conference: DataFrame | None = None) -> DataFrame:
     """Latest-season totals and rates; defaults when a denominator is 0
-    (PP 0, PK 100, faceoff 50, shooting 0, save 100); points = 2W + T; ranks
+    (PP 0, PK 100, faceoff 50, shooting 0, save 100); points = 2W + OTL; ranks
     for every available metric (lower-is-better ones ascending), conference
     ranks, and percentiles.  Optional columns (shots against, hits, blocks,
     giveaways, takeaways, faceoffs) are used when the input carries them."""
@@ -243,18 +243,19 @@ def season_metrics(g: DataFrame, conference: DataFrame | None = None) -> DataFra
     t = record_table(cur)
     if opt:
         t = t.join(cur.groupBy("team").agg(*[F.sum(c).alias(c) for c in opt]), "team", "left")
-    cols = [(F.col("wins") * 2 + F.col("ties")).alias("points"),
+    cols = [(F.col("gp") - F.col("wins") - F.col("ot_losses")).alias("regulation_losses"),
+            X.round_ratio(F.col("points") * 100, F.col("gp") * 2, 3).alias("points_pct"),
             _div("gf", "gp").alias("goals_per_game"), _div("ga", "gp").alias("goals_against_per_game"),
             _div("shots", "gp").alias("shots_per_game"),
-            F.coalesce(X.round_ratio(F.col("pp_goals") * 100, "pp_attempts", 1), F.lit(0.0)).alias("power_play_pct"),
-            F.coalesce(X.round_ratio((F.col("pk_attempts") - F.col("pk_goals_against")) * 100, "pk_attempts", 1),
+            F.coalesce(X.round_ratio(F.col("pp_goals") * 100, "pp_attempts", 2), F.lit(0.0)).alias("power_play_pct"),
+            F.coalesce(X.round_ratio((F.col("pk_attempts") - F.col("pk_goals_against")) * 100, "pk_attempts", 2),
                        F.lit(100.0)).alias("penalty_kill_pct"),
-            F.coalesce(X.round_ratio(F.col("gf") * 100, "shots", 1), F.lit(0.0)).alias("shooting_pct")]
+            F.coalesce(X.round_ratio(F.col("gf") * 100, "shots", 2), F.lit(0.0)).alias("shooting_pct")]
     ranks = {"goals_per_game": False, "power_play_pct": False, "shots_per_game": False, "shooting_pct": False,
              "goals_against_per_game": True, "penalty_kill_pct": False, "points": False}
     if "shots_against" in opt:
         cols += [_div("shots_against", "gp").alias("shots_against_per_game"),
-                 F.coalesce(X.round_ratio((F.col("shots_against") - F.col("ga")) * 100, "shots_against", 1),
+                 F.coalesce(X.round_ratio((F.col("shots_against") - F.col("ga")) * 100, "shots_against", 2),
                             F.lit(100.0)).alias("save_pct")]
         ranks.update({"shots_against_per_game": True, "save_pct": False})
     for c, lower in (("hits", False), ("blocks", False), ("takeaways", False), ("giveaways", True)):
@@ -262,7 +263,7 @@ def season_metrics(g: DataFrame, conference: DataFrame | None = None) -> DataFra
             cols.append(_div(c, "gp").alias(f"{c}_per_game"))
             ranks[f"{c}_per_game"] = lower
     if "faceoffs_won" in opt:
-        cols.append(F.coalesce(X.round_ratio(F.col("faceoffs_won") * 100, "faceoffs_in_game", 1), F.lit(50.0))
+        cols.append(F.coalesce(X.round_ratio(F.col("faceoffs_won") * 100, "faceoffs_in_game", 2), F.lit(50.0))
                     .alias("faceoff_win_pct"))
         ranks["faceoff_win_pct"] = False
     t = t.select("*", *cols)

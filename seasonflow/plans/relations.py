@@ -236,17 +236,20 @@ FROM events GROUP BY 1, 2
 def role_unpivot_counts_q(spark: SparkSession, root: str) -> DataFrame:
     """Scorer, first and second assist columns unpivoted to
     (player, role) counts; NULL assists dropped."""
-    p = Bed(spark, root).plays().filter(F.col("type") == "purchase")
+    bed = Bed(spark, root)
+    p = J.scalar_join(bed.plays().filter(F.col("type") == "purchase"), bed.player_range())
+    n = F.col("n_players")
     p = p.select("play_date", F.col("player").alias("scorer"),
-                 ((F.col("player") + F.col("k")) % 150).alias("assist1"),
-                 F.when(F.col("k") % 2 == 1, (F.col("player") + 2 * F.col("k")) % 150).alias("assist2"))
+                 ((F.col("player") + F.col("k")) % n).alias("assist1"),
+                 F.when(F.col("k") % 2 == 1, (F.col("player") + 2 * F.col("k")) % n).alias("assist2"))
     return role_unpivot_counts(p, [], {"goal": "scorer", "assist1": "assist1", "assist2": "assist2"},
                                entity="player")
 
 
 register("role_unpivot_counts", sql("""
+, plays_n AS (SELECT plays.*, (SELECT max(user_id) + 1 FROM events) AS n FROM plays)
 , r AS (SELECT player AS e, 'goal' AS role FROM plays WHERE type = 'purchase'
-        UNION ALL SELECT (player + k) % 150, 'assist1' FROM plays WHERE type = 'purchase'
-        UNION ALL SELECT (player + 2 * k) % 150, 'assist2' FROM plays WHERE type = 'purchase' AND k % 2 = 1)
+        UNION ALL SELECT (player + k) % n, 'assist1' FROM plays_n WHERE type = 'purchase'
+        UNION ALL SELECT (player + 2 * k) % n, 'assist2' FROM plays_n WHERE type = 'purchase' AND k % 2 = 1)
 SELECT e AS player, role, count(*) AS n FROM r WHERE e IS NOT NULL GROUP BY 1, 2
 """))(role_unpivot_counts_q)

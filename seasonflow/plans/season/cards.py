@@ -63,15 +63,17 @@ def own_division(standings_latest: DataFrame, team_abv: str) -> DataFrame:
 
 def standings_series(by_day: DataFrame, start: dt.date | None = None, end: dt.date | None = None,
                      season: int | None = None, team: str | None = None, conference: str | None = None,
-                     cap: int = 2000) -> DataFrame:
-    """Standings by day with optional filters; the card's row cap (newest
-    first), then re-sorted by date."""
+                     cap: int | None = None) -> DataFrame:
+    """Standings by day with optional filters, sorted by date.  All rows, or
+    with ``cap`` the newest so many (the card's own limit, given by the caller)."""
     s = _eq(_eq(_eq(by_day, "season", season), "team_abv", team), "conferencename", conference)
     if start is not None:
         s = s.filter(F.col("date") >= F.lit(start))
     if end is not None:
         s = s.filter(F.col("date") <= F.lit(end))
-    return s.orderBy(F.col("date").desc(), F.col("team_abv")).limit(cap).orderBy("date", "team_abv")
+    if cap is not None:
+        s = s.orderBy(F.col("date").desc(), F.col("team_abv")).limit(cap)
+    return s.orderBy("date", "team_abv")
 
 
 def goalie_leaders(goalie_season: DataFrame, names: DataFrame, min_shots: int = 100,

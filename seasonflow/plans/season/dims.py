@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from seasonflow.functions import exprs as X
 from seasonflow.operators import joins as J
@@ -100,21 +101,44 @@ def dim_seasons(league: DataFrame, p: Params = Params(), season_dates: DataFrame
                     F.element_at(_literal_map(CUP_CAPTAIN), key).alias("cup_captain"))
 
 
-def dim_teams(current_teams: DataFrame, daily_standings: DataFrame, seeds: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Current franchises UNION historical ones (abbreviations seen in the
-    standings but NOT IN the current list), latest division / conference per
-    team, seed attributes (fixed-size lookups, broadcast)."""
-    cur = current_teams.select("team_id", "team_abv", "team_name", F.lit(True).alias("is_current"))
+# Seed attributes of a team; a seed that is not loaded leaves its columns NULL.
+TEAM_SEEDS = ("arena_name string, arena_capacity int, city string, state_province string, founded_year int, "
+              "previous_name string, current_location_since int, primary_color string, secondary_color string, "
+              "is_original_or_relocated boolean, is_expansion_team boolean")
+
+
+def dim_teams(current_teams: DataFrame, daily_standings: DataFrame, seeds: dict[str, DataFrame] | None = None,
+              games: DataFrame | None = None, p: Params = Params()) -> DataFrame:
+    """Current franchises UNION historical ones (seen in the standings but NOT
+    IN the current list; ids from the games feed when given), latest division /
+    conference per team, seed attributes.  The team key is the team id."""
+    cur = current_teams.select("team_id", "team_abv", "team_name", "place_name", "common_name", "logo_url",
+                               F.lit(True).alias("is_current"))
     latest = dedup_latest(daily_standings, ["TEAMABBREV_DEFAULT"], [F.col("DATE").desc()]).select(
-        F.col("TEAMABBREV_DEFAULT").alias("team_abv"), F.col("TEAMNAME_DEFAULT").alias("standings_name"),
-        F.col("DIVISIONNAME").alias("division"), F.col("CONFERENCENAME").alias("conference"))
-    hist = J.not_in(latest.select("team_abv", "standings_name"), "team_abv", cur, "team_abv").select(
-        F.lit(None).cast("long").alias("team_id"), "team_abv", F.col("standings_name").alias("team_name"),
-        F.lit(False).alias("is_current"))
-    t = cur.unionByName(hist).join(latest.drop("standings_name"), "team_abv", "left")
-    for name, seed in (seeds or {}).items():
-        t = t.join(F.broadcast(seed), "team_abv", "left")
-    return t.withColumn("team_key", F.col("team_abv"))
+        F.col("TEAMABBREV_DEFAULT").alias("team_abv"), F.col("TEAMNAME_DEFAULT").alias("team_name"),
+        F.col("PLACENAME_DEFAULT").alias("place_name"), F.col("TEAMCOMMONNAME_DEFAULT").alias("common_name"),
+        F.col("TEAMLOGO").alias("logo_url"), F.col("DIVISIONNAME").alias("division"),
+        F.col("DIVISIONABBREV").alias("division_abv"), F.col("CONFERENCENAME").alias("conference"),
+        F.col("CONFERENCEABBREV").alias("conference_abv"))
+    places = ["division", "division_abv", "conference", "conference_abv"]
+    hist = J.not_in(latest.drop(*places), "team_abv", cur, "team_abv")
+    if games is not None:
+        ids = (games.select(F.col("HOMETEAM_ABBREV").alias("team_abv"), F.col("HOMETEAM_ID").alias("team_id"))
+               .unionByName(games.select(F.col("AWAYTEAM_ABBREV").alias("team_abv"), F.col("AWAYTEAM_ID").alias("team_id")))
+               .distinct())
+        hist = hist.join(ids, "team_abv", "left")
+    else:
+        hist = hist.withColumn("team_id", F.lit(None).cast("long"))
+    t = cur.unionByName(hist.withColumn("is_current", F.lit(False))).join(latest.select("team_abv", *places), "team_abv", "left")
+    for seed in (seeds or {}).values():
+        t = t.join(seed, "team_abv", "left")
+    for f in StructType.fromDDL(TEAM_SEEDS):
+        if f.name not in t.columns:
+            t = t.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return t.withColumns({
+        "team_key": F.col("team_id"), "years_in_league": F.lit(p.as_of.year) - F.col("founded_year"),
+        "is_original_or_relocated": F.coalesce("is_original_or_relocated", F.lit(False)),
+        "is_expansion_team": F.coalesce("is_expansion_team", F.lit(False))})
 
 
 def dim_players(roster: DataFrame, skater_lines: DataFrame, goalie_lines: DataFrame, p: Params = Params()) -> DataFrame:
@@ -143,10 +167,10 @@ def dim_players(roster: DataFrame, skater_lines: DataFrame, goalie_lines: DataFr
         F.coalesce(F.col("full_name"), F.col("seen_name")).alias("full_name"), "birth_date",
         X.age_years("birth_date", F.lit(p.as_of)).alias("current_age"),
         (F.year("birth_date") + 18).alias("draft_year_estimate"), "birth_country",
-        pos.alias("primary_position_code"),
+        "first_name", "last_name", "number", pos.alias("primary_position_code"),
         F.when(pos.isin("C", "L", "R"), "Forward").when(pos == "D", "Defenseman").when(pos == "G", "Goalie")
          .otherwise("Unknown").alias("position_category"),
-        F.coalesce(F.col("last_team_abv"), F.col("team_abv")).alias("current_team_abv"),
+        F.coalesce(F.col("last_team_abv"), F.col("team_abv")).alias("current_team_abv"), "headshot_url",
         F.coalesce(F.col("last_season") == F.col("__max_season"), F.lit(False)).alias("is_active"),
         (cg > 0).alias("has_experience"), F.coalesce(F.col("seasons_played"), F.lit(0)).alias("seasons_played"),
         cg.alias("career_games"),

@@ -117,16 +117,17 @@ def fct_goalie_game(goalies: DataFrame, p: Params = Params(), plays_fact: DataFr
         X.surrogate_key("game_id", "player_id").alias("goalie_game_key"), "game_id", "player_id", "team_abv",
         "season", "game_type", "starter", "result", "goals_against", "shots_saved", "shots_against", "toi_seconds",
         pct.alias("save_pct"),
-        F.when(F.col("toi_seconds") > 0, X.round_ratio(F.col("goals_against") * 3600, "toi_seconds", 2))
-         .otherwise(F.lit(0.0)).alias("goals_against_per_60"),
+        F.coalesce(F.try_divide(F.col("goals_against") * F.lit(3600.0), F.col("toi_seconds")), F.lit(0.0))
+         .alias("goals_against_per_60"),
         ((F.col("goals_against") == 0) & (F.col("toi_seconds") > 0) & (F.col("goalies_used") == 1)).alias("is_shutout"),
-        F.when(sa > 0, X.save_pct_tier(pct)).alias("save_tier"),
+        X.save_pct_tier(pct).alias("save_tier"),
         (~F.coalesce(F.col("starter"), F.lit(False)) & (F.col("toi_seconds") > 0)).alias("is_relief"),
         (F.col("starter") & (pct >= 0.917) & (F.col("goals_against") <= 2)).alias("quality_start"),
         (F.col("starter") & (pct < 0.850)).alias("bad_start"),
-        F.round(saves - sa * avg, 2).cast("double").alias("saves_above_average"),
+        (saves - sa * avg).cast("double").alias("saves_above_average"),
         *[F.coalesce(F.col(c), F.lit(0)).alias(c) if plays_fact is not None else F.col(c)
-          for c in ("ga_p1", "ga_p2", "ga_p3", "ga_ot")])
+          for c in ("ga_p1", "ga_p2", "ga_p3", "ga_ot")], "type", "name", "pim",
+        *[f"{k}_{c}" for k in ("even", "pp", "sh") for c in ("shots_saved", "shots_against", "goals_against")])
 
 
 def goal_events(plays_fact: DataFrame) -> DataFrame:
@@ -146,9 +147,15 @@ def fct_player_game(skaters: DataFrame, plays_fact: DataFrame, team_lines: DataF
         F.sum(F.when(F.col("role") == "a1", F.col("n")).otherwise(0)).alias("primary_assists"),
         F.sum(F.when(F.col("role") == "a2", F.col("n")).otherwise(0)).alias("secondary_assists"))
     special = goals.groupBy("game_id", F.col("primary_player_key").alias("player_id")).agg(
-        F.count_if(F.col("is_powerplay")).alias("pp_goals_pbp"),
-        F.count_if(F.col("is_shorthanded")).alias("sh_goals"),
+        F.count_if(F.col("strength_state") == "SH").alias("sh_goals"),
+        F.count_if(F.col("period_category") == "Overtime").alias("ot_goals"),
         F.count_if(F.col("is_empty_net")).alias("en_goals"))
+    helped = role_unpivot_counts(
+        goals.select("game_id", "strength_state", "secondary_player_key", "tertiary_player_key"),
+        ["game_id", "strength_state"], {"a1": "secondary_player_key", "a2": "tertiary_player_key"}, entity="player_id")
+    helped = helped.groupBy("game_id", "player_id").agg(
+        F.sum(F.when(F.col("strength_state") == "PP", F.col("n")).otherwise(0)).alias("pp_assists"),
+        F.sum(F.when(F.col("strength_state") == "SH", F.col("n")).otherwise(0)).alias("sh_assists"))
     seq = W.nth_in_group(goals, ["game_id", "event_team_key"],
                          [F.col("game_elapsed_seconds"), F.col("event_id")], "team_goal_number")
     winners = team_lines.filter((F.col("goals") > F.col("goals_against")) &
@@ -164,6 +171,7 @@ def fct_player_game(skaters: DataFrame, plays_fact: DataFrame, team_lines: DataF
         F.sum(F.when(F.col("role") == "won", F.col("n")).otherwise(0)).alias("faceoffs_won"),
         F.sum(F.when(F.col("role") == "lost", F.col("n")).otherwise(0)).alias("faceoffs_lost"))
     out = (skaters.join(split, ["game_id", "player_id"], "left").join(special, ["game_id", "player_id"], "left")
+                  .join(helped, ["game_id", "player_id"], "left")
                   .join(gwg, ["game_id", "player_id"], "left").join(fo, ["game_id", "player_id"], "left"))
     z = lambda n: F.coalesce(F.col(n), F.lit(0))
     return out.select(
@@ -172,7 +180,9 @@ def fct_player_game(skaters: DataFrame, plays_fact: DataFrame, team_lines: DataF
         z("secondary_assists").alias("secondary_assists"), "shots", "hits", "pim", "toi_seconds",
         z("sh_goals").alias("shorthanded_goals"), z("en_goals").alias("empty_net_goals"),
         z("game_winning_goals").alias("game_winning_goals"), z("faceoffs_won").alias("faceoffs_won"),
-        z("faceoffs_lost").alias("faceoffs_lost"),
+        z("faceoffs_lost").alias("faceoffs_lost"), z("pp_assists").alias("pp_assists"),
+        z("sh_assists").alias("sh_assists"), z("ot_goals").alias("overtime_goals"), "type", "name", "position",
+        "plus_minus", "pp_goals", "giveaways", "takeaways", "blocked_shots", "shifts", "faceoff_pct",
         (F.col("goals") >= 3).alias("is_hat_trick"), (F.col("points") >= 4).alias("is_four_point_game"),
         (F.col("goals") >= 4).alias("is_four_goal_game"))
 
@@ -203,7 +213,7 @@ def fct_team_game(team_lines: DataFrame, plays_fact: DataFrame) -> DataFrame:
         (z("p1") > z("opp_p1")).alias("lead_after_1st"), (z("p2") > z("opp_p2")).alias("lead_after_2nd"),
         (win & ((z("p1") < z("opp_p1")) | (z("p2") < z("opp_p2")))).alias("comeback_win_flag"),
         "pp_goals", "pp_attempts", "pk_attempts", "pk_goals_against", "pim",
-        "hits", "blocks", "giveaways", "takeaways", "faceoffs_won", "faceoffs_in_game",
+        "hits", "blocks", "giveaways", "takeaways", "faceoffs_won", "faceoffs_in_game", "saves", "save_pct",
         F.col("last_period_type").alias("game_outcome"))
 
 
@@ -225,7 +235,8 @@ def fct_standings_daily(by_day: DataFrame, p: Params = Params()) -> DataFrame:
         F.when(F.col("in_playoff_position"), F.lit(0))
          .otherwise(F.col("cutoff_points") - F.col("points")).alias("points_from_playoff_line"),
         rem.alias("games_remaining"), (F.col("points") + rem * 2).alias("max_possible_points"),
-        X.round_ratio(F.col("points") * p.regular_season_games, "gamesplayed", 1).alias("points_pace"),
+        F.coalesce(X.round_ratio(F.col("points") * p.regular_season_games, "gamesplayed", 1), F.lit(0.0))
+         .alias("points_pace"),
         X.record_string("wins", "losses", "otlosses").alias("record"))
 
 
@@ -241,8 +252,9 @@ def fct_upcoming_games(schedules: DataFrame, teams: DataFrame, p: Params = Param
     return s.select(
         "game_id", "season", "game_type", "game_date", "home_team_abv", "away_team_abv", "start_local",
         F.hour("start_local").alias("start_hour_local"),
-        F.when(F.hour("start_local") < 17, "Afternoon").when(F.hour("start_local") < 20, "Evening")
-         .otherwise("Late").alias("time_slot"),
+        # Time slots
+        F.when(F.hour("start_local") < 17, "Afternoon").when(F.hour("start_local") < 20, "Early Evening")
+         .otherwise("Late Evening").alias("time_slot"),
         X.is_weekend("game_date").alias("is_weekend"),
         (F.col("home_division") == F.col("away_division")).alias("is_division_game"),
         (F.col("home_conference") == F.col("away_conference")).alias("is_conference_game"),

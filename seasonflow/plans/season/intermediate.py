@@ -207,23 +207,29 @@ def season_dates(daily_standings: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------- standings M27
-ZERO_FILLED = S.STANDING_INT_COLS          # carried forward, default 0
-NULL_FILLED = ("DIVISIONNAME", "DIVISIONABBREV", "CONFERENCENAME", "CONFERENCEABBREV", "TEAMNAME_DEFAULT")
+# carried forward: counters default to 0, places and the streak stay NULL until the first snapshot
+NULL_FILLED = ("DIVISIONSEQUENCE", "WILDCARDSEQUENCE", "CONFERENCESEQUENCE", "LEAGUESEQUENCE", "STREAKCODE")
+ZERO_FILLED = tuple(c for c in S.STANDING_INT_COLS if c not in NULL_FILLED)
+# attributes of the season's team list, the same on every day
+TEAM_NAMES = ("DIVISIONNAME", "DIVISIONABBREV", "CONFERENCENAME", "CONFERENCEABBREV", "TEAMNAME_DEFAULT")
 
 
 def standings_by_day(daily: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
     """Every (season, day, team) inside the season bounds, last snapshot
-    carried forward; counters default to 0, names stay NULL until first seen,
-    the streak text defaults to '-'.  Windows are partitioned by (season, team)."""
+    carried forward; counters default to 0, places and streak to NULL; names come
+    from the season's team list (their latest values), so they are there before
+    the first snapshot too.  Windows are partitioned by (season, team)."""
     d = daily.select(F.col("SEASONID").alias("season"), F.col("TEAMABBREV_DEFAULT").alias("team_abv"),
-                     F.col("DATE").alias("date"), *ZERO_FILLED, *NULL_FILLED, "STREAKCODE")
-    fill = {c: 0 for c in ZERO_FILLED}
-    fill.update({c: None for c in NULL_FILLED})
-    fill["STREAKCODE"] = "-"
+                     F.col("DATE").alias("date"), *ZERO_FILLED, *NULL_FILLED, *TEAM_NAMES)
+    names = d.groupBy("season", "team_abv").agg(*[F.max_by(c, "date").alias(c) for c in TEAM_NAMES])
+    d = d.drop(*TEAM_NAMES)
+    fill = {**{c: 0 for c in ZERO_FILLED}, **{c: None for c in NULL_FILLED}}
     b = bounds if bounds is not None else G.period_bounds(d, "season", "date")
     grid = G.scaffold(d, b, "season", "team_abv", "date")
     out = G.forward_fill(grid.join(d, ["season", "team_abv", "date"], "left"), ["season", "team_abv"], "date", fill)
-    return out.select("season", "date", "team_abv", *[F.col(c).alias(c.lower()) for c in (*ZERO_FILLED, *NULL_FILLED)],
+    out = out.join(names, ["season", "team_abv"], "left")
+    return out.select("season", "date", "team_abv",
+                      *[F.col(c).alias(c.lower()) for c in (*S.STANDING_INT_COLS, *TEAM_NAMES)],
                       F.col("STREAKCODE").alias("streak_code"))
 
 
@@ -234,7 +240,8 @@ def team_game_line(summaries: DataFrame, faceoffs: DataFrame, penalties: DataFra
     fractions from the offset-netted penalties, faceoffs, goaltending rollup.
 
     pp attempts = the opponent's times short-handed; pk attempts = own;
-    pk goals against = the opponent's power-play goals; missing sides -> 0.
+    pk goals against = the opponent's power-play goals; shots against = what the
+    team's goalies faced; missing sides -> 0.
     """
     base = J.semi(summaries, league.select("game_id"), "game_id").select(
         "game_id", "season", "game_type", "game_date", "team_id", "team_abv", "is_home", "goals",
@@ -256,19 +263,19 @@ def team_game_line(summaries: DataFrame, faceoffs: DataFrame, penalties: DataFra
         t = t.withColumns({"pp_goals": F.lit(0).cast("bigint"), "hits": F.lit(None).cast("bigint"),
                            "blocks": F.lit(None).cast("bigint"), "giveaways": F.lit(None).cast("bigint"),
                            "takeaways": F.lit(None).cast("bigint")})
-    t = J.opponent_join(t, ["game_id"], "team_id", ["times_shorthanded", "pp_goals", "shots"], how="left")
+    t = J.opponent_join(t, ["game_id"], "team_id", ["times_shorthanded", "pp_goals"], how="left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     pp_att, pk_att, pk_ga = z("opp_times_shorthanded"), z("times_shorthanded"), z("opp_pp_goals")
     return t.select(
         "game_id", "season", "game_type", "game_date", "team_id", "team_abv", "is_home", "goals",
-        "goals_against", "shots", z("opp_shots").alias("shots_against"), "last_period_type",
+        "goals_against", "shots", z("shots_against").alias("shots_against"), "last_period_type",
         z("pim").alias("pim"), z("pp_goals").alias("pp_goals"), pp_att.alias("pp_attempts"),
         pk_att.alias("pk_attempts"), pk_ga.alias("pk_goals_against"),
         X.safe_divide(z("pp_goals"), pp_att).alias("pp_pct"),
         X.safe_divide(pk_att - pk_ga, pk_att).alias("pk_pct"),
         X.fraction_text(z("pp_goals"), pp_att).alias("pp_text"),
         z("faceoffs_won").alias("faceoffs_won"), z("faceoffs_in_game").alias("faceoffs_in_game"),
-        X.safe_divide("saves", "shots_against").alias("save_pct"), "hits", "blocks", "giveaways", "takeaways")
+        z("saves").alias("saves"), X.safe_divide("saves", "shots_against").alias("save_pct"), "hits", "blocks", "giveaways", "takeaways")
 
 
 def team_season(team_lines: DataFrame, game_type: str = "regular") -> DataFrame:

@@ -16,7 +16,6 @@ from seasonflow.params import Params
 STATWISE = {"goals_per_game": False, "shots_per_game": False, "goals_against_average": True,
             "pp_goals": False, "pp_pct": False, "pk_pct": False, "pim_per_game": True, "hits_per_game": False,
             "blocks_per_game": False, "takeaways_per_game": False, "giveaways_per_game": True}
-HEADSHOT_PREFIX = "https://assets.example/headshots/"
 
 
 def all_players(roster: DataFrame) -> DataFrame:
@@ -36,7 +35,21 @@ def statwise_rankings(team_season: DataFrame) -> DataFrame:
     return r.select("*", *[X.ordinal_suffix(f"{s}_rank").alias(f"{s}_rank_ordinal") for s in stats])
 
 
-def goalie_season_mart(goalie_games: DataFrame, game_type: str = "regular", p: Params = Params()) -> DataFrame:
+def _with_headshot(s: DataFrame, players: DataFrame | None, p: Params) -> DataFrame:
+    """The player dimension's headshot; where it has none, the feed's picture of
+    that season and team under ``p.headshot_prefix`` (no prefix: NULL)."""
+    known = F.lit(None).cast("string")
+    if players is not None:
+        s = s.join(players.select("player_id", F.col("headshot_url").alias("__shot")), "player_id", "left")
+        known = F.col("__shot")
+    made = F.lit(None).cast("string") if p.headshot_prefix is None else F.concat(
+        F.lit(p.headshot_prefix), F.concat_ws("/", F.col("season").cast("string"), "team_abv",
+                                              F.col("player_id").cast("string")), F.lit(".png"))
+    return s.withColumn("headshot_url", F.coalesce(known, made)).drop("__shot")
+
+
+def goalie_season_mart(goalie_games: DataFrame, game_type: str = "regular", p: Params = Params(),
+                       players: DataFrame | None = None) -> DataFrame:
     """Rollup of the goalie game fact; GP counts games with ice time,
     games dressed counts all; GSAA = round(saves - shots * 0.910, 1); qualified >= 15 GP."""
     g = goalie_games.filter(F.col("game_type") == game_type)
@@ -48,11 +61,10 @@ def goalie_season_mart(goalie_games: DataFrame, game_type: str = "regular", p: P
         F.sum("goals_against").alias("goals_against"), F.sum("shots_saved").alias("saves"),
         F.sum("shots_against").alias("shots_against"), F.sum("toi_seconds").alias("toi_seconds"))
     avg = F.lit(p.avg_save_pct).cast("decimal(4,3)")
-    return s.select("*", X.round_ratio(F.col("goals_against") * 3600, "toi_seconds", 2).alias("gaa"),
+    return _with_headshot(s, players, p).select("*", X.round_ratio(F.col("goals_against") * 3600, "toi_seconds", 2).alias("gaa"),
                     X.round_ratio("saves", "shots_against", 3).alias("save_pct"),
                     F.round(F.col("saves") - F.col("shots_against") * avg, 1).cast("double").alias("gsaa"),
-                    (F.col("gp") >= p.min_games_goalie).alias("is_qualified"),
-                    X.url_fallback(F.lit(None).cast("string"), HEADSHOT_PREFIX, "player_id").alias("headshot_url"))
+                    (F.col("gp") >= p.min_games_goalie).alias("is_qualified"))
 
 
 def head_to_head(team_games: DataFrame) -> DataFrame:
@@ -95,7 +107,7 @@ def team_shot_metrics(plays_fact: DataFrame, team_games: DataFrame) -> DataFrame
     per = a.groupBy("game_id", "season", "side").agg(
         F.count(F.lit(1)).alias("cf"), F.count_if("unblocked").alias("ff"), F.count_if("even").alias("cf_even"))
     tg = team_games.select("game_id", "team_abv", F.when(F.col("is_home"), "home").otherwise("away").alias("side"),
-                           "goals", "goals_against", "shots", "shots_against")
+                           "goals", "goals_against", "shots", "shots_against", "saves")
     j = tg.join(per, ["game_id", "side"], "left")
     j = J.opponent_join(j, ["game_id"], "side", ["cf", "ff", "cf_even"])
     z = lambda n: F.coalesce(F.col(n), F.lit(0))
@@ -103,13 +115,13 @@ def team_shot_metrics(plays_fact: DataFrame, team_games: DataFrame) -> DataFrame
         F.sum(z("cf")).alias("cf"), F.sum(z("opp_cf")).alias("ca"), F.sum(z("ff")).alias("ff"),
         F.sum(z("opp_ff")).alias("fa"), F.sum(z("cf_even")).alias("cf_even"), F.sum(z("opp_cf_even")).alias("ca_even"),
         F.sum("goals").alias("gf"), F.sum("goals_against").alias("ga"), F.sum("shots").alias("sf"),
-        F.sum("shots_against").alias("sa"))
-    sh = X.safe_divide("gf", "sf")
-    sv = F.lit(1.0) - X.safe_divide("ga", "sa")
-    return s.select("*", X.round_ratio(F.col("cf") * 100, F.col("cf") + F.col("ca"), 1).alias("corsi_pct"),
-                    X.round_ratio(F.col("ff") * 100, F.col("ff") + F.col("fa"), 1).alias("fenwick_pct"),
-                    X.round_ratio(F.col("cf_even") * 100, F.col("cf_even") + F.col("ca_even"), 1).alias("even_corsi_pct"),
-                    F.round((sh + sv) * 1000, 1).alias("pdo"))
+        F.sum("shots_against").alias("sa"), F.sum("saves").alias("saves"))
+    share = lambda x, y: X.round_ratio(x, F.col(x) + F.col(y), 4)
+    parts = F.coalesce(X.safe_divide("gf", "sf"), F.lit(0.0)) + F.coalesce(X.safe_divide("saves", "sa"), F.lit(0.0))
+    return s.select("*", share("cf", "ca").alias("corsi_pct"), share("ff", "fa").alias("fenwick_pct"),
+                    share("cf_even", "ca_even").alias("even_corsi_pct"),
+                    X.round_ratio("gf", "sf", 4).alias("shooting_pct"), X.round_ratio("saves", "sa", 4).alias("save_pct"),
+                    F.round(parts * 1000, 1).alias("pdo"))
 
 
 def three_stars_mart(stars: DataFrame, league: DataFrame) -> DataFrame:
@@ -125,7 +137,8 @@ def players_history(skater_lines: DataFrame, goalie_lines: DataFrame) -> DataFra
             .unionByName(goalie_lines.select("player_id", "team_abv")).distinct())
 
 
-def skater_season_mart(player_games: DataFrame, game_type: str = "regular", p: Params = Params()) -> DataFrame:
+def skater_season_mart(player_games: DataFrame, game_type: str = "regular", p: Params = Params(),
+                       players: DataFrame | None = None) -> DataFrame:
     """Rollup of the player game fact with per-60 rates and a
     qualification flag (>= 10 GP)."""
     g = player_games.filter(F.col("game_type") == game_type)
@@ -134,11 +147,10 @@ def skater_season_mart(player_games: DataFrame, game_type: str = "regular", p: P
             "goals", "assists", "points", "primary_assists", "shots", "hits", "pim", "toi_seconds",
             "game_winning_goals", "shorthanded_goals", "faceoffs_won", "faceoffs_lost")],
         F.count_if("is_hat_trick").alias("hat_tricks"))
-    return s.select("*", X.round_ratio(F.col("points") * 3600, "toi_seconds", 2).alias("points_per_60"),
+    return _with_headshot(s, players, p).select("*", X.round_ratio(F.col("points") * 3600, "toi_seconds", 2).alias("points_per_60"),
                     X.round_ratio(F.col("goals") * 3600, "toi_seconds", 2).alias("goals_per_60"),
                     X.round_ratio("toi_seconds", F.col("gp") * 60, 2).alias("toi_minutes_per_game"),
-                    (F.col("gp") >= p.min_games_skater).alias("is_qualified"),
-                    X.url_fallback(F.lit(None).cast("string"), HEADSHOT_PREFIX, "player_id").alias("headshot_url"))
+                    (F.col("gp") >= p.min_games_skater).alias("is_qualified"))
 
 
 def standings_by_day_mart(by_day: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ OPTIONAL = ("shots_against", "hits", "blocks", "giveaways", "takeaways", "faceof
 def team_games(team_games_fact: DataFrame) -> DataFrame:
     return team_games_fact.select(
         "season", F.col("team_id").alias("team"), F.col("opponent_team_id").alias("opponent"), "game_id",
-        "game_date", "game_type", F.col("goals").alias("goals_for"), "goals_against", "shots", "pp_goals",
+        "game_date", "game_type", F.col("goals").alias("goals_for"), "goals_against", "points", "shots", "pp_goals",
         "pp_attempts", "pk_attempts", "pk_goals_against",
         *[c for c in OPTIONAL if c in team_games_fact.columns])
 

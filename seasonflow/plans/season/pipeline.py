@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from seasonflow.operators.dedup import dedup_latest
 from seasonflow.params import Params
 from seasonflow.session import cut_lineage
-from seasonflow.plans.season import dims, facts, marts, metrics
+from seasonflow.plans.season import dims, facts, marts, metrics, published
 from seasonflow.plans.season import intermediate as I
 from seasonflow.plans.season import staging as ST
 
@@ -89,7 +89,8 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], p: Params = Params(),
     m["dim_players"] = dims.dim_players(m["roster_players"], m["skater_game_lines"], m["goalie_game_lines"], p)
     m["dim_player_team_bridge"] = dims.dim_player_team_bridge(m["skater_game_lines"], m["league_games"])
     if "stg_current_teams" in m:
-        m["dim_teams"] = dims.dim_teams(m["stg_current_teams"], m["stg_daily_standings"], seeds)
+        m["dim_teams"] = dims.dim_teams(m["stg_current_teams"], m["stg_daily_standings"], seeds,
+                                        m["stg_games"], p)
         if "stg_schedules" in m:
             m["fct_upcoming_games"] = facts.fct_upcoming_games(m["stg_schedules"], m["dim_teams"], p)
             m["upcoming_games"] = marts.upcoming_games_mart(m["fct_upcoming_games"], m["dim_teams"])
@@ -102,20 +103,22 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], p: Params = Params(),
     m["all_players"] = marts.all_players(m["roster_players"])
     m["all_plays"] = marts.all_plays(m["stg_plays"])
     m["current_statwise_rankings"] = marts.statwise_rankings(m["team_season_regular"])
-    m["goalies_season_stats_regular"] = marts.goalie_season_mart(m["fct_goalie_game"], "regular", p)
-    m["goalies_season_stats_playoff"] = marts.goalie_season_mart(m["fct_goalie_game"], "playoff", p)
+    m["goalies_season_stats_regular"] = marts.goalie_season_mart(m["fct_goalie_game"], "regular", p, m["dim_players"])
+    m["goalies_season_stats_playoff"] = marts.goalie_season_mart(m["fct_goalie_game"], "playoff", p, m["dim_players"])
     m["mart_head_to_head"] = marts.head_to_head(m["fct_team_game"])
     m["mart_standings_weekly"] = marts.standings_weekly(m["standings_by_day"])
     m["mart_team_form"] = marts.team_form(m["standings_by_day"])
     m["mart_team_shot_metrics"] = marts.team_shot_metrics(m["fct_plays"], m["fct_team_game"])
     m["mart_three_stars"] = marts.three_stars_mart(m["stg_three_stars"], m["league_games"])
     m["players_history"] = marts.players_history(m["skater_game_lines"], m["goalie_game_lines"])
-    m["skaters_season_stats_regular"] = marts.skater_season_mart(m["fct_player_game"], "regular", p)
-    m["skaters_season_stats_playoff"] = marts.skater_season_mart(m["fct_player_game"], "playoff", p)
+    m["skaters_season_stats_regular"] = marts.skater_season_mart(m["fct_player_game"], "regular", p, m["dim_players"])
+    m["skaters_season_stats_playoff"] = marts.skater_season_mart(m["fct_player_game"], "playoff", p, m["dim_players"])
     m["standings_by_day_mart"] = marts.standings_by_day_mart(m["standings_by_day"])
     m["team_season_stats_regular"] = m["team_season_regular"]
     m["team_season_stats_playoff"] = m["team_season_playoff"]
     m["season_dates_mart"] = m["season_dates"]
+    if teams is not None:
+        m.update(published.tables(m, p))
     return m
 
 

@@ -24,56 +24,33 @@ from pyspark.sql import functions as F
 
 from seasonflow.operators.joins import both_sides_in
 from seasonflow.operators.reshape import two_sided_unpivot
+from seasonflow.session import shared_path
 from seasonflow.sources.readers import read_raw
 
 
-_INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-
-
-_VERSION: list = []
-
-
-def _code_version() -> str:
-    if _VERSION:
-        return _VERSION[0]
-    import hashlib
-    import os
-    here = os.path.dirname(os.path.abspath(__file__))
-    h = hashlib.sha1()
-    for f in ("testbed.py",):
-        with open(os.path.join(here, f), "rb") as fh:
-            h.update(fh.read())
-    _VERSION.append(h.hexdigest()[:10])
-    return _VERSION[0]
-
-
 class Bed:
-    """Lazy table access + shared derived views for one ``sf_dir``.
+    """Lazy table access and shared derived views for one run of one query.
 
-    The shared intermediate models (games, league universe, side lines, player
-    game lines) are materialised once per dataset in the shared checkpoint
-    folder — the same choice the reference makes for its intermediate tables
-    — partitioned by season, so every mart reads them instead of re-deriving
-    them from lineitem.  ``materialize=False`` keeps everything lazy.
+    Nothing outlives the query: every run derives the shared models (games,
+    league universe, side lines, player game lines) from the given tables.  A
+    query that reads one of them many times writes it once with ``written``.
     """
 
-    def __init__(self, spark: SparkSession, root: str, materialize: bool = True):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
-        self.materialize = materialize
-
-    def _mat(self, name: str, builder, partition_by=("season",)) -> DataFrame:
-        if not self.materialize:
-            return builder()
-        from seasonflow.session import ensure_checkpoint_dir, materialize, path_signature
-        from seasonflow.sources.readers import table_path
-        base = ensure_checkpoint_dir(self.spark).rstrip("/")
-        try:
-            sig = path_signature(self.spark, [table_path(self.root, t) for t in _INPUTS])
-        except Exception:  # noqa: BLE001 - no JVM handle (Spark Connect): stay lazy
-            return builder()
-        path = f"{base}/seasonflow-tables/{sig}-{_code_version()}/{name}"
-        return materialize(builder, self.spark, path, partition_by)
+        self._tables: dict[str, DataFrame] = {}
+
+    def written(self, name: str) -> DataFrame:
+        """A shared model written to a fresh path of the shared folder, once per
+        run: its many readers share one derivation, and a lost executor costs only
+        the retry of its tasks."""
+        if name not in self._tables:
+            path = shared_path(self.spark, f"run-{name}")
+            df = getattr(self, name)()
+            df.write.parquet(path)
+            self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
+        return self._tables[name]
 
     def t(self, name: str, *cols: str) -> DataFrame:
         return read_raw(self.spark, self.root, name, list(cols) or None)
@@ -98,9 +75,6 @@ class Bed:
             F.sum(F.when(~odd, goals).otherwise(F.lit(0))).cast("bigint").alias("away_score"))
 
     def games(self) -> DataFrame:
-        return self._mat("games", self._games)
-
-    def _games(self) -> DataFrame:
         o = self.t("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
         c = self.t("customer", "c_custkey", "c_nationkey")
         s = self.t("supplier", "s_suppkey", "s_nationkey")
@@ -120,9 +94,6 @@ class Bed:
     def universe(self) -> DataFrame:
         """League games: regular/playoff, two distinct teams, both participants
         of that season's regular schedule (J04)."""
-        return self._mat("universe", self._universe)
-
-    def _universe(self) -> DataFrame:
         g = self.games().filter(F.col("game_type").isin(2, 3) &
                                 (F.col("home_team") != F.col("away_team")))
         part = (self.games().filter(F.col("game_type") == 2)
@@ -141,9 +112,6 @@ class Bed:
 
     # -- side lines (M28 base) --------------------------------------------------
     def side_lines(self) -> DataFrame:
-        return self._mat("side_lines", self._side_lines)
-
-    def _side_lines(self) -> DataFrame:
         """Per (game, side) counts from the game's lines: odd lines are the home side."""
         li = self.t("lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_discount")
         u = self.universe().select("game_id", "season", "game_type", "home_team", "away_team")
@@ -159,9 +127,6 @@ class Bed:
 
     # -- standard team-game table (power model input) ----------------------------
     def team_games(self) -> DataFrame:
-        return self._mat("team_games", self._team_games)
-
-    def _team_games(self) -> DataFrame:
         """Two-sided game rows plus per-side line counts: shots; power-play
         goals over shots; short-handed lines as goals against on the kill."""
         s = self.sides()
@@ -170,14 +135,13 @@ class Bed:
         return j.select("season", "team", "opponent", "game_id", "game_date",
                         F.when(F.col("game_type") == 2, "regular").when(F.col("game_type") == 3, "playoff")
                          .alias("game_type"),
-                        "goals_for", "goals_against", "shots", "pp_goals", F.col("shots").alias("pp_attempts"),
+                        "goals_for", "goals_against",
+                        F.when(F.col("goals_for") > F.col("goals_against"), 2)
+                         .when(F.col("goals_for") == F.col("goals_against"), 1).otherwise(0).alias("points"), "shots", "pp_goals", F.col("shots").alias("pp_attempts"),
                         F.col("shots").alias("pk_attempts"), F.col("shorthanded").alias("pk_goals_against"))
 
     # -- team standings by day (M27 analogue) -------------------------------------
     def team_standings(self) -> DataFrame:
-        return self._mat("team_standings", self._team_standings)
-
-    def _team_standings(self) -> DataFrame:
         """Cumulative (gp, wins, points, goal diff) per (season, team, day) over
         regular games, scaffolded over the season's days and forward-filled;
         windows are partitioned by (season, team) at daily grain."""
@@ -207,11 +171,12 @@ class Bed:
             "value",
             F.get_json_object("props", "$.k").try_cast("int").alias("k"))
 
+    def player_range(self) -> DataFrame:
+        """One row: how many player ids there are (ids count from 0)."""
+        return self.t("events", "user_id").agg((F.max("user_id") + 1).alias("n_players"))
+
     # -- player game lines -----------------------------------------------------
     def player_games(self) -> DataFrame:
-        return self._mat("player_games", self._player_games)
-
-    def _player_games(self) -> DataFrame:
         """(game, player) lines: player = supplier, team = supplier's nation.
 
         Per line: goals = floor(qty) % 5, assists = linenumber % 3,

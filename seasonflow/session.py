@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,18 +68,19 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; we only set our own when it is unset (tests).
+    The cluster names it.  A local master (tests, bench) without one gets a fresh
+    temporary folder; a cluster without one is an error, because its executors
+    could not read each other's files.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no context
-        return spark.conf.get("spark.checkpoint.dir", None) or os.path.join("/tmp", "seasonflow-checkpoints")
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = os.path.join("/tmp", "seasonflow-checkpoints")
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="seasonflow-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -97,7 +98,7 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-# -- materialised intermediate tables ------------------------------------------
+# -- file systems ----------------------------------------------------------------
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     conf = spark._jsparkSession.sessionState().newHadoopConf()
@@ -105,64 +106,7 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(conf), p
 
 
-def path_exists(spark: SparkSession, path: str) -> bool | None:
-    """True / False when the filesystem can be asked, None otherwise."""
-    try:
-        fs, p = _fs(spark, path)
-        return bool(fs.exists(p))
-    except Exception:  # noqa: BLE001 - no JVM handle
-        return None
-
-
-def path_signature(spark: SparkSession, paths) -> str:
-    """Size + modification time of input files: a cheap content fingerprint so a
-    materialised table is rebuilt when its inputs change."""
-    import hashlib
-    paths = list(paths)
-    key = (id(spark), tuple(paths))
-    if key in _SIGNATURES:
-        return _SIGNATURES[key]
-    h = hashlib.sha1()
-    for path in paths:
-        fs, p = _fs(spark, path)
-        if fs.exists(p):
-            st = fs.getFileStatus(p)
-            h.update(f"{path}|{st.getLen()}|{st.getModificationTime()}".encode())
-        else:
-            h.update(f"{path}|missing".encode())
-    _SIGNATURES[key] = h.hexdigest()[:16]
-    return _SIGNATURES[key]
-
-
-_SIGNATURES: dict = {}
-_TABLES: dict = {}
-
-
-def materialize(df_builder, spark: SparkSession, path: str, partition_by=()) -> DataFrame:
-    """Write ``df_builder()`` once to ``path`` (shared folder) and read it back.
-
-    The table is written to a fresh sibling directory and renamed into place,
-    so readers never see a half-written table; a lost executor only costs the
-    retry of its tasks.  Later calls read the finished table directly.
-    """
-    cached = _TABLES.get((id(spark), path))
-    if cached is not None:
-        return cached
-    try:
-        fs, p = _fs(spark, path)
-    except Exception:  # noqa: BLE001 - no JVM handle (Spark Connect): stay lazy
-        return df_builder()
-    if not fs.exists(p):
-        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
-        w = df_builder().write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(tmp)
-        _, tp = _fs(spark, tmp)
-        if not fs.rename(tp, p):
-            fs.delete(tp, True)          # another job published it first
-            if not fs.exists(p):
-                raise RuntimeError(f"could not publish materialised table {path}")
-    df = spark.read.parquet(path)
-    _TABLES[(id(spark), path)] = df
-    return df
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, asked of its own filesystem."""
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))

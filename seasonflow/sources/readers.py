@@ -16,25 +16,11 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}.parquet"
 
 
-_SCANS: dict = {}
-
-
 def read_raw(spark: SparkSession, root: str, name: str, columns: Sequence[str] | None = None,
              schema: StructType | None = None) -> DataFrame:
-    """Scan one raw table; an explicit schema skips footer inference.
-
-    The (lazy) scan is memoised per session and path, so the footer schema is
-    read once per session instead of once per query; column pruning and
-    filters are still planned per query.
-    """
-    key = (id(spark), table_path(root, name), schema.json() if schema is not None else None)
-    df = _SCANS.get(key)
-    if df is None:
-        r = spark.read
-        if schema is not None:
-            r = r.schema(schema)
-        df = r.parquet(table_path(root, name))
-        _SCANS[key] = df
+    """Scan one raw table as it is now; an explicit schema skips footer inference."""
+    r = spark.read if schema is None else spark.read.schema(schema)
+    df = r.parquet(table_path(root, name))
     return df.select(*columns) if columns else df
 
 

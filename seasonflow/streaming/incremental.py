@@ -2,8 +2,8 @@
 
 The reference appends every re-extraction and lets the latest load per key
 win.  The streaming form: ``readStream`` over the landing folder and one
-``foreachBatch`` per micro-batch that keeps the latest row per key inside the
-batch and merges it into the table (anti-join + union).  ``dropDuplicates`` is
+``foreachBatch`` per micro-batch that keeps the latest row per key of the batch
+and the stored rows together, so late rows of an older state change nothing.  ``dropDuplicates`` is
 deliberately not used: it keeps the *first* row seen, the model needs the
 *latest*.
 
@@ -27,8 +27,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seasonflow.operators.dedup import dedup_latest
 from seasonflow.session import path_exists
-from seasonflow.sources.loads import merge_upsert
+
+
+def latest_of_both(stored: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
+    """The latest row per key of stored rows and batch together: a late row that is
+    older than the stored one does not replace it.  ``order_by`` must decide ties."""
+    return dedup_latest(stored.unionByName(batch), keys, order_by)
 
 
 def _version_path(target: str, batch_id: int) -> str:
@@ -44,7 +50,7 @@ def upsert_batch_writer(target: str, schema: T.StructType, keys: Sequence[str],
         # (a missing version is an error, never silently treated as empty)
         prev = (spark.read.schema(schema).parquet(_version_path(target, batch_id - 1))
                 if batch_id > 0 else spark.createDataFrame([], schema))
-        merged = merge_upsert(prev, batch.select(*schema.fieldNames()), keys, order_by)
+        merged = latest_of_both(prev, batch.select(*schema.fieldNames()), keys, order_by)
         merged.write.mode("overwrite").parquet(_version_path(target, batch_id))
     return write
 
@@ -57,7 +63,6 @@ def bucket_upsert_writer(target: str, schema: T.StructType, keys: Sequence[str],
                          order_by: Sequence[Column], buckets: int):
     """foreachBatch function for the bucketed layout."""
     from pyspark.sql.utils import AnalysisException
-    from seasonflow.operators.dedup import dedup_latest
     full = _bucketed_schema(schema)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -73,7 +78,7 @@ def bucket_upsert_writer(target: str, schema: T.StructType, keys: Sequence[str],
                 cur = spark.read.schema(full).parquet(target).join(F.broadcast(touched), "bucket", "left_semi")
             except AnalysisException:
                 cur = spark.createDataFrame([], full)
-        merged = merge_upsert(cur, latest, keys)
+        merged = latest_of_both(cur, latest, keys, order_by)
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy("bucket").parquet(target))
     return write

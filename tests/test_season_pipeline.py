@@ -66,13 +66,24 @@ def test_standings_gap_fill_and_late_start(models):
     assert len(rows) == 8
     assert rows[("HOM", dt.date(2025, 10, 10))].points == 2        # carried forward
     assert rows[("AWY", dt.date(2025, 10, 8))].points == 0         # before first snapshot: default
-    assert rows[("AWY", dt.date(2025, 10, 8))].divisionname is None
+    early = rows[("AWY", dt.date(2025, 10, 8))]
+    assert early.divisionname == "Central"                         # from the season's team list
+    assert early.divisionsequence is None and early.wildcardsequence is None and early.streak_code is None
+    daily = {(r.team_abv, r.date): r for r in models["fct_standings_daily"].collect()}
+    d = daily[("AWY", dt.date(2025, 10, 8))]
+    assert d.in_playoff_position is False and d.points_pace == 0.0
 
 
 def test_goalie_backup_with_zero_clock_and_tiers(models):
     g = {(r.game_id, r.player_id): r for r in models["fct_goalie_game"].collect()}
     assert g[(1, 19)].is_relief is False and g[(1, 9)].is_shutout is False
-    assert g[(1, 9)].saves_above_average == round(23 - 25 * 0.910, 2)
+    assert g[(1, 9)].saves_above_average == pytest.approx(23 - 25 * 0.910)
+    # Tier labels; no shots faced falls to the last one
+    for r in g.values():
+        pct = r.save_pct
+        want = ("Below Average" if pct is None or pct < 0.88 else "Average" if pct < 0.9 else "Good" if pct < 0.92
+                else "Excellent" if pct < 0.95 else "Elite")
+        assert r.save_tier == want
 
 
 def test_team_game_results_and_score_state(models):
@@ -93,6 +104,13 @@ def test_plays_strength_and_empty_net(models):
 def test_game_winning_goal(models):
     pg = {r.player_id: r for r in models["fct_player_game"].filter("game_id = 1").collect()}
     assert set(pg) == {11, 12, 7}
+    # the winner's third goal (two conceded) decides; its scorer alone is credited
+    goals = [r for r in models["fct_plays"].filter("game_id = 1 AND event_type_name = 'goal'").collect()
+             if r.event_team_key == 100]
+    goals.sort(key=lambda r: r.game_elapsed_seconds)
+    assert len(goals) == 3
+    scorer = goals[2].primary_player_key
+    assert {i: r.game_winning_goals for i, r in pg.items()} == {i: int(i == scorer) for i in pg}
 
 
 def test_upcoming_and_power(models):
@@ -140,7 +158,9 @@ def test_goalie_goals_by_period_and_season_metrics(models):
     m = {r.team: r for r in models["team_season_metrics"].collect()}
     assert set(m) == {100, 200}
     r = m[100]
-    assert r.points == 2 and 0 <= r.faceoff_win_pct <= 100 and r.save_pct is not None
+    # a win and an overtime loss: 2 W + OTL
+    assert r.points == 3 and r.ot_losses == 1 and r.wins == 1 and r.points_pct == 75.0
+    assert m[200].points == 2 and m[200].ot_losses == 0 and 0 <= r.faceoff_win_pct <= 100 and r.save_pct is not None
     assert "hits_per_game_rank" in models["team_season_metrics"].columns
 
 
@@ -176,3 +196,109 @@ def test_batch_job_end_to_end(spark):
     run.main(["--raw", raw_dir, "--out", out_dir, "--as-of", "2025-10-12", "--no-cluster-settings"])
     assert spark.read.parquet(f"{out_dir}/fct_team_game").count() == 4
     assert spark.read.parquet(f"{out_dir}/_checks").filter("status = 'fail'").count() == 0
+
+
+# Column names and order of the published tables.
+PUBLISHED = {
+    "fct_team_game_stats": """team_game_key game_key team_key opponent_team_key date_key season_key is_home game_result
+        points_earned goals_for goals_against goal_differential shots_for shots_against shooting_pct save_pct
+        powerplay_goals powerplay_opportunities powerplay_pct penalty_kill_goals_against penalty_kill_situations
+        penalty_kill_pct faceoff_wins faceoff_losses faceoff_win_pct hits blocks giveaways takeaways penalty_minutes
+        score_first_flag lead_after_1st lead_after_2nd comeback_win_flag game_type game_date game_outcome game_id
+        team_abv is_overtime is_shootout shorthanded_goals_against times_shorthanded shot_differential scored_5_plus
+        shutout_for shutout_against pp_drought perfect_pk shot_share_pct""",
+    "fct_player_game_stats": """player_game_key game_key player_key team_key date_key season_key opponent_team_key
+        is_home_game position_played jersey_number goals assists primary_assists secondary_assists points plus_minus
+        shots shooting_pct hits blocks giveaways takeaways faceoff_pct faceoffs_won faceoffs_lost penalty_minutes
+        time_on_ice_seconds pp_goals pp_assists sh_goals sh_assists empty_net_goals game_winning_goals overtime_goals
+        shifts game_type player_id game_id team_abv player_name hat_trick four_point_game four_goal_game
+        point_contributions""",
+    "fct_goalie_game_stats": """goalie_game_key game_key player_key team_key date_key season_key opponent_team_key
+        is_home_game is_starting_goalie decision shots_faced saves goals_against save_percentage goals_against_average
+        time_on_ice_seconds even_strength_saves even_strength_shots even_strength_goals_against even_strength_save_pct
+        powerplay_saves powerplay_shots powerplay_goals_against powerplay_save_pct shorthanded_saves shorthanded_shots
+        shorthanded_goals_against shorthanded_save_pct shutout_flag goals_allowed_1st goals_allowed_2nd
+        goals_allowed_3rd goals_allowed_ot penalty_minutes performance_category is_relief_appearance game_type
+        player_id game_id team_abv player_name quality_start really_bad_start saves_above_average""",
+    "fct_standings_daily_published": """standings_daily_key date_key season_key team_key games_played wins losses
+        ot_losses points regulation_wins row_wins points_percentage goals_for goals_against goal_differential home_wins
+        home_losses home_ot_losses away_wins away_losses away_ot_losses shootout_wins shootout_losses last_10_wins
+        last_10_losses last_10_ot_losses last_10_points last_10_goals_for last_10_goals_against
+        last_10_goal_differential streak_type streak_count division_rank conference_rank league_rank wildcard_rank
+        playoff_spot_flag points_from_playoff games_remaining max_possible_points magic_number elimination_number
+        points_pace wins_pace goals_for_pace goals_against_pace record home_record away_record last_10_record
+        shootout_record goal_diff_string streak_string""",
+    "dim_teams_published": """team_key team_id team_abv team_name team_location common_name conference conference_abv
+        division division_abv arena_name arena_capacity arena_city arena_state_province founded_year previous_name
+        current_location_since years_in_league logo_url primary_color secondary_color is_original_or_relocated
+        is_expansion_team is_active""",
+}
+
+
+@pytest.mark.parametrize("name", sorted(PUBLISHED))
+def test_published_columns(models, name):
+    assert models[name].columns == PUBLISHED[name].split()
+
+
+def test_published_team_games(models):
+    t = {(r.game_id, r.team_abv): r for r in models["fct_team_game_stats"].collect()}
+    assert len(t) == 4
+    a, b = t[(1, "HOM")], t[(1, "AWY")]
+    assert (a.team_key, a.opponent_team_key, b.team_key, b.opponent_team_key) == (100, 200, 200, 100)
+    assert (a.goals_for, a.goals_against, a.goal_differential, a.points_earned) == (3, 2, 1, 2)
+    assert a.date_key == 20251008 or a.date_key == int(a.game_date.strftime("%Y%m%d"))
+    assert a.shooting_pct == pytest.approx(3 / a.shots_for) and a.shot_differential == a.shots_for - a.shots_against
+    assert (a.faceoff_wins, a.faceoff_losses, a.faceoff_win_pct) == (1, 0, 1.0)
+    assert (a.shutout_for, a.shutout_against, a.scored_5_plus, a.is_overtime) == (False, False, False, False)
+    # one penalty against AWY: one power play for HOM without a goal in the box score, or with
+    assert a.powerplay_opportunities == b.penalty_kill_situations == 1
+    assert b.perfect_pk == (b.penalty_kill_goals_against == 0) and a.pp_drought == (a.powerplay_goals == 0)
+    assert t[(2, "HOM")].points_earned == 1 and t[(2, "HOM")].game_result == "OTL"
+
+
+def test_published_player_and_goalie_games(models):
+    box = {(r.game_id, r.player_id): r for r in models["skater_game_lines"].collect()}
+    rows = {(r.game_id, r.player_id): r for r in models["fct_player_game_stats"].collect()}
+    assert set(rows) == set(box)
+    for k, r in rows.items():
+        assert (r.blocks, r.takeaways, r.shifts, r.plus_minus) == (
+            box[k].blocked_shots, box[k].takeaways, box[k].shifts, box[k].plus_minus)
+        assert r.is_home_game == (box[k].type == "home") and {r.team_key, r.opponent_team_key} == {100, 200}
+        assert r.point_contributions == r.goals + r.assists
+    g = {(r.game_id, r.player_id): r for r in models["fct_goalie_game_stats"].collect()}
+    line = {(r.game_id, r.player_id): r for r in models["goalie_game_lines"].collect()}
+    assert set(g) == set(line)
+    for k, r in g.items():
+        assert (r.even_strength_saves, r.powerplay_shots, r.shorthanded_goals_against) == (
+            line[k].even_shots_saved, line[k].pp_shots_against, line[k].sh_goals_against)
+        if r.even_strength_shots:
+            assert r.even_strength_save_pct == pytest.approx(r.even_strength_saves / r.even_strength_shots)
+
+
+def test_published_standings_and_teams(models):
+    s = {(r.team_key, r.date_key): r for r in models["fct_standings_daily_published"].collect()}
+    early = s[(200, 20251008)]
+    assert (early.playoff_spot_flag, early.points_pace, early.record, early.streak_string) == (False, 0.0, "0-0-0", None)
+    assert early.points_percentage == 0.0 and early.division_rank is None
+    t = {r.team_abv: r for r in models["dim_teams_published"].collect()}
+    assert t["HOM"].primary_color == "gold" and t["HOM"].is_active and t["HOM"].is_expansion_team is False
+    assert t["HOM"].team_key == 100 and t["HOM"].arena_name is None
+
+
+def test_card_row_limit_is_the_callers(models):
+    from seasonflow.plans.season import cards as C
+    assert C.standings_series(models["standings_by_day"]).count() == 8
+    rows = C.standings_series(models["standings_by_day"], cap=3).collect()
+    assert len(rows) == 3 and min(r.date for r in rows) >= dt.date(2025, 10, 10)
+
+
+def test_shot_metrics_are_fractions(models):
+    for r in models["mart_team_shot_metrics"].collect():
+        assert r.corsi_pct is None or 0 <= r.corsi_pct <= 1
+        assert r.pdo == pytest.approx(1000 * ((r.gf / r.sf if r.sf else 0) + (r.saves / r.sa if r.sa else 0)), abs=0.06)
+
+
+def test_time_slots_and_playoff_labels(models):
+    assert {r.time_slot for r in models["upcoming_games"].collect()} <= {"Afternoon", "Early Evening", "Late Evening"}
+    # no previous season is loaded: no playoff result
+    assert {r.prev_playoff_label for r in models["team_power_rankings"].collect()} == {None}

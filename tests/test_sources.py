@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,6 +98,19 @@ def test_incremental_ingest_latest_wins_across_batches(spark):
     assert outv == out
 
 
+@pytest.mark.parametrize("buckets", [512, 2, None])
+def test_incremental_ingest_late_row_of_an_older_state(spark, buckets):
+    base = _tmp()
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("ts", T.IntegerType()),
+                           T.StructField("v", T.StringType())])
+    spark.createDataFrame([(1, 10, "new"), (2, 1, "b")], schema).coalesce(1).write.parquet(f"{base}/drop/f1")
+    spark.createDataFrame([(1, 5, "late"), (2, 2, "b2"), (3, 1, "c")], schema).coalesce(1).write.parquet(f"{base}/drop/f2")
+    last = incremental_ingest(spark, f"{base}/drop/*", schema, f"{base}/table", f"{base}/ckpt", ["k"],
+                              [F.col("ts").desc()], max_files_per_trigger=1, buckets=buckets)
+    out = {r.k: (r.ts, r.v) for r in read_current(spark, f"{base}/table", schema, last, buckets=buckets).collect()}
+    assert out == {1: (10, "new"), 2: (2, "b2"), 3: (1, "c")} and last == 1
+
+
 def test_seeds_sorted_write_and_time_helpers(spark):
     from seasonflow.functions import exprs as X
     from seasonflow.plans.season.schemas import SEED_HISTORY
