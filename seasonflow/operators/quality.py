@@ -66,6 +66,16 @@ def in_range(df: DataFrame, col: str, lo=None, hi=None, where: Column | None = N
     return _tag(v, "range", col, severity)
 
 
+def row_checks(df: DataFrame, rules: Sequence[tuple[str, str, str, Column]]) -> DataFrame:
+    """Any number of row-level rules over one table in one pass: each rule is
+    (check, target, severity, condition of a violating row).  One row per rule with
+    its violation count, 0 when clean."""
+    counts = df.agg(*[F.count_if(F.coalesce(bad, F.lit(False))).alias(f"v{i}") for i, (*_, bad) in enumerate(rules)])
+    rows = F.array(*[F.struct(F.lit(c).alias("check"), F.lit(t).alias("target"), F.lit(s).alias("severity"),
+                              F.col(f"v{i}").alias("violations")) for i, (c, t, s, _) in enumerate(rules)])
+    return counts.select(F.inline(rows))
+
+
 def freshness(df: DataFrame, loaded_at: str, as_of, warn_after_hours: float,
               error_after_hours: float, target: str = "source") -> DataFrame:
     """Q07 — age of the newest load against ``as_of``: pass / warn / error.
@@ -87,13 +97,14 @@ def freshness(df: DataFrame, loaded_at: str, as_of, warn_after_hours: float,
          .when(age_s > int(warn_after_hours * 3600), WARN).otherwise("pass").alias("severity"))
 
 
-def summary(checks) -> DataFrame:
+def summary(checks, counted: Sequence[DataFrame] = ()) -> DataFrame:
     """Q08 — one row per check: violation total (0 when clean) and status.
 
     ``checks`` holds (check, target, severity, violations_df) tuples; each total
     is a one-row global aggregate, so a clean check still reports ``pass``.
+    ``counted`` holds frames of ``row_checks``, whose rows are totals already.
     """
-    parts = []
+    parts = list(counted)
     for check, target, severity, df in checks:
         parts.append(df.agg(F.coalesce(F.sum("violations"), F.lit(0)).cast("bigint").alias("violations"))
                        .select(F.lit(check).alias("check"), F.lit(target).alias("target"),

@@ -114,12 +114,12 @@ register("distinct_pairs", sql("SELECT DISTINCT player, team, season FROM player
 
 
 def season_dimension(spark: SparkSession, root: str) -> DataFrame:
-    """Conditional distinct counts and conditional min/max per season."""
+    """Conditional counts and conditional min/max per season (games are
+    unique by id, so only the teams need a distinct count)."""
     g = Bed(spark, root).games()
     reg, po = F.col("game_type") == 2, F.col("game_type") == 3
     d = g.groupBy("season").agg(
-        F.count_distinct(F.when(reg, F.col("game_id"))).alias("regular_games"),
-        F.count_distinct(F.when(po, F.col("game_id"))).alias("playoff_games"),
+        F.count_if(reg).alias("regular_games"), F.count_if(po).alias("playoff_games"),
         F.min(F.when(reg, F.col("game_date"))).alias("regular_start"),
         F.max(F.when(reg, F.col("game_date"))).alias("regular_end"),
         F.min(F.when(po, F.col("game_date"))).alias("playoff_start"),
@@ -200,10 +200,10 @@ WHERE game_type = 2 AND team_name IS NOT NULL GROUP BY ALL"""))(skater_detail_ta
 
 
 def player_compare(spark: SparkSession, root: str) -> DataFrame:
-    """``sum(toi) / count(distinct game) / 60`` per player and season."""
+    """``sum(toi) / count(distinct game) / 60`` per player and season; the
+    lines are unique per (game, player), so counting rows counts games."""
     pg = Bed(spark, root).player_games()
-    t = pg.groupBy("season", "player").agg(F.sum("toi_seconds").alias("toi"),
-                                           F.count_distinct("game_id").alias("games"))
+    t = pg.groupBy("season", "player").agg(F.sum("toi_seconds").alias("toi"), F.count(F.lit(1)).alias("games"))
     return t.select("season", "player", "games",
                     X.round_ratio("toi", F.col("games") * 60, 2).alias("toi_min_per_game"))
 

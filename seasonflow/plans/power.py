@@ -19,6 +19,11 @@ from seasonflow.plans.registry import register, rr, sql
 from seasonflow.plans.testbed import Bed
 
 
+def written_team_games(bed: Bed) -> DataFrame:
+    """The standard team-game table for models that read it many times."""
+    return bed.written("team_games")
+
+
 def team_games(bed: Bed) -> DataFrame:
     """The standard team-game table bound to the test tables (materialised by the bed)."""
     return bed.team_games()
@@ -134,7 +139,7 @@ _SCALED_SQL = _CUR_SQL + """
 def minmax_normalize(spark: SparkSession, root: str) -> DataFrame:
     """Ten metrics min-max scaled to 0-100 over the league (goals against
     inverted); zero range or NULL -> 50."""
-    return PM.scaled(team_games(Bed(spark, root)))
+    return PM.scaled(written_team_games(Bed(spark, root)))
 
 
 register("minmax_normalize", sql(_SCALED_SQL + "SELECT * FROM scaled"))(minmax_normalize)
@@ -143,7 +148,7 @@ register("minmax_normalize", sql(_SCALED_SQL + "SELECT * FROM scaled"))(minmax_n
 def weighted_blend(spark: SparkSession, root: str) -> DataFrame:
     """M44 step 8: weight of the current season grows linearly with games / 20;
     blended points = cw * current + pw * previous (previous default 50)."""
-    b = PM.blended(team_games(Bed(spark, root)))
+    b = PM.blended(written_team_games(Bed(spark, root)))
     return b.select("team", "gp", "current_weight", "previous_weight", "prev_score",
                     (F.col("points_pct_scaled") * F.col("current_weight")
                      + F.col("prev_points_scaled") * F.col("previous_weight")).alias("blended_points"))
@@ -172,7 +177,7 @@ FROM blended
 def composite_score(spark: SparkSession, root: str) -> DataFrame:
     """M44 steps 9-11 / M52 / W18: five components with activation thresholds,
     final weights by games played, rank with team tie-break, rounded display."""
-    return PM.composite(team_games(Bed(spark, root)))
+    return PM.composite(written_team_games(Bed(spark, root)))
 
 
 def _mix_sql(w) -> str:
@@ -204,3 +209,44 @@ SELECT *, CAST(row_number() OVER (ORDER BY power_score DESC, team) AS INTEGER) A
             WHEN 1 THEN 'First Round' WHEN 0 THEN 'Missed Playoffs' END AS prev_playoff_label
 FROM fin
 """))(composite_score)
+
+
+def overtime_team_games(bed: Bed) -> DataFrame:
+    """The team-game table with an overtime analogue: games with an id divisible by
+    four went past regulation, where a loss still gives a point; level games, which
+    a finished game never is, are left out."""
+    g = bed.team_games().filter(F.col("goals_for") != F.col("goals_against"))
+    return g.withColumn("points", F.when(F.col("goals_for") > F.col("goals_against"), 2)
+                        .when(F.col("game_id") % 4 == 0, 1).otherwise(0))
+
+
+def season_points_otl(spark: SparkSession, root: str) -> DataFrame:
+    """The latest season's record, points = 2 W + OTL, points percentage, special
+    teams and shooting to two decimals, and the league rank of points."""
+    m = PM.season_metrics(overtime_team_games(Bed(spark, root)))
+    return m.select("team", F.col("gp").alias("games_played"), "wins", "regulation_losses", "ot_losses", "points",
+                    "points_pct", "power_play_pct", "penalty_kill_pct", "shooting_pct", "points_rank")
+
+
+register("season_points_otl", sql(f"""
+, tg AS (SELECT s.season, s.team, s.game_id, s.goals_for, s.goals_against, s.game_type, s.is_home
+         FROM sides s WHERE s.goals_for <> s.goals_against)
+, ln AS (SELECT l_orderkey AS game_id, l_linenumber % 2 = 1 AS is_home, count(*) AS shots,
+                count_if(l_returnflag = 'R') AS sh, count_if(l_discount >= 0.05) AS pp
+         FROM lineitem GROUP BY 1, 2)
+, cur AS (SELECT tg.*, ln.shots, ln.sh, ln.pp FROM tg LEFT JOIN ln ON ln.game_id = tg.game_id AND ln.is_home = tg.is_home
+          WHERE game_type = 2 AND season = (SELECT max(season) FROM tg))
+, agg AS (SELECT team, count(*) AS games_played, count_if(goals_for > goals_against) AS wins,
+                 count_if(goals_for < goals_against AND game_id % 4 <> 0) AS regulation_losses,
+                 count_if(goals_for < goals_against AND game_id % 4 = 0) AS ot_losses,
+                 CAST(sum(goals_for) AS BIGINT) AS gf, CAST(coalesce(sum(shots), 0) AS BIGINT) AS shots,
+                 CAST(coalesce(sum(sh), 0) AS BIGINT) AS sh, CAST(coalesce(sum(pp), 0) AS BIGINT) AS pp
+          FROM cur GROUP BY team)
+SELECT team, games_played, wins, regulation_losses, ot_losses, wins * 2 + ot_losses AS points,
+       {rr("wins * 2 + ot_losses", "games_played * 2", 3, 100)} AS points_pct,
+       coalesce({rr("pp", "shots", 2, 100)}, 0.0) AS power_play_pct,
+       coalesce({rr("shots - sh", "shots", 2, 100)}, 100.0) AS penalty_kill_pct,
+       coalesce({rr("gf", "shots", 2, 100)}, 0.0) AS shooting_pct,
+       CAST(rank() OVER (ORDER BY wins * 2 + ot_losses DESC) AS INTEGER) AS points_rank
+FROM agg
+"""))(season_points_otl)

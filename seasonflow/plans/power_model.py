@@ -93,10 +93,10 @@ def _split_table(g: DataFrame) -> DataFrame:
         F.sum(F.when(po, F.col("goals_for") - F.col("goals_against"))).alias("p_gd"))
 
 
-def previous_final(g: DataFrame) -> DataFrame:
+def previous_final(g: DataFrame, sc: DataFrame | None = None) -> DataFrame:
     """W19 + playoff carry-over for the previous season (regular and playoff
     records from one aggregate; teams without regular games drop out)."""
-    t = _split_table(in_season(g, season_scalars(g), "prev_season")).filter(F.col("gp") > 0)
+    t = _split_table(in_season(g, season_scalars(g) if sc is None else sc, "prev_season")).filter(F.col("gp") > 0)
     t = t.withColumn("pct", _div("points", F.col("gp") * 2))
     t = R.multi_key_rank(t, [F.col("pct").desc(), F.col("wins").desc(),
                              (F.col("gf") - F.col("ga")).desc(), F.col("team").asc()], name="final_rank")
@@ -126,7 +126,7 @@ def opponent_strength(g: DataFrame) -> DataFrame:
     return agg.select("season", "team", X.round_ratio("__s", F.col("__n") * 10000, 4).alias("opponent_avg_points_pct"))
 
 
-def current_metrics(g: DataFrame) -> DataFrame:
+def current_metrics(g: DataFrame, sc: DataFrame | None = None) -> DataFrame:
     """Latest-season per-team rates (regular season) plus last-10 / last-5 form
     (all game types, newest first, game id breaks ties) and schedule strength.
 
@@ -135,8 +135,7 @@ def current_metrics(g: DataFrame) -> DataFrame:
     schedule strength is computed on the current season only (the
     season-partitioned input is pruned to it).
     """
-    sc = season_scalars(g)
-    s = in_season(g, sc, "cur_season")
+    s = in_season(g, season_scalars(g) if sc is None else sc, "cur_season")
     reg = F.col("game_type") == "regular"
     w, l = F.col("goals_for") > F.col("goals_against"), F.col("goals_for") < F.col("goals_against")
     record = s.groupBy("team").agg(
@@ -167,10 +166,10 @@ def current_metrics(g: DataFrame) -> DataFrame:
         _div(F.col("r_w") - F.col("r_l"), "r_n").alias("trend"))
 
 
-def scaled(g: DataFrame) -> DataFrame:
+def scaled(g: DataFrame, sc: DataFrame | None = None) -> DataFrame:
     """The ten metrics min-max scaled to 0-100 (goals against inverted),
     zero range or NULL -> 50; trend mapped from [-1, 1] to [0, 100]."""
-    out = R.minmax_normalize(current_metrics(g), {c: c == "goals_against_pg" for c in METRICS},
+    out = R.minmax_normalize(current_metrics(g, sc), {c: c == "goals_against_pg" for c in METRICS},
                              suffix="_scaled", neutral=NEUTRAL, bounded=True)
     return out.withColumn("trend_scaled", F.coalesce((F.col("trend") + F.lit(1.0)) * F.lit(50.0), F.lit(NEUTRAL)))
 
@@ -178,8 +177,9 @@ def scaled(g: DataFrame) -> DataFrame:
 def blended(g: DataFrame) -> DataFrame:
     """Step 8: the current weight grows linearly with games / 20; the previous
     score defaults to 50 (so the 'no previous season' branch is dead, D5)."""
-    s = scaled(g)
-    prev = previous_final(g).select("team", "prev_power_score", "playoff_round_reached",
+    sc = season_scalars(g)                  # planned once, read by both seasons
+    s = scaled(g, sc)
+    prev = previous_final(g, sc).select("team", "prev_power_score", "playoff_round_reached",
                                     F.col("pct").alias("prev_pct"))
     prev = R.minmax_normalize(prev, {"prev_pct": False}, suffix="_scaled", neutral=NEUTRAL, bounded=True)
     j = s.join(prev, "team", "left")

@@ -123,15 +123,16 @@ FROM a
 def dq_summary(spark: SparkSession, root: str) -> DataFrame:
     """Q08: one row per check with its violation total and warn / fail / pass."""
     bed = Bed(spark, root)
-    checks = [("not_null", "winner", Q.WARN, Q.not_null(_winners(bed), "winner", severity=Q.WARN)),
-              ("unique_combination", "l_orderkey,l_linenumber", Q.ERROR,
+    status = F.col("o_orderstatus")
+    counted = [Q.row_checks(_winners(bed), [("not_null", "winner", Q.WARN, F.col("winner").isNull())]),
+               Q.row_checks(bed.t("orders", "o_orderstatus"), [
+                   ("accepted_values", "o_orderstatus", Q.ERROR, ~status.isin("F", "O", "P"))])]
+    checks = [("unique_combination", "l_orderkey,l_linenumber", Q.ERROR,
                Q.unique(bed.t("lineitem", "l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"])),
-              ("accepted_values", "o_orderstatus", Q.ERROR,
-               Q.accepted_values(bed.t("orders", "o_orderstatus"), "o_orderstatus", ["F", "O", "P"])),
               ("relationships", "o_orderkey", Q.WARN,
                Q.relationships(bed.t("orders", "o_orderkey"), "o_orderkey", bed.t("lineitem", "l_orderkey"),
                                "l_orderkey", severity=Q.WARN))]
-    return Q.summary(checks)
+    return Q.summary(checks, counted)
 
 
 register("dq_summary", sql("""

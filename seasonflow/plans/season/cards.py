@@ -55,8 +55,13 @@ def skater_detail(player_games: DataFrame, players: DataFrame, teams: DataFrame,
         X.round_ratio(F.sum("toi_seconds"), F.count(F.lit(1)) * 60, 2).alias("avg_toi_minutes"))
 
 
-def own_division(standings_latest: DataFrame, team_abv: str) -> DataFrame:
-    """``division = (select division of the selected team)`` via a one-row join."""
+def own_division(standings: DataFrame, team_abv: str, season: int | None = None) -> DataFrame:
+    """``division = (select division of the selected team)`` via a one-row join,
+    in one season (the latest unless given), at that season's last date."""
+    standings_latest = (J.keep_max(standings, "season") if season is None
+                        else standings.filter(F.col("season") == F.lit(season)))
+    if "date" in standings.columns:
+        standings_latest = J.keep_max(standings_latest, "date")
     sel = standings_latest.filter(F.col("team_abv") == F.lit(team_abv)).select(F.col("divisionname").alias("__d"))
     return J.scalar_join(standings_latest, sel).filter(F.col("divisionname") == F.col("__d")).drop("__d")
 

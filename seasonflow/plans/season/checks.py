@@ -25,23 +25,27 @@ GRAINS = {
 
 def run_checks(models: dict[str, DataFrame], raw: dict[str, DataFrame] | None = None,
                as_of: dt.datetime | None = None) -> DataFrame:
-    checks = []
+    checks, counted = [], []
     for name, keys in GRAINS.items():
         if name in models:
             checks.append(("unique" if len(keys) == 1 else "unique_combination", f"{name}({','.join(keys)})",
                            Q.ERROR, Q.unique(models[name], keys)))
     if "league_games" in models:
-        checks.append(("not_null", "league_games.season", Q.ERROR, Q.not_null(models["league_games"], "season")))
+        counted.append(Q.row_checks(models["league_games"], [
+            ("not_null", f"league_games.{c}", Q.ERROR, F.col(c).isNull()) for c in ("season", "game_id", "game_date")]))
     if "fct_team_game" in models and "league_games" in models:
         checks.append(("relationships", "fct_team_game.game_id", Q.ERROR,
                        Q.relationships(models["fct_team_game"], "game_id", models["league_games"], "game_id")))
-        checks.append(("accepted_values", "fct_team_game.game_result", Q.ERROR,
-                       Q.accepted_values(models["fct_team_game"], "game_result", ["W", "L", "OTL"])))
+        counted.append(Q.row_checks(models["fct_team_game"], [
+            ("accepted_values", "fct_team_game.game_result", Q.ERROR, ~F.col("game_result").isin("W", "L", "OTL")),
+            ("accepted_values", "fct_team_game.points", Q.ERROR, ~F.col("points").isin(0, 1, 2)),
+            ("range", "fct_team_game.goals", Q.ERROR, F.col("goals") < 0)]))
     if "fct_standings_daily" in models:
-        checks.append(("range", "fct_standings_daily.points_pace", Q.WARN,
-                       Q.in_range(models["fct_standings_daily"], "points_pace", 0, 200,
-                                  where=F.col("games_played") > 0, severity=Q.WARN)))
-    out = Q.summary(checks)
+        played = F.col("games_played") > 0
+        counted.append(Q.row_checks(models["fct_standings_daily"], [
+            ("range", "fct_standings_daily.points_pace", Q.WARN,
+             played & ((F.col("points_pace") < 0) | (F.col("points_pace") > 200)))]))
+    out = Q.summary(checks, counted)
     if raw is not None and as_of is not None:
         fresh = [Q.freshness(df, "_loaded_at", as_of, 24, 48, target=name).select("check", "target", "severity")
                  for name, df in raw.items() if "_loaded_at" in df.columns]

@@ -122,6 +122,12 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], p: Params = Params(),
     return m
 
 
+def clustered(df: DataFrame) -> DataFrame:
+    """Rows of a season together before a season-partitioned write, so a season gets
+    a few files and not one per task; AQE splits a season that is too large."""
+    return df.hint("rebalance", "season") if "season" in df.columns else df
+
+
 def table_writer(base: str, spark: SparkSession):
     """A ``persist`` callback that publishes each shared model as a parquet table
     under ``base`` (partitioned by season when the model has one) and reads it
@@ -129,7 +135,7 @@ def table_writer(base: str, spark: SparkSession):
     def keep(name: str, df: DataFrame) -> DataFrame:
         if name not in MATERIALISED:
             return df
-        w = df.write.mode("overwrite")
+        w = clustered(df).write.mode("overwrite")
         if "season" in df.columns:
             w = w.partitionBy("season")
         w.parquet(f"{base.rstrip('/')}/{name}")
@@ -146,7 +152,7 @@ def publish(models: dict[str, DataFrame], base: str, names=None) -> list[str]:
         "goalies_season_stats_regular", "current_statwise_rankings", "players_history", "upcoming_games")]
     for n in chosen:
         df = models[n]
-        w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        w = clustered(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         if "season" in df.columns:
             w = w.partitionBy("season")
         w.parquet(f"{base.rstrip('/')}/{n}")

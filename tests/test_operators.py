@@ -75,3 +75,55 @@ def test_quality_checks(spark):
     s = {r.check: r.status for r in Q.summary([("not_null", "k", Q.WARN, Q.not_null(df, "k")),
                                                ("unique", "v", Q.ERROR, Q.unique(df, ["v"]))]).collect()}
     assert s == {"not_null": "warn", "unique": "pass"}
+
+
+def test_row_checks_count_all_rules_in_one_pass(spark):
+    from seasonflow.operators import quality as Q
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "x int, y string")
+    out = Q.row_checks(df, [("not_null", "x", Q.ERROR, F.col("x").isNull()), ("accepted", "y", Q.WARN, ~F.col("y").isin("a")),
+                            ("range", "x", Q.ERROR, F.col("x") > 9)])
+    assert [(r.target, r.violations) for r in out.collect()] == [("x", 1), ("y", 1), ("x", 0)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    assert [r.status for r in Q.summary([], [out]).collect()] == ["fail", "warn", "pass"]
+
+
+def test_scalar_join_needs_one_row(spark):
+    from seasonflow.operators import joins as J
+    df = spark.createDataFrame([(1,), (2,)], "a int")
+    assert [r.v for r in J.scalar_join(df, spark.createDataFrame([(7,)], "v int")).collect()] == [7, 7]
+    assert [r.v for r in J.scalar_join(df, spark.createDataFrame([], "v int")).collect()] == [None, None]
+    import pytest
+    with pytest.raises(Exception, match="more than one row"):
+        J.scalar_join(df, spark.createDataFrame([(1,), (2,)], "v int")).collect()
+
+
+def test_not_in_with_nulls_and_empty_subquery(spark):
+    from seasonflow.operators import joins as J
+    df = spark.createDataFrame([(1,), (2,), (None,)], "a int")
+    sub = lambda rows: spark.createDataFrame(rows, "b int")
+    assert sorted(r.a for r in J.not_in(df, "a", sub([(1,)]), "b").collect()) == [2]
+    assert J.not_in(df, "a", sub([(1,), (None,)]), "b").count() == 0
+    assert J.not_in(df, "a", sub([]), "b").count() == 3        # nothing is in an empty list, NULL included
+
+
+def test_queries_see_replaced_inputs(spark, tmp_path):
+    import shutil
+    import __spark_entry__ as E
+    src = "/root/testdata/{}/{}.parquet"
+    tables = ("orders", "lineitem", "customer", "supplier", "nation", "region")
+    for t in tables:
+        shutil.copy(src.format("sf0.001", t), tmp_path / f"{t}.parquet")
+    run = lambda d: sorted(map(tuple, E.queries()["head_to_head"](spark, str(d)).collect()))
+    assert run(tmp_path) == run("/root/testdata/sf0.001")
+    for t in tables:
+        (tmp_path / f"{t}.parquet").chmod(0o644)
+        shutil.copy(src.format("sf0.01", t), tmp_path / f"{t}.parquet")
+    spark.catalog.clearCache()
+    assert run(tmp_path) == run("/root/testdata/sf0.01")
+
+
+def test_top_rows_limit_cuts_larger_data(spark):
+    from seasonflow.operators import ranking as R
+    df = spark.range(5000).withColumnRenamed("id", "d")
+    rows = R.top_k(df, 2000, [F.col("d").desc()]).collect()
+    assert len(rows) == 2000 and min(r.d for r in rows) == 3000
