@@ -35,7 +35,8 @@ def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     path, index = token_shards.write_shards(docs, sequence=512, shard_records=16_384)
     back = token_shards.read_slots(spark, path, with_ids=False).select("slot", "ids_crc32")
-    return (index.join(back, "slot", "left")
+    # both sides grow with the input: neither is to be broadcast
+    return (index.join(back.hint("merge"), "slot", "left")
             .select("doc_id", "start", "length", "slot", "shard", "shard_offset", "ids_crc32"))
 
 
@@ -86,6 +87,23 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_groups(docs, words=3, min_pct=90).select("doc_id", "n_shingles", "component_id")
 
 
+ORACLE["op4_ngram_jaccard"] = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS words FROM documents),
+g AS (SELECT DISTINCT doc_id, CASE WHEN len(words) < 3 THEN words ELSE list_slice(words, i, i + 2) END AS gram
+      FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+         GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+          WHERE 100 * c >= 90 * (nx.n + ny.n - c)),
+reach AS (SELECT x AS doc_id, x AS node FROM (SELECT DISTINCT x FROM links)
+          UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.node),
+low AS (SELECT doc_id, min(node) AS root FROM reach GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(low.root, d.doc_id) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN low ON low.doc_id = d.doc_id"""
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text", "source")
@@ -141,6 +159,27 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(docs, length=50, with_text=False)
 
 
+# Bytes as hex pairs; islands of windows that lie within 50 bytes of one another are the removed runs.
+ORACLE["op8_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT doc_id, h, CAST(length(h) // 2 AS BIGINT) AS n FROM d),
+win AS (SELECT doc_id, i, substr(h, CAST(2 * i + 1 AS INTEGER), 100) AS s
+        FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM b WHERE n >= 50)),
+hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM win)
+        WHERE first < doc_id),
+cut AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM hit),
+run AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS z
+        FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM cut) GROUP BY doc_id, k),
+edge AS (SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS s, a AS e FROM run
+         UNION ALL SELECT b.doc_id, coalesce(max(z), 0), any_value(n) FROM b LEFT JOIN run ON run.doc_id = b.doc_id GROUP BY b.doc_id),
+kept AS (SELECT edge.doc_id, string_agg(substr(h, CAST(2 * s + 1 AS INTEGER), CAST(2 * (e - s) AS INTEGER)), '' ORDER BY s) AS k
+         FROM edge JOIN b ON b.doc_id = edge.doc_id GROUP BY edge.doc_id),
+sums AS (SELECT doc_id, sum(z - a) AS removed, count(*) AS spans FROM run GROUP BY doc_id)
+SELECT b.doc_id, b.n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(k)) AS kept_sha256
+FROM b JOIN kept ON kept.doc_id = b.doc_id LEFT JOIN sums ON sums.doc_id = b.doc_id"""
+
+
 @query
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(_table(spark, sf_dir, "documents", "doc_id", "text"))
