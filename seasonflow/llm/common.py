@@ -45,6 +45,12 @@ def prepare(spark: SparkSession) -> None:
     _ship(spark)
 
 
+def narrow_batches(spark: SparkSession, rows: int = 8192) -> None:
+    """Larger Arrow batches, for statements that run now over rows of bounded
+    size; the next operator's ``prepare`` sets the usual number again."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 _SHIPPED: set[str] = set()
 
 

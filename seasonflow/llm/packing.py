@@ -84,24 +84,32 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
     path = tokenizer or public_path(TOKENIZER)
     end = np.array([end_id], np.uint32).tobytes()
 
+    size = np.dtype(dtype).itemsize
+
     def cut(batches):
         enc, row = encoder(path), TaskContext.get().partitionId() << 33
         for b in batches:
-            out = {k: [] for k in ("at", "start", "length", "crc", "total", "row", "ids")}
+            at, start, length, crc, total, rows, ids = [], [], [], [], [], [], []
             for i, text in enumerate(b.column(1)):
                 t = text.as_py()
-                ids = (enc.encode(t) if t else b"") + end
-                total = len(ids) // 4
-                for start in range(0, total, capacity):
-                    part = ids[4 * start:4 * (start + capacity)]
-                    for k, v in zip(out, (i, start, len(part) // 4, zlib.crc32(part), total, row, part), strict=True):
-                        out[k].append(v)
+                raw = (enc.encode(t) if t else b"") + end
+                n = len(raw) // 4
+                own = raw if size == 4 else np.frombuffer(raw, "<u4").astype(dtype).tobytes()
+                for first in range(0, n, capacity):
+                    last = min(n, first + capacity)
+                    at.append(i)
+                    start.append(first)
+                    length.append(last - first)
+                    crc.append(zlib.crc32(raw[4 * first:4 * last]))
+                    total.append(n)
+                    rows.append(row)
+                    if with_ids:
+                        ids.append(own[size * first:size * last])
                 row += 1
-            cols = [b.column(0).take(pa.array(out["at"], pa.int64())), *(pa.array(out[k], pa.int64())
-                    for k in ("start", "length", "crc", "total", "row"))]
+            cols = [b.column(0).take(pa.array(at, pa.int64())),
+                    *(pa.array(x, pa.int64()) for x in (start, length, crc, total, rows))]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "row"]
             if with_ids:
-                ids = [np.frombuffer(x, "<u4").astype(dtype).tobytes() for x in out["ids"]]
                 cols, names = [*cols, binary(ids)], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(cols, names)
 

@@ -24,9 +24,12 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, filesystem, map_arrow, mix64, new_path, own_columns
+from .common import Scratch, filesystem, flat_text, map_arrow, mix64, narrow_batches, new_path, own_columns
 from .packing import pieces
+from .tokens import public_path
 
+TOKENIZER = "byte_bpe_50k.tiktoken"     # lossless; its free id ends a document
+END_ID = 50256
 ROUNDS = 6
 MANIFEST = "manifest.json"
 _ROW_BITS = 33                    # of monotonically_increasing_id: partition, then row
@@ -55,7 +58,7 @@ def _record(dtype: str, length: int) -> np.dtype:
 
 
 def write_shards(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
-                 tokenizer: str | None = None, sequence: int = 512, dtype: str = "<u2", end_id: int = 2, key: int = 2024,
+                 tokenizer: str | None = None, sequence: int = 512, dtype: str = "<u2", end_id: int = END_ID, key: int = 2024,
                  shard_records: int = 16_384, waves: int = 4, scratch: Scratch | None = None) -> tuple[str, DataFrame]:
     """Writes the shards and returns their folder and the index: ``doc_id, start,
     length, slot, shard, shard_offset`` (in bytes), one row per sequence.
@@ -71,7 +74,7 @@ def write_shards(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
     path = path or new_path(spark, "shards")
-    cut = pieces(docs, id_col, text_col, tokenizer, sequence, end_id, with_ids=True, dtype=dtype)
+    cut = pieces(docs, id_col, text_col, tokenizer or public_path(TOKENIZER), sequence, end_id, with_ids=True, dtype=dtype)
     table = cut.select("doc_id", "start", "length", "ids").withColumn("at", F.monotonically_increasing_id())
     table = scratch.save(table, "sequences", "zstd")
     # a number per partition that was written
@@ -109,9 +112,8 @@ def write_shards(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
             slot, length = b.column(0).to_numpy(), b.column(1).to_numpy()
             data = np.zeros(len(slot), record)
             data["length"] = length
-            for i, ids in enumerate(b.column(2)):
-                x = np.frombuffer(ids.as_buffer(), dtype)
-                data["ids"][i, :len(x)] = x
+            flat, _ = flat_text(b.column(2))
+            data["ids"][np.arange(sequence) < length[:, None]] = flat.view(dtype)
             shard = slot // shard_records
             for s in np.unique(shard):
                 if s != now:
@@ -134,7 +136,9 @@ def write_shards(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
         mine = slotted.where(F.col("slot").between(low * shard_records, high * shard_records - 1))
         dealt = mine.select("slot", "length", "ids").repartitionById(
             high - low, (F.floor(F.col("slot") / shard_records) - low).cast("int")).sortWithinPartitions("slot")
-        map_arrow(dealt, write, "shard long").agg(F.count(F.lit(1))).first()
+        written = map_arrow(dealt, write, "shard long").agg(F.count(F.lit(1)))
+        narrow_batches(spark)
+        written.first()
     shard = F.floor(F.col("slot") / shard_records)
     index = slotted.select("doc_id", "start", "length", "slot", shard.alias("shard"),
                            ((F.col("slot") - shard * shard_records) * record.itemsize).alias("shard_offset"))
@@ -167,11 +171,13 @@ def read_slots(spark: SparkSession, path: str, first: int = 0, count: int | None
                     while low < high:
                         k = min(high - low, max(1, (4 << 20) // record.itemsize))
                         data = np.frombuffer(f.read(k * record.itemsize), record)
-                        ids = [r["ids"][:r["length"]].astype("<u4") for r in data]
-                        cols = [pa.array(np.arange(low, low + k)), pa.array(data["length"].astype(np.int64)),
-                                pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64())]
+                        length, ids = data["length"].astype(np.int64), np.ascontiguousarray(data["ids"], "<u4")
+                        cols = [pa.array(np.arange(low, low + k)), pa.array(length),
+                                pa.array([zlib.crc32(x[:n]) for x, n in zip(ids, length, strict=True)], pa.int64())]
                         if with_ids:
-                            cols.append(pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())))
+                            cols.append(pa.ListArray.from_arrays(
+                                pa.array(np.r_[0, np.cumsum(length)], pa.int32()),
+                                pa.array(ids[np.arange(ids.shape[1]) < length[:, None]].astype(np.int32))))
                         yield pa.RecordBatch.from_arrays(cols, ["slot", "length", "ids_crc32", "ids"][:len(cols)])
                         low += k
 

@@ -7,7 +7,9 @@ chunks it has met, which spares most of the BPE work.
 
 from __future__ import annotations
 
+import base64
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -77,10 +79,25 @@ class Encoder:
         return b"".join(map(self.table.__getitem__, chunks))
 
 
+class RankEncoder:
+    """The same for a file of byte-level ranks."""
+
+    def __init__(self, path: str):
+        import public_tokenizers
+        import tiktoken
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.ids = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                                     special_tokens={}).encode_ordinary
+
+    def encode(self, text: str) -> bytes:
+        return array("I", self.ids(text)).tobytes()
+
+
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
+def encoder(path: str) -> Encoder | RankEncoder:
     """One encoder per file and worker process."""
-    return Encoder(path)
+    return RankEncoder(path) if path.endswith(".tiktoken") else Encoder(path)
 
 
 def public_path(name: str) -> str:
