@@ -4,10 +4,12 @@ own frames."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasonflow.functions import exprs as X
+from seasonflow.operators import joins as J
+from seasonflow.operators.dedup import dedup_latest
 from seasonflow.params import Params
 
 
@@ -154,13 +156,224 @@ def teams_table(teams: DataFrame) -> DataFrame:
         is_original_or_relocated="is_original_or_relocated", is_expansion_team="is_expansion_team", is_active="is_current"))
 
 
+def season_metrics(stats: DataFrame, teams: DataFrame, p: Params = Params()) -> DataFrame:
+    """M45 over the published team games: the latest season's regular games per
+    team, with league, conference and division ranks and percentiles."""
+    cur = J.keep_max(stats.filter(F.col("game_date") <= F.lit(p.as_of)), "season_key").filter(F.col("game_type") == "regular")
+    names = teams.select(F.col("team_key").alias("k_"), "team_name", "division", "conference")
+    s = cur.join(names, F.col("team_key") == F.col("k_")).groupBy(
+        "team_key", "team_abv", "team_name", "division", "conference").agg(
+        F.count(F.lit(1)).alias("games_played"), F.count_if(F.col("game_result") == "W").alias("wins"),
+        F.count_if(F.col("game_result") == "L").alias("regulation_losses"),
+        F.count_if(F.col("game_result") == "OTL").alias("ot_losses"),
+        *[F.sum(c).alias(f"s_{c}") for c in (
+            "goals_for", "goals_against", "shots_for", "shots_against", "hits", "blocks", "takeaways", "giveaways",
+            "penalty_minutes", "powerplay_goals", "powerplay_opportunities", "shorthanded_goals_against",
+            "times_shorthanded", "faceoff_wins", "faceoff_losses")])
+    gp, c = F.col("games_played"), lambda n: F.col(f"s_{n}")
+
+    def pct(num: Column, den: Column, default: float) -> Column:
+        return F.coalesce(X.round_ratio(num * 100, den, 2), F.lit(default))
+    fo = c("faceoff_wins") + c("faceoff_losses")
+    s = s.withColumns({
+        "points": F.col("wins") * 2 + F.col("ot_losses"),
+        "power_play_pct": pct(c("powerplay_goals"), c("powerplay_opportunities"), 0.0),
+        "penalty_kill_pct": pct(c("times_shorthanded") - c("shorthanded_goals_against"), c("times_shorthanded"), 100.0),
+        "faceoff_win_pct": pct(c("faceoff_wins"), fo, 50.0), "shooting_pct": pct(c("goals_for"), c("shots_for"), 0.0),
+        "save_pct": pct(c("shots_against") - c("goals_against"), c("shots_against"), 100.0),
+        **{f"{n}_pg": c(n).cast("double") / gp for n in ("goals_for", "goals_against", "hits", "blocks", "shots_for",
+                                                         "shots_against", "takeaways", "giveaways", "penalty_minutes")}})
+
+    # windows over one row per team
+    def rank(*order: Column, by: str | None = None) -> Column:
+        w = Window.partitionBy(by) if by else Window.partitionBy()
+        return F.rank().over(w.orderBy(*order))
+
+    def best(col: str) -> Column:
+        return rank(F.col(col).desc())
+
+    def percentile(order: Column) -> Column:
+        return F.round(F.percent_rank().over(Window.partitionBy().orderBy(order)) * 100, 1)
+    record = [F.col("points").desc(), F.col("wins").desc()]
+    one = lambda n, digits: F.round(F.col(f"{n}_pg"), digits)
+    return s.select("team_key", "team_abv", "team_name", "division", "conference", "games_played", "wins",
+                    "regulation_losses", "ot_losses", "points", *_named(
+        points_pct=X.round_ratio(F.col("points") * 100, gp * 2, 3),
+        league_rank=rank(*record, (F.col("goals_for_pg") - F.col("goals_against_pg")).desc()),
+        conference_rank=rank(*record, by="conference"), division_rank=rank(*record, by="division"),
+        goals_per_game=one("goals_for", 2), goals_per_game_rank=best("goals_for_pg"),
+        goals_per_game_percentile=percentile(F.col("goals_for_pg").asc()), goals_against_average=one("goals_against", 2),
+        goals_against_rank=rank(F.col("goals_against_pg").asc()),
+        goals_against_percentile=percentile(F.col("goals_against_pg").desc()),
+        hits_per_game=one("hits", 1), hits_per_game_rank=best("hits_pg"), hits_percentile=percentile(F.col("hits_pg").asc()),
+        blocks_per_game=one("blocks", 1), blocks_per_game_rank=best("blocks_pg"),
+        blocks_percentile=percentile(F.col("blocks_pg").asc()),
+        power_play_pct="power_play_pct", power_play_rank=best("power_play_pct"),
+        power_play_percentile=percentile(F.col("power_play_pct").asc()),
+        penalty_kill_pct="penalty_kill_pct", penalty_kill_rank=best("penalty_kill_pct"),
+        penalty_kill_percentile=percentile(F.col("penalty_kill_pct").asc()),
+        shots_per_game=one("shots_for", 1), shots_per_game_rank=best("shots_for_pg"),
+        shots_against_per_game=one("shots_against", 1), shots_against_rank=rank(F.col("shots_against_pg").asc()),
+        shooting_pct="shooting_pct", shooting_pct_rank=best("shooting_pct"), save_pct="save_pct",
+        save_pct_rank=best("save_pct"), faceoff_win_pct="faceoff_win_pct", faceoff_rank=best("faceoff_win_pct"),
+        takeaways_per_game=one("takeaways", 1), takeaways_rank=best("takeaways_pg"),
+        giveaways_per_game=one("giveaways", 1), giveaways_rank=rank(F.col("giveaways_pg").asc()),
+        penalty_minutes_per_game=one("penalty_minutes", 1),
+        goal_diff_per_game=F.round(F.col("goals_for_pg") - F.col("goals_against_pg"), 2),
+        goal_differential=c("goals_for") - c("goals_against"), total_pp_opportunities="s_powerplay_opportunities",
+        total_pp_goals="s_powerplay_goals", total_times_shorthanded="s_times_shorthanded",
+        last_updated=F.lit(p.as_of).cast("timestamp")))
+
+
+def head_to_head(stats: DataFrame, teams: DataFrame) -> DataFrame:
+    """Season series between every pair of teams that met."""
+    opp = teams.select(F.col("team_key").alias("k_"), F.col("team_abv").alias("opponent_abv"))
+    t = stats.join(opp, F.col("opponent_team_key") == F.col("k_"), "left").groupBy(
+        F.col("season_key").alias("season"), "game_type", "team_abv", "opponent_abv").agg(
+        F.count(F.lit(1)).alias("games_played"), *[F.count_if(F.col("game_result") == r).alias(n) for n, r in (
+            ("wins", "W"), ("losses", "L"), ("ot_losses", "OTL"))],
+        *[F.sum(c).alias(c) for c in ("points_earned", "goals_for", "goals_against")])
+    return t.select("season", X.season_display("season").alias("season_display"), "game_type", "team_abv", "opponent_abv",
+                    "games_played", "wins", "losses", "ot_losses",
+                    X.record_string("wins", "losses", "ot_losses").alias("record"), "points_earned", "goals_for",
+                    "goals_against", (F.col("goals_for") - F.col("goals_against")).alias("goal_differential"))
+
+
+# published name -> standings column
+_STANDING = dict(
+    games_played="gamesplayed", points="points", wins="wins", losses="losses", ot_losses="otlosses",
+    goals_for="goalfor", goals_against="goalagainst", division_rank="divisionsequence",
+    conference_rank="conferencesequence", league_rank="leaguesequence", wildcard_rank="wildcardsequence")
+
+
+def _standing(by_day: DataFrame) -> DataFrame:
+    t = by_day.select("season", "date", "team_abv", *_named(
+        team_name="teamname_default", division="divisionname", conference="conferencename", **_STANDING),
+        "regulationwins", "regulationplusotwins", "homewins", "homelosses", "homeotlosses", "roadwins", "roadlosses",
+        "roadotlosses", "l10wins", "l10losses", "l10otlosses", "l10points", "l10goalsfor", "l10goalsagainst", "shootoutwins",
+        "shootoutlosses", "streak_code", "streakcount")
+    return t.withColumns({"season_display": X.season_display("season"), "goal_diff": F.col("goals_for") - F.col("goals_against"),
+                          "point_pct": _share("points", F.col("games_played") * 2)})
+
+
+def team_form(by_day: DataFrame) -> DataFrame:
+    """The latest standings of each team in each season."""
+    t = _standing(dedup_latest(by_day, ["season", "team_abv"], [F.col("date").desc()]))
+
+    def record(*cols: str) -> Column:
+        return F.concat_ws("-", *[F.col(c).cast("string") for c in cols])
+    return t.select("season", "season_display", F.col("date").alias("as_of_date"), "team_abv", "team_name", "division",
+                    "conference", "games_played", "points", "point_pct", "wins", "losses", "ot_losses", *_named(
+        regulation_wins="regulationwins", row_wins="regulationplusotwins", goals_for="goals_for",
+        goals_against="goals_against", goal_diff="goal_diff", division_rank="division_rank",
+        conference_rank="conference_rank", league_rank="league_rank", wildcard_rank="wildcard_rank",
+        record=record("wins", "losses", "ot_losses"), home_record=record("homewins", "homelosses", "homeotlosses"),
+        road_record=record("roadwins", "roadlosses", "roadotlosses"),
+        last_10_record=record("l10wins", "l10losses", "l10otlosses"), last_10_points="l10points",
+        last_10_goals_for="l10goalsfor", last_10_goals_against="l10goalsagainst",
+        shootout_record=record("shootoutwins", "shootoutlosses"),
+        streak=F.concat("streak_code", F.col("streakcount").cast("string")), streak_code="streak_code",
+        streak_count="streakcount"))
+
+
+def standings_weekly(by_day: DataFrame) -> DataFrame:
+    """Mondays and each season's final date."""
+    last = by_day.groupBy("season").agg(F.max("date").alias("final_"))
+    t = _standing(by_day).join(last, "season").filter(X.is_monday("date") | (F.col("date") == F.col("final_")))
+    return t.select("date", "season", "season_display", "team_abv", "team_name", "division", "conference", "games_played",
+                    "points", "point_pct", "wins", "losses", "ot_losses", F.col("regulationplusotwins").alias("row_wins"),
+                    "goals_for", "goals_against", "goal_diff", "division_rank", "conference_rank", "league_rank",
+                    "wildcard_rank", (F.col("date") == F.col("final_")).alias("is_season_final"),
+                    F.weekofyear("date").alias("week_of_year"))
+
+
+def three_stars(stars: DataFrame, league: DataFrame, players: DataFrame) -> DataFrame:
+    """The stars of league games with a player's selections in the season (an
+    aggregate joined back, so a much selected player is no hot window)."""
+    s = stars.join(league.select("game_id"), "game_id", "left_semi")
+    n = s.groupBy(F.col("season").alias("s_"), F.col("player_id").alias("p_")).agg(
+        F.count(F.lit(1)).alias("star_selections_this_season"), F.count_if(F.col("star") == 1).alias("first_star_selections"))
+    s = s.join(n, F.col("season").eqNullSafe(F.col("s_")) & F.col("player_id").eqNullSafe(F.col("p_")))
+    s = s.join(players.select(F.col("player_id").alias("h_"), "headshot_url"), F.col("player_id") == F.col("h_"), "left")
+    return s.select("game_id", "season", X.season_display("season").alias("season_display"), "game_date",
+                    F.col("star").alias("star_number"), "player_id", F.col("name").alias("player_name"), "team_abv",
+                    "position", "goals", "assists", "points", "gaa", "save_pct", "headshot_url",
+                    "star_selections_this_season", "first_star_selections")
+
+
+def goalie_season(stats: DataFrame, players: DataFrame, game_type: str = "regular", p: Params = Params()) -> DataFrame:
+    """M49 / M50 over the published goalie games."""
+    count = lambda cond: F.count_if(cond)
+    sums = dict(goals_against="goals_against", toi_seconds="time_on_ice_seconds", saves="saves", shots_faced="shots_faced",
+                even_goals_against="even_strength_goals_against", even_shots_saved="even_strength_saves",
+                even_shots_against="even_strength_shots", pp_ga="powerplay_goals_against", pp_saves="powerplay_saves",
+                pp_shots_against="powerplay_shots", sh_goals_against="shorthanded_goals_against",
+                sh_saves="shorthanded_saves", sh_shots_against="shorthanded_shots", pim="penalty_minutes")
+    s = stats.filter(F.col("game_type") == game_type).groupBy(F.col("season_key").alias("season"), "player_id", "team_abv").agg(
+        F.min("player_name").alias("name"), count(F.col("time_on_ice_seconds") > 0).alias("gp"),
+        F.count(F.lit(1)).alias("games_dressed"), count(F.col("is_starting_goalie")).alias("starts"),
+        count(F.col("decision") == "W").alias("wins"), count(F.col("decision") == "L").alias("losses"),
+        count(F.col("decision") == "O").alias("ot_losses"), count(F.col("shutout_flag")).alias("shutouts"),
+        count(F.col("quality_start")).alias("quality_starts"), *[F.sum(v).alias(k) for k, v in sums.items()])
+    s = s.select("season", "player_id", "name", "team_abv", "gp", "games_dressed", "starts", "wins", "losses", "ot_losses",
+                 "shutouts", "quality_starts", *sums)
+    average = F.lit(p.avg_save_pct).cast("decimal(4,3)")
+    out = s.select("*", *_named(
+        gaa=X.round_ratio(F.col("goals_against") * 3600, "toi_seconds", 2), save_pct=_share("saves", "shots_faced", None),
+        even_save_pct=_share("even_shots_saved", "even_shots_against", None),
+        pp_save_pct=_share("pp_saves", "pp_shots_against", None), sh_save_pct=_share("sh_saves", "sh_shots_against", None),
+        goals_saved_above_average=F.round(F.col("saves") - F.col("shots_faced") * average, 1).cast("double"),
+        is_qualified=F.col("gp") >= p.min_games_goalie, season_display=X.season_display("season")))
+    return _with_player(out, players, p)
+
+
+def skater_season(stats: DataFrame, players: DataFrame, game_type: str = "regular", p: Params = Params()) -> DataFrame:
+    """M59 / M60 over the published skater games."""
+    first = dict(goals="goals", assists="assists", hits="hits", shots="shots", pim="penalty_minutes", plus_minus="plus_minus",
+                 points="points", pp_goals="pp_goals", giveaways="giveaways", takeaways="takeaways", shifts="shifts",
+                 total_toi="time_on_ice_seconds")
+    rest = ("primary_assists", "secondary_assists", "pp_assists", "sh_goals", "sh_assists", "empty_net_goals",
+            "game_winning_goals", "overtime_goals", "faceoffs_won", "faceoffs_lost")
+    s = stats.filter(F.col("game_type") == game_type).groupBy(F.col("season_key").alias("season"), "player_id", "team_abv").agg(
+        F.min("player_name").alias("name"), F.count(F.lit(1)).alias("games_played"),
+        *[F.sum(v).alias(k) for k, v in first.items()], F.avg("time_on_ice_seconds").alias("avg_toi"),
+        *[F.sum(c).alias(c) for c in rest])
+    gp = F.col("games_played")
+    out = s.select("*", *_named(
+        faceoff_pct=_share("faceoffs_won", F.col("faceoffs_won") + F.col("faceoffs_lost"), None),
+        points_per_game=X.round_ratio("points", gp, 2), goals_per_game=X.round_ratio("goals", gp, 2),
+        assists_per_game=X.round_ratio("assists", gp, 2), points_per_60=X.round_ratio(F.col("points") * 3600, "total_toi", 2),
+        goals_per_60=X.round_ratio(F.col("goals") * 3600, "total_toi", 2), is_qualified=gp >= p.min_games_skater,
+        season_display=X.season_display("season")))
+    return _with_player(out, players, p, position=True)
+
+
+def _with_player(s: DataFrame, players: DataFrame, p: Params, position: bool = False) -> DataFrame:
+    who = players.select(F.col("player_id").alias("i_"), "first_name", "last_name",
+                         F.col("primary_position_code").alias("position"), F.col("headshot_url").alias("shot_"))
+    j = s.join(who, F.col("player_id") == F.col("i_"), "left")
+    made = F.lit(None).cast("string") if p.headshot_prefix is None else F.concat(
+        F.lit(p.headshot_prefix), F.concat_ws("/", F.col("season").cast("string"), "team_abv",
+                                              F.col("player_id").cast("string")), F.lit(".png"))
+    return j.select(*s.columns, "first_name", "last_name", *(["position"] if position else []),
+                    F.coalesce("shot_", made).alias("headshot_url"))
+
+
 def tables(m: dict[str, DataFrame], p: Params = Params()) -> dict[str, DataFrame]:
-    """The published tables by name, over the built models."""
-    teams = m["dim_teams"]
-    return {
-        "fct_team_game_stats": team_game_stats(m["fct_team_game"], teams),
-        "fct_player_game_stats": player_game_stats(m["fct_player_game"], m["league_games"], teams, m["dim_players"]),
-        "fct_goalie_game_stats": goalie_game_stats(m["fct_goalie_game"], m["league_games"], teams),
-        "fct_standings_daily_published": standings_daily(m["standings_by_day"], m["fct_standings_daily"], teams, p),
-        "dim_teams_published": teams_table(teams),
-    }
+    """The published tables by name, over the built models.  A name that a model's
+    own frame already has gets the ending ``_published``."""
+    teams, players, by_day = m["dim_teams"], m["dim_players"], m["standings_by_day"]
+    team = team_game_stats(m["fct_team_game"], teams)
+    player = player_game_stats(m["fct_player_game"], m["league_games"], teams, players)
+    goalie = goalie_game_stats(m["fct_goalie_game"], m["league_games"], teams)
+    out = {
+        "fct_team_game_stats": team, "fct_player_game_stats": player, "fct_goalie_game_stats": goalie,
+        "fct_standings_daily_published": standings_daily(by_day, m["fct_standings_daily"], teams, p),
+        "dim_teams_published": teams_table(teams), "team_season_metrics_published": season_metrics(team, teams, p),
+        "mart_head_to_head_published": head_to_head(team, teams), "mart_team_form_published": team_form(by_day),
+        "mart_standings_weekly_published": standings_weekly(by_day),
+        "mart_three_stars_published": three_stars(m["stg_three_stars"], m["league_games"], players)}
+    for kind in ("regular", "playoff"):
+        out[f"goalies_season_stats_{kind}_published"] = goalie_season(goalie, players, kind, p)
+        out[f"skaters_season_stats_{kind}_published"] = skater_season(player, players, kind, p)
+    return out

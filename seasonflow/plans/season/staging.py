@@ -73,8 +73,9 @@ def stg_three_stars(raw: DataFrame) -> DataFrame:
     """Latest load per game, three-stars JSON unnested (empty/NULL -> no rows)."""
     g = dedup_latest(raw, ["ID"], [_latest()])
     e = g.select(F.col("ID").alias("game_id"), F.col("SEASON").try_cast("int").alias("season"),
-                 F.explode(parse_json("SUMMARY_THREESTARS", T.ArrayType(S.THREE_STAR))).alias("s"))
-    return e.select("game_id", "season", F.col("s.star").alias("star"), F.col("s.playerId").alias("player_id"),
+                 F.col("GAMEDATE").alias("game_date"), F.explode(parse_json("SUMMARY_THREESTARS", T.ArrayType(S.THREE_STAR))).alias("s"))
+    return e.select("game_id", "season", "game_date", F.col("s.goalsAgainstAverage").alias("gaa"),
+                    F.col("s.savePctg").alias("save_pct"), F.col("s.star").alias("star"), F.col("s.playerId").alias("player_id"),
                     F.col("s.name.default").alias("name"), F.col("s.teamAbbrev").alias("team_abv"),
                     F.col("s.position").alias("position"), F.col("s.goals").alias("goals"),
                     F.col("s.assists").alias("assists"), F.col("s.points").alias("points"))

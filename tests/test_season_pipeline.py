@@ -232,6 +232,36 @@ PUBLISHED = {
         division division_abv arena_name arena_capacity arena_city arena_state_province founded_year previous_name
         current_location_since years_in_league logo_url primary_color secondary_color is_original_or_relocated
         is_expansion_team is_active""",
+    "team_season_metrics_published": """team_key team_abv team_name division conference games_played wins
+        regulation_losses ot_losses points points_pct league_rank conference_rank division_rank goals_per_game
+        goals_per_game_rank goals_per_game_percentile goals_against_average goals_against_rank goals_against_percentile
+        hits_per_game hits_per_game_rank hits_percentile blocks_per_game blocks_per_game_rank blocks_percentile
+        power_play_pct power_play_rank power_play_percentile penalty_kill_pct penalty_kill_rank penalty_kill_percentile
+        shots_per_game shots_per_game_rank shots_against_per_game shots_against_rank shooting_pct shooting_pct_rank
+        save_pct save_pct_rank faceoff_win_pct faceoff_rank takeaways_per_game takeaways_rank giveaways_per_game
+        giveaways_rank penalty_minutes_per_game goal_diff_per_game goal_differential total_pp_opportunities
+        total_pp_goals total_times_shorthanded last_updated""",
+    "mart_head_to_head_published": """season season_display game_type team_abv opponent_abv games_played wins losses
+        ot_losses record points_earned goals_for goals_against goal_differential""",
+    "mart_team_form_published": """season season_display as_of_date team_abv team_name division conference games_played
+        points point_pct wins losses ot_losses regulation_wins row_wins goals_for goals_against goal_diff division_rank
+        conference_rank league_rank wildcard_rank record home_record road_record last_10_record last_10_points
+        last_10_goals_for last_10_goals_against shootout_record streak streak_code streak_count""",
+    "mart_standings_weekly_published": """date season season_display team_abv team_name division conference games_played
+        points point_pct wins losses ot_losses row_wins goals_for goals_against goal_diff division_rank conference_rank
+        league_rank wildcard_rank is_season_final week_of_year""",
+    "mart_three_stars_published": """game_id season season_display game_date star_number player_id player_name team_abv
+        position goals assists points gaa save_pct headshot_url star_selections_this_season first_star_selections""",
+    "goalies_season_stats_regular_published": """season player_id name team_abv gp games_dressed starts wins losses
+        ot_losses shutouts quality_starts goals_against toi_seconds saves shots_faced even_goals_against even_shots_saved
+        even_shots_against pp_ga pp_saves pp_shots_against sh_goals_against sh_saves sh_shots_against pim gaa save_pct
+        even_save_pct pp_save_pct sh_save_pct goals_saved_above_average is_qualified season_display first_name last_name
+        headshot_url""",
+    "skaters_season_stats_regular_published": """season player_id team_abv name games_played goals assists hits shots pim
+        plus_minus points pp_goals giveaways takeaways shifts total_toi avg_toi primary_assists secondary_assists
+        pp_assists sh_goals sh_assists empty_net_goals game_winning_goals overtime_goals faceoffs_won faceoffs_lost
+        faceoff_pct points_per_game goals_per_game assists_per_game points_per_60 goals_per_60 is_qualified
+        season_display first_name last_name position headshot_url""",
 }
 
 
@@ -302,3 +332,24 @@ def test_time_slots_and_playoff_labels(models):
     assert {r.time_slot for r in models["upcoming_games"].collect()} <= {"Afternoon", "Early Evening", "Late Evening"}
     # no previous season is loaded: no playoff result
     assert {r.prev_playoff_label for r in models["team_power_rankings"].collect()} == {None}
+
+
+def test_published_marts(models):
+    m = {r.team_abv: r for r in models["team_season_metrics_published"].collect()}
+    assert (m["HOM"].points, m["HOM"].ot_losses, m["HOM"].wins, m["HOM"].league_rank) == (3, 1, 1, 1)
+    assert m["AWY"].points == 2 and m["AWY"].division_rank == 2 and m["HOM"].points_pct == 75.0
+    assert m["HOM"].goal_differential == -m["AWY"].goal_differential
+    h = {(r.team_abv, r.opponent_abv): r for r in models["mart_head_to_head_published"].collect()}
+    assert h[("HOM", "AWY")].record == "1-0-1" and h[("HOM", "AWY")].points_earned == 3
+    f = {r.team_abv: r for r in models["mart_team_form_published"].collect()}
+    assert set(f) == {"HOM", "AWY"} and f["HOM"].season_display == "2025-26"
+    w = models["mart_standings_weekly_published"].collect()
+    assert w and all(r.is_season_final or r.date.isoweekday() == 1 for r in w)
+    stars = {r.star_number: r for r in models["mart_three_stars_published"].collect()}
+    assert set(stars) == {1, 2} and all(r.star_selections_this_season == 1 for r in stars.values())
+    s = {(r.player_id, r.team_abv): r for r in models["skaters_season_stats_regular_published"].collect()}
+    for r in s.values():
+        assert r.points_per_game == pytest.approx(r.points / r.games_played, abs=0.006)
+    g = {(r.player_id, r.team_abv): r for r in models["goalies_season_stats_regular_published"].collect()}
+    for r in g.values():
+        assert r.gp <= r.games_dressed and (not r.shots_faced or r.save_pct == pytest.approx(r.saves / r.shots_faced))
