@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, ascii_lower, bind, own_columns, prepare
+from .common import SPACES, Scratch, ascii_lower, bind, own_columns
 
 
 def line_key(line: Column) -> Column:
@@ -33,7 +33,7 @@ def _lines(docs: DataFrame, min_key_chars: int) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                min_key_chars: int = 10, min_docs: int = 2) -> DataFrame:
+                min_key_chars: int = 10, min_docs: int = 2, scratch: Scratch | None = None) -> DataFrame:
     """Returns every row of ``docs`` with all its columns, ``text_col`` replaced
     by the lines that stay (joined by a newline), plus ``n_lines`` (before) and
     ``n_dropped``; existing columns of these two names are replaced.
@@ -45,7 +45,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sorts last.  Keys are compared by a 128-bit hash.
     """
     own_columns(docs, id_col, text_col)
-    prepare(docs.sparkSession)
+    scratch = scratch or Scratch(docs.sparkSession)
     rest = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
     held = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)],
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
@@ -63,7 +63,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         held_by = (lines.select("k1", "k2", "id").distinct().groupBy("k1", "k2")
                    .agg(low.alias("first"), F.count(F.lit(1)).alias("n")))
         common = held_by.where(F.col("n") >= min_docs)
-    common = common.select("k1", "k2", "first")
+    # written, so that the join below is a stage of its own, whose hot hashes AQE can split
+    common = scratch.save(common.select("k1", "k2", "first"), "common-lines")
 
     dropped = (lines.join(common, ["k1", "k2"])
                .where(~F.col("id").eqNullSafe(F.col("first")))
