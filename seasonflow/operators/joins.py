@@ -1,10 +1,9 @@
 """Join patterns.
 
-Broadcast policy: a side is broadcast explicitly only when the caller states
-it is bounded by a fixed domain (teams, nations, one-row scalars).  Every
-other side is joined plainly and AQE converts it to a broadcast at run time
-only if its *measured* size is under ``autoBroadcastJoinThreshold`` — the
-size check happens on real statistics, with sort-merge as the fallback.
+Broadcast policy: only one-row aggregates are broadcast by a hint.  Every other
+side is joined plainly, and Spark broadcasts it only if its *measured* size is
+under ``autoBroadcastJoinThreshold`` — the size check happens on real statistics,
+with sort-merge as the fallback.
 """
 
 from __future__ import annotations
@@ -15,15 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-           bounded: bool = False) -> DataFrame:
-    """Attribute lookup (J02).  ``bounded=True`` only for fixed-size dimensions."""
-    return fact.join(F.broadcast(dim) if bounded else dim, on, how)
+def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Attribute lookup."""
+    return fact.join(dim, on, how)
 
 
 def role_playing(fact: DataFrame, dim: DataFrame, dim_key: str,
-                 roles: dict[str, str], attrs: Sequence[str],
-                 bounded: bool = False, how: str = "left") -> DataFrame:
+                 roles: dict[str, str], attrs: Sequence[str], how: str = "left") -> DataFrame:
     """Join the same dimension once per role.
 
     ``roles`` maps a prefix to the fact column holding the key, e.g.
@@ -34,7 +31,6 @@ def role_playing(fact: DataFrame, dim: DataFrame, dim_key: str,
     for prefix, fk in roles.items():
         d = dim.select(F.col(dim_key).alias(f"__{prefix}_k"),
                        *[F.col(a).alias(f"{prefix}_{a}") for a in attrs])
-        d = F.broadcast(d) if bounded else d
         out = out.join(d, F.col(fk) == F.col(f"__{prefix}_k"), how).drop(f"__{prefix}_k")
     return out
 
@@ -67,15 +63,12 @@ def not_in(df: DataFrame, col: str, sub: DataFrame, sub_col: str) -> DataFrame:
 
 
 def both_sides_in(games: DataFrame, participants: DataFrame, period_col: str,
-                  home_col: str, away_col: str, team_col: str, bounded: bool = False) -> DataFrame:
+                  home_col: str, away_col: str, team_col: str) -> DataFrame:
     """Keep a game only when both sides are participants of its period.
 
-    Two left-semi joins against the distinct (period, team) list.  With
-    ``bounded=True`` (periods x league size) the list is broadcast and the
-    games are never shuffled; otherwise AQE picks the strategy.
+    Two left-semi joins against the distinct (period, team) list.
     """
     p = participants.select(period_col, team_col).distinct()
-    p = F.broadcast(p) if bounded else p
     ph = p.select(F.col(period_col).alias("__p"), F.col(team_col).alias("__t"))
     g = games.join(ph, (F.col(period_col) == F.col("__p")) & (F.col(home_col) == F.col("__t")), "left_semi")
     return g.join(ph, (F.col(period_col) == F.col("__p")) & (F.col(away_col) == F.col("__t")), "left_semi")

@@ -175,7 +175,7 @@ def skater_detail_table(spark: SparkSession, root: str) -> DataFrame:
     (season, team, player), 12 measures incl. avg(toi / 60) (A21), not-null filter."""
     bed = Bed(spark, root)
     pg = bed.player_games().filter(F.col("game_type") == 2)
-    teams = F.broadcast(bed.teams().select("team", "team_name", "conference"))
+    teams = bed.teams().select("team", "team_name", "conference")
     j = pg.join(teams, "team", "left").filter(F.col("team_name").isNotNull())
     t = j.groupBy("season", "team_name", "player").agg(
         F.count(F.lit(1)).alias("gp"), F.sum("goals").alias("goals"), F.sum("assists").alias("assists"),

@@ -47,7 +47,7 @@ league AS (
 
 def latest_season_table(bed: Bed) -> DataFrame:
     return (J.keep_max(league_table(bed), "season")
-              .join(F.broadcast(bed.teams().select("team", "conference")), "team", "left"))
+              .join(bed.teams().select("team", "conference"), "team", "left"))
 
 
 # ---------------------------------------------------------------- metric_ranks

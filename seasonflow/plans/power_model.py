@@ -268,7 +268,7 @@ def season_metrics(g: DataFrame, conference: DataFrame | None = None) -> DataFra
         ranks["faceoff_win_pct"] = False
     t = t.select("*", *cols)
     if conference is not None:
-        t = t.join(F.broadcast(conference), "team", "left")
+        t = t.join(conference, "team", "left")
     t = R.rank_metrics(t, ranks)
     if conference is not None:
         t = R.rank_metrics(t, {"points": False}, partition=["conference"], suffix="_conference_rank")

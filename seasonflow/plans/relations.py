@@ -49,7 +49,7 @@ def dim_lookup(spark: SparkSession, root: str) -> DataFrame:
     bed = Bed(spark, root)
     t = bed.teams().select(F.col("team").alias("home_team"), F.col("team_name").alias("home_name"),
                            F.col("conference").alias("home_conference"))
-    return J.lookup(bed.games().select("game_id", "season", "home_team"), t, "home_team", bounded=True)
+    return J.lookup(bed.games().select("game_id", "season", "home_team"), t, "home_team")
 
 
 register("dim_lookup", sql("""
@@ -63,7 +63,7 @@ def role_playing_join(spark: SparkSession, root: str) -> DataFrame:
     bed = Bed(spark, root)
     g = bed.universe().select("game_id", "game_date", "home_team", "away_team")
     out = J.role_playing(g, bed.teams(), "team", {"home": "home_team", "away": "away_team"},
-                         ["team_name", "conference"], bounded=True)
+                         ["team_name", "conference"])
     return out.withColumn("same_conference", F.col("home_conference") == F.col("away_conference"))
 
 
@@ -84,7 +84,7 @@ def opponent_key_case(spark: SparkSession, root: str) -> DataFrame:
     j = J.key_by_case(j, "opponent", F.when(F.col("team") == F.col("home_team"), F.col("away_team"))
                                      .otherwise(F.col("home_team")))
     t = bed.teams().select(F.col("team").alias("opponent"), F.col("team_name").alias("opponent_name"))
-    return J.lookup(j.select("game_id", "player", "team", "opponent"), t, "opponent", bounded=True)
+    return J.lookup(j.select("game_id", "player", "team", "opponent"), t, "opponent")
 
 
 register("opponent_key_case", sql("""

@@ -204,7 +204,7 @@ def display_strings(spark: SparkSession, root: str) -> DataFrame:
     """F03 season display, F07 record text, F08 URL fallback, F09 signed text."""
     from seasonflow.plans.league import league_table
     bed = Bed(spark, root)
-    t = league_table(bed).join(F.broadcast(bed.teams().select("team", "team_name")), "team", "left")
+    t = league_table(bed).join(bed.teams().select("team", "team_name"), "team", "left")
     key = X.season_key_from_year("season")
     logo = F.when(F.col("team_name") != "NATION_3", F.concat(F.lit("logo/"), F.col("team_name")))
     return t.select("season", "team",

@@ -27,7 +27,7 @@ def detailed_team_table(standings: DataFrame, teams: DataFrame, conference: str
     """Rows of the latest standings date (max-date scalar, cross joined),
     inner join to the team dimension, optional conference filter, sorted."""
     latest = D.latest_rows_per_group(standings, [], "date")
-    t = latest.join(F.broadcast(teams.select("team_abv", "team_name")), "team_abv", "inner")
+    t = latest.join(teams.select("team_abv", "team_name"), "team_abv", "inner")
     return _eq(t, "conferencename", conference).orderBy(F.col("points").desc(), F.col("team_abv"))
 
 
@@ -46,7 +46,7 @@ def skater_detail(player_games: DataFrame, players: DataFrame, teams: DataFrame,
     average TOI in minutes, not-null filter on the player name."""
     j = (_eq(player_games, "season", season)
          .join(players.select("player_id", "full_name"), "player_id", "left")
-         .join(F.broadcast(teams.select("team_abv", "team_name")), "team_abv", "left")
+         .join(teams.select("team_abv", "team_name"), "team_abv", "left")
          .filter(F.col("full_name").isNotNull()))
     return j.groupBy("season", "team_name", "full_name").agg(
         F.count(F.lit(1)).alias("gp"), *[F.sum(c).alias(c) for c in ("goals", "assists", "points", "shots", "hits",

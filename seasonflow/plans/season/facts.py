@@ -248,7 +248,7 @@ def fct_upcoming_games(schedules: DataFrame, teams: DataFrame, p: Params = Param
     ts = X.parse_utc("start_time_utc")
     s = s.withColumn("start_local", X.to_local(ts, p.local_tz))
     s = J.role_playing(s, teams, "team_abv", {"home": "home_team_abv", "away": "away_team_abv"},
-                       ["division", "conference"], bounded=True)
+                       ["division", "conference"])
     return s.select(
         "game_id", "season", "game_type", "game_date", "home_team_abv", "away_team_abv", "start_local",
         F.hour("start_local").alias("start_hour_local"),

@@ -80,7 +80,7 @@ def current_standings(cur: DataFrame) -> DataFrame:
 def league_games(games: DataFrame, daily_standings: DataFrame) -> DataFrame:
     """Regular and playoff games whose two teams both appear in that season's
     standings (special events between non-participants drop out).  The
-    participant list (seasons x league size) is bounded -> broadcast."""
+    participant list holds a row per season and team."""
     part = daily_standings.select(F.col("SEASONID").alias("season"), F.col("TEAMABBREV_DEFAULT").alias("team"))
     g = games.filter(F.col("GAMETYPE").isin(2, 3)).select(
         F.col("ID").alias("game_id"), F.col("SEASON").alias("season"),
@@ -89,7 +89,7 @@ def league_games(games: DataFrame, daily_standings: DataFrame) -> DataFrame:
         F.col("GAMEOUTCOME_LASTPERIODTYPE").alias("last_period_type"),
         F.col("HOMETEAM_ID").alias("home_team_id"), F.col("HOMETEAM_ABBREV").alias("home_team_abv"),
         F.col("AWAYTEAM_ID").alias("away_team_id"), F.col("AWAYTEAM_ABBREV").alias("away_team_abv"))
-    return J.both_sides_in(g, part, "season", "home_team_abv", "away_team_abv", "team", bounded=True)
+    return J.both_sides_in(g, part, "season", "home_team_abv", "away_team_abv", "team")
 
 
 # -------------------------------------------------------- events M20, M21

@@ -162,5 +162,4 @@ def upcoming_games_mart(upcoming: DataFrame, teams: DataFrame) -> DataFrame:
     """Future games (not yet final) with both logos (role-playing join)."""
     t = teams.select("team_abv", F.col("logo_url").alias("logo")) if "logo_url" in teams.columns else \
         teams.select("team_abv", F.lit(None).cast("string").alias("logo"))
-    return J.role_playing(upcoming, t, "team_abv", {"home": "home_team_abv", "away": "away_team_abv"}, ["logo"],
-                          bounded=True)
+    return J.role_playing(upcoming, t, "team_abv", {"home": "home_team_abv", "away": "away_team_abv"}, ["logo"])

@@ -24,7 +24,7 @@ def team_power_rankings(team_games_fact: DataFrame, teams: DataFrame | None = No
     """Composite power score and rank per team for the latest season."""
     out = PM.composite(team_games(team_games_fact))
     if teams is not None:
-        out = out.join(F.broadcast(teams.select(F.col("team_id").alias("team"), "team_abv", "team_name")),
+        out = out.join(teams.select(F.col("team_id").alias("team"), "team_abv", "team_name"),
                        "team", "left")
     return out
 

@@ -55,11 +55,11 @@ class Bed:
     def t(self, name: str, *cols: str) -> DataFrame:
         return read_raw(self.spark, self.root, name, list(cols) or None)
 
-    # -- dimensions of fixed size (25 nations, 5 regions): safe to broadcast --
+    # -- dimensions (Spark broadcasts them when their measured size allows) ----
     def teams(self) -> DataFrame:
         n = self.t("nation", "n_nationkey", "n_name", "n_regionkey")
         r = self.t("region", "r_regionkey", "r_name")
-        return (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
+        return (n.join(r, n.n_regionkey == r.r_regionkey, "left")
                  .select(F.col("n_nationkey").alias("team"), F.col("n_name").alias("team_name"),
                          F.col("n_regionkey").alias("conference_id"),
                          F.col("r_name").alias("conference")))
@@ -98,8 +98,7 @@ class Bed:
                                 (F.col("home_team") != F.col("away_team")))
         part = (self.games().filter(F.col("game_type") == 2)
                 .select("season", F.col("home_team").alias("team")))
-        # participants are (season, nation) pairs: bounded by seasons x 25 nations
-        return both_sides_in(g, part, "season", "home_team", "away_team", "team", bounded=True)
+        return both_sides_in(g, part, "season", "home_team", "away_team", "team")
 
     def sides(self, games: DataFrame | None = None) -> DataFrame:
         """Two rows per game with own / opponent values."""
@@ -158,7 +157,7 @@ class Bed:
                                {"gp": "d_gp", "wins": "d_w", "points": "d_pts", "goal_diff": "d_gd"})
         cum = cum.select("season", "team", F.col("game_date").alias("date"), "gp", "wins", "points", "goal_diff")
         filled = G.gap_fill(cum, "season", "team", "date", {"gp": 0, "wins": 0, "points": 0, "goal_diff": 0})
-        teams = F.broadcast(self.teams().select("team", "team_name", "conference"))
+        teams = self.teams().select("team", "team_name", "conference")
         return filled.join(teams, "team", "inner")
 
     # -- plays (events) --------------------------------------------------------
