@@ -1,8 +1,9 @@
-"""Token ids of whole texts with a public word-BPE file.
+"""Token ids of whole texts with public vocabulary files.
 
-White space always ends a token in this vocabulary, so a text's ids are its
+In the word-BPE file white space always ends a token, so a text's ids are its
 white-space chunks' ids in a row.  Each Python worker keeps a bounded table of
-chunks it has met, which spares most of the BPE work.
+chunks it has met, which spares most of the BPE work.  Files of byte-level ranks
+go to their own library, which is fast without one.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ import numpy as np
 # Entries a worker's table may hold (about 200 bytes each); it starts anew when full.
 TABLE_ENTRIES = 600_000
 _SPACES = re.compile(r"[\x20\x09-\x0D]+")
-# Words that the normaliser leaves as they are and that form one pre-token.
-_SIMPLE = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+# A word of Latin-1 letters and the marks after it (no apostrophe, which can begin a contraction): two pre-tokens
+# at most, of which the normaliser changes the letters' case alone.
+_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-^`{-~]*)").fullmatch
 # Byte-level vocabularies write a byte that is not printable as the next free character from 256 on.
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
@@ -29,6 +31,38 @@ def _ids(tokenizer, text: str) -> bytes:
     return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
 
+class _Table(dict):
+    """Chunks and their ids; a chunk is worked out when it is first asked for."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer, self.bpe, self.marks = tokenizer, tokenizer.model.tokenize, {"": b""}
+
+    def __missing__(self, chunk: str) -> bytes:
+        plain = _PLAIN(chunk)
+        if plain is None:
+            ids = _ids(self.tokenizer, chunk)
+        else:
+            letters, run = plain.groups()
+            low = letters.lower()
+            ids = self.get(low)
+            if ids is None:
+                # one lower-case word is one pre-token: only the BPE itself is left to do
+                word = low if low.isascii() else low.encode().decode("latin-1").translate(_BYTE_CHARS)
+                ids = self[low] = array("I", [t.id for t in self.bpe(word)]).tobytes()
+            if run:
+                if run not in self.marks:
+                    self.marks[run] = _ids(self.tokenizer, run)
+                ids += self.marks[run]
+        self[chunk] = ids
+        return ids
+
+    def trim(self) -> None:
+        if len(self) > TABLE_ENTRIES or len(self.marks) > TABLE_ENTRIES:
+            self.clear()
+            self.marks = {"": b""}
+
+
 class Encoder:
     """``encode(text)`` gives the ids as little-endian uint32 bytes; they equal
     those of the tokenizer file over the whole text without special tokens."""
@@ -36,47 +70,18 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.bpe = self.tokenizer.model.tokenize
-        self.marks = {"": b"", **{m: _ids(self.tokenizer, m) for m in ".,"}}
-        self.table: dict[str, bytes] = {}
-
-    def _learn(self, chunks) -> None:
-        table = self.table
-        hard = []
-        for c in chunks:
-            # "word." is "word" and "."; a mark after anything else may belong to a run of marks
-            mark = c[-1] if len(c) > 1 and c[-1] in ".," and c[-2].isalpha() else ""
-            stem = c[:-1] if mark else c
-            low = stem.lower()
-            if _SIMPLE.fullmatch(low):
-                ids = table.get(low)
-                if ids is None:
-                    # one lower-case word is one pre-token: only the BPE itself is left to do
-                    word = low if low.isascii() else low.encode().decode("latin-1").translate(_BYTE_CHARS)
-                    ids = table[low] = np.array([t.id for t in self.bpe(word)], np.uint32).tobytes()
-                if c != low:
-                    table[c] = ids + self.marks[mark]
-            else:
-                hard.append(c)
-        for c in hard:
-            table[c] = _ids(self.tokenizer, c)
+        self.table = _Table(self.tokenizer)
 
     def encode(self, text: str) -> bytes:
         if text.isascii():
             text = text.lower()
         chunks = [c for c in _SPACES.split(text) if c] if _ODD.search(text) else text.split()
+        out = []
         # a very long text is taken in parts, so that the table's bound holds
-        return b"".join(self._part(chunks[i:i + 50_000]) for i in range(0, len(chunks), 50_000))
-
-    def _part(self, chunks: list[str]) -> bytes:
-        met = set(chunks)
-        missing = [c for c in met if c not in self.table]
-        if missing:
-            if len(self.table) + 2 * len(missing) > TABLE_ENTRIES:
-                self.table.clear()
-                missing = met
-            self._learn(missing)
-        return b"".join(map(self.table.__getitem__, chunks))
+        for i in range(0, len(chunks), 50_000):
+            self.table.trim()
+            out.append(b"".join(map(self.table.__getitem__, chunks[i:i + 50_000])))
+        return b"".join(out)
 
 
 class RankEncoder:

@@ -15,6 +15,7 @@ from hypothesis import strategies as st
 from seasonflow.llm import fingerprints, packing, secret_scan, token_shards, warc
 from seasonflow.llm.common import filesystem, hash_words, new_path
 from seasonflow.llm.tokens import Encoder, public_path
+from seasonflow.llm.tokens import encoder as token_encoder
 
 from . import brute
 
@@ -24,13 +25,18 @@ def encoder():
     return Encoder(public_path(packing.TOKENIZER))
 
 
+@pytest.fixture(scope="module")
+def ranks():
+    return token_encoder(public_path(token_shards.TOKENIZER))
+
+
 def whole(encoder, text):
     return np.array(encoder.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4")
 
 
 # -- tokens ----------------------------------------------------------------------------
 ODD = ["", "  ", "word. Word, WORD", "U.S.A... 3.14 it's 'tis don't", "x\x1cy\x1d z", "Σας ΟΔΟΣ. ΣΑΣ,", "İstanbul é é",
-       "a b c", "<|endoftext|> a<|startoftext|>b", '"foo". bar', "straße École, ÿ. ×", "\U0001F600 . ,", "ſK K"]
+       "a b c", "<|endoftext|> a<|startoftext|>b", '"foo". bar', "straße École, ÿ. ×", "\U0001F600 . ,", "ſK K", "word!!! a'b don''t x'%% Mot***. ÀÉ&&& a_b a_, y·", "i'm we'll 'S it's."]
 
 
 @pytest.mark.parametrize("text", ODD)
@@ -44,13 +50,21 @@ def test_encoder_on_mixed_text(encoder, text):
     assert encoder.encode(text) == whole(encoder, text).tobytes()
 
 
+def test_rank_encoder_equals_the_same_vocabulary_as_a_tokenizer_file(ranks):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(public_path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    for text in ODD:
+        assert np.frombuffer(ranks.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def test_encoder_table_is_bounded(encoder, monkeypatch):
     from seasonflow.llm import tokens
     monkeypatch.setattr(tokens, "TABLE_ENTRIES", 50)
     e = Encoder(public_path(packing.TOKENIZER))
     for k in range(40):
         text = " ".join(f"w{k}x{j}." for j in range(20)) + " end."
-        assert e.encode(text) == whole(e, text).tobytes() and len(e.table) <= 80
+        assert e.encode(text) == whole(e, text).tobytes() and len(e.table) <= 50 + 2 * 22
 
 
 # -- packing ---------------------------------------------------------------------------
@@ -111,7 +125,7 @@ def test_permutation_is_a_bijection(n):
         assert abs(np.corrcoef(np.arange(n), out)[0, 1]) < 0.15
 
 
-def test_shards_round_trip(edge, empty, edge_rows, encoder, spark):
+def test_shards_round_trip(edge, empty, edge_rows, ranks, spark):
     path, index = token_shards.write_shards(edge, sequence=64, shard_records=20, waves=3)
     rows = index.collect()
     back = {r.slot: r for r in token_shards.read_slots(spark, path).collect()}
@@ -125,7 +139,7 @@ def test_shards_round_trip(edge, empty, edge_rows, encoder, spark):
     for i, t, _ in edge_rows:
         if sum(j == i for j, _, _ in edge_rows) == 1:
             got = [x for _, ids in sorted(docs[i]) for x in ids]
-            assert got == [*whole(encoder, t).tolist(), 2]
+            assert got == [*np.frombuffer(ranks.encode(t or ""), "<u4").tolist(), token_shards.END_ID]
     # any range of slots, from the middle of a shard on
     some = sorted(r.slot for r in token_shards.read_slots(spark, path, 13, 31, with_ids=False).collect())
     assert some == list(range(13, 44))
