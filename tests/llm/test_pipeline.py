@@ -86,6 +86,16 @@ def test_empty_table_passes_all_stages(spark):
         assert docs.count() == 0
 
 
+def test_edge_rows_pass_all_stages(spark, edge):
+    docs, scratch = edge, Scratch(spark)
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = scratch.save(stage(spark, docs, SF), "edge")
+        assert docs.count() > 0
+        if i < 4:
+            assert docs.columns == corpus_pipeline.COLUMNS
+    assert docs.where("length <= 0 OR offset < 0").count() == 0
+
+
 def test_registered_names():
     names = list(E.queries())
     assert "pipeline" in names
