@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from .common import Scratch, hash_words, map_arrow, mix64, own_columns, text_slices, total_bytes
 from .packed import grouped, rows_of, schema, share, unpack
 
-GRAMS_A_PART = 2_000_000        # n-grams in a partition, on average
+GRAMS_A_PART = 1_000_000        # n-grams in a partition, on average
 FLUSH = 1_000_000               # n-grams a task packs at once
-BLOCK_CLASSES = 1500            # of a hub that one task compares with one other block
-BLOCK_GRAMS = 2_000_000
+BLOCK_CLASSES = 500             # of a hub that one task compares with one other block
+BLOCK_GRAMS = 1_000_000
 CELLS = 4_000_000               # counts kept at once while a fragment is counted
 
 
