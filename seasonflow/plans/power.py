@@ -29,6 +29,12 @@ def team_games(bed: Bed) -> DataFrame:
     return bed.team_games()
 
 
+def result_games(bed: Bed) -> DataFrame:
+    """Games with results and points only, for models that need no line counts (a
+    left join to them would not be pruned)."""
+    return bed.results()
+
+
 def latest_period_filter(spark: SparkSession, root: str) -> DataFrame:
     """Rows of the latest season via a broadcast one-row global max."""
     return J.keep_max(Bed(spark, root).sides(), "season")
@@ -69,7 +75,7 @@ _PREV_SQL = """
 
 def previous_period_final(spark: SparkSession, root: str) -> DataFrame:
     """W19 + playoff carry-over for the previous season."""
-    return PM.previous_final(team_games(Bed(spark, root)))
+    return PM.previous_final(result_games(Bed(spark, root)))
 
 
 register("previous_period_final", sql(_PREV_SQL + "SELECT * FROM prev"))(previous_period_final)
@@ -78,7 +84,7 @@ register("previous_period_final", sql(_PREV_SQL + "SELECT * FROM prev"))(previou
 # ------------------------------------------------------- opponent strength
 def opponent_strength(spark: SparkSession, root: str) -> DataFrame:
     """Mean opponent points share per (season, team), exact to 4 decimals."""
-    return PM.opponent_strength(team_games(Bed(spark, root)))
+    return PM.opponent_strength(result_games(Bed(spark, root)))
 
 
 _OPP_SQL = """

@@ -128,17 +128,20 @@ class Bed:
     def team_games(self) -> DataFrame:
         """Two-sided game rows plus per-side line counts: shots; power-play
         goals over shots; short-handed lines as goals against on the kill."""
-        s = self.sides()
         sl = self.side_lines().select("game_id", "is_home", "shots", "pp_goals", "shorthanded")
-        j = s.join(sl, ["game_id", "is_home"], "left")
-        return j.select("season", "team", "opponent", "game_id", "game_date",
-                        F.when(F.col("game_type") == 2, "regular").when(F.col("game_type") == 3, "playoff")
-                         .alias("game_type"),
-                        "goals_for", "goals_against",
-                        F.when(F.col("goals_for") > F.col("goals_against"), 2)
-                         .when(F.col("goals_for") == F.col("goals_against"), 1).otherwise(0).alias("points"), "shots", "pp_goals", F.col("shots").alias("pp_attempts"),
+        j = self.results().join(sl, ["game_id", "is_home"], "left")
+        return j.select("season", "team", "opponent", "game_id", "game_date", "game_type", "goals_for", "goals_against",
+                        "points", "shots", "pp_goals", F.col("shots").alias("pp_attempts"),
                         F.col("shots").alias("pk_attempts"), F.col("shorthanded").alias("pk_goals_against"))
 
+    def results(self) -> DataFrame:
+        """Two rows per game with the game type's name, goals and standings points."""
+        win, level = F.col("goals_for") > F.col("goals_against"), F.col("goals_for") == F.col("goals_against")
+        return self.sides().select(
+            "season", "team", "opponent", "game_id", "game_date", "is_home",
+            F.when(F.col("game_type") == 2, "regular").when(F.col("game_type") == 3, "playoff").alias("game_type"),
+            "goals_for", "goals_against", F.when(win, 2).when(level, 1).otherwise(0).alias("points"))
+
     # -- team standings by day (M27 analogue) -------------------------------------
     def team_standings(self) -> DataFrame:
         """Cumulative (gp, wins, points, goal diff) per (season, team, day) over
