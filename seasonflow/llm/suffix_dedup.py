@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import _BYTES, Scratch, flat_text, map_arrow, mix64, own_columns, powers, text_slices
 from .packed import grouped, rows_of, schema, share, spread, unpack
 
-SUFFIXES_A_PART = 1_000_000     # of a range partition, on average
+SUFFIXES_A_PART = 500_000       # of a range partition, on average
 TEXT_A_PART = 8 << 20           # bytes of text in a partition by id
 FLUSH = 500_000                 # suffixes a task packs at once
 
