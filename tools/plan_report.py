@@ -1,4 +1,4 @@
-"""Physical-plan report for every registered query: shuffles, broadcasts,
+"""Physical-plan report for every season query: shuffles, broadcasts,
 join strategies, group limits, single-partition exchanges, pushed filters and
 dynamic partition pruning.  Writes PLANS.md (markdown) from the pre-AQE
 physical plan (AQE may still turn a sort-merge join into a broadcast at run
@@ -39,20 +39,20 @@ def main() -> None:
     ap.add_argument("--out", default="PLANS.md")
     a = ap.parse_args()
     from seasonflow.session import build_session
-    import __spark_entry__ as E
+    from seasonflow.plans import QUERIES
 
     spark = build_session("local[8]", 8)
     rows = []
-    for k in sorted(E.queries()):
-        df = E.queries()[k](spark, a.sf_dir)
+    for k in sorted(QUERIES):
+        df = QUERIES[k](spark, a.sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         counts = {f: len(re.findall(p, plan)) for f, p in FEATURES.items()}
         rows.append((k, counts))
         print(k, counts, file=sys.stderr)
     cols = list(FEATURES)
     lines = ["# Physical plans of the registered queries", "",
-             f"Generated by `tools/plan_report.py` on `{a.sf_dir}` (pre-AQE physical plan; with the shared "
-             "intermediate tables already materialised).", "",
+             f"Generated by `tools/plan_report.py` on `{a.sf_dir}` (pre-AQE physical plan over the given "
+             "tables).", "",
              "Columns count plan nodes: hash/range shuffles, single-partition exchanges (only ever after "
              "aggregation to a bounded grain), broadcast exchanges (bounded sides or one-row scalars), "
              "sort-merge / broadcast-hash / nested-loop joins, cartesian products, window group limits "
