@@ -1,8 +1,8 @@
 """Packing documents into fixed windows by Karmarkar-Karp multiway differencing.
 
 A document is its token ids and an end id.  Whole windows are cut from its front;
-the remainder is an item.  Items are dealt by hash into groups of bounded token
-count; each group is split into k windows of nearly equal sums by repeatedly
+the remainder is an item, or a few if it is long, because windows of many small items
+come out nearer to equal.  Items are dealt by hash into groups of bounded token count; each group is split into k windows of nearly equal sums by repeatedly
 merging the two partial partitions of the largest imbalance with opposing order.
 k starts at what the tokens need at least and rises whenever a window would exceed
 its capacity.
@@ -71,8 +71,10 @@ def pack_sizes(sizes: np.ndarray, capacity: int) -> np.ndarray:
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
-           capacity: int = 4096, end_id: int = 2, with_ids: bool = True, dtype: str = "<u4") -> DataFrame:
-    """Tokenises whole texts and cuts them: ``doc_id, start, length, ids_crc32,
+           capacity: int = 4096, end_id: int = 2, with_ids: bool = True, dtype: str = "<u4",
+           piece: int | None = None) -> DataFrame:
+    """Tokenises whole texts and cuts them into pieces of ``capacity`` ids and a
+    remainder in pieces of at most ``piece`` (by default a quarter of it): ``doc_id, start, length, ids_crc32,
     doc_tokens, row`` and, with ``with_ids``, ``ids`` (binary, ``dtype``).
 
     Null text is empty, so that it is the end id alone.  Every row of ``docs`` is
@@ -84,7 +86,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
     path = tokenizer or public_path(TOKENIZER)
     end = np.array([end_id], np.uint32).tobytes()
 
-    size = np.dtype(dtype).itemsize
+    size, small = np.dtype(dtype).itemsize, piece or max(1, capacity // 4)
 
     def cut(batches):
         enc, row = encoder(path), TaskContext.get().partitionId() << 33
@@ -95,8 +97,9 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
                 raw = (enc.encode(t) if t else b"") + end
                 n = len(raw) // 4
                 own = raw if size == 4 else np.frombuffer(raw, "<u4").astype(dtype).tobytes()
-                for first in range(0, n, capacity):
-                    last = min(n, first + capacity)
+                whole = n // capacity * capacity
+                for first in (*range(0, whole, capacity), *range(whole, n, small)):
+                    last = min(n, first + (capacity if first < whole else small))
                     at.append(i)
                     start.append(first)
                     length.append(last - first)
@@ -119,7 +122,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
     return map_arrow(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), cut, schema)
 
 
-def pack(cut: DataFrame, capacity: int = 4096, group_windows: int = 128, scratch: Scratch | None = None) -> DataFrame:
+def pack(cut: DataFrame, capacity: int = 4096, group_windows: int = 256, scratch: Scratch | None = None) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces (all their columns stay, ids
     included).  A sequence's pieces lie gapless from offset 0 and sum to at most
     ``capacity``.  Sequence ids are unique but not dense.  No rows for no pieces."""

@@ -74,7 +74,8 @@ def write_shards(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
     path = path or new_path(spark, "shards")
-    cut = pieces(docs, id_col, text_col, tokenizer or public_path(TOKENIZER), sequence, end_id, with_ids=True, dtype=dtype)
+    cut = pieces(docs, id_col, text_col, tokenizer or public_path(TOKENIZER), sequence, end_id, with_ids=True, dtype=dtype,
+                 piece=sequence)
     table = cut.select("doc_id", "start", "length", "ids").withColumn("at", F.monotonically_increasing_id())
     table = scratch.save(table, "sequences", "zstd")
     # a number per partition that was written
