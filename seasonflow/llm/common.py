@@ -7,6 +7,7 @@ be lost at any time, and a lost one then costs only the retry of its tasks.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -28,7 +29,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 # text is one row, so this bounds a batch to a few MB on ordinary documents).
 ARROW_ROWS = 512
 # Raw text bytes that the vectorised byte kernels work on at once.
-KERNEL_BYTES = 1 << 21
+KERNEL_BYTES = 1 << 20
 
 _SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": str(ARROW_ROWS),
@@ -204,9 +205,45 @@ def total_bytes(df: DataFrame, column: str) -> int:
     return int(df.agg(F.sum(F.octet_length(column).cast("long"))).first()[0] or 0)
 
 
+def release() -> None:
+    """Gives memory that a Python worker has freed back to the system: workers live
+    on between tasks and stages, next to an executor of a fixed size."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+try:
+    _TRIM = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):      # another C library
+    _TRIM = None
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     prepare(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        yield from fn(batches)
+        release()
+    return df.mapInArrow(run, schema)
+
+
+def per_group(fn):
+    """A function of (key, table) for ``applyInArrow`` over groups of megabytes."""
+    def run(key, table):
+        out = fn(key, table)
+        release()
+        return out
+    return run
+
+
+def per_cogroup(fn):
+    """The same for (key, left, right)."""
+    def run(key, left, right):
+        out = fn(key, left, right)
+        release()
+        return out
+    return run
 
 
 # -- words of many texts at once -------------------------------------------------------

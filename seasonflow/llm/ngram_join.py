@@ -28,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, hash_words, map_arrow, mix64, own_columns, text_slices, total_bytes
+from .common import Scratch, hash_words, map_arrow, mix64, own_columns, per_group, text_slices, total_bytes
 from .packed import grouped, rows_of, schema, share, unpack
 
 GRAMS_A_PART = 1_000_000        # n-grams in a partition, on average
-FLUSH = 1_000_000               # n-grams a task packs at once
+FLUSH = 400_000                 # n-grams a task packs at once
 BLOCK_CLASSES = 500             # of a hub that one task compares with one other block
 BLOCK_GRAMS = 1_000_000
 CELLS = 4_000_000               # counts kept at once while a fragment is counted
@@ -138,8 +138,8 @@ def _candidates(docs: DataFrame, classes: DataFrame, words: int, min_pct: int, s
         return pa.table({"s1": pa.array(ids[lone > allowed(x["sizes"][at].astype(np.int64), min_pct)], pa.int64())})
 
     packed = map_arrow(docs.select("text"), cut, schema(_GRAM, "part int"))
-    counted = packed.groupBy("part").applyInArrow(lonely, schema(_COUNT, "home int"))
-    out = counted.groupBy("home").applyInArrow(verdict, "s1 long")
+    counted = packed.groupBy("part").applyInArrow(per_group(lonely), schema(_COUNT, "home int"))
+    out = counted.groupBy("home").applyInArrow(per_group(verdict), "s1 long")
     return classes.join(out, "s1", "left_anti")
 
 
@@ -197,8 +197,8 @@ def _meetings(sets: DataFrame, min_pct: int, grams: int) -> DataFrame:
                         schema=pa.schema([(c, pa.int64()) for c in ("hub", "cls", "n")]))
 
     packed = map_arrow(sets.select("cls", "n", "grams"), cut, schema(_GRAM, "part int"))
-    seen = packed.groupBy("part").applyInArrow(count, schema(_SEEN, "home int"))
-    return seen.groupBy("home").applyInArrow(meet, "hub long, cls long, n long").distinct()
+    seen = packed.groupBy("part").applyInArrow(per_group(count), schema(_SEEN, "home int"))
+    return seen.groupBy("home").applyInArrow(per_group(meet), "hub long, cls long, n long").distinct()
 
 
 def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -362,14 +362,16 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     measured = scratch.save(map_arrow(base.select("id", "mark", "text"), measure,
                                       "id long, mark long, n long, s1 long, s2 long"), "signatures")
-    classes = (measured.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("low"), F.min("mark").alias("text_mark"))
+    # one row stands for its class: the smallest id that is not null, then the smallest mark
+    order = F.struct(F.col("id").isNull().alias("u"), F.col("id").alias("i"), F.col("mark").alias("m"))
+    classes = (measured.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("low"), F.min(order).alias("one"))
                .withColumn("cls", F.monotonically_increasing_id()))
     classes = scratch.save(classes, "classes")
 
     left = _candidates(base, classes, words, min_pct, size, scratch)
-    # one text of each class that is left; texts with equal marks are equal
-    chosen = left.select("cls", F.col("text_mark").alias("m"))
-    some = base.join(chosen, F.col("mark") == F.col("m")).select("cls", "text")
+    # one text of each class that is left: copies are not read again, however many there are
+    chosen = left.select("cls", F.col("one.i").alias("i"), F.col("one.m").alias("m"))
+    some = base.join(chosen, F.col("id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m"))).select("cls", "text")
 
     def sets_of(batches):
         for b in batches:
@@ -380,7 +382,7 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), pa.array(
                     [grams[at[i]:at[i + 1]].tobytes() for i in range(part.num_rows)], pa.binary())], ["cls", "n", "grams"])
 
-    # equal texts under several ids give equal sets: any one of them will do
+    # equal rows give equal sets: any one of them will do
     sets = map_arrow(some, sets_of, "cls long, n long, grams binary").dropDuplicates(["cls"])
     sets = scratch.save(sets, "sets")
     grams = int(sets.agg(F.sum("n")).first()[0] or 0)

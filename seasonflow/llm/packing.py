@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, binary, map_arrow, own_columns
+from .common import Scratch, binary, map_arrow, own_columns, per_group
 from .tokens import encoder, public_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -155,4 +155,4 @@ def pack(cut: DataFrame, capacity: int = 4096, group_windows: int = 256, scratch
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema) + ", sequence_id long, offset long"
     dealt = cut.withColumn("__g", F.pmod(F.xxhash64("doc_id", "row", "start"), F.lit(groups)).cast("long"))
-    return dealt.groupBy("__g").applyInArrow(run, schema)
+    return dealt.groupBy("__g").applyInArrow(per_group(run), schema)

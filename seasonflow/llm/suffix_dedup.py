@@ -30,12 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BYTES, Scratch, flat_text, map_arrow, mix64, own_columns, powers, text_slices
+from .common import (_BYTES, Scratch, flat_text, map_arrow, mix64, own_columns, per_cogroup, per_group, powers,
+                     text_slices)
 from .packed import grouped, rows_of, schema, share, spread, unpack
 
 SUFFIXES_A_PART = 500_000       # of a range partition, on average
 TEXT_A_PART = 8 << 20           # bytes of text in a partition by id
-FLUSH = 500_000                 # suffixes a task packs at once
+FLUSH = 300_000                 # suffixes a task packs at once
 
 
 def anchored_suffixes(flat: np.ndarray, offsets: np.ndarray, length: int):
@@ -184,7 +185,7 @@ def repeated_ranges(docs: DataFrame, length: int, parts: int, homes: int, scratc
 
     packed = map_arrow(texts, cut, schema(_SUFFIX, "part int"))
     kinds = schema(_RANGE, "home int, kind int")
-    found = scratch.save(packed.groupBy("part").applyInArrow(match, kinds), "ranges")
+    found = scratch.save(packed.groupBy("part").applyInArrow(per_group(match), kinds), "ranges")
     whole, asked = found.where("kind = 0").drop("kind"), found.where("kind = 1").drop("kind")
 
     def write_out(key, left, right):
@@ -208,7 +209,7 @@ def repeated_ranges(docs: DataFrame, length: int, parts: int, homes: int, scratc
         return pa.Table.from_batches([rows_of(_STRING, *out)])
 
     strings = (texts.groupBy("home").cogroup(asked.groupBy("home"))
-               .applyInArrow(write_out, schema(_STRING, "part int")))
+               .applyInArrow(per_cogroup(write_out), schema(_STRING, "part int")))
 
     def compare(key, table):
         """Sorts the windows of stretches by all their bytes and keeps those that
@@ -240,7 +241,7 @@ def repeated_ranges(docs: DataFrame, length: int, parts: int, homes: int, scratc
                 out[1].append(share(y, hit[own], _RANGE))
         return pa.Table.from_batches([rows_of(_RANGE, *out)])
 
-    inner = scratch.save(strings.groupBy("part").applyInArrow(compare, schema(_RANGE, "home int")), "inner")
+    inner = scratch.save(strings.groupBy("part").applyInArrow(per_group(compare), schema(_RANGE, "home int")), "inner")
     return [whole, inner]
 
 
@@ -319,4 +320,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (
         ", spans array<struct<start: long, end: long>>, kept binary" if with_text else "")
     return (base.select("doc_id", "id", "mark", "home", "text").groupBy("home")
-            .cogroup(gone.groupBy("home")).applyInArrow(finish, schema))
+            .cogroup(gone.groupBy("home")).applyInArrow(per_cogroup(finish), schema))
