@@ -169,7 +169,7 @@ _BLEND_SQL = _SCALED_SQL + """
          CASE WHEN gp >= 20 THEN 1.0::DOUBLE WHEN gp = 0 THEN 0.0::DOUBLE ELSE CAST(gp AS DOUBLE) / 20.0::DOUBLE END AS current_weight,
          CASE WHEN gp >= 20 THEN 0.0::DOUBLE WHEN gp = 0 THEN 1.0::DOUBLE ELSE 1.0::DOUBLE - CAST(gp AS DOUBLE) / 20.0::DOUBLE END AS previous_weight,
          coalesce(p.prev_power_score, 50.0::DOUBLE) AS prev_score,
-         coalesce(p.playoff_round_reached, 0) AS prev_playoff_round,
+         p.playoff_round_reached AS prev_playoff_round,
          coalesce(p.prev_pct_scaled, 50.0::DOUBLE) AS prev_points_scaled
   FROM scaled s LEFT JOIN prevs p USING (team))
 """
