@@ -221,10 +221,11 @@ def repeated_ranges(docs: DataFrame, length: int, parts: int, homes: int, scratc
         shift = spread(np.zeros(len(size), np.int64), x["count"].astype(np.int64))
         out = {"home": []}, []
         if len(entry):
-            groups = grouped(x["key"][entry] % np.uint64(1 + len(entry) // 500_000))
+            # equal windows have equal keys; the index of a group is 400 bytes a window
+            groups = grouped(x["key"][entry] % np.uint64(1 + len(entry) // 100_000))
             doc = x["ids"][x["at"]]
             hits = []
-            for _, pick in groups:       # equal windows have equal keys
+            for _, pick in groups:
                 rows = x["text"][(base[entry[pick]] + shift[pick])[:, None] + np.arange(length)]
                 order, new = multikey_sort(rows)
                 d = doc[entry[pick]][order]
