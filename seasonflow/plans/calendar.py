@@ -170,7 +170,7 @@ WHERE isodow(play_date) = 1 OR play_date = (SELECT max(play_date) FROM filled f2
 
 # -------------------------------------------------------- team standings
 def team_standings_daily(bed: Bed) -> DataFrame:
-    """M27 on teams (materialised by the bed, partitioned by season)."""
+    """M27 on teams."""
     return bed.team_standings()
 
 
@@ -203,7 +203,7 @@ def cutoff_distance(spark: SparkSession, root: str) -> DataFrame:
     keeps 3 rows per group before the shuffle) aggregated and joined back —
     no task ever ranks a whole hot group.
     """
-    st = team_standings_daily(Bed(spark, root))
+    st = Bed(spark, root).written("team_standings")       # read twice
     w = Window.partitionBy("date", "conference").orderBy(F.col("points").desc())
     top = (st.select("date", "conference", "points", F.rank().over(w).alias("__r"))
              .filter(F.col("__r") <= 3)
