@@ -3,13 +3,16 @@ and of ordinary identifiers compared by log-likelihood ratio.
 
 The two models are first-order Markov chains over one alphabet.  They are trained
 from labelled samples: character pairs of strings known to be random and of
-ordinary text.  Without samples the corpus labels itself: what the patterns find
-is random, all other text is ordinary.  All documents are counted.
+ordinary text.  Without samples the corpus labels itself: each distinct secret that
+the patterns find is random, and text outside of pattern spans and long unbroken
+strings is ordinary.  So no string that is to be judged trains a model, and one
+secret counts once however many documents share it.  All documents are counted.
 
 Shape at scale: texts are read once.  That pass writes the pattern spans and the
-few long unbroken strings (candidates) of each document, and sums pairs per task;
-the sums are 2 x 64 x 64 numbers however large the input is.  Scoring reads the
-candidates only.
+few long unbroken strings (candidates) of each document, and sums ordinary pairs
+per task; the sums are 66 x 66 numbers at most however large the input is.  Found
+secrets are made distinct with map-side combine and summed the same way.  Scoring
+reads the candidates only.
 """
 
 from __future__ import annotations
@@ -73,6 +76,16 @@ def pair_counts(text: bytes) -> np.ndarray:
     return np.bincount(pairs[(s[:-1] > 0) & (s[1:] > 0)], minlength=CELLS)
 
 
+def ordinary_text(text: str, spans: list[tuple[int, int, int]]) -> str:
+    """The text outside of pattern spans and long unbroken strings."""
+    cuts = sorted([(a, e) for a, _, e in spans] + [m.span() for m in RUN.finditer(text)])
+    at, plain = 0, []
+    for a, e in cuts:
+        plain.append(text[at:a])
+        at = max(at, e)
+    return "\n".join([*plain, text[at:]]) if cuts else text
+
+
 class Model:
     """Log-likelihood ratio of a string being random rather than ordinary, per
     character pair.  Counts are smoothed by one pair in every cell."""
@@ -122,6 +135,20 @@ def _gather(counts: DataFrame) -> Model:
     return Model(sums[:CELLS], sums[CELLS:])
 
 
+def _secrets(batches):
+    """The secret inside each found span."""
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([ASSIGN.match(s)[2] if k == 0 else s for k, s in zip(
+            b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)], pa.string())], ["secret"])
+
+
+def _random_pairs(batches):
+    sums = np.zeros((2, CELLS), np.int64)
+    for b in batches:
+        sums[0] += pair_counts("\n".join(b.column(0).to_pylist()).encode())
+    yield _sparse(sums)
+
+
 _FOUND = ("doc_id {0}, base array<struct<start: long, kind: int, end: long>>, starts array<long>, "
           "strings array<string>, counts array<struct<cell: int, n: long>>")
 
@@ -146,7 +173,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample
     schema = schema.replace("end: long>>", "end: long, string: string>>", 1)
 
     def find(batches):
-        sums, ids = np.zeros((2, CELLS), np.int64), None
+        sums, ids = np.zeros((2, CELLS), np.int64), None      # random pairs come from distinct secrets
         for b in batches:
             ids, rest, rows = b.column(0), [], []
             for t in b.column(1).to_pylist():
@@ -154,15 +181,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample
                 runs = candidates(t, spans)
                 rows.append({"base": [{"start": a, "kind": k, "end": e, "string": t[a:e]} for a, k, e in spans],
                              "starts": [a for a, _ in runs], "strings": [s for _, s in runs], "counts": None})
-                if spans:
-                    at, plain = 0, []
-                    for a, k, e in spans:
-                        secret = ASSIGN.match(t, a, e)[2] if k == 0 else t[a:e]
-                        sums[0] += pair_counts(secret.encode())
-                        plain.append(t[at:a])
-                        at = max(at, e)
-                    t = "\n".join([*plain, t[at:]])
-                rest.append(t)
+                rest.append(ordinary_text(t, spans))
             sums[1] += pair_counts("\n".join(rest).encode())
             cols = pa.RecordBatch.from_pylist(rows, schema=arrow)
             yield pa.RecordBatch.from_arrays([ids, *cols.columns], ["doc_id", *cols.schema.names])
@@ -178,7 +197,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample
     if samples is not None:
         model = train(samples)
     else:
-        model = _gather(found.where("counts IS NOT NULL").select(F.explode("counts").alias("c")).select("c.*"))
+        ordinary = found.where("counts IS NOT NULL").select(F.explode("counts").alias("c")).select("c.*")
+        spans = found.where("counts IS NULL").select(F.explode("base").alias("s")).select("s.kind", "s.string").distinct()
+        secrets = map_arrow(spans, _secrets, "secret string").distinct()
+        model = _gather(ordinary.unionByName(map_arrow(secrets, _random_pairs, "cell int, n long")))
 
     def judge(batches):
         for b in batches:

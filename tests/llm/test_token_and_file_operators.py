@@ -283,6 +283,25 @@ def test_models_separate_held_out_samples(spark):
     assert [(s.kind, s.start, s.string) for s in spans if s.kind == "random"] == [("random", 4, held[0][0])]
 
 
+def test_secret_shared_by_a_third_of_the_documents_is_found(spark):
+    """The default path, which trains on the scanned table itself."""
+    from pyspark.sql import functions as F
+    rng = random.Random(8)
+    make = lambda: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(32))
+    shared, known, other = make(), make(), make()
+    plain = "see getUserName and table_writer_index and " + "the_session_handler_of_the_stream_reader"
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    third = F.col("doc_id") % 3
+    planted = docs.withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.when(third == 0, f"\nsee {shared} here")
+                              .when(third == 1, f"\ntoken={known}").when(F.col("doc_id") == 2, f"\nsee {other} here")
+                              .otherwise(f"\n{plain}")))
+    rows = secret_scan.scan(planted).collect()
+    found = {r.doc_id: {s.string for s in r.spans if s.kind == "random"} for r in rows}
+    assert len(found) == docs.count() and sum(i % 3 == 0 for i in found) > len(found) // 4
+    for i, strings in found.items():
+        assert strings == ({shared} if i % 3 == 0 else {other} if i == 2 else set())
+
+
 # -- fingerprints ----------------------------------------------------------------------
 def test_words_and_hashes():
     texts = ["a bb\tA", "", " \n", "bb", "x" * 5000, "é é"]
