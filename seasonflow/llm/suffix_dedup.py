@@ -2,7 +2,7 @@
 
 Suffixes are range-partitioned by their leading bytes with sampled splitters,
 sorted inside their partition by multikey sort, and equal neighbours compared.
-Equal keys never lie in two partitions, so no match is cut at a boundary.
+Equal strings never lie in two partitions, so no match is cut at a boundary.
 
 Sorting the suffix of every byte would move some fifty times the text.  Three
 exact reductions come first:
@@ -17,8 +17,12 @@ exact reductions come first:
    out, sorted by their full bytes and compared.
 
 Shape at scale: suffixes travel as packed arrays, about 20 bytes each, to
-partitions of bounded size.  A stretch that many documents hold costs one entry a
-document.  Texts move by a hash of their id, whole partitions of bounded size.
+partitions of bounded size.  A k-gram that fills a range of its own is spread by its
+stretches, and one whose windows to compare are many by these windows, each with the
+hash of its bytes.  Of equal stretches or windows of such a k-gram a task sends only
+those of its smallest id to be compared; the others are known to go.  So a passage in
+a third of all documents fills no task.  Texts move by a hash of their id, whole
+partitions of bounded size.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +42,7 @@ from .packed import grouped, rows_of, schema, share, spread, unpack
 SUFFIXES_A_PART = 500_000       # of a range partition, on average
 TEXT_A_PART = 8 << 20           # bytes of text in a partition by id
 FLUSH = 300_000                 # suffixes a task packs at once
+WINDOWS_A_KEY = 100_000         # to compare after one k-gram in one task
 
 
 def anchored_suffixes(flat: np.ndarray, offsets: np.ndarray, length: int):
@@ -100,6 +106,38 @@ def multikey_sort(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
+def window_hashes(flat: np.ndarray, begin: np.ndarray, length: int) -> np.ndarray:
+    """A hash of the ``length`` bytes at each place."""
+    up, out = powers(length)[0], np.empty(len(begin), np.uint64)
+    for a in range(0, len(begin), 20_000):
+        rows = flat[begin[a:a + 20_000, None] + np.arange(length)]
+        out[a:a + 20_000] = mix64((_BYTES[rows] * up).sum(axis=1))
+    return out
+
+
+def held_earlier(text: np.ndarray, begin: np.ndarray, key: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
+    """The windows, by their places in ``text``, that a smaller id among them has too.
+    Equal windows have equal keys."""
+    hits = [np.zeros(0, np.int64)]
+    # the index of a group is 400 bytes a window
+    for _, pick in grouped(key % np.uint64(1 + len(begin) // 100_000)):
+        order, new = multikey_sort(text[begin[pick][:, None] + np.arange(length)])
+        d = doc[pick][order]
+        first = np.minimum.reduceat(d, np.flatnonzero(new))[np.cumsum(new) - 1]
+        hits.append(pick[order[d > first]])
+    return np.concatenate(hits)
+
+
+def not_first(key: np.ndarray, stretch: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether a smaller id among them has the same key and stretch."""
+    out = np.zeros(len(key), bool)
+    if len(key):
+        order = np.lexsort((doc, stretch, key))
+        new = np.r_[True, (key[order][1:] != key[order][:-1]) | (stretch[order][1:] != stretch[order][:-1])]
+        out[order] = doc[order] > doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+    return out
+
+
 # arrays of a row of packed suffixes, requests or ranges; ids and marks name texts, at points into them
 _SUFFIX = {"ids": "i8", "marks": "i8", "homes": "i4", "at": "u4", "key": "u8", "stretch": "u8", "start": "u4",
            "count": "u2"}
@@ -123,20 +161,33 @@ def repeated_ranges(docs: DataFrame, length: int, parts: int, homes: int, scratc
         fraction = min(1.0, max(2000, 20 * parts) / max(1, docs.count()))
         sample = map_arrow(texts.sample(fraction, 7), keys, "key long")
         found = sample.agg(F.percentile_approx("key", [i / parts for i in range(1, parts)], 100 * parts)).first()[0]
-        splitters = np.unique(np.array(found or [], np.int64)).view(np.uint64) ^ np.uint64(1 << 63)
+        splitters, times = np.unique(np.array(found or [], np.int64), return_counts=True)
+        hot = splitters[times > 1].astype(float)       # a range or more for one key
+        splitters = splitters.view(np.uint64) ^ np.uint64(1 << 63)
     else:
-        splitters = np.zeros(0, np.uint64)
+        splitters, hot = np.zeros(0, np.uint64), np.zeros(0)
     splitters = np.sort(splitters)
+    ranges = np.uint64(len(splitters) + 1)
+
+    def is_hot(key):
+        # percentiles are given as the nearest doubles
+        return np.isin((key ^ np.uint64(1 << 63)).view(np.int64).astype(float), hot)
 
     def cut(batches):
         held, size, n_texts = [], 0, 0
 
         def flush():
             x = {n: np.concatenate([h[n] for h in held]) for n in _SUFFIX}
-            groups = grouped(np.searchsorted(splitters, x["key"], "right"))
+            part, done = np.searchsorted(splitters, x["key"], "right"), np.zeros(len(x["key"]), bool)
+            busy = np.flatnonzero(is_hot(x["key"]))
+            if len(busy):
+                done[busy] = not_first(x["key"][busy], x["stretch"][busy], x["ids"][x["at"][busy]])
+                part[busy] = x["stretch"][busy] % ranges
+                part[done] = x["homes"][x["at"][done]] % int(ranges)
+            groups = grouped(2 * part + done)
             # in key order inside each group, so that the sort there merges runs
             rows = [share(x, pick[np.argsort(x["key"][pick], kind="stable")], _SUFFIX) for _, pick in groups]
-            return rows_of(_SUFFIX, {"part": [g for g, _ in groups]}, rows)
+            return rows_of(_SUFFIX, {"part": [g // 2 for g, _ in groups], "done": [g % 2 for g, _ in groups]}, rows)
 
         for b in batches:
             for part, flat, offsets in text_slices([b], "text"):
@@ -155,91 +206,116 @@ def repeated_ranges(docs: DataFrame, length: int, parts: int, homes: int, scratc
             yield flush()
 
     def match(key, table):
-        x = unpack(table, _SUFFIX)
+        out = {"home": [], "kind": []}, []
+
+        def add(kind, x, pick):
+            for g, own in grouped(x["homes"][x["at"][pick]]):
+                out[0]["home"].append(g)
+                out[0]["kind"].append(kind)
+                out[1].append(share(x, pick[own], _RANGE))
+
+        x = unpack(table.filter(pc.equal(table["done"], 1)), _SUFFIX)
+        add(0, x, np.arange(len(x["key"])))
+        x = unpack(table.filter(pc.equal(table["done"], 0)), _SUFFIX)
         order = np.argsort(x["key"], kind="stable")
         k = x["key"][order]
         again = np.r_[False, k[1:] == k[:-1]]
-        order = order[again | np.r_[again[1:], False]]       # k-grams that occur once are done
+        # k-grams that occur once are done, but hot ones have entries elsewhere
+        order = order[again | np.r_[again[1:], False] | is_hot(k)] if len(k) else order
         doc = x["ids"][x["at"]]
         order = order[np.lexsort((doc[order], x["stretch"][order], x["key"][order]))]
         k, s, d = x["key"][order], x["stretch"][order], doc[order]
         new_key = np.r_[True, k[1:] != k[:-1]][:len(k)]
         new_stretch = new_key | np.r_[True, s[1:] != s[:-1]][:len(k)]
-        out = {"home": [], "kind": []}, []
         if len(k):
             by_key, by_stretch = np.cumsum(new_key) - 1, np.cumsum(new_stretch) - 1
             first = d[np.flatnonzero(new_stretch)][by_stretch]     # the first document with the stretch
             at_key = np.flatnonzero(new_key)
             several = (np.add.reduceat(new_stretch.astype(np.int64), at_key) > 1)[by_key]
             lo, hi = np.minimum.reduceat(d, at_key)[by_key], np.maximum.reduceat(d, at_key)[by_key]
+            spread_out = is_hot(k)
             gone = d > first
-            ask = ~gone & several & (lo != hi)
-            home = x["homes"][x["at"]]
-            for kind, chosen in ((0, gone), (1, ask)):
-                pick = order[chosen]
-                for g, own in grouped(home[pick]):
-                    out[0]["home"].append(g)
-                    out[0]["kind"].append(kind)
-                    out[1].append(share(x, pick[own], _RANGE))
+            ask = ~gone & (several & (lo != hi) | spread_out)
+            windows = np.add.reduceat(x["count"][order].astype(np.int64) * ask, at_key)[by_key]
+            many = spread_out | (windows > WINDOWS_A_KEY)
+            for kind, chosen in ((0, gone), (1, ask & ~many), (2, ask & many)):
+                add(kind, x, order[chosen])
         return pa.Table.from_batches([rows_of(_RANGE, *out)])
 
-    packed = map_arrow(texts, cut, schema(_SUFFIX, "part int"))
+    packed = map_arrow(texts, cut, schema(_SUFFIX, "part int, done int"))
     kinds = schema(_RANGE, "home int, kind int")
     found = scratch.save(packed.groupBy("part").applyInArrow(per_group(match), kinds), "ranges")
-    whole, asked = found.where("kind = 0").drop("kind"), found.where("kind = 1").drop("kind")
+    whole, asked = found.where("kind = 0").drop("kind"), found.where("kind > 0")
 
     def write_out(key, left, right):
-        """The bytes of the stretches that are asked for."""
-        out = {"part": []}, []
+        """The bytes of the stretches that are asked for; of a k-gram with many
+        windows, those of each window that no smaller id here has."""
+        out = {"part": [], "done": []}, []
+
+        def add(part, done, x, pick, text):
+            row = share(x, pick, [n for n in _STRING if n != "text"])
+            out[0]["part"].append(part)
+            out[0]["done"].append(done)
+            out[1].append(row | {"text": text})
+
         if left.num_rows and right.num_rows:
-            x = unpack(right, _RANGE)
             flat, offsets = flat_text(left.column("text").combine_chunks())
-            rows = _find_rows(left, x)
-            which = rows[x["at"]]
-            keep = which >= 0
-            begin = offsets[which] + x["start"]
-            size = x["count"].astype(np.int64) + (length - 1)
-            x["homes"] = np.full(len(x["ids"]), key[0].as_py())
-            for g, pick in grouped(np.searchsorted(splitters, x["key"], "right")):
-                pick = pick[keep[pick]]
-                row = share(x, pick, [n for n in _STRING if n != "text"])
-                row["text"] = flat[spread(begin[pick], size[pick])]
-                out[0]["part"].append(g)
-                out[1].append(row)
+            for kind in (1, 2):
+                x = unpack(right.filter(pc.equal(right["kind"], kind)), _RANGE)
+                if not len(x["at"]):
+                    continue
+                which = _find_rows(left, x)[x["at"]]
+                rows = np.flatnonzero(which >= 0)
+                x["homes"] = np.full(len(x["ids"]), key[0].as_py())
+                begin = offsets[which] + x["start"]
+                if kind == 1:
+                    size = x["count"].astype(np.int64) + (length - 1)
+                    for g, pick in grouped(np.searchsorted(splitters, x["key"][rows], "right")):
+                        pick = rows[pick]
+                        add(g, 0, x, pick, flat[spread(begin[pick], size[pick])])
+                    continue
+                count = x["count"][rows].astype(np.int64)
+                entry, shift = np.repeat(rows, count), spread(np.zeros(len(rows), np.int64), count)
+                begin = begin[entry] + shift
+                y = {n: x[n] for n in ("ids", "marks", "homes")} | {
+                    "at": x["at"][entry], "start": x["start"][entry] + shift, "count": np.ones(len(entry), np.int64),
+                    "key": window_hashes(flat, begin, length)}
+                later = held_earlier(flat, begin, y["key"], y["ids"][y["at"]], length)
+                if len(later):
+                    add(key[0].as_py() % int(ranges), 1, y, later, np.zeros(0, np.uint8))
+                stay = np.setdiff1d(np.arange(len(entry)), later)
+                for g, pick in grouped((y["key"][stay] % ranges).astype(np.int64)):
+                    pick = stay[pick]
+                    add(g, 0, y, pick, flat[spread(begin[pick], np.full(len(pick), length))])
         return pa.Table.from_batches([rows_of(_STRING, *out)])
 
     strings = (texts.groupBy("home").cogroup(asked.groupBy("home"))
-               .applyInArrow(per_cogroup(write_out), schema(_STRING, "part int")))
+               .applyInArrow(per_cogroup(write_out), schema(_STRING, "part int, done int")))
 
     def compare(key, table):
         """Sorts the windows of stretches by all their bytes and keeps those that
         an earlier document has."""
-        x = unpack(table, _STRING)
+        out = {"home": []}, []
+
+        def add(x, pick):
+            for g, own in grouped(x["homes"][x["at"][pick]]):
+                out[0]["home"].append(g)
+                out[1].append(share(x, pick[own], _RANGE))
+
+        x = unpack(table.filter(pc.equal(table["done"], 1)), _STRING)
+        add(x, np.arange(len(x["at"])))
+        x = unpack(table.filter(pc.equal(table["done"], 0)), _STRING)
         size = x["count"].astype(np.int64) + (length - 1)
         base = np.cumsum(size) - size
         entry = np.repeat(np.arange(len(size)), x["count"])
         shift = spread(np.zeros(len(size), np.int64), x["count"].astype(np.int64))
-        out = {"home": []}, []
         if len(entry):
-            # equal windows have equal keys; the index of a group is 400 bytes a window
-            groups = grouped(x["key"][entry] % np.uint64(1 + len(entry) // 100_000))
             doc = x["ids"][x["at"]]
-            hits = []
-            for _, pick in groups:
-                rows = x["text"][(base[entry[pick]] + shift[pick])[:, None] + np.arange(length)]
-                order, new = multikey_sort(rows)
-                d = doc[entry[pick]][order]
-                at = np.flatnonzero(new)
-                first = np.minimum.reduceat(d, at)[np.cumsum(new) - 1]
-                hits.append(pick[order[d > first]])
-            hit = np.concatenate(hits)
+            hit = held_earlier(x["text"], base[entry] + shift, x["key"][entry], doc[entry], length)
             y = {n: x[n] for n in ("ids", "marks", "homes")} | {
                 "at": x["at"][entry], "start": x["start"][entry] + shift, "count": np.ones(len(entry), np.int64),
                 "key": np.zeros(len(entry), np.uint64)}
-            home = x["homes"][y["at"]]
-            for g, own in grouped(home[hit]):
-                out[0]["home"].append(g)
-                out[1].append(share(y, hit[own], _RANGE))
+            add(y, hit)
         return pa.Table.from_batches([rows_of(_RANGE, *out)])
 
     inner = scratch.save(strings.groupBy("part").applyInArrow(per_group(compare), schema(_RANGE, "home int")), "inner")

@@ -130,6 +130,39 @@ def test_suffix_dedup_small_partitions(spark, monkeypatch, length):
     assert got == brute.bag(brute.remove_repeats(rows, length))
 
 
+def test_suffix_dedup_spreads_a_passage_of_most_documents(spark, monkeypatch, tmp_path):
+    for name, value in (("SUFFIXES_A_PART", 200), ("TEXT_A_PART", 4000), ("FLUSH", 2000), ("WINDOWS_A_KEY", 200)):
+        monkeypatch.setattr(suffix_dedup, name, value, raising=False)
+    per_group, folder = suffix_dedup.per_group, str(tmp_path)
+
+    def counted(fn):
+        """Leaves the number of windows of every group in a file."""
+        fields = {"count": "u2", "at": "u4", "ids": "i8"}
+        step = fn.__name__
+
+        def run(key, table):
+            n = int(suffix_dedup.unpack(table, fields)["count"].sum())
+            with open(f"{folder}/{step}-{key[0].as_py()}", "w") as f:
+                f.write(str(n))
+            return fn(key, table)
+        return per_group(run)
+
+    monkeypatch.setattr(suffix_dedup, "per_group", counted)
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefghij klmnop") for _ in range(n))
+    passage = text(70)
+    rows = [(rng.choice([None, i, i, i, i // 2]), text(rng.randrange(80)) + passage + rng.choice([" and ", "\n", ""]) + text(60))
+            for i in range(400)] + [(1000 + i, text(200)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = brute.bag((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+                    for r in suffix_dedup.remove_repeats(docs, length=50, with_text=False).collect())
+    assert got == brute.bag(brute.remove_repeats(rows, 50))
+    seen = {f.name: int(f.read_text()) for f in tmp_path.iterdir()}
+    for step in ("match", "compare"):
+        sizes = [n for name, n in seen.items() if name.startswith(step)]
+        assert len(sizes) > 15 and max(sizes) < sum(sizes) / 8, (step, sorted(sizes))
+
+
 def test_multikey_sort_orders_rows():
     rng = np.random.default_rng(2)
     rows = rng.integers(0, 2, (300, 21)).astype(np.uint8)
