@@ -26,6 +26,7 @@ from .common import Scratch, binary, map_arrow, own_columns, per_group
 from .tokens import encoder, public_path
 
 TOKENIZER = "word_bpe_49k.json"
+ITEMS = 16_384                     # of a group that are differenced one by one: some 100 MB at 256 windows
 _ID_BITS = 24                      # windows of one group; the group's number stands above
 
 
@@ -60,8 +61,30 @@ def differencing(sizes: np.ndarray, k: int) -> np.ndarray:
     return label[:n]
 
 
+def runs(sizes: np.ndarray, half: int) -> np.ndarray:
+    """The run of each item: those of at most ``half`` are joined, in order, to runs
+    of less than twice that; any other item is a run of its own."""
+    tiny = sizes <= half
+    own = sizes[tiny]
+    run = np.empty(len(sizes), np.int64)
+    run[tiny] = np.unique((np.cumsum(own) - own) // half, return_inverse=True)[1]
+    run[~tiny] = (int(run[tiny].max()) + 1 if len(own) else 0) + np.arange((~tiny).sum())
+    return run
+
+
 def pack_sizes(sizes: np.ndarray, capacity: int) -> np.ndarray:
-    """Windows for items of at most ``capacity``: as few as hold them this way."""
+    """Windows for items of at most ``capacity``: as few as hold them this way.
+    Of more than ``ITEMS`` items the tiny ones are packed in runs, so that at most
+    some 32 items a window are left."""
+    if len(sizes) > ITEMS and capacity >= 32:
+        run = runs(sizes, capacity // 32)
+        joined = np.bincount(run, weights=sizes).astype(np.int64)
+        if len(joined) < len(sizes):
+            return _pack(joined, capacity)[run]
+    return _pack(sizes, capacity)
+
+
+def _pack(sizes: np.ndarray, capacity: int) -> np.ndarray:
     k = max(1, -(-int(sizes.sum()) // capacity))
     while True:
         window = differencing(sizes, k)

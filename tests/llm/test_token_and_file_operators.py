@@ -232,6 +232,25 @@ def test_warc_unwanted_payload_is_not_inflated():
         list(warc.read_records(file, lambda r: True, "full"))
 
 
+@pytest.mark.parametrize("most", [1, 5])
+def test_tiny_pieces_of_a_group_are_packed_in_runs(monkeypatch, most):
+    differencing, seen = packing.differencing, []
+
+    def counted(sizes, k):
+        seen.append(len(sizes))
+        assert len(sizes) <= 16_384
+        return differencing(sizes, k)
+
+    monkeypatch.setattr(packing, "differencing", counted)
+    rng = np.random.default_rng(3)
+    sizes = np.r_[rng.integers(1, most + 1, 150_000), rng.integers(1, 1024, 500)]
+    rng.shuffle(sizes)
+    window = packing.pack_sizes(sizes, 4096)
+    assert seen and len(window) == len(sizes)
+    assert np.bincount(window, weights=sizes).max() <= 4096
+    assert window.max() + 1 <= -(-sizes.sum() // 4096) + 2
+
+
 # -- secrets ---------------------------------------------------------------------------
 def plain_spans(text):
     import re
