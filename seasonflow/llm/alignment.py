@@ -42,7 +42,7 @@ from .tokens import _BYTE_CHARS, public_path
 BYTE_LEVEL = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
 BLOCK_CHARS = 8 << 20        # text of a block
-TABLE_ENTRIES = 300_000      # parts that a worker's table holds (about 500 bytes each)
+TABLE_ENTRIES = 500_000      # parts that a worker's table holds (about 500 bytes each)
 TABLE_CHARS = 64             # longer parts are worked out each time
 STEP = 1 << 18               # characters worked on at once; longer texts are taken in slices
 
@@ -76,6 +76,8 @@ class Aligner:
                         for p in plain for x, y in zip(p, p[1:], strict=False))
         self.cut = re.compile(_SIGNS if signs else _WORDS) if spaces else None
         self.lead = len(self.b.encode("\n", return_type="proto").pieces)
+        self.a_len, self.b_len = (np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes))
+        self.is_byte = np.array([i in self.fallback for i in range(len(names))])
         self.wide = len(names)                   # a link's key is A's id times this plus B's id
         self.a_text, self.b_text = [[str(i) for i in range(n)] for n in (size, len(names))]
         self.table: dict[str, int] = {}
@@ -87,6 +89,7 @@ class Aligner:
         self.sizes = array("q")                  # A tokens, B tokens, groups, links of each part
         self.keys, self.times = array("Q", [0]), array("I", [0])    # distinct links, and how often each occurs
         self.ends_at = array("q", [1])           # where a part's links end
+        self.met = np.zeros(0, np.uint8)         # batches that a part was met in, since it came in
 
     def parts(self, text: str) -> list[str]:
         """``text``, which begins with a space, in parts that both tokenizers keep apart."""
@@ -121,60 +124,153 @@ class Aligner:
         return a_ends, b_ends
 
     def add(self, parts: list[str]) -> None:
-        """Works parts out and appends them to the lists."""
-        wide, a_text, b_text, a_bytes, b_bytes = self.wide, self.a_text, self.b_text, self.a_bytes, self.b_bytes
-        for part, a in zip(parts, self.a.encode_batch(parts, add_special_tokens=False), strict=True):
-            pieces = self.pieces(part)
-            a_ids, b_ids, raw = a.ids, [p[0] for p in pieces], part.encode()
-            if b"".join([a_bytes[i] for i in a_ids]) != raw or b"".join([b_bytes[i] for i in b_ids]) != raw:
-                self.text.append(None)
-                self.sizes.extend((0, 0, 0, 0))
-                self.ends_at.append(len(self.keys))
+        """Works parts out and appends them to the lists, in order."""
+        # parts that a line end before and after keeps as they are go through together, ASCII or not
+        plain, mixed, alone = [], [], []
+        for k, p in enumerate(parts):
+            if len(p) > TABLE_CHARS or p[-1].isspace() or (p[0].isspace() and (p[0] != " " or p[1].isspace())):
+                alone.append(k)
+            else:
+                (plain if p.isascii() else mixed).append(k)
+        text, sizes, links = [None] * len(parts), np.zeros((len(parts), 4), np.int64), [(np.zeros(0, np.int64),) * 3]
+        for which in (plain, mixed):
+            if not which:
                 continue
-            a_ends, b_ends = self.ends(part, a_ids, a.offsets, pieces)
-            groups, links, n_links, i, j = [], {}, 0, 0, 0
-            while i < len(a_ids):
-                i0, j0 = i, j
-                while a_ends[i] != b_ends[j]:
-                    if a_ends[i] < b_ends[j]:
-                        i += 1
-                    else:
-                        j += 1
-                i, j = i + 1, j + 1
-                xs, ys = a_ids[i0:i], b_ids[j0:j]
-                n_links += len(xs) * len(ys)
-                groups.append(f"{','.join([a_text[x] for x in xs])}|{','.join([b_text[y] for y in ys])}")
-                if len(xs) > 4 and len(ys) > 4:      # a long group: each distinct pair once
-                    pairs = [(x * wide + y, n * m) for x, n in Counter(xs).items() for y, m in Counter(ys).items()]
+            done = self._together([parts[k] for k in which])
+            if done is None:
+                alone += which
+                continue
+            which = np.array(which)
+            for k, t in zip(which.tolist(), done[0], strict=True):
+                text[k] = t
+            sizes[which] = done[1]
+            links.append((which[done[2]], *done[3:]))
+        for k in alone:
+            text[k], sizes[k], found = self._alone(parts[k])
+            links.append((np.full(len(found), k), np.fromiter(found, np.int64, len(found)),
+                          np.fromiter(found.values(), np.int64, len(found))))
+        part, key, n = (np.concatenate(x) for x in zip(*links, strict=True))
+        order = np.argsort(part, kind="stable")
+        base = len(self.keys)
+        self.text += text
+        self.sizes.frombytes(sizes.tobytes())
+        self.keys.frombytes(key[order].astype(np.uint64).tobytes())
+        self.times.frombytes(n[order].astype(np.uint32).tobytes())
+        self.ends_at.frombytes((base + np.cumsum(np.bincount(part, minlength=len(parts)))).tobytes())
+
+    def _together(self, parts: list[str]):
+        """Group texts, sizes and links ``(part, key, times)`` of many parts, encoded as one
+        text with a line end, a token of its own in both, before each; None if a tokenizer
+        doesn't give it back."""
+        joined = "\n" + "\n".join(parts)
+        raw = joined.encode()
+        a, pieces = self.a.encode(joined, add_special_tokens=False), self.b.encode(joined, return_type="proto").pieces
+        a_ids, spans = np.array(a.ids), np.array(a.offsets)
+        b = np.array([(p.id, p.begin, p.end) for p in pieces[self.lead - 1:]])
+        b_ids, begin, stop = b[:, 0], b[:, 1], b[:, 2]
+        if b"".join([self.a_bytes[i] for i in a.ids]) != raw or b"".join([self.b_bytes[i] for i in b_ids.tolist()]) != raw:
+            return None
+        if len(raw) == len(joined):
+            a_ends, b_ends = spans[:, 1], stop
+        else:
+            # spans are coarse where tokens share a character: there ends come from decoded bytes
+            at = np.r_[0, np.cumsum([len(c.encode()) for c in joined])]
+            shared = np.r_[spans[1:, 0] < spans[:-1, 1], False] | np.r_[False, spans[:-1, 1] > spans[1:, 0]]
+            a_ends = np.where(shared, np.cumsum(self.a_len[a_ids]), at[spans[:, 1]])
+            b_ends = stop if stop[-1] == len(raw) else at[stop]
+            b_ends = np.where(self.is_byte[b_ids] | (begin == stop), np.cumsum(self.b_len[b_ids]), b_ends)
+        cuts = np.intersect1d(a_ends, b_ends)
+        i, j = np.searchsorted(a_ends, cuts) + 1, np.searchsorted(b_ends, cuts) + 1
+        i0, j0 = np.r_[0, i[:-1]], np.r_[0, j[:-1]]
+        starts = 1 + np.cumsum([0, *(len(p.encode()) + 1 for p in parts[:-1])])
+        own = np.searchsorted(starts, cuts, "left") - 1      # the part that a group ends in ...
+        # ... unless it is a line end, which stops where the next part starts
+        line = np.zeros(len(cuts), bool)
+        line[np.searchsorted(cuts, starts)] = True
+        group = np.flatnonzero(~line)
+        own, i0, i, j0, j = own[group], i0[group], i[group], j0[group], j[group]
+        n_a, n_b = i - i0, j - j0
+        n = n_a * n_b
+        at, width = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n), np.repeat(n_b, n)
+        key = a_ids[np.repeat(i0, n) + at // width] * self.wide + b_ids[np.repeat(j0, n) + at % width]
+        part, key, times = _sum(np.repeat(own, n), key, np.ones(len(key), np.int64))
+        count = lambda w: np.bincount(own, weights=w, minlength=len(parts)).astype(np.int64)
+        sizes = np.stack([count(n_a), count(n_b), np.bincount(own, minlength=len(parts)), count(n)], axis=1)
+        x, y = [self.a_text[t] for t in a.ids], [self.b_text[t] for t in b_ids.tolist()]
+        told = [f"{x[p]}|{y[r]}" if q - p == 1 == s - r else f"{','.join(x[p:q])}|{','.join(y[r:s])}"
+                for p, q, r, s in zip(i0.tolist(), i.tolist(), j0.tolist(), j.tolist(), strict=True)]
+        cut = np.searchsorted(own, np.arange(len(parts) + 1)).tolist()
+        return [";".join(told[u:v]).encode() for u, v in zip(cut, cut[1:], strict=False)], sizes, part, key, times
+
+    def _alone(self, part: str) -> tuple[bytes | None, tuple[int, int, int, int], dict[int, int]]:
+        """Group text, sizes and links of one part."""
+        wide, a_text, b_text = self.wide, self.a_text, self.b_text
+        a, pieces = self.a.encode(part, add_special_tokens=False), self.pieces(part)
+        a_ids, b_ids, raw = a.ids, [p[0] for p in pieces], part.encode()
+        if b"".join([self.a_bytes[i] for i in a_ids]) != raw or b"".join([self.b_bytes[i] for i in b_ids]) != raw:
+            return None, (0, 0, 0, 0), {}
+        a_ends, b_ends = self.ends(part, a_ids, a.offsets, pieces)
+        groups, links, n_links, i, j = [], {}, 0, 0, 0
+        while i < len(a_ids):
+            i0, j0 = i, j
+            while a_ends[i] != b_ends[j]:
+                if a_ends[i] < b_ends[j]:
+                    i += 1
                 else:
-                    pairs = [(x * wide + y, 1) for x in xs for y in ys]
-                for k, n in pairs:
-                    links[k] = links.get(k, 0) + n
-            self.text.append(";".join(groups).encode())
-            self.sizes.extend((len(a_ids), len(b_ids), len(groups), n_links))
-            self.keys.extend(links)
-            self.times.extend(links.values())
-            self.ends_at.append(len(self.keys))
+                    j += 1
+            i, j = i + 1, j + 1
+            xs, ys = a_ids[i0:i], b_ids[j0:j]
+            n_links += len(xs) * len(ys)
+            groups.append(f"{','.join([a_text[x] for x in xs])}|{','.join([b_text[y] for y in ys])}")
+            for x, n in Counter(xs).items():         # a long group's distinct pairs once
+                for y, m in Counter(ys).items():
+                    links[x * wide + y] = links.get(x * wide + y, 0) + n * m
+        return ";".join(groups).encode(), (len(a_ids), len(b_ids), len(groups), n_links), links
 
     def numbers(self, parts: list[str]) -> np.ndarray:
         """Places of the parts in the lists; new short ones go into the table."""
         table = self.table
         fresh = [p for p in dict.fromkeys(parts) if p not in table]
+        base = len(self.text)
         if fresh:
-            base = len(self.text)
             self.add(fresh)
-            new = {p: base + i for i, p in enumerate(fresh)}
-            long = {p: n for p, n in new.items() if len(p) > TABLE_CHARS}
-            table.update(new)
-            out = np.fromiter(map(table.__getitem__, parts), np.int64, len(parts))
-            for p in long:
+            table.update(zip(fresh, range(base, base + len(fresh)), strict=True))
+        out = np.fromiter(map(table.__getitem__, parts), np.int64, len(parts))
+        for p in fresh:
+            if len(p) > TABLE_CHARS:
                 del table[p]
-            return out
-        return np.fromiter(map(table.__getitem__, parts), np.int64, len(parts))
-
-    def trim(self) -> None:
-        if len(self.text) > TABLE_ENTRIES or len(self.keys) > 20 * TABLE_ENTRIES:
-            self.clear()
+        return out
+
+    def trim(self, numbers: np.ndarray) -> None:
+        """Notes that the parts of these places were met; a full table keeps those that
+        were met again after they came in, or starts anew if these are too many."""
+        met = np.unique(numbers)
+        if len(self.met) < len(self.text):
+            self.met = np.r_[self.met, np.zeros(len(self.text) + TABLE_ENTRIES // 4 - len(self.met), np.uint8)]
+        self.met[met] = np.minimum(self.met[met], 254) + 1
+        if len(self.text) <= TABLE_ENTRIES and len(self.keys) <= 20 * TABLE_ENTRIES:
+            return
+        held = {p: n for p, n in self.table.items() if self.met[n] > 1}
+        if 2 * len(held) > TABLE_ENTRIES:
+            held = {p: n for p, n in held.items() if self.met[n] > 4}
+        if 2 * len(held) > TABLE_ENTRIES:
+            held = {}
+        n = np.fromiter(held.values(), np.int64, len(held))
+        ends = np.frombuffer(self.ends_at, np.int64)
+        size = ends[n + 1] - ends[n]
+        if size.sum() > 10 * TABLE_ENTRIES:
+            n, size, held = n[:0], size[:0], {}
+        at = spread(ends[n], size)
+        text, sizes, ends = [self.text[i] for i in n.tolist()], np.frombuffer(self.sizes, np.int64).reshape(-1, 4)[n], None
+        keys, times = np.frombuffer(self.keys, np.uint64)[at], np.frombuffer(self.times, np.uint32)[at]
+        self.clear()
+        self.table.update(zip(held, range(len(held)), strict=True))
+        self.text = text
+        self.sizes.frombytes(sizes.tobytes())
+        self.keys.frombytes(keys.tobytes())
+        self.times.frombytes(times.tobytes())
+        self.ends_at.frombytes((1 + np.cumsum(size)).tobytes())
+        self.met = np.ones(len(held), np.uint8)
 
     def slices(self, text: str):
         """The parts of ``text``, which begins with a space, in lists of bounded length."""
@@ -204,10 +300,13 @@ class Aligner:
 
 def _sum(owner: np.ndarray, key: np.ndarray, n: np.ndarray):
     """Sums ``n`` over equal ``(owner, key)``, in order."""
-    order = np.lexsort((key, owner))
-    owner, key, n = owner[order], key[order], n[order]
     if not len(key):
         return owner, key, n
+    if int(key.max()) >> 32 or int(owner.max()) >> 31:
+        order = np.lexsort((key, owner))
+    else:
+        order = np.argsort((owner.astype(np.uint64) << np.uint64(32)) | key.astype(np.uint64))
+    owner, key, n = owner[order], key[order], n[order]
     first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])])
     return owner[first], key[first], np.add.reduceat(n, first)
 
@@ -227,39 +326,53 @@ class Block:
     """What one block of documents gives: a row a document, and the block's own row."""
 
     def __init__(self, model: Aligner):
-        self.model, self.bytes = model, 0
+        self.model, self.chars = model, 0
         self.ids, self.sizes, self.sha, self.found = [], [], [], []
 
-    def add(self, batch: list[tuple]) -> None:
+    def add(self, rows: list[tuple]) -> None:
         """Rows ``(id, text)``: texts of a step together, or one longer text alone."""
-        m, owners, numbers = self.model, [], []
-        for i, text in batch:
-            me = len(self.ids)
-            self.ids.append(i)
-            self.bytes += len(text or "")
-            digest, size, split = hashlib.sha256(), np.zeros(4, np.int64), []
-            for k, parts in enumerate(m.slices(" " + text) if text else ()):
-                if k:
-                    m.trim()
-                no = m.numbers(parts)
-                groups = [m.text[x] for x in no]
-                if None in groups:
-                    size[:], split = 0, []
-                    break
-                digest.update(b";" * bool(k) + b";".join(groups))
-                size += np.frombuffer(m.sizes, np.int64).reshape(-1, 4)[no].sum(0)
-                if len(text) > STEP:        # a long text: its links are summed step by step
-                    new = m.links(np.full(len(no), me), no)
-                    split = [_sum(*map(np.concatenate, zip(*split, new, strict=True)))] if split else [new]
-                else:
-                    owners.append(np.full(len(no), me))
-                    numbers.append(no)
-            self.sizes.append(size)
-            self.sha.append(digest.hexdigest() if size[0] else "")
-            self.found += split
-        if owners:
-            self.found.append(_sum(*m.links(np.concatenate(owners), np.concatenate(numbers))))
-        m.trim()
+        if len(rows) == 1 and len(rows[0][1] or "") > STEP:
+            return self._add_long(*rows[0])
+        m, first = self.model, len(self.ids)
+        parts = [m.parts(" " + t) if t else [] for _, t in rows]
+        number = m.numbers([p for x in parts for p in x])
+        owner = np.repeat(np.arange(len(rows)), [len(x) for x in parts])
+        groups = [m.text[x] for x in number.tolist()]
+        size = np.frombuffer(m.sizes, np.int64).reshape(-1, 4)[number]
+        total = np.stack([np.bincount(owner, weights=size[:, k], minlength=len(rows)) for k in range(4)], 1).astype(np.int64)
+        bad, at = np.zeros(len(rows), bool), 0
+        for k, x in enumerate(parts):
+            mine = groups[at:at + len(x)]
+            at += len(x)
+            bad[k] = None in mine
+            self.sha.append(hashlib.sha256(b";".join(mine)).hexdigest() if x and not bad[k] else "")
+        total[bad] = 0
+        fine = ~bad[owner]
+        self.found.append(_sum(*m.links(owner[fine] + first, number[fine])))
+        self.ids += [i for i, _ in rows]
+        self.sizes += list(total)
+        self.chars += sum(len(t or "") for _, t in rows)
+        m.trim(number)
+
+    def _add_long(self, i, text: str) -> None:
+        """A long text: its links are summed slice by slice."""
+        m, digest, size, found = self.model, hashlib.sha256(), np.zeros(4, np.int64), []
+        for k, parts in enumerate(m.slices(" " + text)):
+            number = m.numbers(parts)
+            groups = [m.text[x] for x in number.tolist()]
+            if None in groups:
+                size[:], found = 0, []
+                break
+            digest.update(b";" * bool(k) + b";".join(groups))
+            size += np.frombuffer(m.sizes, np.int64).reshape(-1, 4)[number].sum(0)
+            new = m.links(np.full(len(number), len(self.ids)), number)
+            found = [_sum(*map(np.concatenate, zip(*found, new, strict=True)))]
+            m.trim(number)
+        self.ids.append(i)
+        self.sizes.append(size)
+        self.chars += len(text)
+        self.sha.append(digest.hexdigest() if size[0] else "")
+        self.found += found
 
     def batch(self, block: int) -> pa.RecordBatch:
         """A row a document, with its links as places in the block's list of pairs, and the
@@ -336,7 +449,7 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", byte_
                     rows, size = [], 0
                 rows.append(row)
                 size += n
-                if block.bytes + size > BLOCK_CHARS:
+                if block.chars + size > BLOCK_CHARS:
                     block.add(rows)
                     yield block.batch(number)
                     number, block, rows, size = number + 1, Block(model), [], 0
