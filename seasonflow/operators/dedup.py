@@ -38,6 +38,20 @@ def dedup_preference(df: DataFrame, keys: Sequence[str], prefer: Column,
     return dedup_latest(df, keys, [F.coalesce(prefer.cast("int"), F.lit(0)).desc(), *_order(then_by)])
 
 
+def latest_as_of(snapshots: DataFrame, keys: Sequence[str], date_col: str, as_of=None,
+                 tie_break: Sequence[str] = ()) -> DataFrame:
+    """The newest snapshot of each key at or before ``as_of`` (a date or column; None:
+    the newest of all).  One aggregate with map-side combine and no window: a partition
+    sends a row a key, however long a key's history is.  Rows without a date take no
+    part; ``tie_break`` columns decide between rows of one date (greatest first)."""
+    known = snapshots.where(F.col(date_col).isNotNull())
+    if as_of is not None:
+        known = known.where(F.col(date_col) <= (as_of if isinstance(as_of, Column) else F.lit(as_of)))
+    rest = [c for c in snapshots.columns if c not in keys]
+    newest = F.max_by(F.struct(*rest), F.struct(date_col, *tie_break))
+    return known.groupBy(*keys).agg(newest.alias("__newest")).select(*keys, "__newest.*").select(*snapshots.columns)
+
+
 def latest_rows_per_group(df: DataFrame, group: Sequence[str], by: str) -> DataFrame:
     """All rows whose ``by`` equals the group's maximum (ties kept, QUALIFY RANK()=1).
 

@@ -1,5 +1,5 @@
 """Season models on feed-shaped frames derived from the given tables, each against
-an oracle written from the model's definition (M27, M38, M41).
+an oracle written from the model's definition (M27, M38, M41, M44).
 
 The frames have the feed's own column names, so the very functions that build the
 season warehouse run here; only their input is an analogue.
@@ -7,7 +7,9 @@ season warehouse run here; only their input is an analogue.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seasonflow.operators import windows as W
@@ -16,16 +18,19 @@ from seasonflow.params import Params
 from seasonflow.plans.registry import register, rr, sql
 from seasonflow.plans.season import facts
 from seasonflow.plans.season import intermediate as I
+from seasonflow.plans.season import power_rankings as PR
 from seasonflow.plans.season import schemas as S
 from seasonflow.plans.testbed import Bed
 
 GAMES = 82      # fixed value: regular-season games
+AS_OF = dt.date(2026, 1, 15)
 
 
-def daily_feed(bed: Bed) -> DataFrame:
+def daily_feed(bed: Bed, with_form: bool = False) -> DataFrame:
     """A daily standings feed: a snapshot per team on the days it played, cumulative
     over its season's regular games (a loss in a game with an id divisible by four
-    is an overtime loss), with its place in the conference that day."""
+    is an overtime loss), with its place in the conference that day.  ``with_form``
+    adds the split of the last ten regular games."""
     s = bed.sides().filter((F.col("game_type") == 2) & (F.col("goals_for") != F.col("goals_against")))
     win, late = F.col("goals_for") > F.col("goals_against"), F.col("game_id") % 4 == 0
     day = s.groupBy("season", "team", "game_date").agg(
@@ -38,6 +43,14 @@ def daily_feed(bed: Bed) -> DataFrame:
     order = [F.col("POINTS").desc(), F.col("WINS").desc(), F.col("team")]
     cum = multi_key_rank(cum, order, name="DIVISIONSEQUENCE", partition=["season", "game_date", "conference"])
     known = {"GAMESPLAYED", "WINS", "LOSSES", "OTLOSSES", "GOALFOR", "GOALAGAINST", "POINTS", "DIVISIONSEQUENCE"}
+    if with_form:
+        ten = (Window.partitionBy("season", "team").orderBy("game_date", "game_id").rowsBetween(-9, Window.currentRow))
+        form = s.select("season", "team", "game_date", "game_id", *[F.count_if(x).over(ten).alias(n) for n, x in (
+            ("L10WINS", win), ("L10LOSSES", ~win & ~late), ("L10OTLOSSES", ~win & late))])
+        form = form.groupBy("season", "team", "game_date").agg(*[F.max_by(n, "game_id").alias(n) for n in (
+            "L10WINS", "L10LOSSES", "L10OTLOSSES")]).withColumn("L10POINTS", F.col("L10WINS") * 2 + F.col("L10OTLOSSES"))
+        cum = cum.join(form, ["season", "team", "game_date"])
+        known |= {"L10WINS", "L10LOSSES", "L10OTLOSSES", "L10POINTS"}
     return cum.select(
         F.col("season").alias("SEASONID"), F.col("team_name").alias("TEAMABBREV_DEFAULT"), F.col("game_date").alias("DATE"),
         *[F.col(c).cast("int").alias(c) for c in S.STANDING_INT_COLS if c in known],
@@ -133,3 +146,108 @@ SELECT game_id, player AS player_id, CAST(team AS VARCHAR) AS team_abv, CAST(sa
        starter AND pct < 0.850 AS bad_start, round(CAST(sa - ga - sa * 0.910 AS DOUBLE), 6) AS saves_above_average
 FROM k
 """))(goalie_game_model)
+
+
+def decided_lines(bed: Bed) -> DataFrame:
+    """Team game lines of regular and playoff games that have a winner."""
+    g = bed.written("team_games").filter(F.col("goals_for") != F.col("goals_against"))
+    names = bed.teams().select("team", F.col("team_name").alias("team_abv"))
+    return g.join(names, "team").withColumnRenamed("goals_for", "goals")
+
+
+def power_rankings_model(spark: SparkSession, root: str) -> DataFrame:
+    """Points shares, last ten and final order from standings snapshots, schedule
+    over all games, last five games of any type, playoff carry-over; all published
+    columns (scores to 8 decimals, for sums may differ in their last bits)."""
+    bed = Bed(spark, root)
+    lines = decided_lines(bed)
+    by_day = I.standings_by_day(daily_feed(bed, with_form=True))
+    t = bed.teams()
+    u = bed.universe().filter(F.col("home_score") != F.col("away_score"))
+    games = (u.join(t.select(F.col("team").alias("home_team"), F.col("team_name").alias("home_abv")), "home_team")
+             .join(t.select(F.col("team").alias("away_team"), F.col("team_name").alias("away_abv")), "away_team"))
+    teams = t.select(F.col("team").alias("team_id"), F.col("team_name").alias("team_abv"), "team_name")
+    out = PR.power_rankings(lines, by_day, games, lines.select("season"), teams, p=Params(as_of=AS_OF))
+    eight = [c for c in out.columns if c.endswith("_component") or c == "power_score"]
+    return out.withColumns({c: F.round(c, 8) for c in eight})
+
+
+def _scale(name: str, invert: bool = False) -> str:
+    low, high = f"(SELECT min({name}) FROM tm)", f"(SELECT max({name}) FROM tm)"
+    x = f"({name} - {low}) / nullif({high} - {low}, 0) * 100"
+    return f"CASE WHEN games_played > 0 THEN {'100 - (' + x + ')' if invert else x} ELSE 0 END"
+
+
+register("power_rankings", sql(f"""
+, w AS (SELECT s.*, t.team_name AS abv, o.team_name AS opp FROM sides s JOIN teams t USING (team)
+        JOIN teams o ON o.team = s.opponent WHERE goals_for <> goals_against)
+, ln AS (SELECT l_orderkey AS game_id, l_linenumber % 2 = 1 AS is_home, count(*) AS shots,
+                count_if(l_returnflag = 'R') AS sh, count_if(l_discount >= 0.05) AS pp FROM lineitem GROUP BY 1, 2)
+, cur AS (SELECT max(season) AS s FROM w), prv AS (SELECT max(season) AS s FROM w WHERE season < (SELECT s FROM cur))
+, regular AS (SELECT *, game_id % 4 = 0 AS late, row_number() OVER (PARTITION BY season, abv ORDER BY game_date DESC, game_id DESC) AS back
+              FROM w WHERE game_type = 2)
+, st AS (SELECT season, abv, count(*) AS gp, count_if(goals_for > goals_against) AS wins,
+                2 * count_if(goals_for > goals_against) + count_if(goals_for < goals_against AND late) AS pts,
+                sum(goals_for - goals_against) AS gd,
+                2 * count_if(back <= 10 AND goals_for > goals_against) + count_if(back <= 10 AND goals_for < goals_against AND late) AS l10p,
+                count_if(back <= 10) AS l10n
+         FROM regular GROUP BY season, abv)
+, cs AS (SELECT abv, gp, CAST(pts AS DOUBLE) / (2 * gp) AS pct, CAST(l10p AS DOUBLE) / (2.0::DOUBLE * l10n) AS l10
+         FROM st WHERE season = (SELECT s FROM cur))
+, sos AS (SELECT w.abv, avg(cs.pct) AS v FROM w JOIN cs ON cs.abv = w.opp WHERE w.season = (SELECT s FROM cur) GROUP BY w.abv)
+, tot AS (SELECT abv, sum(goals_for) AS gf, sum(goals_against) AS ga, sum(shots) AS shots, sum(pp) AS pp, sum(sh) AS sh
+          FROM regular LEFT JOIN ln USING (game_id, is_home) WHERE season = (SELECT s FROM cur) GROUP BY abv)
+, five AS (SELECT abv, count_if(goals_for > goals_against) AS rw, count_if(goals_for < goals_against) AS rl, count(*) AS rn,
+                  sum(goals_for - goals_against) AS rgd
+           FROM (SELECT *, row_number() OVER (PARTITION BY abv ORDER BY game_date DESC, game_id DESC) AS back
+                 FROM w WHERE season = (SELECT s FROM cur)) WHERE back <= 5 GROUP BY abv)
+, fin AS (SELECT abv, row_number() OVER (ORDER BY CAST(pts AS DOUBLE) / (2 * gp) DESC, wins DESC, gd DESC, abv) AS final_rank
+          FROM st WHERE season = (SELECT s FROM prv))
+, po AS (SELECT abv, count(*) AS n, count_if(goals_for > goals_against) AS wins,
+                round(avg(goals_for), 2) - round(avg(goals_against), 2) AS diff
+         FROM w WHERE game_type = 3 AND season = (SELECT s FROM prv) GROUP BY abv)
+, prev AS (SELECT fin.abv, coalesce(po.n, 0) AS playoff_games, coalesce(po.wins, 0) AS playoff_wins,
+                  coalesce(CAST(po.wins AS DOUBLE) / po.n, 0) AS playoff_win_pct,
+                  CASE WHEN wins >= 12 THEN 4 WHEN wins >= 8 THEN 3 WHEN wins >= 4 THEN 2 WHEN n > 0 THEN 1 ELSE 0 END AS playoff_round,
+                  CASE WHEN po.n > 0 THEN 100.0::DOUBLE * (32 - final_rank) / 31.0::DOUBLE * 0.5::DOUBLE
+                         + (wins / 16.0::DOUBLE * 60.0::DOUBLE + CAST(wins AS DOUBLE) / n * 20.0::DOUBLE + (diff + 2) * 2.0::DOUBLE) * 0.5::DOUBLE
+                       ELSE 100.0::DOUBLE * (32 - final_rank) / 31.0::DOUBLE * 0.8::DOUBLE END AS score
+           FROM fin LEFT JOIN po USING (abv))
+, tm AS (SELECT t.team AS team_id, t.team_name, cs.gp AS games_played, pct, CAST(gf AS DOUBLE) / gp AS gpg, CAST(ga AS DOUBLE) / gp AS gapg,
+                CAST(gf - ga AS DOUBLE) / gp AS gdpg, CAST(shots AS DOUBLE) / gp AS spg, CAST(pp AS DOUBLE) / nullif(shots, 0) AS ppp,
+                CAST(shots - sh AS DOUBLE) / nullif(shots, 0) AS pkp, coalesce(l10, pct, 0) AS l10, rw, rl, rn, CAST(rgd AS DOUBLE) AS rgd,
+                coalesce(sos.v, 0.5::DOUBLE) AS opp_pct, coalesce(prev.score, 50.0::DOUBLE) AS prev_score, playoff_round, playoff_win_pct,
+                playoff_wins, playoff_games
+         FROM teams t JOIN cs ON cs.abv = t.team_name JOIN tot ON tot.abv = t.team_name LEFT JOIN five ON five.abv = t.team_name
+              LEFT JOIN sos ON sos.abv = t.team_name LEFT JOIN prev ON prev.abv = t.team_name)
+, comp AS (SELECT *, {_scale("pct")} AS points_component,
+                  ({_scale("gdpg")}) * 0.5::DOUBLE + ({_scale("gpg")}) * 0.3::DOUBLE + ({_scale("gapg", True)}) * 0.2::DOUBLE AS goal_component,
+                  CASE WHEN games_played >= 5 THEN ({_scale("spg")}) * 0.4::DOUBLE + ({_scale("ppp")}) * 0.3::DOUBLE
+                       + ({_scale("pkp")}) * 0.3::DOUBLE ELSE 50.0::DOUBLE END AS advanced_stats_component,
+                  CASE WHEN games_played >= 5 THEN {_scale("opp_pct")} ELSE 50.0::DOUBLE END AS schedule_component,
+                  CASE WHEN games_played >= 10 THEN ({_scale("l10")}) * 0.6::DOUBLE + ({_scale("rgd")}) * 0.4::DOUBLE
+                       WHEN games_played >= 5 THEN CASE WHEN rn >= 3 THEN CAST(rw - rl AS DOUBLE) / rn * 100 ELSE 0 END * 0.5::DOUBLE
+                            + ({_scale("rgd")}) * 0.5::DOUBLE
+                       ELSE 50.0::DOUBLE END AS momentum_component,
+                  CASE WHEN games_played >= 20 THEN 1.0::DOUBLE ELSE games_played / 20.0::DOUBLE END AS cw
+           FROM tm)
+, own AS (SELECT *, CASE WHEN games_played < 5 THEN [0.35, 0.30, 0.15, 0.10, 0.10] WHEN games_played < 10 THEN [0.32, 0.28, 0.18, 0.12, 0.10]
+                         ELSE [0.30, 0.25, 0.20, 0.15, 0.10] END::DOUBLE[] AS k FROM comp)
+, scored AS (SELECT *, prev_score * (1 - cw) + cw * (points_component * k[1] + goal_component * k[2] + advanced_stats_component * k[3]
+                       + schedule_component * k[4] + momentum_component * k[5]) AS power_score FROM own)
+SELECT DATE '{AS_OF}' AS ranking_date, team_id, team_name AS team_abv, team_name, round(power_score, 8) AS power_score,
+       CAST(row_number() OVER (ORDER BY power_score DESC NULLS LAST, team_name) AS INTEGER) AS power_rank,
+       round(points_component, 8) AS points_component, round(goal_component, 8) AS goal_component,
+       round(advanced_stats_component, 8) AS advanced_stats_component, round(schedule_component, 8) AS schedule_component,
+       round(momentum_component, 8) AS momentum_component, round(pct, 3) AS point_pct, round(gpg, 2) AS goals_per_game,
+       round(gapg, 2) AS goals_against_per_game, round(gdpg, 2) AS goal_differential_per_game, round(spg, 1) AS shots_per_game,
+       round(ppp * 100, 1) AS pp_pct, round(pkp * 100, 1) AS pk_pct, round(l10, 3) AS last_10_points_pct,
+       CAST(coalesce(rw, 0) AS BIGINT) AS last_5_wins, CAST(coalesce(rl, 0) AS BIGINT) AS last_5_losses,
+       CAST(coalesce(rgd, 0) AS BIGINT) AS last_5_goal_diff, round(opp_pct, 3) AS strength_of_schedule,
+       CAST(games_played AS INTEGER) AS games_played, round(cw * 100, 1) AS current_season_weight_pct,
+       round((1 - cw) * 100, 1) AS previous_season_weight_pct, playoff_round AS prev_playoff_round,
+       CASE playoff_round WHEN 4 THEN 'Cup Finals' WHEN 3 THEN 'Conference Finals' WHEN 2 THEN 'Second Round' WHEN 1 THEN 'First Round'
+            WHEN 0 THEN 'Missed Playoffs' END AS prev_playoff_result, round(playoff_win_pct * 100, 1) AS prev_playoff_win_pct,
+       CAST(playoff_wins AS BIGINT) AS prev_playoff_wins, CAST(playoff_games AS BIGINT) AS prev_playoff_games
+FROM scored
+"""))(power_rankings_model)

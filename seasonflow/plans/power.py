@@ -90,7 +90,7 @@ def opponent_strength(spark: SparkSession, root: str) -> DataFrame:
 _OPP_SQL = """
 , otab AS (SELECT season, team, count(*) AS gp,
                   sum(CASE WHEN goals_for > goals_against THEN 2 WHEN goals_for = goals_against THEN 1 ELSE 0 END) AS pts
-           FROM sides GROUP BY 1, 2)
+           FROM sides WHERE game_type = 2 GROUP BY 1, 2)
 , oshare AS (SELECT season, team AS opponent, """ + rr("pts * 10000", "gp * 2", 0) + """ AS e4 FROM otab)
 , ostr AS (SELECT s.season, s.team, sum(CAST(e4 AS BIGINT)) AS se, count(*) AS n
            FROM sides s JOIN oshare o ON s.season = o.season AND s.opponent = o.opponent GROUP BY 1, 2)
@@ -113,7 +113,9 @@ _CUR_SQL = _PREV_SQL + _OPP_SQL + """
              WHERE season = (SELECT cur_season FROM sc) AND game_type = 2 GROUP BY 1)
 , crn AS (SELECT *, row_number() OVER (PARTITION BY team ORDER BY game_date DESC, game_id DESC) AS rn FROM cs)
 , cl10 AS (SELECT team, sum(CASE WHEN goals_for > goals_against THEN 2 WHEN goals_for = goals_against THEN 1 ELSE 0 END) AS l10_pts,
-                  count(*) AS l10_n FROM crn WHERE rn <= 10 GROUP BY team)
+                  count(*) AS l10_n
+           FROM (SELECT *, row_number() OVER (PARTITION BY team ORDER BY game_date DESC, game_id DESC) AS back FROM cs WHERE game_type = 2)
+           WHERE back <= 10 GROUP BY team)
 , cl5 AS (SELECT team, count_if(goals_for > goals_against) AS r_w, count_if(goals_for < goals_against) AS r_l,
                  count(*) AS r_n, sum(goals_for - goals_against) AS recent_gd FROM crn WHERE rn <= 5 GROUP BY team)
 , cur AS (

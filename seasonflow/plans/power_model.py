@@ -116,9 +116,10 @@ def previous_final(g: DataFrame, sc: DataFrame | None = None) -> DataFrame:
 
 
 def opponent_strength(g: DataFrame) -> DataFrame:
-    """Mean opponent points share (all game types, D14) per (season, team); each
-    share fixed at 4 decimals (integer ten-thousandths) so the mean is exact."""
-    tab = g.groupBy("season", "team").agg(F.count(F.lit(1)).alias("gp"), F.sum("points").alias("pts"))
+    """Mean opponent points share over games of all types (D14) per (season, team); a
+    share counts regular games only, as standings do, and is fixed at 4 decimals
+    (integer ten-thousandths) so the mean is exact."""
+    tab = g.filter(F.col("game_type") == "regular").groupBy("season", "team").agg(F.count(F.lit(1)).alias("gp"), F.sum("points").alias("pts"))
     share = tab.select("season", F.col("team").alias("opponent"),
                        X.round_ratio(F.col("pts") * 10000, F.col("gp") * 2, 0).cast("bigint").alias("e4"))
     agg = (g.join(share, ["season", "opponent"], "inner")
@@ -127,11 +128,12 @@ def opponent_strength(g: DataFrame) -> DataFrame:
 
 
 def current_metrics(g: DataFrame, sc: DataFrame | None = None) -> DataFrame:
-    """Latest-season per-team rates (regular season) plus last-10 / last-5 form
-    (all game types, newest first, game id breaks ties) and schedule strength.
+    """Latest-season per-team rates (regular season) plus the last 10 regular games' points
+    share, the last 5 games of any type (newest first, game id breaks ties) and
+    schedule strength.
 
-    The record is one partial aggregate; the form windows come from a top-10
-    group limit per team (never a full sort of a team's season in one task);
+    The record is one partial aggregate; the form windows come from group limits
+    per team (never a full sort of a team's season in one task);
     schedule strength is computed on the current season only (the
     season-partitioned input is pruned to it).
     """
@@ -144,15 +146,14 @@ def current_metrics(g: DataFrame, sc: DataFrame | None = None) -> DataFrame:
             ("points", "points"), ("gf", "goals_for"), ("ga", "goals_against"), ("shots", "shots"), ("pp_goals", "pp_goals"),
             ("pp_attempts", "pp_attempts"), ("pk_attempts", "pk_attempts"), ("pk_goals_against", "pk_goals_against"))]
     ).filter(F.col("gp") > 0)
-    # last-10 rows per team through a group limit (top-10 kept map-side), then
-    # the last-5 subset by position inside it
-    top10 = W.last_n(s, ["team"], [F.col("game_date").desc(), F.col("game_id").desc()], 10, rank_col="__rn")
-    r5 = F.col("__rn") <= 5
-    form = top10.groupBy("team").agg(
-        F.sum("points").alias("l10_pts"), F.count(F.lit(1)).alias("l10_n"),
-        F.count_if(r5 & w).alias("r_w"), F.count_if(r5 & l).alias("r_l"), F.count_if(r5).alias("r_n"),
-        F.sum(F.when(r5, F.col("goals_for") - F.col("goals_against"))).alias("recent_gd"))
-    m = record.join(form, "team", "left")
+    # the newest rows per team through group limits (kept map-side)
+    newest = [F.col("game_date").desc(), F.col("game_id").desc()]
+    l10 = W.last_n(s.filter(reg), ["team"], newest, 10, rank_col="__rn").groupBy("team").agg(
+        F.sum("points").alias("l10_pts"), F.count(F.lit(1)).alias("l10_n"))
+    r5 = W.last_n(s, ["team"], newest, 5, rank_col="__rn").groupBy("team").agg(
+        F.count_if(w).alias("r_w"), F.count_if(l).alias("r_l"), F.count(F.lit(1)).alias("r_n"),
+        F.sum(F.col("goals_for") - F.col("goals_against")).alias("recent_gd"))
+    m = record.join(l10, "team", "left").join(r5, "team", "left")
     opp = opponent_strength(s).select("team", F.col("opponent_avg_points_pct").alias("sos"))
     m = m.join(opp, "team", "left")
     return m.select(
@@ -170,7 +171,7 @@ def scaled(g: DataFrame, sc: DataFrame | None = None) -> DataFrame:
     """The ten metrics min-max scaled to 0-100 (goals against inverted),
     zero range or NULL -> 50; trend mapped from [-1, 1] to [0, 100]."""
     out = R.minmax_normalize(current_metrics(g, sc), {c: c == "goals_against_pg" for c in METRICS},
-                             suffix="_scaled", neutral=NEUTRAL, bounded=True)
+                             suffix="_scaled", neutral=NEUTRAL)
     return out.withColumn("trend_scaled", F.coalesce((F.col("trend") + F.lit(1.0)) * F.lit(50.0), F.lit(NEUTRAL)))
 
 
@@ -181,7 +182,7 @@ def blended(g: DataFrame) -> DataFrame:
     s = scaled(g, sc)
     prev = previous_final(g, sc).select("team", "prev_power_score", "playoff_round_reached",
                                     F.col("pct").alias("prev_pct"))
-    prev = R.minmax_normalize(prev, {"prev_pct": False}, suffix="_scaled", neutral=NEUTRAL, bounded=True)
+    prev = R.minmax_normalize(prev, {"prev_pct": False}, suffix="_scaled", neutral=NEUTRAL)
     j = s.join(prev, "team", "left")
     gp = F.col("gp")
     cw = F.when(gp >= 20, F.lit(1.0)).when(gp == 0, F.lit(0.0)).otherwise(_f(gp) / F.lit(20.0))

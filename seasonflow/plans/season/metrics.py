@@ -1,13 +1,13 @@
-"""Metrics (M44, M45, M52) on the season layout: the team-game fact bound to the
-standard team-game table of ``power_model``."""
+"""Metrics (M44, M45, M52) on the season layout."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seasonflow.params import Params
 from seasonflow.plans import power_model as PM
-
+from seasonflow.plans.season import power_rankings as PR
 
 OPTIONAL = ("shots_against", "hits", "blocks", "giveaways", "takeaways", "faceoffs_won", "faceoffs_in_game")
 
@@ -20,13 +20,16 @@ def team_games(team_games_fact: DataFrame) -> DataFrame:
         *[c for c in OPTIONAL if c in team_games_fact.columns])
 
 
-def team_power_rankings(team_games_fact: DataFrame, teams: DataFrame | None = None) -> DataFrame:
-    """Composite power score and rank per team for the latest season."""
-    out = PM.composite(team_games(team_games_fact))
-    if teams is not None:
-        out = out.join(teams.select(F.col("team_id").alias("team"), "team_abv", "team_name"),
-                       "team", "left")
-    return out
+def team_power_rankings(team_lines: DataFrame, by_day: DataFrame, all_games: DataFrame, teams: DataFrame,
+                        current_standings: DataFrame | None = None, p: Params = Params()) -> DataFrame:
+    """Published power score and rank per team for the latest season."""
+    lines = team_lines.withColumn("season", F.col("season").cast("int"))
+    games = all_games.select("season", F.col("HOMETEAM_ABBREV").alias("home_abv"), F.col("AWAYTEAM_ABBREV").alias("away_abv"))
+    cur = None
+    if current_standings is not None:
+        cur = current_standings.select("team_abv", "points", F.col("gp").alias("games_played"), F.try_divide(
+            F.col("points").cast("double"), F.col("gp").cast("double") * 2).alias("point_pct"))
+    return PR.power_rankings(lines, by_day, games, lines.select("season"), teams, cur, p)
 
 
 def team_season_metrics(team_games_fact: DataFrame, teams: DataFrame | None = None) -> DataFrame:
@@ -38,5 +41,5 @@ def team_season_metrics(team_games_fact: DataFrame, teams: DataFrame | None = No
 
 
 def mart_team_power_rankings(power: DataFrame) -> DataFrame:
-    """Pass-through under a stable name."""
+    """The published rankings under a stable name."""
     return power

@@ -96,7 +96,12 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], p: Params = Params(),
             m["upcoming_games"] = marts.upcoming_games_mart(m["fct_upcoming_games"], m["dim_teams"])
 
     teams = m.get("dim_teams")
-    m["team_power_rankings"] = metrics.team_power_rankings(m["fct_team_game"], teams)
+    listed = teams
+    if listed is None:
+        listed = m["team_game_line"].select("team_id", "team_abv", F.col("team_abv").alias("team_name")).distinct()
+    m["team_power_rankings"] = metrics.team_power_rankings(
+        m["team_game_line"], m["standings_by_day"], m["all_games"], listed.where(F.col("team_id").isNotNull()),
+        m.get("current_standings"), p)
     m["team_season_metrics"] = metrics.team_season_metrics(m["fct_team_game"], teams)
     m["mart_team_power_rankings"] = metrics.mart_team_power_rankings(m["team_power_rankings"])
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seasonflow.functions import exprs as X
 from seasonflow.operators import joins as J
+from seasonflow.operators.distributed import RankOf, global_ranks
 from seasonflow.operators.dedup import dedup_latest
 from seasonflow.params import Params
 
@@ -184,40 +185,43 @@ def season_metrics(stats: DataFrame, teams: DataFrame, p: Params = Params()) ->
         **{f"{n}_pg": c(n).cast("double") / gp for n in ("goals_for", "goals_against", "hits", "blocks", "shots_for",
                                                          "shots_against", "takeaways", "giveaways", "penalty_minutes")}})
 
-    # windows over one row per team
-    def rank(*order: Column, by: str | None = None) -> Column:
-        w = Window.partitionBy(by) if by else Window.partitionBy()
-        return F.rank().over(w.orderBy(*order))
-
-    def best(col: str) -> Column:
-        return rank(F.col(col).desc())
-
-    def percentile(order: Column) -> Column:
-        return F.round(F.percent_rank().over(Window.partitionBy().orderBy(order)) * 100, 1)
+    # league ranks (NULLs last) and percentiles (the best value has 100)
+    s = s.withColumn("league", F.struct("points", "wins", (F.col("goals_for_pg") - F.col("goals_against_pg")).alias("d")))
+    better = {"league": True, **{f"{n}_pg": n not in ("goals_against", "shots_against", "giveaways") for n in (
+        "goals_for", "goals_against", "hits", "blocks", "shots_for", "shots_against", "takeaways", "giveaways")},
+        **{f"{n}_pct": True for n in ("power_play", "penalty_kill", "shooting", "save", "faceoff_win")}}
+    in_percent = ("goals_for_pg", "goals_against_pg", "hits_pg", "blocks_pg", "power_play_pct", "penalty_kill_pct")
+    s = global_ranks(s, [RankOf(f"r_{n}", n, not high) for n, high in better.items()]
+                     + [RankOf(f"p_{n}", n, better[n], nulls_last=False, kind="percent_rank") for n in in_percent])
+    best = lambda col: F.col(f"r_{col}")
+    percentile = lambda col: F.round(F.col(f"p_{col}") * 100, 1)
     record = [F.col("points").desc(), F.col("wins").desc()]
+
+    def within(by: str) -> Column:
+        return F.rank().over(Window.partitionBy(by).orderBy(*record))
     one = lambda n, digits: F.round(F.col(f"{n}_pg"), digits)
     return s.select("team_key", "team_abv", "team_name", "division", "conference", "games_played", "wins",
                     "regulation_losses", "ot_losses", "points", *_named(
         points_pct=X.round_ratio(F.col("points") * 100, gp * 2, 3),
-        league_rank=rank(*record, (F.col("goals_for_pg") - F.col("goals_against_pg")).desc()),
-        conference_rank=rank(*record, by="conference"), division_rank=rank(*record, by="division"),
+        league_rank=best("league"),
+        conference_rank=within("conference"), division_rank=within("division"),
         goals_per_game=one("goals_for", 2), goals_per_game_rank=best("goals_for_pg"),
-        goals_per_game_percentile=percentile(F.col("goals_for_pg").asc()), goals_against_average=one("goals_against", 2),
-        goals_against_rank=rank(F.col("goals_against_pg").asc()),
-        goals_against_percentile=percentile(F.col("goals_against_pg").desc()),
-        hits_per_game=one("hits", 1), hits_per_game_rank=best("hits_pg"), hits_percentile=percentile(F.col("hits_pg").asc()),
+        goals_per_game_percentile=percentile("goals_for_pg"), goals_against_average=one("goals_against", 2),
+        goals_against_rank=best("goals_against_pg"),
+        goals_against_percentile=percentile("goals_against_pg"),
+        hits_per_game=one("hits", 1), hits_per_game_rank=best("hits_pg"), hits_percentile=percentile("hits_pg"),
         blocks_per_game=one("blocks", 1), blocks_per_game_rank=best("blocks_pg"),
-        blocks_percentile=percentile(F.col("blocks_pg").asc()),
+        blocks_percentile=percentile("blocks_pg"),
         power_play_pct="power_play_pct", power_play_rank=best("power_play_pct"),
-        power_play_percentile=percentile(F.col("power_play_pct").asc()),
+        power_play_percentile=percentile("power_play_pct"),
         penalty_kill_pct="penalty_kill_pct", penalty_kill_rank=best("penalty_kill_pct"),
-        penalty_kill_percentile=percentile(F.col("penalty_kill_pct").asc()),
+        penalty_kill_percentile=percentile("penalty_kill_pct"),
         shots_per_game=one("shots_for", 1), shots_per_game_rank=best("shots_for_pg"),
-        shots_against_per_game=one("shots_against", 1), shots_against_rank=rank(F.col("shots_against_pg").asc()),
+        shots_against_per_game=one("shots_against", 1), shots_against_rank=best("shots_against_pg"),
         shooting_pct="shooting_pct", shooting_pct_rank=best("shooting_pct"), save_pct="save_pct",
         save_pct_rank=best("save_pct"), faceoff_win_pct="faceoff_win_pct", faceoff_rank=best("faceoff_win_pct"),
         takeaways_per_game=one("takeaways", 1), takeaways_rank=best("takeaways_pg"),
-        giveaways_per_game=one("giveaways", 1), giveaways_rank=rank(F.col("giveaways_pg").asc()),
+        giveaways_per_game=one("giveaways", 1), giveaways_rank=best("giveaways_pg"),
         penalty_minutes_per_game=one("penalty_minutes", 1),
         goal_diff_per_game=F.round(F.col("goals_for_pg") - F.col("goals_against_pg"), 2),
         goal_differential=c("goals_for") - c("goals_against"), total_pp_opportunities="s_powerplay_opportunities",

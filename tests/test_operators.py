@@ -127,3 +127,45 @@ def test_top_rows_limit_cuts_larger_data(spark):
     df = spark.range(5000).withColumnRenamed("id", "d")
     rows = R.top_k(df, 2000, [F.col("d").desc()]).collect()
     assert len(rows) == 2000 and min(r.d for r in rows) == 3000
+
+
+# -- ranks over a whole frame ------------------------------------------------------------------
+def _windowed(df, specs):
+    from pyspark.sql import Window
+    fns = {"rank": F.rank, "dense_rank": F.dense_rank, "percent_rank": F.percent_rank}
+    cols = []
+    for s in specs:
+        c = F.col(s.column)
+        order = ((c.asc_nulls_last if s.nulls_last else c.asc_nulls_first) if s.ascending
+                 else (c.desc_nulls_last if s.nulls_last else c.desc_nulls_first))()
+        cols.append(fns[s.kind]().over(Window.partitionBy().orderBy(order)).alias(s.name))
+    return df.select("*", *cols)
+
+
+def test_global_ranks_equal_the_windows(spark):
+    from seasonflow.operators.distributed import RankOf, global_ranks
+    # ties, NULLs, NaN, a value that a third of the rows share, two column types, more values than partitions
+    rows = [(i, None if i % 17 == 0 else 7 if i % 3 == 0 else i * 31 % 101, None if i % 13 == 0 else float("nan") if i % 29 == 0
+             else i * 7 % 53 / 4) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, x long, y double").repartition(5)
+    specs = [RankOf(f"{c}_{a}_{n}_{k}", c, a, n, k) for c in ("x", "y") for a in (True, False) for n in (True, False)
+             for k in ("rank", "dense_rank", "percent_rank")]
+    out = global_ranks(df, specs)
+    want = {r.id: r for r in _windowed(df, specs).collect()}
+    got = {r.id: r for r in out.collect()}
+    assert len(got) == 900
+    for i, r in got.items():
+        assert [repr(r[s.name]) for s in specs] == [repr(want[i][s.name]) for s in specs]
+    for n in (0, 1):
+        few = global_ranks(df.where(F.col("id") < n + 1).where(F.col("id") >= 1 - n), specs).collect()
+        assert len(few) <= 2
+    assert global_ranks(df.where("false"), specs).collect() == []
+
+
+def test_global_row_number_numbers_ranges_one_after_another(spark):
+    from seasonflow.operators.distributed import global_row_number
+    df = spark.range(2000).select("id", F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") * 37 % 211).alias("x")).repartition(6)
+    order = [F.col("x").desc(), F.col("id").asc()]
+    got = [(r.x, r.id) for r in sorted(global_row_number(df, order, "n").collect(), key=lambda r: r.n)]
+    assert got == sorted(((r.x, r.id) for r in df.collect()), key=lambda r: (-r[0], r[1]))
+    assert global_row_number(df.where("false"), order).collect() == []

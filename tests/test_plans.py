@@ -46,3 +46,14 @@ def test_no_cartesian_products_or_python_operators(spark):
         plan = _plan(spark, key)
         assert "CartesianProduct" not in plan, key
         assert "EvalPython" not in plan and "InPandas" not in plan, key
+
+
+@pytest.mark.parametrize("key", ["metric_ranks", "percentiles", "composite_score", "previous_period_final",
+                                 "minmax_normalize", "season_points_otl"])
+def test_global_ranks_have_no_window_in_one_task(spark, key):
+    """Over a whole frame Spark would gather all rows in one partition for a window."""
+    lines = _plan(spark, key).splitlines()
+    for i, line in enumerate(lines):
+        if "Window [" in line or "WindowGroupLimit" in line:
+            below = " ".join(lines[i + 1:i + 4])
+            assert "SinglePartition" not in below, key

@@ -200,6 +200,17 @@ def test_batch_job_end_to_end(spark):
 
 # Column names and order of the published tables.
 PUBLISHED = {
+    "team_power_rankings": """ranking_date team_id team_abv team_name power_score power_rank points_component goal_component
+        advanced_stats_component schedule_component momentum_component point_pct goals_per_game goals_against_per_game
+        goal_differential_per_game shots_per_game pp_pct pk_pct last_10_points_pct last_5_wins last_5_losses
+        last_5_goal_diff strength_of_schedule games_played current_season_weight_pct previous_season_weight_pct
+        prev_playoff_round prev_playoff_result prev_playoff_win_pct prev_playoff_wins prev_playoff_games""",
+    "mart_team_power_rankings": """ranking_date team_id team_abv team_name power_score power_rank points_component
+        goal_component advanced_stats_component schedule_component momentum_component point_pct goals_per_game
+        goals_against_per_game goal_differential_per_game shots_per_game pp_pct pk_pct last_10_points_pct last_5_wins
+        last_5_losses last_5_goal_diff strength_of_schedule games_played current_season_weight_pct
+        previous_season_weight_pct prev_playoff_round prev_playoff_result prev_playoff_win_pct prev_playoff_wins
+        prev_playoff_games""",
     "fct_team_game_stats": """team_game_key game_key team_key opponent_team_key date_key season_key is_home game_result
         points_earned goals_for goals_against goal_differential shots_for shots_against shooting_pct save_pct
         powerplay_goals powerplay_opportunities powerplay_pct penalty_kill_goals_against penalty_kill_situations
@@ -331,7 +342,7 @@ def test_shot_metrics_are_fractions(models):
 def test_time_slots_and_playoff_labels(models):
     assert {r.time_slot for r in models["upcoming_games"].collect()} <= {"Afternoon", "Early Evening", "Late Evening"}
     # no previous season is loaded: no playoff result
-    assert {r.prev_playoff_label for r in models["team_power_rankings"].collect()} == {None}
+    assert {r.prev_playoff_result for r in models["team_power_rankings"].collect()} == {None}
 
 
 def test_published_marts(models):
