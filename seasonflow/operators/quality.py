@@ -9,8 +9,9 @@ driver — with the common columns ``check``, ``target``, ``severity`` and
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 WARN, ERROR = "warn", "error"
@@ -76,6 +77,34 @@ def row_checks(df: DataFrame, rules: Sequence[tuple[str, str, str, Column]]) ->
     return counts.select(F.inline(rows))
 
 
+class Split(NamedTuple):
+    """Good rows, violating rows with the names of their broken rules, and the counts."""
+    good: DataFrame
+    violations: DataFrame
+    counts: dict[str, int]
+
+
+def split(df: DataFrame, rules: Sequence[tuple[str, Column]], path: str) -> Split:
+    """Writes ``df`` once, good rows and violating ones into folders of their own, and
+    counts in that pass (``DataFrame.observe``): one scan, and no row is lost.
+
+    A rule is (name, condition of a violating row); a condition that is NULL holds for
+    no row.  Violating rows keep all columns and have ``broken``, the rules' names.
+    ``counts`` has ``rows``, ``good`` and a number for each rule."""
+    names = [n for n, _ in rules]
+    bad = [F.coalesce(c, F.lit(False)) for _, c in rules]
+    broken = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in zip(names, bad, strict=True)]), lambda x: x.isNotNull())
+    marked = df.withColumn("broken", broken if rules else F.array().cast("array<string>")).withColumn("ok", F.size("broken") == 0)
+    seen = Observation()
+    marked.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if("ok").alias("good"),
+                   *[F.count_if(F.array_contains("broken", n)).alias(f"rule_{i}") for i, n in enumerate(names)]
+                   ).write.partitionBy("ok").parquet(path)
+    got = seen.get
+    counts = {"rows": got["rows"], "good": got["good"]} | {n: got[f"rule_{i}"] for i, n in enumerate(names)}
+    back = df.sparkSession.read.schema(marked.schema).parquet(path)
+    return Split(back.where("ok").drop("ok", "broken"), back.where("NOT ok").drop("ok"), counts)
+
+
 def freshness(df: DataFrame, loaded_at: str, as_of, warn_after_hours: float,
               error_after_hours: float, target: str = "source") -> DataFrame:
     """Q07 — age of the newest load against ``as_of``: pass / warn / error.

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from seasonflow.operators.dedup import dedup_latest
 from seasonflow.params import Params
 from seasonflow.session import cut_lineage
+from seasonflow.sources.loads import load_full_replace
 from seasonflow.plans.season import dims, facts, marts, metrics, published
 from seasonflow.plans.season import intermediate as I
 from seasonflow.plans.season import staging as ST
@@ -140,10 +141,7 @@ def table_writer(base: str, spark: SparkSession):
     def keep(name: str, df: DataFrame) -> DataFrame:
         if name not in MATERIALISED:
             return df
-        w = clustered(df).write.mode("overwrite")
-        if "season" in df.columns:
-            w = w.partitionBy("season")
-        w.parquet(f"{base.rstrip('/')}/{name}")
+        load_full_replace(clustered(df), f"{base.rstrip('/')}/{name}", ["season"] if "season" in df.columns else [])
         return spark.read.parquet(f"{base.rstrip('/')}/{name}")
     return keep
 

@@ -106,6 +106,11 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(conf), p
 
 
+def file_system(spark: SparkSession, path: str):
+    """A path's file system, and a function from names to its paths."""
+    return _fs(spark, path)[0], spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path is there, asked of its own filesystem."""
     fs, p = _fs(spark, path)

@@ -84,24 +84,42 @@ def carry_parent_key(parent: DataFrame, key: str, children: str, child_name: str
                   .select(key, F.explode(children).alias(child_name)))
 
 
-def _drop_nested(col: Column, dt: T.StructType, pattern: str) -> Column:
-    drop = [f.name for f in dt.fields if fnmatch.fnmatchcase(f.name, pattern)]
-    out = col.dropFields(*drop) if drop else col
-    for f in dt.fields:
-        if f.name not in drop and isinstance(f.dataType, T.StructType):
-            out = out.withField(f.name, _drop_nested(col.getField(f.name), f.dataType, pattern))
-    return out
+def _without(dt: T.DataType, pattern: str) -> T.DataType | None:
+    """The type without fields that match, at any depth; None where nothing is left."""
+    if isinstance(dt, T.StructType):
+        kept = [(f, _without(f.dataType, pattern)) for f in dt.fields if not fnmatch.fnmatchcase(f.name, pattern)]
+        kept = [T.StructField(f.name, t, f.nullable) for f, t in kept if t is not None]
+        return T.StructType(kept) if kept else None
+    if isinstance(dt, T.ArrayType):
+        inner = _without(dt.elementType, pattern)
+        return None if inner is None else T.ArrayType(inner, dt.containsNull)
+    if isinstance(dt, T.MapType):
+        inner = _without(dt.valueType, pattern)
+        return None if inner is None else T.MapType(dt.keyType, inner, dt.valueContainsNull)
+    return dt
+
+
+def _rewrite(col: Column, old: T.DataType, new: T.DataType) -> Column:
+    """``col`` with only the fields that ``new`` has; NULL structs stay NULL."""
+    if old == new:
+        return col
+    if isinstance(old, T.StructType):
+        fields = [_rewrite(col.getField(f.name), old[f.name].dataType, f.dataType).alias(f.name) for f in new.fields]
+        return F.when(col.isNotNull(), F.struct(*fields))
+    if isinstance(old, T.ArrayType):
+        return F.transform(col, lambda x: _rewrite(x, old.elementType, new.elementType))
+    return F.transform_values(col, lambda k, v: _rewrite(v, old.valueType, new.valueType))
 
 
 def drop_fields(df: DataFrame, pattern: str) -> DataFrame:
-    """Remove fields whose name matches a glob; ``**.name`` also at any depth."""
+    """Remove columns whose name matches a glob; ``**.name`` also fields at any
+    depth, through structs, arrays of structs and map values.  A struct, array or map
+    of which nothing is left goes as a whole."""
     deep = pattern.startswith("**.")
     pat = pattern[3:] if deep else pattern
-    keep = [f for f in df.schema.fields if not fnmatch.fnmatchcase(f.name, pat)]
     cols = []
-    for f in keep:
-        c = F.col(f"`{f.name}`")
-        if deep and isinstance(f.dataType, T.StructType):
-            c = _drop_nested(c, f.dataType, pat)
-        cols.append(c.alias(f.name))
+    for f in df.schema.fields:
+        left = None if fnmatch.fnmatchcase(f.name, pat) else _without(f.dataType, pat) if deep else f.dataType
+        if left is not None:
+            cols.append(_rewrite(F.col(f"`{f.name}`"), f.dataType, left).alias(f.name))
     return df.select(*cols)

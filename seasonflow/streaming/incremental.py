@@ -7,14 +7,16 @@ and the stored rows together, so late rows of an older state change nothing.  ``
 deliberately not used: it keeps the *first* row seen, the model needs the
 *latest*.
 
-Two table layouts:
-
-* bucketed (default): the table is partitioned by ``pmod(hash(keys), B)``;
-  a batch reads only the buckets it touches (a left-semi join with the
-  batch's bucket ids, so dynamic partition pruning skips the rest), merges,
-  and replaces just those buckets with dynamic partition overwrite.  Cost per
-  batch grows with the batch, not with the table.  Replaying a batch merges
-  the same rows again and leaves the same state (latest-wins is idempotent).
+Three table layouts:
+
+* indexed (default): a ``sources.tables.Table`` with a key index.  A batch reads and
+  rewrites only the files that hold one of its keys, and commits its id with them, so a
+  replayed batch is not merged again and a reader never sees half of one.
+* bucketed (a number of buckets): the table is partitioned by ``pmod(hash(keys), B)``; a
+  batch reads the buckets it touches and replaces them with dynamic partition
+  overwrite.  A batch of n keys touches up to min(n, B) buckets, so B should be well
+  above the keys of a batch; a task lost while the overwrite is committed can leave
+  a bucket behind, which a replay puts right only if its rows come again.
 * versioned (``buckets=None``): batch N reads version N-1 and writes version
   ``v=N`` whole — simple and idempotent, O(table) per batch.
 """
@@ -29,6 +31,9 @@ from pyspark.sql import types as T
 
 from seasonflow.operators.dedup import dedup_latest
 from seasonflow.session import path_exists
+from seasonflow.sources.tables import Table
+
+INDEXED = "indexed"
 
 
 def latest_of_both(stored: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
@@ -84,15 +89,24 @@ def bucket_upsert_writer(target: str, schema: T.StructType, keys: Sequence[str],
     return write
 
 
+def indexed_upsert_writer(target: str, schema: T.StructType, keys: Sequence[str], order_by: Sequence[Column]):
+    """foreachBatch function for the indexed layout."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        Table(batch.sparkSession, target, keys).upsert(batch.select(*schema.fieldNames()), order_by, f"stream-{batch_id}")
+    return write
+
+
 def incremental_ingest(spark: SparkSession, source: str, schema: T.StructType, target: str,
                        checkpoint: str, keys: Sequence[str], order_by: Sequence[Column],
-                       max_files_per_trigger: int | None = None, buckets: int | None = 64) -> int | None:
+                       max_files_per_trigger: int | None = None,
+                       buckets: int | str | None = INDEXED) -> int | None:
     """Process everything available now and return the last batch id (None if none ran)."""
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = r.parquet(source)
-    writer = (bucket_upsert_writer(target, schema, keys, order_by, buckets) if buckets
+    writer = (indexed_upsert_writer(target, schema, keys, order_by) if buckets == INDEXED
+              else bucket_upsert_writer(target, schema, keys, order_by, buckets) if buckets
               else upsert_batch_writer(target, schema, keys, order_by))
     q = (stream.writeStream.foreachBatch(writer)
                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -107,9 +121,12 @@ def incremental_ingest(spark: SparkSession, source: str, schema: T.StructType, t
 
 
 def read_current(spark: SparkSession, target: str, schema: T.StructType, last_batch: int | None,
-                 buckets: int | None = 64) -> DataFrame:
-    """The current table: all buckets (bucketed layout) or the last version."""
+                 buckets: int | str | None = INDEXED) -> DataFrame:
+    """The current table: the newest manifest's files, all buckets, or the last version."""
     from pyspark.sql.utils import AnalysisException
+    if buckets == INDEXED:
+        table = Table(spark, target)
+        return table.read() if table.versions() else spark.createDataFrame([], schema)
     if buckets:
         if path_exists(spark, target) is False:
             return spark.createDataFrame([], schema)

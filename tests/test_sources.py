@@ -98,7 +98,7 @@ def test_incremental_ingest_latest_wins_across_batches(spark):
     assert outv == out
 
 
-@pytest.mark.parametrize("buckets", [512, 2, None])
+@pytest.mark.parametrize("buckets", ["indexed", 512, 2, None])
 def test_incremental_ingest_late_row_of_an_older_state(spark, buckets):
     base = _tmp()
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("ts", T.IntegerType()),
@@ -130,3 +130,79 @@ def test_seeds_sorted_write_and_time_helpers(spark):
                  X.add_offset_hours(X.parse_utc("s"), F.col("off")).alias("shifted")).collect()[0]
     assert r.ts == dt.datetime(2025, 10, 9, 0, 0) and r.loc == dt.datetime(2025, 10, 8, 20, 0)
     assert r.shifted == dt.datetime(2025, 10, 8, 20, 0)
+
+
+def test_append_is_done_once_a_batch(spark):
+    base = _tmp()
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, p string")
+    assert L.load_append(df, f"{base}/t") and not L.load_append(df.repartition(2), f"{base}/t")
+    assert spark.read.parquet(f"{base}/t").count() == 3
+    assert L.load_append(df, f"{base}/t", batch_id="two") and spark.read.parquet(f"{base}/t").count() == 6
+    # an append that stopped after its files were moved, before the ledger had them, is done anew
+    fs, at = __import__("seasonflow.session", fromlist=["x"]).file_system(spark, base)
+    fs.delete(at(f"{base}/t/_batches/two"), False)
+    assert L.load_append(df, f"{base}/t", batch_id="two") and spark.read.parquet(f"{base}/t").count() == 6
+    assert L.load_append(df, f"{base}/by", ["p"]) and not L.load_append(df, f"{base}/by", ["p"])
+    assert sorted((r.id, r.p) for r in spark.read.parquet(f"{base}/by").collect()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_a_stopped_replace_leaves_the_old_table(spark):
+    base = _tmp()
+    L.load_full_replace(spark.range(3), f"{base}/t")
+    bad = spark.range(5).select(F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error(F.lit("stopped")).cast("long")).alias("id"))
+    with pytest.raises(Exception):
+        L.load_full_replace(bad, f"{base}/t")
+    assert spark.read.parquet(f"{base}/t").count() == 3
+    L.load_full_replace(spark.read.parquet(f"{base}/t").where("id > 0"), f"{base}/t")      # may read what it replaces
+    assert spark.read.parquet(f"{base}/t").count() == 2
+    import os
+    os.rename(f"{base}/t", f"{base}/t.__old")                                                # stopped between the renames
+    L.load_full_replace(spark.range(7), f"{base}/t")
+    assert spark.read.parquet(f"{base}/t").count() == 7 and os.listdir(base) == ["t"]
+
+
+def test_tolerant_json_leaves_the_schema_alone(spark):
+    base = _tmp()
+    with open(f"{base}/in.json", "w") as fh:
+        fh.write('{"id": 1}\n{"id": oops\n{"id": -3}\n')
+    schema = T.StructType([T.StructField("id", T.IntegerType())])
+    for _ in range(2):
+        good, rejects = L.tolerant_json(spark, f"{base}/in.json", schema)
+        assert sorted(r.id for r in good.collect()) == [-3, 1] and rejects.first().rejected_rows == 1
+    assert schema.names == ["id"]
+    done = L.load_tolerant(spark, f"{base}/in.json", schema, f"{base}/out", [("positive", F.col("id") <= 0)])
+    assert done.counts == {"rows": 3, "good": 1, "readable": 1, "positive": 1}
+    assert [r.id for r in done.good.collect()] == [1]
+    bad = {r.broken[0]: r for r in done.violations.collect()}
+    assert bad["positive"].id == -3 and bad["readable"]._corrupt_record == '{"id": oops'
+
+
+def test_split_scans_once_and_keeps_all_rows(spark, tmp_path):
+    from seasonflow.operators import quality as Q
+    src = str(tmp_path / "src")
+    spark.range(100).select("id", F.when(F.col("id") % 10 > 0, F.col("id") % 3).alias("x")).write.parquet(src)
+    df = spark.read.parquet(src)
+    out = Q.split(df, [("not_null", F.col("x").isNull()), ("range", F.col("x") > 1), ("even", F.col("id") % 2 == 1)], str(tmp_path / "o"))
+    rows = df.collect()
+    broken = {r.id: [n for n, b in (("not_null", r.x is None), ("range", r.x is not None and r.x > 1), ("even", r.id % 2 == 1)) if b]
+              for r in rows}
+    assert {r.id: r.broken for r in out.violations.collect()} == {i: b for i, b in broken.items() if b}
+    assert sorted(r.id for r in out.good.collect()) == sorted(i for i, b in broken.items() if not b)
+    assert out.counts == {"rows": 100, "good": sum(not b for b in broken.values()),
+                          **{n: sum(n in b for b in broken.values()) for n in ("not_null", "range", "even")}}
+
+
+def test_drop_fields_at_any_depth(spark):
+    schema = ("id int, logoA int, team struct<name:string, logo:string, home:struct<logoX:int, city:string>, only:struct<logo:int>>, "
+              "plays array<struct<k:int, logoFr:string, sub:array<struct<logo:int, z:int>>>>, m map<string, struct<logo:int, v:int>>, "
+              "gone array<struct<logo:int>>, deep array<array<struct<a:int, logo:int>>>")
+    row = (1, 2, ("n", "l", (3, "c"), (4,)), [(5, "f", [(6, 7)]), (8, None, None), None], {"x": (9, 10)}, [(11,)], [[(12, 13)]])
+    df = spark.createDataFrame([row, (2, None, None, None, None, None, None)], schema)
+    out = SH.drop_fields(df, "**.logo*")
+    assert out.dtypes == [("id", "int"), ("team", "struct<name:string,home:struct<city:string>>"),
+                          ("plays", "array<struct<k:int,sub:array<struct<z:int>>>>"), ("m", "map<string,struct<v:int>>"),
+                          ("deep", "array<array<struct<a:int>>>")]
+    a, b = sorted(out.collect(), key=lambda r: r.id)
+    assert a.team.home.city == "c" and a.plays[0].sub[0].z == 7 and a.plays[1].sub is None and a.plays[2] is None
+    assert a.m["x"].v == 10 and a.deep[0][0].a == 12 and (b.team, b.plays, b.m) == (None, None, None)
+    assert SH.drop_fields(df, "logo*").columns == ["id", "team", "plays", "m", "gone", "deep"]
