@@ -1,10 +1,11 @@
 """Calendar spine, gap-fill scaffold and forward fill.
 
-The calendar x entity scaffold is built per (period, entity) with
-``explode(sequence(start, end))`` instead of a band join, so no nested-loop
-join appears, and the forward fill windows are partitioned by
-(period, entity): each window partition holds one entity's season (~hundreds
-of rows) no matter how large the league history grows.
+``gap_fill`` turns snapshots into validity intervals: a snapshot holds from its date to
+the day before the entity's next one (``lead``), values are carried over the snapshots
+themselves, and each interval is expanded by ``sequence``.  So the only shuffle of the
+rows is the one by (period, entity), over snapshots and not over days; there is no
+grid, no join with it and no window over the filled rows.  ``scaffold`` builds the bare
+grid with ``explode(sequence(start, end))`` instead of a band join.
 """
 
 from __future__ import annotations
@@ -63,13 +64,37 @@ def forward_fill(df: DataFrame, partition: Sequence[str], order: str,
 
 def gap_fill(snapshots: DataFrame, period: str, entity: str, date: str,
              fill: Mapping[str, object], bounds: DataFrame | None = None) -> DataFrame:
-    """Scaffold every (period, entity, day) and forward-fill ``fill`` columns.
+    """Every (period, entity, day) within the period's bounds, ``fill`` columns (column ->
+    default, ``None`` keeps NULL) carried forward from the last value that is not NULL.
 
-    Entities enter the scaffold on their period's first day, so days before an
-    entity's first snapshot get the defaults.
+    Entities enter on their period's first day, so days before an entity's first
+    snapshot get the defaults.  Snapshots without a date or outside of the bounds only
+    make their entity known; several snapshots of one day stay several rows.  ``bounds``
+    has a row per period.
     """
     b = bounds if bounds is not None else period_bounds(snapshots, period, date)
-    grid = scaffold(snapshots, b, period, entity, date)
-    data = snapshots.select(period, entity, date, *fill.keys())
-    joined = grid.join(data, [period, entity, date], "left")
-    return forward_fill(joined, [period, entity], date, fill)
+    # one row per period: a fixed, small side
+    s = snapshots.select(period, entity, date, *fill).join(
+        F.broadcast(b.select(F.col(period).alias("__period"), F.col("start_date").alias("__start"), F.col("end_date").alias("__end"))),
+        F.col(period) == F.col("__period"))
+    inside = F.col(date).between(F.col("__start"), F.col("__end"))
+    s = s.withColumn("__day", F.when(inside, F.col(date))).withColumns({c: F.when(inside, F.col(c)) for c in fill})
+    by = Window.partitionBy(period, entity)
+    w = by.orderBy(F.col("__day").asc_nulls_first())
+    far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    s = s.select(period, entity, "__day", "__start", "__end",
+                 *[F.last(c, ignorenulls=True).over(far).alias(c) for c in fill],
+                 F.lead("__day").over(w).alias("__next"), F.row_number().over(w).alias("__n"),
+                 F.min("__day").over(by).alias("__first"))
+    # the entity's first row also opens the days before its first snapshot
+    none = F.struct(*[F.lit(None).cast(snapshots.schema[c].dataType).alias(c) for c in fill])
+    ahead = F.struct(F.col("__start").alias("a"), F.coalesce(F.date_sub("__first", 1), F.col("__end")).alias("z"), none.alias("v"))
+    own = F.struct(F.col("__day").alias("a"),
+                   F.greatest(F.col("__day"), F.coalesce(F.date_sub("__next", 1), F.col("__end"))).alias("z"),
+                   F.struct(*fill).alias("v"))
+    spans = F.filter(F.array(F.when(F.col("__n") == 1, ahead), F.when(F.col("__day").isNotNull(), own)),
+                     lambda x: x.isNotNull() & (x["a"] <= x["z"]))
+    return (s.select(period, entity, F.explode(spans).alias("__s"))
+            .select(period, entity, F.explode(F.sequence("__s.a", "__s.z")).alias(date), "__s.v.*")
+            .select(period, entity, date, *[(F.col(c) if d is None else F.coalesce(F.col(c), F.lit(d))).alias(c)
+                                            for c, d in fill.items()]))

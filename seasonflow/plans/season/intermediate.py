@@ -218,15 +218,14 @@ def standings_by_day(daily: DataFrame, bounds: DataFrame | None = None) -> DataF
     """Every (season, day, team) inside the season bounds, last snapshot
     carried forward; counters default to 0, places and streak to NULL; names come
     from the season's team list (their latest values), so they are there before
-    the first snapshot too.  Windows are partitioned by (season, team)."""
+    the first snapshot too.  Snapshots become validity intervals by (season, team)."""
     d = daily.select(F.col("SEASONID").alias("season"), F.col("TEAMABBREV_DEFAULT").alias("team_abv"),
                      F.col("DATE").alias("date"), *ZERO_FILLED, *NULL_FILLED, *TEAM_NAMES)
     names = d.groupBy("season", "team_abv").agg(*[F.max_by(c, "date").alias(c) for c in TEAM_NAMES])
     d = d.drop(*TEAM_NAMES)
     fill = {**{c: 0 for c in ZERO_FILLED}, **{c: None for c in NULL_FILLED}}
     b = bounds if bounds is not None else G.period_bounds(d, "season", "date")
-    grid = G.scaffold(d, b, "season", "team_abv", "date")
-    out = G.forward_fill(grid.join(d, ["season", "team_abv", "date"], "left"), ["season", "team_abv"], "date", fill)
+    out = G.gap_fill(d, "season", "team_abv", "date", fill, b)
     out = out.join(names, ["season", "team_abv"], "left")
     return out.select("season", "date", "team_abv",
                       *[F.col(c).alias(c.lower()) for c in (*S.STANDING_INT_COLS, *TEAM_NAMES)],

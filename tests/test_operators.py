@@ -169,3 +169,35 @@ def test_global_row_number_numbers_ranges_one_after_another(spark):
     got = [(r.x, r.id) for r in sorted(global_row_number(df, order, "n").collect(), key=lambda r: r.n)]
     assert got == sorted(((r.x, r.id) for r in df.collect()), key=lambda r: (-r[0], r[1]))
     assert global_row_number(df.where("false"), order).collect() == []
+
+
+def test_gap_fill_by_intervals_equals_the_filled_grid(spark):
+    import random
+    rng = random.Random(5)
+    day = lambda n: dt.date(2025, 1, 1) + dt.timedelta(days=n)
+    rows = [(s, e, day(d), rng.choice([None, rng.randint(1, 9)]), rng.choice([None, "x", "y"]))
+            for s in (1, 2) for e in "abcd" for d in rng.sample(range(30), rng.randint(1, 9))]
+    rows += [(1, "only_out", day(99), 5, "z"), (2, "undated", None, 6, "z"), (2, "undated", None, 7, "z"), (2, "late", day(29), 3, None),
+             (3, "no_bounds", day(3), 1, "q"), (1, "mixed", None, 4, "n"), (1, "mixed", None, 4, "n"), (1, "mixed", day(12), 8, "m")]
+    df = spark.createDataFrame(rows, "s int, e string, d date, v int, t string").repartition(3)
+    bounds = spark.createDataFrame([(1, day(2), day(27)), (2, day(0), day(29))], "s int, start_date date, end_date date")
+    fill = {"v": 0, "t": None}
+    for b, given in ((bounds, True), (G.period_bounds(df, "s", "d"), False)):
+        grid = G.scaffold(df, b, "s", "e", "d").join(df.select("s", "e", "d", "v", "t"), ["s", "e", "d"], "left")
+        want = G.forward_fill(grid, ["s", "e"], "d", fill)
+        out = G.gap_fill(df, "s", "e", "d", fill, b if given else None)
+        assert out.columns == ["s", "e", "d", "v", "t"]
+        key = lambda r: tuple(repr(x) for x in r)
+        assert sorted(map(key, out.collect())) == sorted(map(key, want.select("s", "e", "d", "v", "t").collect()))
+    # a day with two snapshots stays two rows, and the days after carry one of them
+    two = spark.createDataFrame([(1, "a", day(0), 1), (1, "a", day(0), 1), (1, "a", day(2), 3)], "s int, e string, d date, v int")
+    assert sorted((r.d.day, r.v) for r in G.gap_fill(two, "s", "e", "d", {"v": 0}).collect()) == [(1, 1), (1, 1), (2, 1), (3, 3)]
+
+
+def test_gap_fill_shuffles_snapshots_once(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(1000).select((F.col("id") % 3).alias("s"), (F.col("id") % 7).alias("e"),
+                                  F.date_add(F.lit(dt.date(2025, 1, 1)), (F.col("id") % 50).cast("int")).alias("d"), F.col("id").alias("v"))
+    plan = G.gap_fill(df, "s", "e", "d", {"v": 0})._jdf.queryExecution().executedPlan().toString()
+    # the rows once, and the one-row-a-period bounds
+    assert plan.count("Exchange hashpartitioning(s") == 2 and plan.count("Exchange hashpartitioning(") == 2
