@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seasonflow.functions import exprs as X
+from seasonflow.operators import distinct as D
 from seasonflow.plans.registry import register, rr, sql
 from seasonflow.plans.testbed import Bed
+from seasonflow.session import cut_lineage
 
 _SUMS = ("goals", "assists", "points", "shots", "toi_seconds", "pim")
 
@@ -92,12 +94,13 @@ register("rate_per_unit", sql(_TOT_SQL + "SELECT season, player, toi_seconds, "
                                         for c in ("goals", "points", "pim")) + " FROM totals"))(rate_per_unit)
 
 
+_COUNTED = {"players": "player", "games": "game_id", "teams": "team"}
+
+
 def distinct_counts(spark: SparkSession, root: str) -> DataFrame:
-    """Exact count distinct per season (approx only when a caller opts in)."""
-    pg = Bed(spark, root).player_games()
-    return pg.groupBy("season").agg(F.count_distinct("player").alias("players"),
-                                    F.count_distinct("game_id").alias("games"),
-                                    F.count_distinct("team").alias("teams"))
+    """Exact distinct players, games and teams per season, from bitmaps."""
+    maps = D.bitmaps(Bed(spark, root).player_games(), ["season"], _COUNTED)
+    return D.counts(maps, ["season"], list(_COUNTED))
 
 
 register("distinct_counts", sql("""
@@ -105,6 +108,21 @@ SELECT season, count(DISTINCT player) AS players, count(DISTINCT game_id) AS gam
        count(DISTINCT team) AS teams FROM player_games GROUP BY season"""))(distinct_counts)
 
 
+def distinct_counts_merged(spark: SparkSession, root: str) -> DataFrame:
+    """The bitmaps kept per season and game type, merged to seasons and to all seasons
+    (-1): a player of two seasons counts once in the total."""
+    kept = D.bitmaps(Bed(spark, root).player_games(), ["season", "game_type"], _COUNTED)
+    kept = cut_lineage(kept)                              # as a closed season's table would be
+    names = list(_COUNTED)
+    season = D.counts(D.merge(kept, ["season"]), ["season"], names)
+    return season.unionByName(D.counts(D.merge(kept), [], names).withColumn("season", F.lit(-1)))
+
+
+register("distinct_counts_merged", sql("""
+SELECT coalesce(season, -1) AS season, count(DISTINCT player) AS players, count(DISTINCT game_id) AS games,
+       count(DISTINCT team) AS teams FROM player_games GROUP BY GROUPING SETS ((season), ())"""))(distinct_counts_merged)
+
+
 def distinct_pairs(spark: SparkSession, root: str) -> DataFrame:
     """Players history — distinct (player, team, season) triples."""
     return Bed(spark, root).player_games().select("player", "team", "season").distinct()

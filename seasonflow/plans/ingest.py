@@ -1,5 +1,6 @@
 """Ingestion patterns bound to the events table: schema drift, merge upsert,
-nested payload round trip, streaming incremental ingest (S06, S09, S12, S17, X01)."""
+nested payload round trip, streaming incremental ingest, ledgers, rejects
+(S05, S06, S08, S09, S12, S15, S17, X01)."""
 
 from __future__ import annotations
 
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seasonflow.functions import exprs as X
+from seasonflow.operators import quality
 from seasonflow.session import shared_path
 from seasonflow.sources.loads import evolve_schema, merge_upsert
 from seasonflow.sources.readers import table_path
+from seasonflow.sources.tables import Table
 from seasonflow.sources.shaping import flatten_structs, nested_to_json, parse_json
 from seasonflow.streaming.incremental import incremental_ingest as run_incremental
 from seasonflow.streaming.incremental import read_current
@@ -89,7 +92,7 @@ EVENT_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructFi
 
 def incremental_ingest(spark: SparkSession, root: str) -> DataFrame:
     """The events drop folder streamed with ``trigger(availableNow)``; each
-    micro-batch keeps the latest event per user and upserts it into a versioned
+    micro-batch keeps the latest event per user and upserts it into a key-indexed
     table under the shared checkpoint folder.  Equals the batch latest-wins."""
     base = shared_path(spark, "incremental-events")
     # the file source watches folders; a one-file glob points it at the drop
@@ -100,3 +103,69 @@ def incremental_ingest(spark: SparkSession, root: str) -> DataFrame:
 
 
 register("incremental_ingest", ORACLE["dedup_latest"])(incremental_ingest)
+
+
+def upsert_indexed(spark: SparkSession, root: str) -> DataFrame:
+    """S09 on a keyed table: the loads before day 20 are published, the re-extraction from
+    day 15 rewrites only files that hold its keys; the same batch again changes nothing."""
+    e = Bed(spark, root).t("events", "event_id", "ts", "user_id", "event_type", "value")
+    table = Table(spark, shared_path(spark, "upsert"), keys=["event_id"])
+    table.replace(e.filter(F.col("ts") < X.ntz(dt.datetime(2024, 1, 20))))
+    delta = (e.filter(F.col("ts") >= X.ntz(SPLIT))
+               .withColumn("value", (F.col("value").cast("decimal(18,2)") * 2).cast("double")))
+    for _ in range(2):
+        table.upsert(delta, [F.col("ts").desc(), F.col("value").desc()], batch_id="re-extraction")
+    return table.read()
+
+
+register("upsert_indexed", ORACLE["merge_upsert"])(upsert_indexed)
+
+
+def append_once(spark: SparkSession, root: str) -> DataFrame:
+    """Two halves of the feed, each appended twice; the ledger lets each in once."""
+    e = Bed(spark, root).t("events", "event_id", "ts", "user_id", "event_type", "value")
+    table = Table(spark, shared_path(spark, "append"))
+    for half in (e.filter(F.col("ts") < X.ntz(SPLIT)), e.filter(F.col("ts") >= X.ntz(SPLIT))):
+        table.append(half)
+        table.append(half)
+    return table.read()
+
+
+register("append_once", "SELECT event_id, ts, user_id, event_type, value FROM events")(append_once)
+
+
+def slice_resume(spark: SparkSession, root: str) -> DataFrame:
+    """All days but a lost one are in the ledger; the next load brings that day alone."""
+    e = Bed(spark, root).t("events", "event_id", "ts", "event_type")
+    low, high = e.agg(F.min("ts").cast("date"), F.max("ts").cast("date")).first()
+    table = Table(spark, shared_path(spark, "slices"))
+    if low is not None:
+        table.load_slices(e, "ts", low, high)
+        table.drop_slice(low)
+        assert table.load_slices(e, "ts", low, high) == [low]
+    else:
+        table.replace(e.withColumn("slice_date", F.col("ts").cast("date")))
+    return table.read().groupBy("slice_date", "event_type").agg(F.count(F.lit(1)).alias("events"), F.min("event_id").alias("first_id"))
+
+
+register("slice_resume", """
+SELECT CAST(ts AS DATE) AS slice_date, event_type, count(*) AS events, min(event_id) AS first_id
+FROM events WHERE ts IS NOT NULL GROUP BY 1, 2""")(slice_resume)
+
+
+def violating_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Rows that break a rule, with the rules' names, kept by the pass that
+    writes the good ones."""
+    li = Bed(spark, root).t("lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag")
+    rules = [("range", (F.col("l_quantity") < 2) | (F.col("l_quantity") > 48)), ("accepted_values", ~F.col("l_returnflag").isin("A", "N")),
+             ("returned_at_a_discount", (F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.08))]
+    out = quality.split(li, rules, shared_path(spark, "split"))
+    return out.violations.select("l_orderkey", "l_linenumber", F.array_join("broken", ",").alias("broken"))
+
+
+register("violating_rows", """
+SELECT l_orderkey, l_linenumber, concat_ws(',', CASE WHEN l_quantity < 2 OR l_quantity > 48 THEN 'range' END,
+       CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'accepted_values' END,
+       CASE WHEN l_returnflag = 'R' AND l_discount >= 0.08 THEN 'returned_at_a_discount' END) AS broken
+FROM lineitem WHERE l_quantity < 2 OR l_quantity > 48 OR l_returnflag NOT IN ('A', 'N') OR (l_returnflag = 'R' AND l_discount >= 0.08)
+""")(violating_rows)

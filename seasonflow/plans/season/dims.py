@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from seasonflow.functions import exprs as X
+from seasonflow.operators import distinct as D
 from seasonflow.operators import joins as J
 from seasonflow.operators.dedup import dedup_latest, dedup_preference
 from seasonflow.operators.reshape import union_distinct
@@ -73,14 +74,14 @@ def dim_seasons(league: DataFrame, p: Params = Params(), season_dates: DataFrame
     shortened (D12, reproduced)."""
     reg, po = F.col("game_type") == "regular", F.col("game_type") == "playoff"
     s = league.groupBy("season").agg(
-        F.count_distinct(F.when(reg, F.col("game_id"))).alias("regular_season_games"),
-        F.count_distinct(F.when(po, F.col("game_id"))).alias("playoff_games"),
-        F.count_distinct("game_id").alias("total_games"),
         F.min(F.when(reg, F.col("game_date"))).alias("regular_season_start"),
         F.max(F.when(reg, F.col("game_date"))).alias("regular_season_end"),
         F.min(F.when(po, F.col("game_date"))).alias("playoffs_start"),
         F.max(F.when(po, F.col("game_date"))).alias("playoffs_end"),
         F.count_distinct("home_team_abv").alias("teams"))
+    games = D.bitmaps(league, ["season"], {"regular_season_games": F.when(reg, F.col("game_id")),
+                                           "playoff_games": F.when(po, F.col("game_id")), "total_games": "game_id"})
+    s = s.join(D.counts(games, ["season"], ["regular_season_games", "playoff_games", "total_games"]), "season")
     if season_dates is not None:
         s = s.join(season_dates, "season", "left")
     else:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from seasonflow.operators.dedup import dedup_latest
 from seasonflow.params import Params
 from seasonflow.session import cut_lineage
+from seasonflow.sources.bucketed import write_bucketed
 from seasonflow.sources.loads import load_full_replace
 from seasonflow.plans.season import dims, facts, marts, metrics, published
 from seasonflow.plans.season import intermediate as I
@@ -146,6 +147,17 @@ def table_writer(base: str, spark: SparkSession):
     return keep
 
 
+def bucketed_writer(base: str, buckets: int):
+    """A ``persist`` callback that publishes the shared models of game grain bucketed by
+    ``game_id``: the joins and aggregates by game of the facts and marts over them need no
+    exchange.  Other shared models are checkpointed."""
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        if name in MATERIALISED and "game_id" in df.columns:
+            return write_bucketed(df, f"{base.rstrip('/')}/{name}", ["game_id"], buckets)
+        return checkpointed(name, df)
+    return keep
+
+
 def publish(models: dict[str, DataFrame], base: str, names=None) -> list[str]:
     """Write the selected models (default: every mart and fact) as parquet
     tables under ``base``; returns the written names.  Season-partitioned where

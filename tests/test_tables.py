@@ -107,3 +107,67 @@ def test_missing_days_are_found_and_loaded_alone(spark, base):
     assert set(kept) <= set(t.manifest()["files"])
     assert t.manifest()["slices"] == {"2025-01-01": 5, "2025-01-02": 5, "2025-01-03": 5, "2025-01-04": 5, "2025-01-05": 0}
     assert t.read().count() == 20 and t.load_slices(ev, "ts", day(1), day(1), again=True) == [day(1)] and t.read().count() == 20
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line.strip() for line in plan.splitlines() if "Exchange hashpartitioning" in line or "BroadcastExchange" in line]
+
+
+def test_joins_of_bucketed_tables_have_no_exchange(spark, base):
+    from seasonflow.operators import joins as J
+    from seasonflow.sources.bucketed import register_bucketed, write_bucketed
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sides = spark.range(4000).select((F.col("id") / 2).cast("long").alias("game_id"), (F.col("id") % 2 == 0).alias("is_home"),
+                                         (F.col("id") * 7 % 11).alias("goals"))
+        plays = spark.range(9000).select((F.col("id") % 2000).alias("game_id"), (F.col("id") % 5).alias("kind"))
+        a = write_bucketed(sides, f"{base}/sides", ["game_id"], 4)
+        b = write_bucketed(plays, f"{base}/plays", ["game_id"], 4)
+        both = J.opponent_join(a, ["game_id"], "is_home", ["goals"])
+        counted = a.join(b.groupBy("game_id").agg(F.count("*").alias("n")), "game_id")
+        for df, plain in ((both, J.opponent_join(sides, ["game_id"], "is_home", ["goals"])),
+                          (counted, sides.join(plays.groupBy("game_id").agg(F.count("*").alias("n")), "game_id"))):
+            assert exchanges(df) == [] and exchanges(plain) != []
+            assert rows(df.select(*sorted(df.columns))) == rows(plain.select(*sorted(plain.columns)))
+        spark.sql(f"DROP TABLE {[t.name for t in spark.catalog.listTables() if t.name.endswith('_sides')][0]}")
+        again = register_bucketed(spark, f"{base}/sides", ["game_id"], 4)
+        assert exchanges(again.join(b, "game_id")) == [] and again.count() == 4000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_season_facts_over_bucketed_tables_join_without_exchange(spark, base):
+    from seasonflow.params import Params
+    from seasonflow.plans.season import pipeline
+    from tests import fixtures as FX
+    raw = {"games": FX.games(spark), "daily_standings": FX.daily_standings(spark), "game_summaries": FX.summaries(spark),
+           "play_by_play": FX.plays(spark, [{"game": 1, "event": 2, "type": "goal", "team": 200, "clock": "05:00"}]),
+           "game_boxscore": FX.boxscore(spark), "team_rosters": FX.rosters(spark), "current_teams": FX.current_teams(spark)}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        m = pipeline.build(spark, raw, Params(as_of=dt.date(2025, 10, 12)), persist=pipeline.bucketed_writer(base, 2))
+        plain = pipeline.build(spark, raw, Params(as_of=dt.date(2025, 10, 12)))
+        for name in ("fct_player_game", "fct_team_game", "fct_games"):
+            assert rows(m[name]) == rows(plain[name])
+            shuffled = [e for e in exchanges(m[name]) if "hashpartitioning(game_id" in e]
+            assert len(shuffled) < len([e for e in exchanges(plain[name]) if "hashpartitioning(game_id" in e]) or not shuffled, name
+        largest = m["team_game_line"].join(m["fct_plays"], "game_id"), m["skater_game_lines"].join(m["fct_plays"], "game_id")
+        assert all(exchanges(j) == [] for j in largest)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_bitmap_counts_merge(spark):
+    from seasonflow.operators import distinct as D
+    ids = [None, 0, 1, -5, 32768, 32769, 40000, 5_000_000_000, 7]
+    df = spark.createDataFrame([(g, ids[(i * (g + 3)) % len(ids)], i % 4) for g in range(3) for i in range(60)], "g int, x long, y int")
+    maps = D.bitmaps(df.repartition(4), ["g"], {"x": "x", "y": "y"})
+    want = {r.g: (r.x, r.y) for r in df.groupBy("g").agg(F.count_distinct("x").alias("x"), F.count_distinct("y").alias("y")).collect()}
+    assert {r.g: (r.x, r.y) for r in D.counts(maps, ["g"], ["x", "y"]).collect()} == want
+    total = D.counts(D.merge(maps), [], ["x", "y"]).first()
+    assert (total.x, total.y) == (df.agg(F.count_distinct("x")).first()[0], 4)
+    assert "Expand" not in D.counts(maps, ["g"], ["x", "y"])._jdf.queryExecution().executedPlan().toString()
+    assert D.counts(D.bitmaps(df.where("false"), ["g"], {"x": "x"}), ["g"], ["x"]).collect() == []
