@@ -1,8 +1,14 @@
 """Quality rules with host-level verdicts, DataFrame expressions only.
 
-Each document is measured by itself; failures are summed per host (a narrow
-aggregate with map-side combine); host rates are shrunk with a beta prior that
-is fitted to the hosts themselves; and each host's verdict is joined back.
+Each document is measured and held against every rule by itself; failures of all rules
+are summed per host (a narrow aggregate with map-side combine); host rates are shrunk
+with a beta prior that is fitted to the hosts themselves; each host's posterior is held
+against that prior, and the verdict is joined back and decides which rules its documents
+must pass:
+
+* ``clean``: clearly fewer failures than hosts have in general; the base rules alone;
+* ``usual``: the rules on symbols and repeated lines as well;
+* ``bad``: clearly more failures; these rules with half their limits.
 
 Shape at scale: measures are written once as a narrow table, so texts are read
 once and never shuffled.  The join back is a plain equi-join of narrow rows,
@@ -11,6 +17,8 @@ which AQE splits where one host holds a third of them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,53 +72,76 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              F.col("w.r").alias("n_repeat_words"))
 
 
-def host_rates(measured: DataFrame, failed: str = "base_failed") -> DataFrame:
-    """Failures per host and the posterior mean rate under a beta prior whose
-    mean and strength are fitted to all hosts by the method of moments (weighted
-    by documents; strength at least 1, and a very strong prior where hosts do not
-    differ).  A null host is a host of its own.  No rows for no documents."""
-    hosts = measured.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"),
-                                         F.sum(F.col(failed).cast("long")).alias("n_failed"))
+def host_rates(measured: DataFrame, rules: dict[str, str], sure: float = 2.0, clean: float = 0.5,
+               bad: float = 2.0) -> DataFrame:
+    """One row per host: documents, failures of each rule (``rules`` maps a result to a
+    boolean column) and of any, the posterior mean ``rate`` of any failure with its
+    deviation ``sd``, and the ``verdict``.
+
+    The beta prior's mean and strength are fitted to all hosts by the method of moments
+    (weighted by documents).  Its strength is at least 1 and at most the mean number of
+    documents of a host, so that hosts which differ no more than chance lets them are
+    drawn to the mean, but a host's own documents still count.  A host is ``clean`` if
+    its rate is below ``clean`` times the prior mean by ``sure`` deviations, ``bad`` if it
+    is above ``bad`` times that mean by as many, else ``usual``.  A null host is a
+    host of its own.  No rows for no documents."""
+    any_failed = reduce(Column.__or__, [F.col(c) for c in rules.values()])
+    hosts = measured.groupBy("host").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum(any_failed.cast("long")).alias("n_failed"),
+        *[F.sum(F.col(c).cast("long")).alias(n) for n, c in rules.items()])
     prior = hosts.agg(F.sum("n_docs").alias("n"), F.sum("n_failed").alias("f"), F.count(F.lit(1)).alias("k"),
                       F.sum(F.col("n_failed") * F.col("n_failed") / F.col("n_docs")).alias("ff")).first()
     mean = (prior.f / prior.n) if prior.n else 0.0
     # spread of host rates around the mean, less what sampling alone explains
     spread = (float(prior.ff) / prior.n - mean * mean) if prior.n else 0.0
     noise = mean * (1 - mean) * prior.k / prior.n if prior.n else 0.0
-    between = max(spread - noise, mean * (1 - mean) * 1e-6)
-    strength = max(1.0, mean * (1 - mean) / between - 1) if between > 0 else 1.0
-    return hosts.withColumn("rate", (F.col("n_failed") + F.lit(mean * strength)) / (F.col("n_docs") + F.lit(strength)))
+    most = max(1.0, prior.n / prior.k) if prior.n else 1.0
+    strength = min(most, max(1.0, mean * (1 - mean) / (spread - noise) - 1)) if spread > noise else most
+    rate = (F.col("n_failed") + F.lit(mean * strength)) / (F.col("n_docs") + F.lit(strength))
+    off = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n_docs") + F.lit(strength + 1)))
+    verdict = (F.when(F.col("rate") + sure * F.col("sd") < F.lit(clean * mean), "clean")
+               .when(F.col("rate") - sure * F.col("sd") > F.lit(bad * mean), "bad").otherwise("usual"))
+    return hosts.withColumn("rate", rate).withColumn("sd", off).withColumn("verdict", verdict)
+
+
+RULES = {"n_base": "base_failed", "n_symbol": "symbols_failed", "n_lines": "lines_failed"}
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-          min_words: int = 10, max_repeat_pct: int = 20, max_host_rate: float = 0.5,
-          max_symbol_pct: int = 10, max_dup_line_pct: int = 30, scratch: Scratch | None = None) -> DataFrame:
-    """The measures, ``base_failed``, the host's ``host_rate`` and ``kept``.
+          min_words: int = 10, max_repeat_pct: int = 20, max_symbol_pct: int = 10, max_dup_line_pct: int = 30,
+          scratch: Scratch | None = None) -> DataFrame:
+    """The measures, the three rules, the host's ``host_rate`` and ``host_verdict``, ``kept``.
 
     ``base_failed``: fewer than ``min_words`` words, or repeated 5-word windows
-    over more than ``max_repeat_pct`` percent of the words.  A host is bad when
-    its shrunk failure rate is above ``max_host_rate``.  In a bad host a document
-    must also pass the strict rules: symbols at most ``max_symbol_pct`` percent
-    of its word characters, and repeated lines at most ``max_dup_line_pct`` per
-    hundred words.  So a clean document stays whatever its host.
+    over more than ``max_repeat_pct`` percent of the words.  ``symbols_failed``: symbols
+    over ``max_symbol_pct`` percent of the word characters.  ``lines_failed``: more than
+    ``max_dup_line_pct`` repeated lines per hundred words.  A document stays if it passes
+    the base rule and those that its host's verdict asks for (see above), so one that
+    is far from every limit stays whatever its host.
 
     Null text has no words and fails; null host is one host; rows with equal ids
     are judged one by one; an empty table gives no rows.
     """
     own_columns(docs, id_col, text_col, host_col)
     scratch = scratch or Scratch(docs.sparkSession)
-    measured = measure(docs, id_col, text_col, host_col).withColumn(
-        "base_failed", (F.col("n_words") < min_words)
-        | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_pct))
+
+    def symbols(limit: Column) -> Column:
+        return F.col("n_symbols") * 100 * limit > F.col("word_chars") * max_symbol_pct
+
+    def lines(limit: Column) -> Column:
+        return F.col("n_dup_lines") * 100 * limit > F.col("n_words") * max_dup_line_pct
+    measured = measure(docs, id_col, text_col, host_col).withColumns({
+        "base_failed": (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_pct),
+        "symbols_failed": symbols(F.lit(1)), "lines_failed": lines(F.lit(1))})
     measured = scratch.save(measured, "measures")
-    hosts = host_rates(measured).select(F.col("host").alias("host_"), "rate")
-    strict = ((F.col("n_symbols") * 100 <= F.col("word_chars") * max_symbol_pct)
-              & (F.col("n_dup_lines") * 100 <= F.col("n_words") * max_dup_line_pct))
+    hosts = host_rates(measured, RULES).select(F.col("host").alias("host_"), "rate", "verdict")
     joined = measured.join(hosts, F.col("host").eqNullSafe(F.col("host_")), "left")
+    twice = F.when(F.col("verdict") == "bad", 2).otherwise(1)
+    passed = (F.col("verdict") == "clean") | ~(symbols(twice) | lines(twice))
     return joined.select(
         "id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        F.col("rate").alias("host_rate"),
-        (~F.col("base_failed") & ((F.col("rate") <= max_host_rate) | strict)).alias("kept"))
+        "symbols_failed", "lines_failed", F.col("rate").alias("host_rate"), F.col("verdict").alias("host_verdict"),
+        (~F.col("base_failed") & passed).alias("kept"))
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",

@@ -142,17 +142,19 @@ m AS (
          CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
          CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
   FROM w LEFT JOIN lines ON lines.doc_id = w.doc_id LEFT JOIN covered ON covered.doc_id = w.doc_id),
-f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
-hosts AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS x FROM f GROUP BY source),
-p0 AS (SELECT sum(x) / sum(n) AS mu, sum(x * x / n) / sum(n) AS ff, count(*) AS k, sum(n) AS n FROM hosts),
-p1 AS (SELECT mu, mu * (1 - mu) AS v,
-              greatest(ff - mu * mu - mu * (1 - mu) * k / n, mu * (1 - mu) * 1e-6) AS between FROM p0),
-p AS (SELECT mu, CASE WHEN between > 0 THEN greatest(1.0, v / between - 1) ELSE 1.0 END AS strength FROM p1),
-rates AS (SELECT source, (x + mu * strength) / (n + strength) AS rate FROM hosts, p)
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+             100 * n_symbols > 10 * word_chars AS symbols_failed, 100 * n_dup_lines > 30 * n_words AS lines_failed FROM m),
+hosts AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed OR symbols_failed OR lines_failed) AS x FROM f GROUP BY source),
+p0 AS (SELECT sum(x) / sum(n) AS mu, sum(x * x / n) / sum(n) AS ff, sum(n) / count(*) AS docs FROM hosts),
+p1 AS (SELECT mu, greatest(1.0, docs) AS most, mu * (1 - mu) AS v, ff - mu * mu - mu * (1 - mu) / docs AS between FROM p0),
+p AS (SELECT mu, CASE WHEN between > 0 THEN least(most, greatest(1.0, v / between - 1)) ELSE most END AS strength FROM p1),
+r0 AS (SELECT source, mu, n + strength + 1 AS size, (x + mu * strength) / (n + strength) AS rate FROM hosts, p),
+r AS (SELECT source, CASE WHEN rate + 2 * sqrt(rate * (1 - rate) / size) < 0.5 * mu THEN 'clean'
+                          WHEN rate - 2 * sqrt(rate * (1 - rate) / size) > 2 * mu THEN 'bad' ELSE 'usual' END AS verdict FROM r0)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND (rate <= 0.5 OR (100 * n_symbols <= 10 * word_chars AND 100 * n_dup_lines <= 30 * n_words))
-         AS kept
-FROM f LEFT JOIN rates ON f.source IS NOT DISTINCT FROM rates.source"""
+       NOT base_failed AND (verdict = 'clean' OR (verdict = 'usual' AND NOT symbols_failed AND NOT lines_failed)
+         OR (verdict = 'bad' AND 200 * n_symbols <= 10 * word_chars AND 200 * n_dup_lines <= 30 * n_words)) AS kept
+FROM f LEFT JOIN r ON f.source IS NOT DISTINCT FROM r.source"""
 
 
 @query

@@ -118,3 +118,29 @@ def targets(sizes: dict, weights=(5, 2, 1), repeat=3):
 
 def bag(rows):
     return Counter(tuple(r) for r in rows)
+
+
+def judged(rows):
+    """rows: (id, text, host) -> list of (verdict of the host, kept), in order."""
+    facts = []
+    for _, text, host in rows:
+        n, chars, symbols, dup, _, base = quality(text)
+        facts.append((host, n, chars, symbols, dup, base, base or 100 * symbols > 10 * chars or 100 * dup > 30 * n))
+    hosts = defaultdict(list)
+    for f in facts:
+        hosts[f[0]].append(f[-1])
+    docs, failed = len(facts), sum(f[-1] for f in facts)
+    mean = failed / docs
+    between = sum(sum(x) ** 2 / len(x) for x in hosts.values()) / docs - mean ** 2 - mean * (1 - mean) * len(hosts) / docs
+    most = max(1.0, docs / len(hosts))
+    strength = min(most, max(1.0, mean * (1 - mean) / between - 1)) if between > 0 else most
+    verdict = {}
+    for h, x in hosts.items():
+        rate = (sum(x) + mean * strength) / (len(x) + strength)
+        sd = (rate * (1 - rate) / (len(x) + strength + 1)) ** 0.5
+        verdict[h] = "clean" if rate + 2 * sd < 0.5 * mean else "bad" if rate - 2 * sd > 2 * mean else "usual"
+    out = []
+    for host, n, chars, symbols, dup, base, _ in facts:
+        k = {"clean": 0, "usual": 100, "bad": 200}[verdict[host]]
+        out.append((verdict[host], not (base or k * symbols > 10 * chars or k * dup > 30 * n)))
+    return out

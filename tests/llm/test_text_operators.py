@@ -38,20 +38,48 @@ def test_quality_edges(edge, empty, edge_rows):
     assert quality.judge(empty).count() == 0 and quality.keep_good(empty).count() == 0
     kept = quality.keep_good(edge)
     assert kept.columns == edge.columns
-    want = brute.bag((i, t) for i, t, _ in edge_rows if not brute.quality(t)[-1])
+    judged = brute.judged(edge_rows)
+    want = brute.bag((i, t) for (i, t, _), (_, k) in zip(edge_rows, judged) if k)
     assert brute.bag((r.doc_id, r.text) for r in kept.collect()) == want
+    assert brute.bag((r.id, r.host_verdict, r.kept) for r in out.collect()) == brute.bag(
+        (i, v, k) for (i, _, _), (v, k) in zip(edge_rows, judged))
 
 
-def test_host_verdict_rejects_only_doubtful_documents(spark):
+def hosts():
     clean = " ".join(f"good{i}" for i in range(40))
+    some = " ".join(f"w{i}abcde*" if i % 2 == 0 else f"w{i}abcdef" for i in range(40))        # 5 to 10 percent symbols
     shout = " ".join(f"#$w{i}*" for i in range(40))
-    rows = [(i, "bad", "spam.example") for i in range(60)] + [(100, clean, "spam.example"), (101, shout, "spam.example")]
-    rows += [(200 + i, clean + str(i), "good.example") for i in range(60)] + [(300, shout, "good.example")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    kept = {r.id: r.kept for r in quality.judge(docs).collect()}
-    assert kept[100] and kept[300] and not kept[101]
-    rates = {r.host: r.rate for r in quality.host_rates(quality.judge(docs)).collect()}
-    assert 0 < rates["good.example"] < 0.05 and 0.9 < rates["spam.example"] < 62 / 62
+    rows = [(1000 + i, "bad", "spam.example") for i in range(300)]
+    rows += [(2000 + i, clean + str(i), "good.example") for i in range(500)]
+    rows += [(3000 + i, clean + str(i) if i % 4 else "short", "usual.example") for i in range(500)]
+    rows += [(k * 1000 + 900 + j, t, h) for k, h in ((1, "spam.example"), (2, "good.example"), (3, "usual.example"), (4, "new.example"))
+             for j, t in enumerate((clean, some, shout))]
+    return rows
+
+
+def test_host_verdicts_decide_which_rules_hold(spark):
+    rows = hosts()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = {r.id: r for r in quality.judge(docs).collect()}
+    assert {r.host: r.host_verdict for r in got.values()} == {
+        "spam.example": "bad", "good.example": "clean", "usual.example": "usual", "new.example": "usual"}
+    kept = {h: [got[k * 1000 + 900 + j].kept for j in range(3)] for k, h in ((1, "bad"), (2, "clean"), (3, "usual"), (4, "new"))}
+    # a clean document stays in every host; symbols are let pass in a clean one, half as many in a bad one
+    assert kept == {"bad": [True, False, False], "clean": [True, True, True], "usual": [True, True, False], "new": [True, True, False]}
+    assert [(got[i].host_verdict, got[i].kept) for i, _, _ in rows] == brute.judged(rows)
+    rates = {r.host: r for r in quality.host_rates(quality.judge(docs), quality.RULES).collect()}
+    spam = rates["spam.example"]
+    assert (spam.n_docs, spam.n_base, spam.n_symbol, spam.n_failed) == (303, 300, 1, 301) and spam.rate < 301 / 303
+    assert 0 < rates["good.example"].rate < 0.05
+
+
+def test_host_verdicts_change_rows_of_the_given_documents_and_clean_ones_stay(spark):
+    from seasonflow.llm.queries import QUERIES
+    root = "/root/testdata/sf0.01"
+    judged = QUERIES["op5_quality_rules"](spark, root)
+    labels = spark.read.parquet(f"{root}/labels.parquet").where("quality = 1").select("doc_id")
+    assert judged.where("NOT base_failed AND NOT kept").count() > 20
+    assert judged.join(labels, "doc_id").where("NOT base_failed AND NOT kept").count() == 0
 
 
 def test_ngram_join_edges(edge, empty, edge_rows):
