@@ -1,16 +1,18 @@
 """Secret scans: fixed patterns, and character Markov models of random strings
 and of ordinary identifiers compared by log-likelihood ratio.
 
-The two models are first-order Markov chains over one alphabet.  They are trained
-from labelled samples: character pairs of strings known to be random and of
-ordinary text.  Without samples the corpus labels itself: each distinct secret that
-the patterns find is random, and text outside of pattern spans and long unbroken
-strings is ordinary.  So no string that is to be judged trains a model, and one
-secret counts once however many documents share it.  All documents are counted.
+The models are first-order Markov chains over one alphabet, trained from labelled
+samples.  By default these are ``labelled_strings``, generated from a word list and fixed
+forms (identifiers in all spellings, paths, versions; random strings over the usual
+alphabets), and the corpus adds to both: each distinct secret that the patterns find is
+random, and text outside of pattern spans and long unbroken strings is ordinary, a
+model of its own.  A string must be likelier as random than under every ordinary
+model.  So no string that is to be judged trains a model, and one secret counts once
+however many documents share it.  All documents are counted.
 
 Shape at scale: texts are read once.  That pass writes the pattern spans and the
 few long unbroken strings (candidates) of each document, and sums ordinary pairs
-per task; the sums are 66 x 66 numbers at most however large the input is.  Found
+per task; the sums are 68 x 68 numbers at most however large the input is.  Found
 secrets are made distinct with map-side combine and summed the same way.  Scoring
 reads the candidates only.
 """
@@ -18,7 +20,9 @@ reads the candidates only.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 
 import numpy as np
 import pyarrow as pa
@@ -86,23 +90,70 @@ def ordinary_text(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "\n".join([*plain, text[at:]]) if cuts else text
 
 
+# The words that sample identifiers are made of, and strings that are identifiers by their form.
+WORDS = """abstract access account action active adapter address admin alert api app archive array asset async backup balance
+bank base batch body buffer build button cache call channel check child class client code color command common config
+connect connection content context control core count country create current customer data database date default
+delete device document download driver email entry error event export factory field file final folder format frame
+function group handler header height host image import index info input install instance interface job key label level
+limit list loader local location logger login main manager map max member memory message method model module name
+network node number object offset option order output owner package page parent path payment plan policy position
+price process project provider proxy query queue record release remote request resource response result retry return
+role root schema search security select server service session setting size source start state status storage store
+stream string support switch system table target task team template test text thread time title token total track
+transaction type update upload user utils value vector version view window worker writer""".split()
+FORMS = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")      # UUID
+
+
+def labelled_strings(n: int = 4000, seed: int = 7) -> tuple[list[str], list[str]]:
+    """``n`` random and ``n`` ordinary sample strings, the same for the same seed."""
+    rng = random.Random(seed)
+    upper, lower, digits = string.ascii_uppercase, string.ascii_lowercase, string.digits
+    alphabets = (upper + lower + digits + "+/", upper + lower + digits + "-_", upper + lower + digits, lower + digits,
+                 upper + digits, upper + "234567")
+    noise = ["".join(rng.choices(alphabets[i % len(alphabets)], k=rng.randint(20, 64))) for i in range(n)]
+
+    def words() -> list[str]:
+        return [w + str(rng.randint(1, 99)) if rng.random() < 0.08 else w for w in rng.choices(WORDS, k=rng.randint(3, 8))]
+    spellings = (
+        lambda w: w[0] + "".join(x.capitalize() for x in w[1:]), lambda w: "".join(x.capitalize() for x in w),
+        "_".join, lambda w: "_".join(w).upper(), "-".join, "/".join, lambda w: "/" + "/".join(w),
+        lambda w: "_".join(x.capitalize() for x in w), lambda w: "/".join(x.capitalize() for x in w),
+        lambda w: "-".join(w) + f"-{rng.randint(1990, 2030)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}",
+        "".join, lambda w: "".join(w).upper(), lambda w: "=".join(["_".join(w), w[-1]]))
+    return noise, [spellings[i % len(spellings)](words()) for i in range(n)]
+
+
 class Model:
     """Log-likelihood ratio of a string being random rather than ordinary, per
-    character pair.  Counts are smoothed by one pair in every cell."""
+    character pair: the least over the ordinary models.  Counts are smoothed
+    by one pair in every cell; ``spread`` of each chain's weight lies evenly on all, so
+    that one pair no sample has does not decide."""
+
+    def __init__(self, random_pairs: np.ndarray, *ordinary: np.ndarray, spread: float = 0.0):
+        chains = [self._chain(c, spread) for c in (random_pairs, *ordinary)]
+        self.ratio = [np.log(chains[0] / c).ravel() for c in chains[1:]]
 
-    def __init__(self, random: np.ndarray, ordinary: np.ndarray):
-        logs = []
-        for counts in (random, ordinary):
-            t = counts.reshape(STATES, STATES)[1:, 1:] + 1.0
-            logs.append(np.log(t / t.sum(axis=1, keepdims=True)))
-        self.ratio = (logs[0] - logs[1]).ravel()
+    @staticmethod
+    def _chain(counts: np.ndarray, spread: float) -> np.ndarray:
+        t = counts.reshape(STATES, STATES)[1:, 1:] + 1.0
+        return (1 - spread) * t / t.sum(axis=1, keepdims=True) + spread / (STATES - 1)
 
     def score(self, text: str) -> float:
         s = _STATE[np.frombuffer(text.encode("latin-1", "replace"), np.uint8)] - 1
         s = s[s >= 0]
         if len(s) < 2:
             return 0.0
-        return float(self.ratio[s[:-1] * (STATES - 1) + s[1:]].mean())
+        return min(float(r[s[:-1] * (STATES - 1) + s[1:]].mean()) for r in self.ratio)
+
+    def random(self, text: str, threshold: float = 0.0) -> bool:
+        """Whether a string counts as a secret: it has letters and six different
+        characters at least, is no UUID and no row of neighbours (``abcdefg``), and its
+        ratio is above the threshold."""
+        if not any(c.isalpha() for c in text) or len(set(text)) < 6 or FORMS.fullmatch(text):
+            return False
+        steps = sum(ord(b) - ord(a) == 1 for a, b in zip(text, text[1:], strict=False))
+        return 2 * steps < len(text) and self.score(text) > threshold
 
 
 def train(samples: DataFrame, text_col: str = "text", label_col: str = "random") -> Model:
@@ -118,7 +169,17 @@ def train(samples: DataFrame, text_col: str = "text", label_col: str = "random")
         yield _sparse(sums)
 
     rows = samples.select(F.col(f"`{text_col}`").alias("t"), F.col(f"`{label_col}`").cast("boolean").alias("l")).dropna()
-    return _gather(map_arrow(rows, count, "cell int, n long"))
+    return Model(*_gather(map_arrow(rows, count, "cell int, n long")))
+
+
+def default_model(counts: DataFrame) -> Model:
+    """The model of the generated samples and the corpus: its secrets' pairs are added to the
+    random ones, its ordinary text is a second ordinary model, which leans on the
+    identifiers' where it has few pairs."""
+    own_random, own_text = _gather(counts)
+    noise, names = (pair_counts("\n".join(x).encode()).astype(float) for x in labelled_strings())
+    text = own_text + 2_000.0 * names / np.maximum(names.reshape(STATES, STATES).sum(axis=1), 1).repeat(STATES)
+    return Model(noise + own_random, names, text, spread=0.2)
 
 
 def _sparse(sums: np.ndarray) -> pa.RecordBatch:
@@ -127,12 +188,12 @@ def _sparse(sums: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(flat[cell], pa.int64())], ["cell", "n"])
 
 
-def _gather(counts: DataFrame) -> Model:
+def _gather(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     # at most 2 * CELLS rows reach the driver
     sums = np.zeros(2 * CELLS)
     for r in counts.groupBy("cell").agg(F.sum("n").alias("n")).collect():
         sums[r.cell] = r.n
-    return Model(sums[:CELLS], sums[CELLS:])
+    return sums[:CELLS], sums[CELLS:]
 
 
 def _secrets(batches):
@@ -159,8 +220,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample
     ``(start, end, kind, string)``; positions are code points, ends exclusive.
 
     Pattern spans are always there; a candidate is added as kind ``random`` when
-    its ratio per character pair is above ``threshold``.  ``samples``: see
-    ``train``.  Null text is empty; rows with equal ids are scanned one by one.
+    it is no trivial string (``Model.random``) and its ratio per character pair is above ``threshold``.
+    ``samples``: see ``train``; default: ``default_model``.  Null text is empty; rows with equal ids are scanned one by one.
     """
     own_columns(docs, id_col, text_col)
     scratch = scratch or Scratch(docs.sparkSession)
@@ -200,7 +261,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample
         ordinary = found.where("counts IS NOT NULL").select(F.explode("counts").alias("c")).select("c.*")
         spans = found.where("counts IS NULL").select(F.explode("base").alias("s")).select("s.kind", "s.string").distinct()
         secrets = map_arrow(spans, _secrets, "secret string").distinct()
-        model = _gather(ordinary.unionByName(map_arrow(secrets, _random_pairs, "cell int, n long")))
+        model = default_model(ordinary.unionByName(map_arrow(secrets, _random_pairs, "cell int, n long")))
 
     def judge(batches):
         for b in batches:
@@ -208,7 +269,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample
             for base, starts, strings in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
                 spans = [(s["start"], s["kind"], s["end"], s["string"]) for s in base]
                 spans += [(a, 3, a + len(s), s) for a, s in zip(starts, strings, strict=True)
-                          if model.score(s) > threshold]
+                          if model.random(s, threshold)]
                 out.append([{"start": a, "end": e, "kind": KINDS[k], "string": s} for a, k, e, s in sorted(spans)])
             kinds = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()),
                                         ("string", pa.string())]))
