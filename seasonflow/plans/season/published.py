@@ -363,6 +363,182 @@ def _with_player(s: DataFrame, players: DataFrame, p: Params, position: bool = F
                     F.coalesce("shot_", made).alias("headshot_url"))
 
 
+# Shot distance bands, zone and position names, nationalities by birth country.
+ZONES = {"O": "Offensive", "D": "Defensive", "N": "Neutral"}
+POSITIONS = {"C": "Center", "L": "Left Wing", "R": "Right Wing", "D": "Defenseman", "G": "Goalie"}
+NATIONALITIES = {"USA": "American", "CAN": "Canadian", "SWE": "Swedish", "FIN": "Finnish", "RUS": "Russian", "CZE": "Czech",
+                 "SVK": "Slovak", "CHE": "Swiss", "DEU": "German", "DNK": "Danish", "NOR": "Norwegian", "LVA": "Latvian",
+                 "AUT": "Austrian", "FRA": "French", "SVN": "Slovenian"}
+
+
+def _text(names: dict[str, str], code: str | Column, otherwise: str | Column | None = None) -> Column:
+    """The name of a code; ``otherwise`` (default: the code itself) for an unknown one."""
+    c = F.col(code) if isinstance(code, str) else code
+    e = F.coalesce(*[F.when(c == k, F.lit(v)) for k, v in names.items()])
+    return F.coalesce(e, F.lit(otherwise) if isinstance(otherwise, str) else c if otherwise is None else otherwise)
+
+
+def plays(fact: DataFrame, staged: DataFrame, teams: DataFrame, p: Params = Params()) -> DataFrame:
+    """One row per (game, event) with its place on the ice and all names.  The event's
+    place comes from the staged plays of the same key."""
+    where = staged.select(F.col("game_id").alias("g_"), F.col("event_id").alias("e_"), "time_remaining", "type_code",
+                          "x_pos", "y_pos", "zone_code")
+    t = fact.join(where, (F.col("game_id") == F.col("g_")) & (F.col("event_id") == F.col("e_")), "left")
+    keys = teams.select(F.col("team_id").alias("t_"), "team_key")
+    t = t.join(keys, F.col("event_team_key") == F.col("t_"), "left")
+    band = (F.when(F.col("shot_distance") <= 10, "Close").when(F.col("shot_distance") <= 25, "Medium")
+            .when(F.col("shot_distance") > 25, "Long"))
+    return t.select("play_key", *_named(
+        game_key="game_id", date_key="date_key", season_key="season", event_idx="event_id", period_number="period",
+        period_type="period_type", time_elapsed_seconds="elapsed_seconds", game_elapsed_seconds="game_elapsed_seconds",
+        time_in_period="time_in_period", time_remaining="time_remaining", event_type_id="type_code",
+        event_type_name="event_type_name"), F.col("team_key").alias("event_team_key"), "primary_player_key",
+        "secondary_player_key", "tertiary_player_key", "goalie_player_key", F.col("x_pos").alias("x_coordinate"),
+        F.col("y_pos").alias("y_coordinate"), "zone_code", "shot_type", "shot_distance", "shot_angle", "is_goal", "is_penalty",
+        "penalty_type", "penalty_severity", "penalty_minutes", "strength_code", "strength_state", "is_empty_net",
+        "is_powerplay", "is_shorthanded", _text(ZONES, "zone_code", "Unknown").alias("zone_name"),
+        band.alias("shot_distance_category"), "period_category")
+
+
+def players_table(dim: DataFrame, roster: DataFrame) -> DataFrame:
+    """M34 with birth place, size and names, from the roster row that the dimension chose:
+    the current team's, else the first by team."""
+    r = roster.select(F.col("player_id").alias("i_"), "team_abv", "birth_city", "birth_state", "height_inches",
+                      "weight_pounds", "shoots_catches", F.col("number").alias("n_"))
+    j = dim.join(r, F.col("player_id") == F.col("i_"), "left")
+    j = dedup_latest(j, ["player_id"], [(F.col("team_abv") == F.col("current_team_abv")).cast("int").desc_nulls_last(),
+                                        F.col("team_abv").asc_nulls_last()])
+    return j.select(
+        "player_key", "player_id", "first_name", "last_name", "full_name", "birth_date", "current_age", "draft_year_estimate",
+        "birth_city", "birth_state", "birth_country", _text(NATIONALITIES, "birth_country").alias("nationality"), "height_inches",
+        "weight_pounds", "shoots_catches", "primary_position_code", _text(POSITIONS, "primary_position_code").alias("primary_position_name"),
+        "position_category", "current_team_abv", F.col("n_").alias("jersey_number"), "is_active",
+        F.col("has_experience").alias("has_nhl_experience"), "seasons_played", "career_games", "headshot_url", "experience_level")
+
+
+def all_players(roster: DataFrame) -> DataFrame:
+    """Every rostered player of every team."""
+    return roster.select("team_abv", "player_id", "first_name", "last_name", "position", "number", *_named(
+        height="height_inches", weight="weight_pounds", shoots="shoots_catches"), "birth_date", "birth_city", "birth_state",
+        "birth_country", "headshot_url")
+
+
+def shot_metrics(metrics: DataFrame, plays_fact: DataFrame, lines: DataFrame, teams: DataFrame) -> DataFrame:
+    """M55 over the model's sums; games played are those with a shot attempt outside of a
+    shootout, and a team's rows are those of such games."""
+    shots = plays_fact.filter(F.col("event_type_name").isin("goal", "shot-on-goal", "missed-shot", "blocked-shot")
+                              & (F.col("period_category") != "Shootout") & F.col("event_side").isNotNull())
+    seen = J.semi(lines.select("game_id", "season", "team_abv"), shots.select("game_id"), "game_id")
+    played = seen.groupBy(F.col("season").alias("s_"), F.col("team_abv").alias("t_")).agg(F.count(F.lit(1)).alias("games_played"))
+    m = metrics.join(played, (F.col("season") == F.col("s_")) & (F.col("team_abv") == F.col("t_")))
+    m = m.join(teams.select(F.col("team_abv").alias("a_"), "team_name"), F.col("team_abv") == F.col("a_"), "left")
+    return m.select(
+        "season", X.season_display("season").alias("season_display"), "team_abv", "team_name", "games_played", *_named(
+            shot_attempts_for="cf", shot_attempts_against="ca", corsi_pct=_percent("cf", "ca"), fenwick_for="ff",
+            fenwick_against="fa", fenwick_pct=_percent("ff", "fa"), ev_shot_attempts_for="cf_even",
+            ev_shot_attempts_against="ca_even", ev_corsi_pct=_percent("cf_even", "ca_even")), "shooting_pct", "save_pct", "pdo")
+
+
+def _percent(own: str, other: str) -> Column:
+    return X.round_ratio(own, F.col(own) + F.col(other), 4)
+
+
+def games_table(all_games: DataFrame, info: DataFrame, league: DataFrame, lines: DataFrame, teams: DataFrame) -> DataFrame:
+    """League games with both sides' figures, regulation score, outcome and flags.
+    Attendance is not in the feed (NULL)."""
+    h, a = F.col("HOMETEAM_SCORE"), F.col("AWAYTEAM_SCORE")
+    g = (all_games.join(league.select(F.col("game_id").alias("l_"), F.col("game_type").alias("type_"),
+                                      F.col("game_date").alias("date_")), F.col("ID") == F.col("l_"))
+         .join(info.select(F.col("game_id").alias("i_"), F.col("venue"), "venue_tz", "venue_utc_offset",
+                           F.col("start_ts_utc")), F.col("ID") == F.col("i_"), "left"))
+    stats = ("shots", "hits", "pim", "pp_goals", "pp_attempts", "faceoff_pct")
+    line = lines.withColumn("faceoff_pct", _share("faceoffs_won", "faceoffs_in_game", None))
+    home, away = F.col("is_home"), ~F.col("is_home")
+    sides = line.groupBy(F.col("game_id").alias("s_")).agg(*[
+        F.sum(F.when(side, F.col(c))).alias(f"{name}_{c}") for c in stats for name, side in (("home", home), ("away", away))])
+    g = g.join(sides, F.col("ID") == F.col("s_"), "left")
+    for side in ("home", "away"):
+        g = g.join(_keys(teams, f"{side}_"), F.col(f"{side.upper()}TEAM_ABBREV") == F.col(f"{side}_abv"), "left").drop(f"{side}_abv")
+    end = F.col("outcome_period_type")
+    late = end.isin("OT", "SO")
+
+    def regulation(own: Column, other: Column) -> Column:
+        return F.when(late & (own > other), own - 1).otherwise(own)
+    return g.select(*_named(
+        game_key="ID", game_id="ID", date_key=X.date_key("date_"), season_key="season", game_type=F.initcap("type_"),
+        home_team_key="home_team_key", away_team_key="away_team_key", venue_name="venue", attendance=F.lit(None).cast("int"),
+        regulation_home_score=regulation(h, a), regulation_away_score=regulation(a, h), final_home_score=h, final_away_score=a,
+        winning_team_key=F.when(h > a, F.col("home_team_key")).when(a > h, F.col("away_team_key")),
+        losing_team_key=F.when(h < a, F.col("home_team_key")).when(a < h, F.col("away_team_key")),
+        game_duration_minutes=F.when(end == "REG", 60).when(late, 65), overtime_periods=F.when(late, 1).otherwise(0),
+        is_shootout=F.coalesce(end == "SO", F.lit(False)), is_neutral_site="neutral_site"),
+        *[f"{side}_{c}" for c in stats for side in ("home", "away")], *_named(
+        goal_differential=h - a, goal_differential_abs=F.abs(h - a),
+        is_blowout=F.coalesce(F.abs(h - a) >= 5, F.lit(False)), is_high_scoring=F.coalesce(h + a >= 10, F.lit(False)),
+        is_low_scoring=F.coalesce(h + a <= 3, F.lit(False)), start_time_utc="start_ts_utc", venue_tz="venue_tz",
+        venue_utc_offset="venue_utc_offset"))
+
+
+def team_per_game(summaries: DataFrame, lines: DataFrame, penalties: DataFrame, goalies: DataFrame) -> DataFrame:
+    """The team game line with power-play and penalty-kill texts, faceoff share, the
+    goalies' sums, venue and start."""
+    on = ["game_id", "team_id"]
+    s = summaries.select(*on, "type", F.col("start_time_utc"), "venue")
+    nets = goalies.groupBy("game_id", "team_abv").agg(F.sum("goals_against").alias("goals_against_g"),
+                                                      F.sum("pp_shots_against").cast("int").alias("pp_shots_against"),
+                                                      F.sum("pp_shots_saved").cast("int").alias("pp_saves"))
+    t = (lines.join(s, on, "left").join(penalties.select(*on, "penalties_taken"), on, "left")
+         .join(nets, ["game_id", "team_abv"], "left"))
+    killed = F.col("pk_attempts") - F.col("pk_goals_against")
+    text = lambda x, y: F.concat_ws("/", x.cast("string"), F.col(y).cast("string"))
+    return t.select(
+        "season", "game_id", "team_abv", "team_id", "type", "game_type", "shots", "goals", "goals_against", F.col("shots").alias("sog"),
+        _share("faceoffs_won", "faceoffs_in_game", None).alias("faceoff_pct"), text(F.col("pp_goals"), "pp_attempts").alias("power_play"),
+        "pp_goals", "pp_attempts", text(killed, "pk_attempts").alias("penalty_kill"), "pk_goals_against", "pk_attempts",
+        _share("pp_goals", "pp_attempts", None).alias("pp_pct"), "pim", "hits", "blocks", "giveaways", "takeaways", "goals_against_g",
+        "saves", "shots_against", "save_pct", "pp_shots_against", "pp_saves", "game_date", "start_time_utc", "venue",
+        "last_period_type", "faceoffs_won", F.col("faceoffs_in_game").alias("faceoffs_taken"),
+        _share(killed, "pk_attempts", None).alias("pk_pct"), F.coalesce("penalties_taken", F.lit(0)).alias("penalties_taken"))
+
+
+def player_team_bridge(bridge: DataFrame, lines: DataFrame, players: DataFrame, teams: DataFrame, seasons: DataFrame,
+                       roster: DataFrame) -> DataFrame:
+    """M33 with its keys, the position played last in the stint and the roster's number."""
+    last = lines.groupBy(F.col("player_id").alias("p_"), F.col("team_abv").alias("t_"), F.col("season").alias("s_")).agg(
+        F.max_by("position", "game_id").alias("line_position"))
+    listed = roster.groupBy(F.col("player_id").alias("rp_"), F.col("team_abv").alias("rt_")).agg(
+        F.min("number").alias("jersey_number"), F.min("position").alias("roster_position"))
+    b = (bridge.join(last, (F.col("player_id") == F.col("p_")) & (F.col("team_abv") == F.col("t_")) & (F.col("season") == F.col("s_")), "left")
+         .join(listed, (F.col("player_id") == F.col("rp_")) & (F.col("team_abv") == F.col("rt_")), "left")
+         .join(players.select(F.col("player_id").alias("i_"), "player_key"), F.col("player_id") == F.col("i_"), "left")
+         .join(_keys(teams), F.col("team_abv") == F.col("abv"), "left")
+         .join(seasons.select(F.col("season").alias("season_key")), F.col("season") == F.col("season_key"), "left"))
+    code = F.coalesce("line_position", "roster_position")
+    return b.select("bridge_key", "player_key", "team_key", "season_key", "player_id", "team_abv", "season", "start_date", "end_date",
+                    "jersey_number", code.alias("position_code"), _text(POSITIONS, code).alias("position_name"), "acquisition_type",
+                    "is_current_team", "games_played_for_team", "traded_mid_season", "teams_in_season", "stint_length_days",
+                    "participation_level")
+
+
+def upcoming(fact: DataFrame, schedules: DataFrame, teams: DataFrame, p: Params = Params()) -> DataFrame:
+    """M43 with keys, names and logos of both teams."""
+    s = schedules.select(F.col("game_id").alias("g_"), "game_state", F.col("home_team_id").alias("home_id"),
+                         F.col("away_team_id").alias("away_id"))
+    t = fact.join(s, F.col("game_id") == F.col("g_"))
+    for side in ("home", "away"):
+        names = teams.select(*_named(**{f"{side}_abv_": "team_abv", f"{side}_team_key": "team_key", f"{side}_team_name": "team_name",
+                                        f"{side}_logo": "logo_url"}))
+        t = t.join(names, F.col(f"{side}_team_abv") == F.col(f"{side}_abv_"), "left")
+    flag = lambda c: F.coalesce(F.col(c), F.lit(False))
+    return t.select(
+        "game_id", F.col("game_id").alias("game_key"), X.date_key("game_date").alias("date_key"), F.col("season").alias("season_key"),
+        "home_team_key", "away_team_key", "game_date", "game_type", "game_state", "home_id", F.col("home_team_abv").alias("home_abv"),
+        "home_team_name", "home_logo", "away_id", F.col("away_team_abv").alias("away_abv"), "away_team_name", "away_logo",
+        "is_weekend", F.col("start_local").alias("start_time_eastern"), F.col("time_slot").alias("game_time_category"),
+        "days_until_game", flag("is_division_game").alias("is_divisional_game"), flag("is_conference_game").alias("is_conference_game"),
+        F.lit(p.as_of).cast("timestamp").alias("last_updated"))
+
+
 def tables(m: dict[str, DataFrame], p: Params = Params()) -> dict[str, DataFrame]:
     """The published tables by name, over the built models.  A name that a model's
     own frame already has gets the ending ``_published``."""
@@ -376,7 +552,18 @@ def tables(m: dict[str, DataFrame], p: Params = Params()) -> dict[str, DataFrame
         "dim_teams_published": teams_table(teams), "team_season_metrics_published": season_metrics(team, teams, p),
         "mart_head_to_head_published": head_to_head(team, teams), "mart_team_form_published": team_form(by_day),
         "mart_standings_weekly_published": standings_weekly(by_day),
-        "mart_three_stars_published": three_stars(m["stg_three_stars"], m["league_games"], players)}
+        "mart_three_stars_published": three_stars(m["stg_three_stars"], m["league_games"], players),
+        "fct_plays_published": plays(m["fct_plays"], m["stg_plays"], teams, p),
+        "dim_players_published": players_table(players, m["roster_players"]),
+        "all_players_published": all_players(m["roster_players"]),
+        "mart_team_shot_metrics_published": shot_metrics(m["mart_team_shot_metrics"], m["fct_plays"], m["fct_team_game"], teams),
+        "fct_games_published": games_table(m["all_games"], m["basic_games_info"], m["league_games"], m["team_game_line"], teams),
+        "team_per_game_published": team_per_game(m["stg_game_summaries"], m["team_game_line"], m["game_penalties"],
+                                                 m["goalie_game_lines"]),
+        "dim_player_team_bridge_published": player_team_bridge(m["dim_player_team_bridge"], m["skater_game_lines"], players, teams,
+                                                               m["dim_seasons"], m["roster_players"])}
+    if "fct_upcoming_games" in m:
+        out["fct_upcoming_games_published"] = upcoming(m["fct_upcoming_games"], m["stg_schedules"], teams, p)
     for kind in ("regular", "playoff"):
         out[f"goalies_season_stats_{kind}_published"] = goalie_season(goalie, players, kind, p)
         out[f"skaters_season_stats_{kind}_published"] = skater_season(player, players, kind, p)

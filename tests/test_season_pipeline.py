@@ -200,6 +200,36 @@ def test_batch_job_end_to_end(spark):
 
 # Column names and order of the published tables.
 PUBLISHED = {
+    "fct_plays_published": """play_key game_key date_key season_key event_idx period_number period_type time_elapsed_seconds
+        game_elapsed_seconds time_in_period time_remaining event_type_id event_type_name event_team_key primary_player_key
+        secondary_player_key tertiary_player_key goalie_player_key x_coordinate y_coordinate zone_code shot_type shot_distance
+        shot_angle is_goal is_penalty penalty_type penalty_severity penalty_minutes strength_code strength_state is_empty_net
+        is_powerplay is_shorthanded zone_name shot_distance_category period_category""",
+    "dim_players_published": """player_key player_id first_name last_name full_name birth_date current_age draft_year_estimate
+        birth_city birth_state birth_country nationality height_inches weight_pounds shoots_catches primary_position_code
+        primary_position_name position_category current_team_abv jersey_number is_active has_nhl_experience seasons_played
+        career_games headshot_url experience_level""",
+    "all_players_published": """team_abv player_id first_name last_name position number height weight shoots birth_date
+        birth_city birth_state birth_country headshot_url""",
+    "mart_team_shot_metrics_published": """season season_display team_abv team_name games_played shot_attempts_for
+        shot_attempts_against corsi_pct fenwick_for fenwick_against fenwick_pct ev_shot_attempts_for ev_shot_attempts_against
+        ev_corsi_pct shooting_pct save_pct pdo""",
+    "fct_games_published": """game_key game_id date_key season_key game_type home_team_key away_team_key venue_name attendance
+        regulation_home_score regulation_away_score final_home_score final_away_score winning_team_key losing_team_key
+        game_duration_minutes overtime_periods is_shootout is_neutral_site home_shots away_shots home_hits away_hits home_pim
+        away_pim home_pp_goals away_pp_goals home_pp_attempts away_pp_attempts home_faceoff_pct away_faceoff_pct
+        goal_differential goal_differential_abs is_blowout is_high_scoring is_low_scoring start_time_utc venue_tz
+        venue_utc_offset""",
+    "team_per_game_published": """season game_id team_abv team_id type game_type shots goals goals_against sog faceoff_pct
+        power_play pp_goals pp_attempts penalty_kill pk_goals_against pk_attempts pp_pct pim hits blocks giveaways takeaways
+        goals_against_g saves shots_against save_pct pp_shots_against pp_saves game_date start_time_utc venue last_period_type
+        faceoffs_won faceoffs_taken pk_pct penalties_taken""",
+    "dim_player_team_bridge_published": """bridge_key player_key team_key season_key player_id team_abv season start_date
+        end_date jersey_number position_code position_name acquisition_type is_current_team games_played_for_team
+        traded_mid_season teams_in_season stint_length_days participation_level""",
+    "fct_upcoming_games_published": """game_id game_key date_key season_key home_team_key away_team_key game_date game_type
+        game_state home_id home_abv home_team_name home_logo away_id away_abv away_team_name away_logo is_weekend
+        start_time_eastern game_time_category days_until_game is_divisional_game is_conference_game last_updated""",
     "team_power_rankings": """ranking_date team_id team_abv team_name power_score power_rank points_component goal_component
         advanced_stats_component schedule_component momentum_component point_pct goals_per_game goals_against_per_game
         goal_differential_per_game shots_per_game pp_pct pk_pct last_10_points_pct last_5_wins last_5_losses
@@ -364,3 +394,44 @@ def test_published_marts(models):
     g = {(r.player_id, r.team_abv): r for r in models["goalies_season_stats_regular_published"].collect()}
     for r in g.values():
         assert r.gp <= r.games_dressed and (not r.shots_faced or r.save_pct == pytest.approx(r.saves / r.shots_faced))
+
+
+def test_published_plays_players_and_games(models):
+    plays = {(r.game_key, r.event_idx): r for r in models["fct_plays_published"].collect()}
+    assert set(plays) == {(1, e) for e in range(1, 9)}
+    assert plays[(1, 2)].event_team_key == 200 and plays[(1, 2)].is_goal and plays[(1, 1)].zone_name == "Unknown"
+    assert plays[(1, 7)].game_elapsed_seconds == 2400 + 19 * 60 + 30 and plays[(1, 8)].penalty_minutes == 2
+    players = {r.player_id: r for r in models["dim_players_published"].collect()}
+    assert set(players) == {7, 8, 9, 11, 12, 13, 19}
+    p = players[11]
+    assert (p.primary_position_name, p.position_category, p.nationality, p.jersey_number, p.full_name) == (
+        "Center", "Forward", "XXA", 11, "F One")
+    assert players[8].first_name is None and players[8].primary_position_name == "Goalie" and players[13].experience_level == "Prospect"
+    g = {r.game_id: r for r in models["fct_games_published"].collect()}
+    assert set(g) == {1, 2}
+    assert (g[1].final_home_score, g[1].final_away_score, g[1].winning_team_key, g[1].losing_team_key, g[1].game_type) == (
+        3, 2, 100, 200, "Regular")
+    # game 2 went to overtime: the winner had one goal less after regulation
+    assert (g[2].regulation_home_score, g[2].regulation_away_score, g[2].game_duration_minutes, g[2].overtime_periods) == (3, 3, 65, 1)
+    assert not g[2].is_shootout and g[1].home_shots == 30 and g[1].goal_differential_abs == 1 and g[1].attendance is None
+
+
+def test_published_lines_bridge_and_metrics(models):
+    t = {(r.game_id, r.team_abv): r for r in models["team_per_game_published"].collect()}
+    assert len(t) == 4
+    r = t[(1, "HOM")]
+    assert (r.type, r.goals, r.goals_against, r.sog, r.saves, r.shots_against, r.goals_against_g) == ("home", 3, 2, 30, 23, 25, 2)
+    assert (r.power_play, r.penalty_kill, r.penalties_taken) == ("0/1", "0/0", 0) and t[(1, "AWY")].penalties_taken == 1
+    assert r.faceoffs_taken == 1 and r.faceoff_pct == 1.0 and r.pk_pct is None
+    b = {(r.player_id, r.team_abv): r for r in models["dim_player_team_bridge_published"].collect()}
+    assert b[(11, "HOM")].jersey_number == 11 and b[(11, "HOM")].position_name == "Center" and b[(11, "HOM")].team_key == 100
+    assert b[(7, "AWY")].games_played_for_team == 2 and b[(7, "AWY")].season_key == 20252026
+    m = {r.team_abv: r for r in models["mart_team_shot_metrics_published"].collect()}
+    assert set(m) == {"HOM", "AWY"} and all(r.games_played == 1 for r in m.values())
+    # five goals and one blocked shot, which counts for the team that shot it
+    assert (m["HOM"].shot_attempts_for, m["HOM"].shot_attempts_against, m["HOM"].fenwick_against) == (3, 3, 2)
+    assert m["HOM"].corsi_pct == 0.5 and m["HOM"].season_display == "2025-26"
+    a = {(r.team_abv, r.player_id) for r in models["all_players_published"].collect()}
+    assert ("AWY", 11) in a and ("HOM", 13) in a
+    u = models["fct_upcoming_games_published"].collect()
+    assert {r.game_id for r in u} == {10, 11} and all(r.home_team_name for r in u) and u[0].home_team_key in (100, 200)
