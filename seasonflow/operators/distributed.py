@@ -122,3 +122,20 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_n
     w = Window.partitionBy("__pid").orderBy(*order)
     return (ranged.join(F.broadcast(offsets), "__pid")
             .withColumn(name, (F.col("__before") + F.row_number().over(w)).cast("int")).drop("__pid", "__before"))
+
+
+def global_running_totals(df: DataFrame, order: Sequence[str], sums: Mapping[str, str]) -> DataFrame:
+    """Adds what all rows before a row, by ``order`` (total), sum to: ``sums`` maps result ->
+    summed column.  Ranges are summed one after another, so sums of whole numbers are
+    exact and those of doubles don't depend on the number of ranges alone."""
+    ranged = cut_lineage(df.repartitionByRange(*order).withColumn("pid", F.spark_partition_id()))
+    before, rows = [0] * len(sums), []
+    parts = ranged.groupBy("pid").agg(*[F.sum(c).alias(n) for n, c in sums.items()]).collect()
+    for r in sorted(parts, key=lambda r: r.pid):
+        rows.append((r.pid, *[float(b) for b in before]))
+        before = [b + r[n] for b, n in zip(before, sums, strict=True)]
+    offsets = df.sparkSession.createDataFrame(rows, "pid int" + "".join(f", __b_{n} double" for n in sums))
+    w = Window.partitionBy("pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (ranged.join(F.broadcast(offsets), "pid")
+            .withColumns({n: F.col(f"__b_{n}") + F.coalesce(F.sum(c).over(w).cast("double"), F.lit(0.0)) for n, c in sums.items()})
+            .drop("pid", *[f"__b_{n}" for n in sums]))

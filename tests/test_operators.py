@@ -201,3 +201,14 @@ def test_gap_fill_shuffles_snapshots_once(spark):
     plan = G.gap_fill(df, "s", "e", "d", {"v": 0})._jdf.queryExecution().executedPlan().toString()
     # the rows once, and the one-row-a-period bounds
     assert plan.count("Exchange hashpartitioning(s") == 2 and plan.count("Exchange hashpartitioning(") == 2
+
+
+def test_global_running_totals(spark):
+    from seasonflow.operators.distributed import global_running_totals
+    df = spark.range(500).select("id", (F.col("id") * 13 % 29).alias("x"), (F.col("id") % 5).alias("n")).repartition(5)
+    rows = sorted(global_running_totals(df, ["x", "id"], {"before": "n"}).collect(), key=lambda r: (r.x, r.id))
+    total = 0
+    for r in rows:
+        assert r.before == total
+        total += r.n
+    assert len(rows) == 500 and global_running_totals(df.where("false"), ["id"], {"b": "n"}).collect() == []
