@@ -20,6 +20,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seasonflow.operators.distributed import global_row_number, global_running_totals
+
 from .common import WORD, Scratch, own_columns
 
 WEIGHTS = (5, 2, 1)
@@ -30,34 +32,23 @@ def source_targets(sources: DataFrame, weights=WEIGHTS, max_repeat: int = 3, scr
 
     Sources in code point order, null last, weigh ``weights`` in turn and share
     all words; a target stops at ``max_repeat`` times its source, and the excess is
-    shared by weight among the others until none is above (each round fixes at
-    least one more source, so it ends).
+    shared by weight among the others until none is above.
     """
-    # one row per source; the rank is over this aggregate, not over documents
-    order = sources.select("source", "source_size").orderBy(F.col("source").asc_nulls_last())
-    rank = F.row_number().over(_by_source()) - 1
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (rank % len(weights) + 1).cast("int"))
-    ranked = order.withColumn("weight", weight)
+    # one row per source, and however many sources there are, ranges of them in tasks of their own
+    ranked = global_row_number(sources.select("source", "source_size"), [F.col("source").asc_nulls_last()], "rank")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("rank") - 1) % len(weights) + 1).cast("int"))
+    cap = (F.col("source_size") * max_repeat).cast("double")
+    ranked = ranked.withColumn("weight", weight).withColumn("cap", cap).withColumn("turn", cap / weight)
     ranked = (scratch or Scratch(sources.sparkSession)).save(ranked, "sources")
-    cap = F.col("source_size") * max_repeat
-    level = 0.0
-    while True:
-        # a source is capped once the shared level would lift it above its cap
-        capped = cap < F.lit(level) * F.col("weight")
-        s = ranked.agg(F.sum("source_size").alias("all"), F.sum(F.when(capped, cap).otherwise(0)).alias("fixed"),
-                       F.sum(F.when(capped, 0.0).otherwise(F.col("weight"))).alias("open")).first()
-        if s["all"] is None or not s["open"]:
-            break
-        new = (s["all"] - s["fixed"]) / s["open"]
-        if new <= level:
-            break
-        level = new
-    return ranked.withColumn("target", F.least(cap.cast("double"), F.lit(level) * F.col("weight")))
-
-
-def _by_source():
-    from pyspark.sql import Window
-    return Window.orderBy(F.col("source").asc_nulls_last())
+    # sources meet their caps in the order of cap / weight: were all before a source capped, the others would share
+    # what is left at this level; the caps that hold are those before the first source whose level is in its reach
+    step = global_running_totals(ranked, ["turn", "rank"], {"fixed": "cap", "used": "weight"})
+    words, open_ = ranked.agg(F.sum("source_size"), F.sum("weight")).first()
+    if not words:
+        return ranked.withColumn("target", F.lit(0.0)).drop("rank", "cap", "turn")
+    level = (F.lit(float(words)) - F.col("fixed")) / (F.lit(float(open_)) - F.col("used"))
+    level = step.agg(F.max(F.when(level <= F.col("turn"), level))).first()[0]
+    return ranked.withColumn("target", F.least("cap", F.lit(level) * F.col("weight"))).drop("rank", "cap", "turn")
 
 
 def _pivot(size: np.ndarray, p: np.ndarray, draw: np.ndarray) -> tuple[np.ndarray, int]:
