@@ -2,13 +2,15 @@
 
 A document is its token ids and an end id.  Whole windows are cut from its front;
 the remainder is an item, or a few if it is long, because windows of many small items
-come out nearer to equal.  Items are dealt by hash into groups of bounded token count; each group is split into k windows of nearly equal sums by repeatedly
+come out nearer to equal.  Items are dealt by hash into groups of bounded token and
+piece counts; each group is split into k windows of nearly equal sums by repeatedly
 merging the two partial partitions of the largest imbalance with opposing order.
 k starts at what the tokens need at least and rises whenever a window would exceed
 its capacity.
 
-Shape at scale: groups hold about ``group_windows`` windows however large the
-input is, so tasks are of one size; their number is the group count.
+Shape at scale: groups hold about ``group_windows`` windows, or ``ITEMS`` pieces where
+pieces are tiny, however large the input is, so tasks are of one size; their number is
+the group count.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +29,7 @@ from .common import Scratch, binary, map_arrow, own_columns, per_group
 from .tokens import encoder, public_path
 
 TOKENIZER = "word_bpe_49k.json"
-ITEMS = 16_384                     # of a group that are differenced one by one: some 100 MB at 256 windows
+ITEMS = 8_192                      # pieces of a group, about, at most
 _ID_BITS = 24                      # windows of one group; the group's number stands above
 
 
@@ -61,30 +64,8 @@ def differencing(sizes: np.ndarray, k: int) -> np.ndarray:
     return label[:n]
 
 
-def runs(sizes: np.ndarray, half: int) -> np.ndarray:
-    """The run of each item: those of at most ``half`` are joined, in order, to runs
-    of less than twice that; any other item is a run of its own."""
-    tiny = sizes <= half
-    own = sizes[tiny]
-    run = np.empty(len(sizes), np.int64)
-    run[tiny] = np.unique((np.cumsum(own) - own) // half, return_inverse=True)[1]
-    run[~tiny] = (int(run[tiny].max()) + 1 if len(own) else 0) + np.arange((~tiny).sum())
-    return run
-
-
 def pack_sizes(sizes: np.ndarray, capacity: int) -> np.ndarray:
-    """Windows for items of at most ``capacity``: as few as hold them this way.
-    Of more than ``ITEMS`` items the tiny ones are packed in runs, so that at most
-    some 32 items a window are left."""
-    if len(sizes) > ITEMS and capacity >= 32:
-        run = runs(sizes, capacity // 32)
-        joined = np.bincount(run, weights=sizes).astype(np.int64)
-        if len(joined) < len(sizes):
-            return _pack(joined, capacity)[run]
-    return _pack(sizes, capacity)
-
-
-def _pack(sizes: np.ndarray, capacity: int) -> np.ndarray:
+    """Windows for items of at most ``capacity``: as few as hold them this way."""
     k = max(1, -(-int(sizes.sum()) // capacity))
     while True:
         window = differencing(sizes, k)
@@ -119,7 +100,12 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
                 t = text.as_py()
                 raw = (enc.encode(t) if t else b"") + end
                 n = len(raw) // 4
-                own = raw if size == 4 else np.frombuffer(raw, "<u4").astype(dtype).tobytes()
+                own = raw
+                if size < 4:
+                    ids_ = np.frombuffer(raw, "<u4")
+                    if ids_.max() > np.iinfo(dtype).max:
+                        raise ValueError(f"id {ids_.max()} does not fit {dtype}")
+                    own = ids_.astype(dtype).tobytes()
                 whole = n // capacity * capacity
                 for first in (*range(0, whole, capacity), *range(whole, n, small)):
                     last = min(n, first + (capacity if first < whole else small))
@@ -152,15 +138,14 @@ def pack(cut: DataFrame, capacity: int = 4096, group_windows: int = 256, scratch
     own_columns(cut, "doc_id", "start", "length", "row")
     scratch = scratch or Scratch(cut.sparkSession)
     cut = scratch.save(cut, "pieces")
-    loose = cut.agg(F.sum(F.when(F.col("length") < capacity, F.col("length"))).alias("t")).first()["t"] or 0
-    groups = max(1, -(-loose // (group_windows * capacity)))
+    loose = F.when(F.col("length") < capacity, F.col("length"))
+    tokens, items = cut.agg(F.sum(loose), F.count(loose)).first()
+    groups = max(1, -(-(tokens or 0) // (group_windows * capacity)), -(-items // ITEMS))
     names = cut.columns
 
     def run(key, table):
-        order = np.lexsort((table["row"].to_numpy(), table["start"].to_numpy(),
-                            table["ids_crc32"].to_numpy() if "ids_crc32" in names else table["row"].to_numpy(),
-                            np.argsort(np.argsort(table["doc_id"].to_numpy(zero_copy_only=False), kind="stable"))))
-        table = table.take(pa.array(order))
+        keys = ["doc_id", *(["ids_crc32"] if "ids_crc32" in names else []), "start", "row"]
+        table = table.take(pc.sort_indices(table, [(k, "ascending") for k in keys]))       # nulls last
         length = table["length"].to_numpy()
         whole = length >= capacity
         window = np.empty(len(length), np.int64)
