@@ -8,7 +8,10 @@ its slot alone, so a reader starts anywhere and a run that stopped goes on.
 Shape at scale: sequences are tokenised once into a written table.  Shards are
 written in waves, each a range of slots, so only a part of the ids is in shuffle
 files at a time.  A shard is one task's sequential write, under a name of its own
-until it is whole; a shard that is there is not written again.
+until it is whole; a shard that is there is not written again.  The table of sequences
+lies beside the shards, so a run that goes on numbers them as the first one did; the
+manifest names the documents' digest and all parameters, and a folder of other documents
+or parameters is refused.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ TOKENIZER = "byte_bpe_50k.tiktoken"     # lossless; its free id ends a document
 END_ID = 50256
 ROUNDS = 6
 MANIFEST = "manifest.json"
+BEGUN, SEQUENCES = "run.json", "_sequences"
 _ROW_BITS = 33                    # of monotonically_increasing_id: partition, then row
 
 
@@ -57,6 +61,13 @@ def _record(dtype: str, length: int) -> np.dtype:
     return np.dtype([("length", "<u4"), ("ids", dtype, (length,))])
 
 
+def _digest(docs: DataFrame, id_col: str, text_col: str) -> str:
+    """Of all rows' ids and texts, whatever their order."""
+    h = F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`"), F.lit(5)).cast("decimal(38,0)")
+    n, a = docs.agg(F.count(F.lit(1)), F.sum(h)).first()
+    return f"{n}:{a or 0}"
+
+
 def write_shards(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
                  tokenizer: str | None = None, sequence: int = 512, dtype: str = "<u2", end_id: int = END_ID, key: int = 2024,
                  shard_records: int = 16_384, waves: int = 4, scratch: Scratch | None = None) -> tuple[str, DataFrame]:
@@ -67,17 +78,39 @@ def write_shards(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
     last is padded with zeros in its record, which begins with the true length.
     Null text is empty, that is the end id alone; rows with equal ids are separate
     documents; no documents give a manifest and no shards.  ``dtype`` must hold the
-    vocabulary.  Numbering follows the written table of sequences, so retried tasks
-    agree; a second run over other partitions may number differently.
+    vocabulary, else an id that doesn't fit is an error.  Numbering follows the written
+    table of sequences, so retried tasks agree, and so does a second run over the same
+    documents, however they are partitioned: it writes the shards that lack.  A folder
+    that was begun with other documents or parameters is a ``ValueError``.
     """
     own_columns(docs, id_col, text_col)
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
     path = path or new_path(spark, "shards")
-    cut = pieces(docs, id_col, text_col, tokenizer or public_path(TOKENIZER), sequence, end_id, with_ids=True, dtype=dtype,
-                 piece=sequence)
-    table = cut.select("doc_id", "start", "length", "ids").withColumn("at", F.monotonically_increasing_id())
-    table = scratch.save(table, "sequences", "zstd")
+    fs, folder = filesystem(path)
+    how = {"sequence": sequence, "dtype": dtype, "shard_records": shard_records, "key": key, "end_id": end_id,
+           "tokenizer": (tokenizer or TOKENIZER).rsplit("/", 1)[-1]}
+    run = {**how, "documents": _digest(docs, id_col, text_col)}
+    begun = fs.get_file_info(f"{folder}/{BEGUN}").type == pafs.FileType.File
+    if begun:
+        with fs.open_input_stream(f"{folder}/{BEGUN}") as f:
+            old = json.loads(f.read())
+        if old != run:
+            raise ValueError(f"{path} was begun with other {', '.join(k for k in run if run[k] != old.get(k))}")
+    else:
+        if fs.get_file_info(f"{folder}/{MANIFEST}").type == pafs.FileType.File:
+            raise ValueError(f"{path} holds shards of another run")
+        fs.create_dir(folder, recursive=True)
+    kept = f"{path}/{SEQUENCES}"
+    if not begun:
+        cut = pieces(docs, id_col, text_col, tokenizer or public_path(TOKENIZER), sequence, end_id, with_ids=True, dtype=dtype,
+                     piece=sequence)
+        table = cut.select("doc_id", "start", "length", "ids").withColumn("at", F.monotonically_increasing_id())
+        # a table that a stopped run left half-way is written anew; it counts once the run's file is there
+        table.write.mode("overwrite").option("compression", "zstd").parquet(kept)
+        with fs.open_output_stream(f"{folder}/{BEGUN}") as out:
+            out.write(json.dumps(run).encode())
+    table = spark.read.parquet(kept)
     # a number per partition that was written
     rows = sorted((r.p, r.n) for r in table.groupBy(F.shiftright("at", _ROW_BITS).alias("p"))
                   .agg(F.count(F.lit(1)).alias("n")).collect())
@@ -93,8 +126,6 @@ def write_shards(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
 
     record = _record(dtype, sequence)
     shards = -(-n // shard_records)
-    fs, folder = filesystem(path)
-    fs.create_dir(folder, recursive=True)
     with fs.open_output_stream(f"{folder}/{MANIFEST}") as out:
         out.write(json.dumps({"sequences": n, "sequence": sequence, "dtype": dtype, "stride": record.itemsize,
                               "shard_records": shard_records, "shards": shards, "key": key}).encode())
