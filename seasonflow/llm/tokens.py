@@ -24,6 +24,7 @@ _PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/
 # Byte-level vocabularies write a byte that is not printable as the next free character from 256 on.
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+_KINDS = "Word WORD, words... it's 3.14  two\nlines\tTab \u00c9cole \u00e9t\u00e9! (a_b) x\x1cy \u65e5\u672c\u8a9e \U0001F600 don't--stop 'tis U.S.A."
 _ODD = re.compile("[\x1c-\x1f]")      # str.split cuts at these, the vocabulary does not
 
 
@@ -71,8 +72,14 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.table = _Table(self.tokenizer)
+        # the chunks' way is right for files that lower-case and end tokens at white space; any other file is
+        # found out on a text of all kinds and encodes whole texts
+        self.by_chunks = True
+        self.by_chunks = self.encode(_KINDS) == _ids(self.tokenizer, _KINDS)
 
     def encode(self, text: str) -> bytes:
+        if not self.by_chunks:
+            return _ids(self.tokenizer, text)
         if text.isascii():
             text = text.lower()
         chunks = [c for c in _SPACES.split(text) if c] if _ODD.search(text) else text.split()

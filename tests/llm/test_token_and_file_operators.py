@@ -233,22 +233,92 @@ def test_warc_unwanted_payload_is_not_inflated():
 
 
 @pytest.mark.parametrize("most", [1, 5])
-def test_tiny_pieces_of_a_group_are_packed_in_runs(monkeypatch, most):
-    differencing, seen = packing.differencing, []
+def test_groups_of_tiny_pieces_are_bounded(spark, monkeypatch, most):
+    """The number of groups follows pieces as well as tokens."""
+    rng = np.random.default_rng(3)
+    sizes = [int(x) for x in np.r_[rng.integers(1, most + 1, 60_000), rng.integers(1, 1024, 300)]]
+    cut = spark.createDataFrame([(i, 0, n, i) for i, n in enumerate(sizes)], "doc_id long, start long, length long, row long")
+    out = packing.pack(cut.repartition(5)).toPandas()
+    assert len(out) == len(sizes) and out.length.sum() == sum(sizes)
+    group = out.sequence_id // (1 << 24)
+    assert group.value_counts().max() < 1.1 * packing.ITEMS
+    used = out.groupby("sequence_id").length.sum()
+    assert used.max() <= 4096
+    # a group's windows are nearly equal, so it has at most one more than its tokens need
+    for _, g in out.groupby(group):
+        assert g.sequence_id.nunique() <= -(-g.length.sum() // 4096) + 1
+
+
+def test_packing_with_null_ids_of_string_type(spark):
+    docs = spark.createDataFrame([(None, "one two"), ("b", "three"), (None, None), ("a", "four five six")], "doc_id string, text string")
+    rows = packing.pack(packing.pieces(docs)).collect()
+    assert sorted(str(r.doc_id) for r in rows) == ["None", "None", "a", "b"] and len({r.sequence_id for r in rows}) == 1
+
+
+def test_shards_of_other_documents_are_refused(spark):
+    make = lambda word: spark.createDataFrame([(i, f"{word} number {i}") for i in range(30)], "doc_id long, text string")
+    path = new_path(spark, "refuse")
+    _, index = token_shards.write_shards(make("text").coalesce(1), path, sequence=16, shard_records=10)
+    first = sorted(tuple(r) for r in index.collect())
+    back = sorted(tuple(r) for r in token_shards.read_slots(spark, path, with_ids=False).collect())
+    # the same documents in other partitions go on with the first run's numbers
+    _, again = token_shards.write_shards(make("text").repartition(4), path, sequence=16, shard_records=10)
+    assert sorted(tuple(r) for r in again.collect()) == first
+    assert sorted(tuple(r) for r in token_shards.read_slots(spark, path, with_ids=False).collect()) == back
+    for docs, how in ((make("other"), {}), (make("text").limit(29), {}), (make("text"), {"key": 5}), (make("text"), {"sequence": 8})):
+        with pytest.raises(ValueError):
+            token_shards.write_shards(docs, path, **{"sequence": 16, "shard_records": 10, **how})
+
+
+def test_ids_that_do_not_fit_are_an_error(spark):
+    docs = spark.createDataFrame([(1, "some ordinary words")], "doc_id long, text string")
+    with pytest.raises(Exception, match="does not fit"):
+        token_shards.write_shards(docs, sequence=16, dtype="<u1")
+
+
+def test_a_file_of_another_kind_encodes_whole_texts():
+    e = Encoder(public_path("byte_bpe_50k.json"))
+    assert not e.by_chunks and e.encode("Word  WORD\n x") == whole(e, "Word  WORD\n x").tobytes()
+
+
+def test_sketches_that_never_peel_are_compared_digest_by_digest():
+    same = np.array([7, 7, 9, 11], np.uint64)
+    only_a, only_b = fingerprints.differences(1, np.zeros(4, np.int64), same, np.zeros(2, np.int64), np.array([9, 13], np.uint64))
+    assert (only_a.tolist(), only_b.tolist()) == ([3], [1])
+
+
+def test_registered_warc_query_pushes_the_record_type(spark):
+    from seasonflow.llm.queries import QUERIES
+    df = QUERIES["op3_warc"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan") == 2 and "record_type" not in " ".join(x for x in plan.splitlines() if "Filter" in x and "Batch" not in x)
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").selectExpr("coalesce(html, '') html")
+    assert df.count() == pages.count()
+    assert df.where("record_type = 'response'").count() == pages.distinct().count()
 
-    def counted(sizes, k):
-        seen.append(len(sizes))
-        assert len(sizes) <= 16_384
-        return differencing(sizes, k)
 
-    monkeypatch.setattr(packing, "differencing", counted)
-    rng = np.random.default_rng(3)
-    sizes = np.r_[rng.integers(1, most + 1, 150_000), rng.integers(1, 1024, 500)]
-    rng.shuffle(sizes)
-    window = packing.pack_sizes(sizes, 4096)
-    assert seen and len(window) == len(sizes)
-    assert np.bincount(window, weights=sizes).max() <= 4096
-    assert window.max() + 1 <= -(-sizes.sum() // 4096) + 2
+def test_registered_fingerprints_are_the_sketches_of_their_texts(spark):
+    from seasonflow.llm.queries import QUERIES
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    texts = [r.text or "" for r in docs]
+    rows = sorted(QUERIES["op9_fingerprints"](spark, "/root/testdata/sf0.001").collect(), key=lambda r: r.doc_id)
+    retried = 0
+    for k, r in enumerate(rows):
+        after = texts[(k + 1) % len(texts)]
+        edited = fingerprints.edit(texts[k], after)
+        sets = [fingerprints.paragraph_digests([t])[1] for t in (texts[k], edited, after)]
+        zero = [np.zeros(len(s), np.int64) for s in sets]
+        assert (r.n_chars, r.edited_sha256) == (len(texts[k]), hashlib.sha256(edited.encode()).hexdigest())
+        assert [r.fingerprint, r.edited_fingerprint] == [fingerprints.publish(1, z, s)[0] for z, s in zip(zero[:2], sets[:2])]
+        for near, other in ((r.near_edited, 1), (r.near_next, 2)):
+            a, b = set(sets[0].tolist()), set(sets[other].tolist())
+            assert near == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
+            s = fingerprints.Sketches(1, fingerprints.CELLS)
+            s.add(zero[0], sets[0], np.ones(len(sets[0]), np.int64))
+            s.add(zero[other], sets[other], -np.ones(len(sets[other]), np.int64))
+            retried += not s.peel()[-1][0]
+    assert len(rows) == len(texts)
+    print(f"{retried} of {2 * len(rows)} pairs need larger sketches than the published ones")
 
 
 # -- secrets ---------------------------------------------------------------------------
