@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import Scratch, hash_words, map_arrow, mix64, own_columns, per_group, text_slices, total_bytes
 from .packed import grouped, rows_of, schema, share, unpack
@@ -34,6 +35,7 @@ from .packed import grouped, rows_of, schema, share, unpack
 GRAMS_A_PART = 1_000_000        # n-grams in a partition, on average
 FLUSH = 400_000                 # n-grams a task packs at once
 BLOCK_CLASSES = 500             # of a hub that one task compares with one other block
+REPRESENTATIVES = 32            # of a large hub, which all its members are compared with first
 BLOCK_GRAMS = 1_000_000
 CELLS = 4_000_000               # counts kept at once while a fragment is counted
 
@@ -273,37 +275,93 @@ def _forest(linked: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarra
     return ids[label[moved]], ids[moved]
 
 
-def _links(sets: DataFrame, meetings: DataFrame, min_pct: int) -> DataFrame:
-    """``(a, b)``, a < b: a spanning forest of the links at each hub."""
-    hubs = (meetings.groupBy("hub").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("g")).where("k > 1")
-            .select(F.col("hub").alias("h"), F.greatest(F.ceil(F.col("k") / BLOCK_CLASSES),
-                                                        F.ceil(F.col("g") / BLOCK_GRAMS)).alias("blocks")))
-    placed = meetings.join(hubs, F.col("hub") == F.col("h")).withColumn(
-        "block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
-    tiles = placed.select("hub", F.col("cls").alias("c"), "block",
-                          F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    tiles = tiles.select("hub", "c", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    work = tiles.join(sets, F.col("c") == F.col("cls")).select("hub", "i", "j", "block", "cls", "grams")
+_EDGES = "a long, b long"
+
+
+def _linked(a: list[np.ndarray], b: list[np.ndarray], min_pct: int) -> np.ndarray:
+    n_a, n_b = (np.array([len(s) for s in x], np.int64) for x in (a, b))
+    both = overlaps(a, b).astype(np.int64)
+    union = n_a[:, None] + n_b[None, :] - both
+    return (both > 0) & (100 * both >= min_pct * union)
 
+
+def _compare(work: DataFrame, keys: list[str], min_pct: int) -> DataFrame:
+    """``work``: ``keys``, side (0, 1), cls, grams.  A spanning forest of the links between
+    the two sides of each group, or among side 0 where it stands alone."""
     def tile(key, table):
-        cls, block = table.column("cls").to_numpy(), table.column("block").to_numpy()
+        cls, side = table.column("cls").to_numpy(), table.column("side").to_numpy()
         grams = [np.frombuffer(g.as_buffer(), np.uint64) for g in table.column("grams")]
-        i, j = key[1].as_py(), key[2].as_py()
-        rows, cols = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        if not len(rows) or not len(cols):
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        rows, cols = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         a = [grams[r] for r in rows]
-        b = a if i == j else [grams[c] for c in cols]
-        n_a, n_b = (np.array([len(s) for s in x], np.int64) for x in (a, b))
-        both = overlaps(a, b).astype(np.int64)
-        union = n_a[:, None] + n_b[None, :] - both
-        linked = (both > 0) & (100 * both >= min_pct * union)
-        if i == j:
+        if not len(cols):
+            linked, cols = _linked(a, a, min_pct), rows
             linked &= rows[:, None] < cols[None, :]
+        elif len(rows):
+            linked = _linked(a, [grams[c] for c in cols], min_pct)
+            linked &= cls[rows][:, None] != cls[cols][None, :]
+        else:
+            linked = np.zeros((0, len(cols)), bool)
         u, v = _forest(linked, cls[rows], cls[cols])
         return pa.table({"a": pa.array(np.minimum(u, v), pa.int64()), "b": pa.array(np.maximum(u, v), pa.int64())})
+    return work.groupBy(*keys).applyInArrow(per_group(tile), _EDGES)
+
 
-    return work.groupBy("hub", "i", "j").applyInArrow(tile, "a long, b long")
+def _blocks(k: str, g: str):
+    """Blocks that hold ``k`` classes with ``g`` n-grams together."""
+    return F.greatest(F.ceil(F.col(k) / BLOCK_CLASSES), F.ceil(F.col(g) / BLOCK_GRAMS))
+
+
+def _links(sets: DataFrame, meetings: DataFrame, min_pct: int, scratch: Scratch) -> DataFrame:
+    """``(a, b)``, a < b: edges that connect what the links at each hub connect.
+
+    A hub of one block is compared whole.  Of a larger one every member is first compared
+    with a few representatives.  Members that are connected by then need no more
+    comparison with each other; blocks are formed of connected members, and only blocks
+    that hold different components, or members that are still few together, are
+    compared pair by pair.  So a large group of near copies is sent about once, and
+    no link between components is missed."""
+    hubs = (meetings.groupBy("hub").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("g")).where("k > 1")
+            .select(F.col("hub").alias("h"), _blocks("k", "g").alias("blocks")))
+    placed = scratch.save(meetings.join(hubs, F.col("hub") == F.col("h")).select(
+        "hub", F.col("cls").alias("c"), "n", "blocks", F.pmod(F.xxhash64("cls"), F.col("blocks")).alias("block")), "members")
+    zero = F.lit(0).alias("side")
+    cold = placed.where("blocks = 1").join(sets, F.col("c") == F.col("cls")).select("hub", zero, "cls", "grams")
+    edges = _compare(cold, ["hub"], min_pct)
+    hot = placed.where("blocks > 1")
+    if hot.isEmpty():
+        return edges
+
+    first = F.row_number().over(Window.partitionBy("hub").orderBy(F.xxhash64("c", F.lit(3)), "c"))
+    some = hot.withColumn("rn", first).where(F.col("rn") <= REPRESENTATIVES)
+    some = some.select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "c", zero)
+    met = hot.select("hub", "block", "c", F.lit(1).alias("side")).unionByName(some)
+    met = met.join(sets, F.col("c") == F.col("cls")).select("hub", "block", "side", "cls", "grams")
+    edges = scratch.save(edges.unionByName(_compare(met, ["hub", "block"], min_pct)), "links")
+
+    roots = components(edges, scratch)
+    mine = scratch.save(hot.join(roots, F.col("c") == F.col("node"), "left").select(
+        "hub", "c", "n", F.coalesce("root", "c").alias("root")), "rooted")
+    # a pool is a component with many members at the hub; all others lie in pool -1
+    many = mine.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > BLOCK_CLASSES // 2)
+    many = many.select(F.col("hub").alias("h"), F.col("root").alias("pool"))
+    pooled = mine.join(many, (F.col("hub") == F.col("h")) & (F.col("root") == F.col("pool")), "left").select(
+        "hub", "c", "n", F.coalesce("pool", F.lit(-1)).alias("pool"))
+    sized = pooled.groupBy("hub", "pool").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("g")).select(
+        "hub", "pool", _blocks("k", "g").alias("of"))
+    block = F.struct("pool", F.pmod(F.xxhash64("c", F.lit(5)), F.col("of")).alias("no")).alias("block")
+    dealt = scratch.save(pooled.join(sized, ["hub", "pool"]).select("hub", "c", block), "pools")
+    known = sized.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("of") - 1)).alias("no"), "pool").select(
+        "hub", F.struct("pool", "no").alias("block"))
+    left, right = known.select(F.col("hub").alias("h"), F.col("block").alias("i")), known.select("hub", F.col("block").alias("j"))
+    # block by block, a line each
+    tiles = left.join(right, F.col("h") == F.col("hub")).where(
+        (F.col("i") <= F.col("j")) & ((F.col("i.pool") != F.col("j.pool")) | (F.col("i.pool") == -1))).select("h", "i", "j")
+    sides = tiles.select("h", "i", "j", F.inline(F.filter(F.array(
+        F.struct(F.col("i").alias("own"), F.lit(0).alias("side")),
+        F.when(F.col("i") != F.col("j"), F.struct(F.col("j").alias("own"), F.lit(1).alias("side")))), lambda x: x.isNotNull())))
+    work = (sides.join(dealt, (F.col("h") == F.col("hub")) & (F.col("own") == F.col("block")))
+            .join(sets, F.col("c") == F.col("cls")).select("h", "i", "j", "side", "cls", "grams"))
+    return edges.unionByName(_compare(work, ["h", "i", "j"], min_pct))
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -387,7 +445,7 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sets = scratch.save(sets, "sets")
     grams = int(sets.agg(F.sum("n")).first()[0] or 0)
     meetings = scratch.save(_meetings(sets, min_pct, grams), "meetings")
-    roots = components(_links(sets, meetings, min_pct), scratch)
+    roots = components(_links(sets, meetings, min_pct, scratch), scratch)
     scratch.drop(sets, meetings)
     named = classes.join(roots, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id")).withColumnRenamed("root", "r")

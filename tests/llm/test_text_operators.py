@@ -82,6 +82,57 @@ def test_host_verdicts_change_rows_of_the_given_documents_and_clean_ones_stay(sp
     assert judged.join(labels, "doc_id").where("NOT base_failed AND NOT kept").count() == 0
 
 
+def hub_rows(seed=3):
+    """Chains and clusters of near copies around one base, so that all meet at few hubs."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(60)]
+    rows, chain = [], base[:]
+    for i in range(40):                       # a chain: neighbours link, its ends don't
+        if i % 2:
+            chain[rng.randrange(60)] = f"c{i}"
+        rows.append(" ".join(chain))
+    for i in range(60):                       # many near copies of the base itself
+        near = base[:]
+        near[rng.randrange(60)] = f"n{i}"
+        rows.append(" ".join(near))
+    for i in range(30):                       # share half with it: meet, but link with nothing or each other
+        rows.append(" ".join(base[:30] + [f"h{i // 3}x{k}" for k in range(30)]))
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("blocks, representatives", [(10, 2), (4, 1), (25, 8), (500, 32)])
+def test_large_hubs_lose_no_link(spark, monkeypatch, blocks, representatives):
+    for name, value in (("BLOCK_CLASSES", blocks), ("REPRESENTATIVES", representatives)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rows = hub_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for words, pct in ((3, 90), (3, 80), (2, 95)):
+        got = {r.doc_id: r.component_id for r in ngram_join.link_groups(docs, words=words, min_pct=pct).collect()}
+        assert got == {i: c for i, _, c in brute.link_groups(rows, words, pct)}
+
+
+def test_a_large_group_of_near_copies_is_sent_about_once(spark, monkeypatch):
+    sent = []
+    real = ngram_join._compare
+
+    def counted(work, keys, min_pct):
+        sent.append((keys, work.count()))
+        return real(work, keys, min_pct)
+    monkeypatch.setattr(ngram_join, "_compare", counted)
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 20)
+    monkeypatch.setattr(ngram_join, "REPRESENTATIVES", 4)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(words[:i] + [f"x{i}"] + words[i + 1:])) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.component_id for r in ngram_join.link_groups(docs, words=3, min_pct=90).collect()}
+    assert got == {0}
+    met = sum(n for keys, n in sent if keys == ["hub", "block"])
+    tiles = sum(n for keys, n in sent if keys == ["h", "i", "j"])
+    # ten blocks of twenty and four representatives at each hub; pairs of blocks would send each member ten times
+    assert met and tiles == 0
+
+
 def test_ngram_join_edges(edge, empty, edge_rows):
     for words, pct in ((3, 90), (5, 80)):
         got = brute.bag((r.doc_id, r.n_shingles, r.component_id)
@@ -113,7 +164,7 @@ def near_copies(seed, n, length=60):
 @pytest.mark.parametrize("words,pct", [(3, 90), (5, 80), (1, 100)])
 def test_ngram_join_small_blocks(spark, monkeypatch, words, pct):
     # partitions and blocks so small that every way of splitting is taken
-    for name, value in (("GRAMS_A_PART", 700), ("FLUSH", 900), ("BLOCK_CLASSES", 2), ("CELLS", 300)):
+    for name, value in (("GRAMS_A_PART", 700), ("FLUSH", 900), ("BLOCK_CLASSES", 2), ("CELLS", 300), ("REPRESENTATIVES", 1)):
         monkeypatch.setattr(ngram_join, name, value)
     rows = near_copies(5, 90) + [(900 + i, "a b c d e f g h i j") for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
