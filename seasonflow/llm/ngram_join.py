@@ -35,6 +35,7 @@ from .packed import grouped, rows_of, schema, share, unpack
 GRAMS_A_PART = 1_000_000        # n-grams in a partition, on average
 FLUSH = 400_000                 # n-grams a task packs at once
 BLOCK_CLASSES = 500             # of a hub that one task compares with one other block
+DIRECT = 3                      # blocks of a hub that are compared pair by pair at once: each is sent as often
 REPRESENTATIVES = 32            # of a large hub, which all its members are compared with first
 BLOCK_GRAMS = 1_000_000
 CELLS = 4_000_000               # counts kept at once while a fragment is counted
@@ -314,8 +315,8 @@ def _blocks(k: str, g: str):
 def _links(sets: DataFrame, meetings: DataFrame, min_pct: int, scratch: Scratch) -> DataFrame:
     """``(a, b)``, a < b: edges that connect what the links at each hub connect.
 
-    A hub of one block is compared whole.  Of a larger one every member is first compared
-    with a few representatives.  Members that are connected by then need no more
+    A hub of up to ``DIRECT`` blocks is compared block by block.  Of a larger one every
+    member is first compared with a few representatives.  Members that are connected by then need no more
     comparison with each other; blocks are formed of connected members, and only blocks
     that hold different components, or members that are still few together, are
     compared pair by pair.  So a large group of near copies is sent about once, and
@@ -325,9 +326,13 @@ def _links(sets: DataFrame, meetings: DataFrame, min_pct: int, scratch: Scratch)
     placed = scratch.save(meetings.join(hubs, F.col("hub") == F.col("h")).select(
         "hub", F.col("cls").alias("c"), "n", "blocks", F.pmod(F.xxhash64("cls"), F.col("blocks")).alias("block")), "members")
     zero = F.lit(0).alias("side")
-    cold = placed.where("blocks = 1").join(sets, F.col("c") == F.col("cls")).select("hub", zero, "cls", "grams")
-    edges = _compare(cold, ["hub"], min_pct)
-    hot = placed.where("blocks > 1")
+    cold = placed.where(F.col("blocks") <= DIRECT).select(
+        "hub", "c", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    cold = cold.join(sets, F.col("c") == F.col("cls")).select(
+        "hub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"), "cls", "grams")
+    edges = _compare(cold, ["hub", "i", "j"], min_pct)
+    hot = placed.where(F.col("blocks") > DIRECT)
     if hot.isEmpty():
         return edges
 

@@ -101,9 +101,9 @@ def hub_rows(seed=3):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("blocks, representatives", [(10, 2), (4, 1), (25, 8), (500, 32)])
-def test_large_hubs_lose_no_link(spark, monkeypatch, blocks, representatives):
-    for name, value in (("BLOCK_CLASSES", blocks), ("REPRESENTATIVES", representatives)):
+@pytest.mark.parametrize("blocks, representatives, direct", [(10, 2, 1), (4, 1, 3), (25, 8, 1), (25, 8, 3), (500, 32, 3)])
+def test_large_hubs_lose_no_link(spark, monkeypatch, blocks, representatives, direct):
+    for name, value in (("BLOCK_CLASSES", blocks), ("REPRESENTATIVES", representatives), ("DIRECT", direct)):
         monkeypatch.setattr(ngram_join, name, value)
     rows = hub_rows()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
@@ -122,6 +122,7 @@ def test_a_large_group_of_near_copies_is_sent_about_once(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "_compare", counted)
     monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 20)
     monkeypatch.setattr(ngram_join, "REPRESENTATIVES", 4)
+    monkeypatch.setattr(ngram_join, "DIRECT", 1)
     words = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join(words[:i] + [f"x{i}"] + words[i + 1:])) for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -129,6 +130,7 @@ def test_a_large_group_of_near_copies_is_sent_about_once(spark, monkeypatch):
     assert got == {0}
     met = sum(n for keys, n in sent if keys == ["hub", "block"])
     tiles = sum(n for keys, n in sent if keys == ["h", "i", "j"])
+    assert len(sent) == 3 and sent[0][1] < 200
     # ten blocks of twenty and four representatives at each hub; pairs of blocks would send each member ten times
     assert met and tiles == 0
 
@@ -164,7 +166,7 @@ def near_copies(seed, n, length=60):
 @pytest.mark.parametrize("words,pct", [(3, 90), (5, 80), (1, 100)])
 def test_ngram_join_small_blocks(spark, monkeypatch, words, pct):
     # partitions and blocks so small that every way of splitting is taken
-    for name, value in (("GRAMS_A_PART", 700), ("FLUSH", 900), ("BLOCK_CLASSES", 2), ("CELLS", 300), ("REPRESENTATIVES", 1)):
+    for name, value in (("GRAMS_A_PART", 700), ("FLUSH", 900), ("BLOCK_CLASSES", 2), ("CELLS", 300), ("REPRESENTATIVES", 1), ("DIRECT", 1)):
         monkeypatch.setattr(ngram_join, name, value)
     rows = near_copies(5, 90) + [(900 + i, "a b c d e f g h i j") for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
