@@ -12,6 +12,7 @@ from seasonflow.operators import joins as J
 from seasonflow.operators.distributed import RankOf, global_ranks
 from seasonflow.operators.dedup import dedup_latest
 from seasonflow.params import Params
+from seasonflow.plans.season import schemas as S
 
 
 def _share(num, den, default: float | None = 0.0) -> Column:
@@ -539,6 +540,100 @@ def upcoming(fact: DataFrame, schedules: DataFrame, teams: DataFrame, p: Params
         F.lit(p.as_of).cast("timestamp").alias("last_updated"))
 
 
+def _split(side: str) -> list[Column]:
+    """The published columns of the home or the road split."""
+    feed, name = side.upper(), side.lower()
+    c = lambda n: F.col(f"{feed}{n}").cast("int")
+    return _named(**{
+        f"{name}_wins": c("WINS"), f"{name}_losses": c("LOSSES"), f"{name}_ot_l": c("OTLOSSES"), f"{name}_points": c("POINTS"),
+        f"{name}_record": X.record_string(c("WINS"), c("LOSSES"), c("OTLOSSES")), f"{name}_gp": c("GAMESPLAYED"),
+        f"{name}_goals": c("GOALSFOR"), f"{name}_goals_against": c("GOALSAGAINST"), f"{name}_goal_diff": c("GOALDIFFERENTIAL"),
+        f"{name}_goal_diff_string": X.signed_string(c("GOALDIFFERENTIAL")), f"{name}_reg_wins": c("REGULATIONWINS"),
+        f"{name}_reg_ot_wins": c("REGULATIONPLUSOTWINS"), f"league_{name}_standing": F.col(f"LEAGUE{feed}SEQUENCE").cast("int"),
+        f"div_{name}_standing": F.col(f"DIVISION{feed}SEQUENCE").cast("int"),
+        f"conf_{name}_standing": F.col(f"CONFERENCE{feed}SEQUENCE").cast("int")})
+
+
+def current_standings(cur: DataFrame) -> DataFrame:
+    """M18, one row per team of the current table; a column that the feed lacks is NULL."""
+    known = set(cur.columns)
+    cur = cur.withColumns({f.name: F.lit(None).cast(f.dataType) for f in S.CURRENT_STANDINGS if f.name not in known})
+    c = lambda n: F.col(n).cast("int")
+    return cur.select(
+        *_named(team="TEAMNAME_DEFAULT", team_abv="TEAMABBREV_DEFAULT", division="DIVISIONNAME", division_abv="DIVISIONABBREV",
+                conference="CONFERENCENAME", conference_abv="CONFERENCEABBREV", league_standing=c("LEAGUESEQUENCE"),
+                conference_standing=c("CONFERENCESEQUENCE"), division_standing=c("DIVISIONSEQUENCE"),
+                wildcard_standing=c("WILDCARDSEQUENCE"), waiver=c("WAIVERSSEQUENCE"), points=c("POINTS"), wins=c("WINS"),
+                losses=c("LOSSES"), ot_losses=c("OTLOSSES"), games_played=c("GAMESPLAYED"),
+                record=X.record_string(c("WINS"), c("LOSSES"), c("OTLOSSES")), win_pct="WINPCTG", point_pct="POINTPCTG",
+                reg_wins=c("REGULATIONWINS"), reg_ot_wins=c("REGULATIONPLUSOTWINS"), reg_ot_win_pct="REGULATIONPLUSOTWINPCTG",
+                reg_win_pct="REGULATIONWINPCTG", shootout_w=c("SHOOTOUTWINS"), shootout_l=c("SHOOTOUTLOSSES"),
+                shootout_record=X.record_string(c("SHOOTOUTWINS"), c("SHOOTOUTLOSSES")), goals_for=c("GOALFOR"),
+                goals_against=c("GOALAGAINST"), goal_diff=c("GOALDIFFERENTIAL"),
+                goal_diff_string=X.signed_string(c("GOALDIFFERENTIAL")), goals_per_game="GOALSFORPCTG",
+                goal_diff_pct="GOALDIFFERENTIALPCTG"),
+        *_split("home"), *_split("road"),
+        *_named(streak="STREAKCODE", streak_count=c("STREAKCOUNT"),
+                streak_string=F.concat("STREAKCODE", c("STREAKCOUNT").cast("string")), l10_gp=c("L10GAMESPLAYED"),
+                l10_wins=c("L10WINS"), l10_losses=c("L10LOSSES"), l10_ot_l=c("L10OTLOSSES"),
+                l10_record=X.record_string(c("L10WINS"), c("L10LOSSES"), c("L10OTLOSSES")), l10_points=c("L10POINTS"),
+                l10_goals=c("L10GOALSFOR"), l10_goals_against=c("L10GOALSAGAINST"), l10_goal_diff=c("L10GOALDIFFERENTIAL"),
+                l10_reg_wins=c("L10REGULATIONWINS"), l10_reg_ot_wins=c("L10REGULATIONPLUSOTWINS"),
+                div_l10_standing=c("DIVISIONL10SEQUENCE"), conf_l10_standing=c("CONFERENCEL10SEQUENCE")))
+
+
+def standings_by_day(by_day: DataFrame) -> DataFrame:
+    """The gap-filled standings of every day with the season's text."""
+    return by_day.select("date", "season", *_named(
+        team_name="teamname_default", team_abv="team_abv", games_played="gamesplayed", points="points", wins="wins", losses="losses",
+        ot_losses="otlosses", regulation_wins="regulationwins", regulation_plus_ot_wins="regulationplusotwins",
+        record=X.record_string("wins", "losses", "otlosses"), goals_for="goalfor", goals_against="goalagainst",
+        goal_diff=F.col("goalfor") - F.col("goalagainst"), point_pct=_share("points", F.col("gamesplayed") * 2),
+        division="divisionname", conference="conferencename", div_sequence="divisionsequence", wc_sequence="wildcardsequence",
+        conf_sequence="conferencesequence", league_sequence="leaguesequence", home_wins="homewins", home_losses="homelosses",
+        home_ot_losses="homeotlosses", road_wins="roadwins", road_losses="roadlosses", road_ot_losses="roadotlosses",
+        shootout_wins="shootoutwins", shootout_losses="shootoutlosses", l10_wins="l10wins", l10_losses="l10losses",
+        l10_ot_losses="l10otlosses", l10_points="l10points", l10_goals_for="l10goalsfor", l10_goals_against="l10goalsagainst",
+        l10_goal_diff="l10goaldifferential", streak_code="streak_code", streak_count="streakcount",
+        season_display=X.season_display("season")))
+
+
+def team_season(lines: DataFrame, teams: DataFrame, game_type: str = "regular") -> DataFrame:
+    """M62 / M63 (without the season's text M29 / M30): sums, averages per game that has
+    the value, and shares of the season's sums (D7: NULL without attempts)."""
+    t = lines.filter(F.col("game_type") == game_type)
+    summed = ("goals", "goals_against", "shots", "pp_goals", "pp_attempts", "pim", "pk_attempts", "pk_goals_against", "hits",
+              "blocks", "giveaways", "takeaways")
+    s = t.groupBy("season", "team_abv").agg(
+        F.count(F.lit(1)).alias("games_played"), *[F.sum(c).alias(c) for c in summed],
+        *[F.count(c).alias(f"n_{c}") for c in summed])
+    per = lambda c: X.round_ratio(c, f"n_{c}", 2)
+    logo = teams.select(F.col("team_abv").alias("abv"), "logo_url")
+    s = s.join(logo, F.col("team_abv") == F.col("abv"), "left")
+    return s.select("season", "team_abv", "games_played", *_named(
+        goals="goals", goals_per_game=per("goals"), goals_against_average=per("goals_against"), goals_against="goals_against",
+        shots="shots", shots_per_game=per("shots"), pp_goals="pp_goals", pp_attempts="pp_attempts",
+        pp_pct=_share("pp_goals", "pp_attempts", None), pim="pim", pk_attempts="pk_attempts",
+        pk_pct=_share(F.col("pk_attempts") - F.col("pk_goals_against"), "pk_attempts", None), pim_per_game=per("pim"), hits="hits",
+        hits_per_game=per("hits"), blocks="blocks", blocks_per_game=per("blocks"), giveaways="giveaways",
+        giveaways_per_game=per("giveaways"), takeaways="takeaways", takeaways_per_game=per("takeaways"),
+        season_display=X.season_display("season"), logo_url="logo_url"))
+
+
+def upcoming_games(schedules: DataFrame, teams: DataFrame) -> DataFrame:
+    """Scheduled regular and playoff games that have not begun, with both logos."""
+    s = schedules.filter(F.col("game_state").isin("FUT", "PRE") & F.col("game_type_code").isin(2, 3))
+    for side in ("away", "home"):
+        logo = teams.select(F.col("team_abv").alias(f"{side}_"), F.col("logo_url").alias(f"{side}_logo"))
+        s = s.join(logo, F.col(f"{side}_team_abv") == F.col(f"{side}_"), "left")
+    return s.select(*_named(
+        id="game_id", venue="venue", season="season", away_abv="away_team_abv", away_id="away_team_id", home_abv="home_team_abv",
+        home_id="home_team_id", game_date="game_date", game_type="game_type_code", game_state="game_state",
+        winning_goalie_id="winning_goalie_id", winning_scorer_id="winning_scorer_id", neutral="neutral_site",
+        start_time_utc="start_time_utc", eastern_offset="eastern_offset", venue_tz="venue_tz", special_event="special_event",
+        away_logo="away_logo", home_logo="home_logo"))
+
+
 def tables(m: dict[str, DataFrame], p: Params = Params()) -> dict[str, DataFrame]:
     """The published tables by name, over the built models.  A name that a model's
     own frame already has gets the ending ``_published``."""
@@ -564,7 +659,13 @@ def tables(m: dict[str, DataFrame], p: Params = Params()) -> dict[str, DataFrame
                                                                m["dim_seasons"], m["roster_players"])}
     if "fct_upcoming_games" in m:
         out["fct_upcoming_games_published"] = upcoming(m["fct_upcoming_games"], m["stg_schedules"], teams, p)
+        out["upcoming_games_published"] = upcoming_games(m["stg_schedules"], teams)
+    if "stg_current_standings" in m:
+        out["current_standings_published"] = current_standings(m["stg_current_standings"])
+    out["standings_by_day_published"] = standings_by_day(by_day)
     for kind in ("regular", "playoff"):
+        out[f"team_season_stats_{kind}_published"] = team_season(m["team_game_line"], teams, kind)
+        out[f"team_season_{kind}_published"] = out[f"team_season_stats_{kind}_published"].drop("season_display")
         out[f"goalies_season_stats_{kind}_published"] = goalie_season(goalie, players, kind, p)
         out[f"skaters_season_stats_{kind}_published"] = skater_season(player, players, kind, p)
     return out

@@ -39,7 +39,7 @@ def read_raw_tables(spark: SparkSession, root: str) -> dict:
         out[name] = spark.read.schema(schema).parquet(path)
     cs = f"{root.rstrip('/')}/current_standings"
     if path_exists(spark, cs):
-        out["current_standings"] = spark.read.schema(S.DAILY_STANDINGS).parquet(cs)
+        out["current_standings"] = spark.read.schema(S.CURRENT_STANDINGS).parquet(cs)
     return out
 
 

@@ -61,6 +61,16 @@ DAILY_STANDINGS = _st(
     "CONFERENCENAME string, CONFERENCEABBREV string, STREAKCODE string, "
     + ", ".join(f"{c} int" for c in _STAND_INTS) + ", " + LOADED)
 
+# the current table has percentages, differentials, splits and places by split as well
+_SPLIT_INTS = [f"{side}{c}" for side in ("HOME", "ROAD") for c in (
+    "POINTS", "GAMESPLAYED", "GOALSFOR", "GOALSAGAINST", "GOALDIFFERENTIAL", "REGULATIONWINS", "REGULATIONPLUSOTWINS")]
+_SPLIT_PLACES = [f"{scope}{split}SEQUENCE" for split in ("HOME", "ROAD", "L10") for scope in ("LEAGUE", "DIVISION", "CONFERENCE")]
+CURRENT_STANDINGS = T.StructType([*DAILY_STANDINGS.fields, *_st(
+    "WAIVERSSEQUENCE int, GOALDIFFERENTIAL int, L10GAMESPLAYED int, L10REGULATIONWINS int, L10REGULATIONPLUSOTWINS int, "
+    + ", ".join(f"{c} int" for c in (*_SPLIT_INTS, *_SPLIT_PLACES))
+    + ", WINPCTG double, POINTPCTG double, REGULATIONPLUSOTWINPCTG double, REGULATIONWINPCTG double, GOALSFORPCTG double, "
+      "GOALDIFFERENTIALPCTG double").fields])
+
 CURRENT_TEAMS = _st("ID long, ABBREV string, NAME_DEFAULT string, PLACENAME_DEFAULT string, "
                     "COMMONNAME_DEFAULT string, FRENCH string, LOGO string, " + LOADED)
 

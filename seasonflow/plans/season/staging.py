@@ -122,7 +122,10 @@ def stg_schedules(raw: DataFrame) -> DataFrame:
                     F.col("AWAYTEAM_ABBREV").alias("away_team_abv"),
                     F.col("NEUTRALSITE").cast("boolean").alias("neutral_site"), F.col("VENUE_DEFAULT").alias("venue"),
                     F.col("STARTTIMEUTC").alias("start_time_utc"), F.col("EASTERNUTCOFFSET").alias("eastern_offset"),
-                    F.col("VENUETIMEZONE").alias("venue_tz"), F.col("SPECIALEVENT_NAME_DEFAULT").alias("special_event"))
+                    F.col("VENUETIMEZONE").alias("venue_tz"), F.col("SPECIALEVENT_NAME_DEFAULT").alias("special_event"),
+                    F.col("GAMETYPE").cast("int").alias("game_type_code"),
+                    F.col("WINNINGGOALIE_PLAYERID").alias("winning_goalie_id"),
+                    F.col("WINNINGGOALSCORER_PLAYERID").alias("winning_scorer_id"))
 
 
 def stg_rosters(raw: DataFrame) -> DataFrame:

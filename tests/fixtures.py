@@ -50,6 +50,21 @@ def daily_standings(spark):
     return spark.createDataFrame(rows, S.DAILY_STANDINGS)
 
 
+def current_standings(spark):
+    """The current table with every published value of one team, and a team with few."""
+    ints = dict(GAMESPLAYED=82, POINTS=100, WINS=48, LOSSES=30, OTLOSSES=4, GOALFOR=250, GOALAGAINST=240, GOALDIFFERENTIAL=10,
+                HOMEWINS=30, HOMELOSSES=10, HOMEOTLOSSES=1, HOMEPOINTS=61, HOMEGAMESPLAYED=41, HOMEGOALSFOR=140,
+                HOMEGOALSAGAINST=110, HOMEGOALDIFFERENTIAL=30, ROADWINS=18, ROADLOSSES=20, ROADOTLOSSES=3, ROADPOINTS=39,
+                ROADGAMESPLAYED=41, ROADGOALSFOR=110, ROADGOALSAGAINST=130, ROADGOALDIFFERENTIAL=-20, SHOOTOUTWINS=3,
+                SHOOTOUTLOSSES=2, L10GAMESPLAYED=10, L10WINS=6, L10LOSSES=3, L10OTLOSSES=1, L10POINTS=13, STREAKCOUNT=2,
+                WAIVERSSEQUENCE=20, LEAGUEHOMESEQUENCE=4, DIVISIONROADSEQUENCE=5, CONFERENCEL10SEQUENCE=6)
+    rows = [row(S.CURRENT_STANDINGS, TEAMABBREV_DEFAULT="HOM", TEAMNAME_DEFAULT="Home City", STREAKCODE="W", POINTPCTG=0.61,
+                _loaded_at=T1, **ints),
+            row(S.CURRENT_STANDINGS, TEAMABBREV_DEFAULT="HOM", POINTS=98, _loaded_at=T0),
+            row(S.CURRENT_STANDINGS, TEAMABBREV_DEFAULT="AWY", POINTS=90, WINS=44, _loaded_at=T1)]
+    return spark.createDataFrame(rows, S.CURRENT_STANDINGS)
+
+
 def plays(spark, events):
     """events: dicts with GAME_ID, EVENTID, TYPEDESCKEY, owner, period, clock, duration..."""
     rows = []

@@ -303,6 +303,28 @@ PUBLISHED = {
         pp_assists sh_goals sh_assists empty_net_goals game_winning_goals overtime_goals faceoffs_won faceoffs_lost
         faceoff_pct points_per_game goals_per_game assists_per_game points_per_60 goals_per_60 is_qualified
         season_display first_name last_name position headshot_url""",
+    "current_standings_published": """team team_abv division division_abv conference conference_abv league_standing
+        conference_standing division_standing wildcard_standing waiver points wins losses ot_losses games_played record
+        win_pct point_pct reg_wins reg_ot_wins reg_ot_win_pct reg_win_pct shootout_w shootout_l shootout_record goals_for
+        goals_against goal_diff goal_diff_string goals_per_game goal_diff_pct home_wins home_losses home_ot_l home_points
+        home_record home_gp home_goals home_goals_against home_goal_diff home_goal_diff_string home_reg_wins
+        home_reg_ot_wins league_home_standing div_home_standing conf_home_standing road_wins road_losses road_ot_l
+        road_points road_record road_gp road_goals road_goals_against road_goal_diff road_goal_diff_string road_reg_wins
+        road_reg_ot_wins league_road_standing div_road_standing conf_road_standing streak streak_count streak_string l10_gp
+        l10_wins l10_losses l10_ot_l l10_record l10_points l10_goals l10_goals_against l10_goal_diff l10_reg_wins
+        l10_reg_ot_wins div_l10_standing conf_l10_standing""",
+    "standings_by_day_published": """date season team_name team_abv games_played points wins losses ot_losses
+        regulation_wins regulation_plus_ot_wins record goals_for goals_against goal_diff point_pct division conference
+        div_sequence wc_sequence conf_sequence league_sequence home_wins home_losses home_ot_losses road_wins road_losses
+        road_ot_losses shootout_wins shootout_losses l10_wins l10_losses l10_ot_losses l10_points l10_goals_for
+        l10_goals_against l10_goal_diff streak_code streak_count season_display""",
+    "team_season_stats_regular_published": """season team_abv games_played goals goals_per_game goals_against_average
+        goals_against shots shots_per_game pp_goals pp_attempts pp_pct pim pk_attempts pk_pct pim_per_game hits
+        hits_per_game blocks blocks_per_game giveaways giveaways_per_game takeaways takeaways_per_game season_display
+        logo_url""",
+    "upcoming_games_published": """id venue season away_abv away_id home_abv home_id game_date game_type game_state
+        winning_goalie_id winning_scorer_id neutral start_time_utc eastern_offset venue_tz special_event away_logo
+        home_logo""",
 }
 
 
@@ -435,3 +457,38 @@ def test_published_lines_bridge_and_metrics(models):
     assert ("AWY", 11) in a and ("HOM", 13) in a
     u = models["fct_upcoming_games_published"].collect()
     assert {r.game_id for r in u} == {10, 11} and all(r.home_team_name for r in u) and u[0].home_team_key in (100, 200)
+
+
+def test_published_current_standings(spark, models):
+    # the feed of the other tests has the daily columns alone (two rows a team, loaded at once): the rest is NULL
+    few = {r.team_abv: r for r in models["current_standings_published"].collect()}
+    assert few["HOM"].points in (2, 3) and (few["HOM"].waiver, few["HOM"].home_gp, few["HOM"].record) == (None, None, None)
+    from seasonflow.plans.season import published
+    from seasonflow.plans.season import staging as ST
+    rows = {r.team_abv: r for r in published.current_standings(ST.stg_current_standings(FX.current_standings(spark))).collect()}
+    r = rows["HOM"]
+    assert set(rows) == {"HOM", "AWY"} and len(r) == 78
+    assert (r.team, r.points, r.record, r.shootout_record, r.goal_diff, r.goal_diff_string) == (
+        "Home City", 100, "48-30-4", "3-2", 10, "+10")
+    assert (r.home_record, r.home_goal_diff_string, r.road_record, r.road_goal_diff, r.road_goal_diff_string) == (
+        "30-10-1", "+30", "18-20-3", -20, "-20")
+    assert (r.streak_string, r.l10_record, r.l10_points, r.waiver, r.league_home_standing, r.div_road_standing,
+            r.conf_l10_standing, r.point_pct) == ("W2", "6-3-1", 13, 20, 4, 5, 6, 0.61)
+    assert (rows["AWY"].points, rows["AWY"].wins, rows["AWY"].record, rows["AWY"].goal_diff_string) == (90, 44, None, None)
+
+
+def test_published_team_seasons_days_and_schedule(models):
+    s = {r.team_abv: r for r in models["team_season_stats_regular_published"].collect()}
+    h = s["HOM"]
+    assert set(s) == {"HOM", "AWY"} and (h.games_played, h.goals, h.goals_against, h.shots) == (2, 6, 6, 58)
+    assert (h.goals_per_game, h.goals_against_average, h.shots_per_game, h.season_display) == (3.0, 3.0, 29.0, "2025-26")
+    # one penalty of the other team: an attempt without a goal, none to kill
+    assert (h.pp_attempts, h.pp_pct, h.pk_attempts, h.pk_pct) == (1, 0.0, 0, None)
+    assert (s["AWY"].pk_pct, s["AWY"].pim, s["AWY"].pim_per_game) == (1.0, 2, 1.0)
+    assert models["team_season_stats_playoff_published"].count() == 0
+    assert models["team_season_regular_published"].columns == [c for c in h.__fields__ if c != "season_display"]
+    d = {(r.team_abv, r.date.day): r for r in models["standings_by_day_published"].collect()}
+    assert len(d) == 8 and (d[("HOM", 10)].points, d[("HOM", 10)].point_pct, d[("HOM", 10)].streak_code) == (2, 1.0, "W")
+    assert (d[("AWY", 8)].record, d[("AWY", 8)].point_pct, d[("AWY", 8)].div_sequence) == ("0-0-0", 0.0, None)
+    u = {r.id: r for r in models["upcoming_games_published"].collect()}
+    assert set(u) == {10, 11} and u[10].game_type == 2 and u[11].away_abv == "HOM" and u[10].winning_goalie_id is None
