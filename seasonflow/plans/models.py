@@ -101,10 +101,10 @@ FROM f LEFT JOIN cut ON cut.season = f.season AND cut.date = f.date AND cut.conf
 """))(standings_daily_model)
 
 
-def goalie_lines(bed: Bed) -> DataFrame:
+def goalie_lines(bed: Bed, player_games: DataFrame | None = None) -> DataFrame:
     """Goalie box lines: a player's line with goals conceded and shots faced; nobody
     is on the ice in a line with penalty minutes; the lowest player starts."""
-    pg = bed.player_games().filter(F.col("game_type").isin(2, 3))
+    pg = (bed.player_games() if player_games is None else player_games).filter(F.col("game_type").isin(2, 3))
     first = pg.groupBy("game_id").agg(F.min("player").alias("first"))
     faced, conceded = F.col("shots").cast("int"), F.col("goals").cast("int")
     return pg.join(first, "game_id").select(
