@@ -32,7 +32,7 @@ ASKED = 64               # nearest pivots of a query whose files are read
 SHARE = 0.2              # of a part's rows, ranked again by distance; at least LEAST rows
 LEAST = 256
 PART_ROWS = 16_384       # rows of a part
-BLOCK_QUERIES = 1_024    # queries that a task ranks a part for
+BLOCK_QUERIES = 8_192    # queries that a task ranks a part for; a part is sent once per block of them
 
 
 def choose_pivots(taken: np.ndarray, most: int) -> np.ndarray:
