@@ -1,6 +1,6 @@
 """Season models of play-by-play and team grain on feed-shaped frames derived from the given
 tables, each against an oracle written from the model's definition (M01, M08, M18, M20,
-M21, M28-M30, M40, M42, M62, M63).
+M21, M28-M30, M37, M39, M40, M42, M55, M62, M63).
 
 An order of the league is a game, its lines are the events of the feed: lines that share a
 line number are loads of one event, of which the last shipped one holds.
@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seasonflow.operators import joins as J
 from seasonflow.plans.models import goalie_lines
 from seasonflow.plans.registry import register, rr, sql
-from seasonflow.plans.season import facts, published
+from seasonflow.plans.season import facts, marts, published
 from seasonflow.plans.season import intermediate as I
 from seasonflow.plans.season import schemas as S
 from seasonflow.plans.season import staging as ST
@@ -226,6 +227,115 @@ LEFT JOIN goals first ON first.game_id = l.game_id AND first.n = 1
 """))(team_game_model)
 
 
+def games_model(spark: SparkSession, root: str) -> DataFrame:
+    """Both teams' lines in one row a game, regulation score, winner and loser, result flags."""
+    bed = Bed(spark, root)
+    _, lines = team_lines(bed)
+    u = bed.written("universe")
+    league = league_feed(bed).join(u.select("game_id", F.when(F.col("game_type") == 2, "regular").otherwise("playoff").alias("game_type"),
+                                            F.when(F.col("game_id") % 4 == 0, "OT").otherwise("REG").alias("last_period_type")), "game_id")
+    league = league.withColumns({f"{s}_team_abv": F.col(f"{s}_team_id").cast("string") for s in ("home", "away")})
+    return facts.fct_games(lines, league)
+
+
+register("games_model", sql(LINES_CTE + """
+, g AS (SELECT h.game_id, h.season, h.kind_of_game AS game_type, h.game_date, h.late, h.team AS home_team_id, a.team AS away_team_id,
+               h.goals_for AS hg, a.goals_for AS ag, h.pim AS hp, a.pim AS ap, h.pp_goals AS hpp, a.pp_goals AS app,
+               h.faceoffs_won AS hf, a.faceoffs_won AS af
+        FROM line h JOIN line a ON a.game_id = h.game_id WHERE h.is_home AND NOT a.is_home)
+SELECT game_id, season, upper(game_type[1]) || substr(game_type, 2) AS game_type_display, game_type, game_date,
+       CAST(strftime(game_date, '%Y%m%d') AS INTEGER) AS date_key, home_team_id, away_team_id,
+       CAST(home_team_id AS VARCHAR) AS home_team_abv, CAST(away_team_id AS VARCHAR) AS away_team_abv,
+       hg AS home_goals, ag AS away_goals, hg + 5 AS home_shots, ag + 5 AS away_shots, CAST(hp AS BIGINT) AS home_pim,
+       CAST(ap AS BIGINT) AS away_pim, CAST(hpp AS BIGINT) AS home_pp_goals, CAST(app AS BIGINT) AS away_pp_goals,
+       CAST(hf AS BIGINT) AS home_faceoffs_won, CAST(af AS BIGINT) AS away_faceoffs_won,
+       hg - CASE WHEN late AND hg > ag THEN 1 ELSE 0 END AS home_regulation_goals,
+       ag - CASE WHEN late AND ag > hg THEN 1 ELSE 0 END AS away_regulation_goals,
+       CASE WHEN hg > ag THEN home_team_id WHEN ag > hg THEN away_team_id END AS winning_team_id,
+       CASE WHEN hg > ag THEN away_team_id WHEN ag > hg THEN home_team_id END AS losing_team_id,
+       CASE WHEN late THEN 'OT' ELSE 'REG' END AS game_outcome, CAST(CASE WHEN late THEN 65 ELSE 60 END AS INTEGER) AS duration_minutes,
+       abs(hg - ag) >= 5 AS is_blowout, hg + ag >= 10 AS is_high_scoring, hg + ag <= 3 AS is_low_scoring, late AS went_to_overtime
+FROM g
+"""))(games_model)
+
+
+def player_game_model(spark: SparkSession, root: str) -> DataFrame:
+    """A skater's line with assists by order, special goals, the winning goal and faceoffs
+    counted from the feed's plays."""
+    bed = Bed(spark, root)
+    league, pg = league_feed(bed), bed.written("player_games")
+    staged = cut_lineage(ST.stg_plays(play_feed(bed)))
+    none = {c: F.lit(None).cast(t) for c, t in (("position", "string"), ("plus_minus", "int"), ("shifts", "int"),
+                                                ("faceoff_pct", "double"), ("type", "string"))}
+    skaters = J.semi(pg, league.select("game_id"), "game_id").select(
+        "game_id", "season", F.when(F.col("game_type") == 2, "regular").otherwise("playoff").alias("game_type"),
+        F.col("team").cast("string").alias("team_abv"), F.col("player").alias("player_id"), F.col("player_name").alias("name"),
+        "goals", "assists", "points", "shots", "pim", "toi_seconds", F.col("shots").alias("hits"), (F.col("goals") % 2).alias("pp_goals"),
+        F.col("pim").alias("giveaways"), F.col("points").alias("takeaways"), F.col("assists").alias("blocked_shots"))
+    out = facts.fct_player_game(skaters.withColumns(none), facts.fct_plays(staged, league), summary_feed(bed))
+    return out.drop("player_game_key", *none)
+
+
+register("player_game_model", sql(PLAYS_CTE + """
+, goal AS (SELECT *, CASE WHEN team IS NULL THEN 'Other' WHEN own > opp THEN 'PP' WHEN own < opp THEN 'SH' ELSE 'Even' END AS state,
+                  CASE WHEN team = home_team THEN code[1] = '0' WHEN team = away_team THEN code[4] = '0' END AS empty_net,
+                  row_number() OVER (PARTITION BY game_id, team ORDER BY game_clock, event_id) AS nth
+           FROM fev WHERE kind = 'goal' AND category <> 'Shootout')
+, scored AS (SELECT game_id, s AS player, count_if(state = 'SH') AS sh, count_if(category = 'Overtime') AS ot, count_if(empty_net) AS en
+             FROM goal GROUP BY ALL)
+, helped AS (SELECT game_id, player, count_if(slot = 1) AS a1, count_if(slot = 2) AS a2, count_if(state = 'PP') AS pp, count_if(state = 'SH') AS sh
+             FROM (SELECT game_id, s + 1 AS player, 1 AS slot, state FROM goal WHERE part % 4 <> 0
+                   UNION ALL SELECT game_id, s + 2, 2, state FROM goal WHERE part % 4 = 3) GROUP BY ALL)
+, winner AS (SELECT g.game_id, g.s AS player FROM goal g JOIN sides w ON w.game_id = g.game_id AND w.team = g.team
+             WHERE goals_for > goals_against AND nth = goals_against + 1)
+, drawn AS (SELECT game_id, player, count_if(won) AS won, count_if(NOT won) AS lost
+            FROM (SELECT game_id, s + 6 AS player, true AS won FROM fev WHERE kind = 'faceoff'
+                  UNION ALL SELECT game_id, s + 7, false FROM fev WHERE kind = 'faceoff') GROUP BY ALL)
+SELECT p.game_id, p.player AS player_id, CAST(p.team AS VARCHAR) AS team_abv, p.season,
+       CASE p.game_type WHEN 2 THEN 'regular' ELSE 'playoff' END AS game_type, p.goals, p.assists, p.points,
+       coalesce(h.a1, 0) AS primary_assists, coalesce(h.a2, 0) AS secondary_assists, p.shots, p.shots AS hits, p.pim, p.toi_seconds,
+       coalesce(c.sh, 0) AS shorthanded_goals, coalesce(c.en, 0) AS empty_net_goals,
+       CAST(CASE WHEN w.player IS NULL THEN 0 ELSE 1 END AS INTEGER) AS game_winning_goals, coalesce(d.won, 0) AS faceoffs_won,
+       coalesce(d.lost, 0) AS faceoffs_lost, coalesce(h.pp, 0) AS pp_assists, coalesce(h.sh, 0) AS sh_assists,
+       coalesce(c.ot, 0) AS overtime_goals, player_name AS name, p.goals % 2 AS pp_goals, p.pim AS giveaways, p.points AS takeaways,
+       p.assists AS blocked_shots, p.goals >= 3 AS is_hat_trick, p.points >= 4 AS is_four_point_game, p.goals >= 4 AS is_four_goal_game
+FROM player_games p LEFT JOIN scored c ON c.game_id = p.game_id AND c.player = p.player
+LEFT JOIN helped h ON h.game_id = p.game_id AND h.player = p.player
+LEFT JOIN winner w ON w.game_id = p.game_id AND w.player = p.player
+LEFT JOIN drawn d ON d.game_id = p.game_id AND d.player = p.player
+WHERE EXISTS (SELECT 1 FROM universe u WHERE u.game_id = p.game_id)
+"""))(player_game_model)
+
+
+def shot_metrics_model(spark: SparkSession, root: str) -> DataFrame:
+    """Attempts of the feed by shooting team (a blocked shot is the other side's), their
+    shares overall, unblocked and at even strength, and PDO from the team lines."""
+    bed = Bed(spark, root)
+    staged, lines = team_lines(bed)
+    plays = cut_lineage(facts.fct_plays(staged, league_feed(bed)))
+    return marts.team_shot_metrics(plays, facts.fct_team_game(lines, plays))
+
+
+register("shot_metrics_model", sql(LINES_CTE + f"""
+, att AS (SELECT game_id, CASE WHEN kind <> 'blocked-shot' THEN team WHEN team = home_team THEN away_team ELSE home_team END AS shooter,
+                 kind <> 'blocked-shot' AS free, own IS NOT DISTINCT FROM opp OR own IS NULL OR opp IS NULL AS even
+          FROM fev WHERE kind IN ('goal', 'shot-on-goal', 'missed-shot', 'blocked-shot') AND category <> 'Shootout' AND team IS NOT NULL)
+, per AS (SELECT game_id, shooter, count(*) AS c, count_if(free) AS f, count_if(even) AS e FROM att GROUP BY ALL)
+, t AS (SELECT l.season, CAST(l.team AS VARCHAR) AS team_abv, CAST(sum(coalesce(a.c, 0)) AS BIGINT) AS cf,
+               CAST(sum(coalesce(b.c, 0)) AS BIGINT) AS ca, CAST(sum(coalesce(a.f, 0)) AS BIGINT) AS ff,
+               CAST(sum(coalesce(b.f, 0)) AS BIGINT) AS fa, CAST(sum(coalesce(a.e, 0)) AS BIGINT) AS cf_even,
+               CAST(sum(coalesce(b.e, 0)) AS BIGINT) AS ca_even, CAST(sum(goals_for) AS BIGINT) AS gf,
+               CAST(sum(goals_against) AS BIGINT) AS ga, CAST(sum(goals_for + 5) AS BIGINT) AS sf, CAST(sum(faced) AS BIGINT) AS sa,
+               CAST(sum(saves) AS BIGINT) AS saves
+        FROM line l LEFT JOIN per a ON a.game_id = l.game_id AND a.shooter = l.team
+        LEFT JOIN per b ON b.game_id = l.game_id AND b.shooter = l.opponent GROUP BY l.season, l.team)
+SELECT t.*, {rr('cf', 'cf + ca', 4)} AS corsi_pct, {rr('ff', 'ff + fa', 4)} AS fenwick_pct,
+       {rr('cf_even', 'cf_even + ca_even', 4)} AS even_corsi_pct, {rr('gf', 'sf', 4)} AS shooting_pct, {rr('saves', 'sa', 4)} AS save_pct,
+       round((coalesce(CAST(gf AS DOUBLE) / nullif(sf, 0), 0) + coalesce(CAST(saves AS DOUBLE) / nullif(sa, 0), 0)) * 1000, 1) AS pdo
+FROM t
+"""))(shot_metrics_model)
+
+
 def team_season_model(spark: SparkSession, root: str) -> DataFrame:
     """Both kinds of game, with the published columns (shares to 8 decimals)."""
     bed = Bed(spark, root)

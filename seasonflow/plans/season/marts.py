@@ -96,17 +96,18 @@ def team_form(by_day: DataFrame) -> DataFrame:
 def team_shot_metrics(plays_fact: DataFrame, team_games: DataFrame) -> DataFrame:
     """Corsi / Fenwick / even-strength Corsi per (season, team) — blocked
     shots belong to the *other* side — plus PDO from the team lines.
-    Shootout attempts are dropped; regular and playoff games are pooled."""
+    Shootout attempts are dropped; regular and playoff games are pooled.  The season is
+    the team line's, so a side without an attempt counts its opponent's."""
     a = plays_fact.filter(F.col("event_type_name").isin("goal", "shot-on-goal", "missed-shot", "blocked-shot")
                           & (F.col("period_category") != "Shootout") & F.col("event_side").isNotNull())
     blocked = F.col("event_type_name") == "blocked-shot"
     shooter_side = F.when(blocked, F.when(F.col("event_side") == "home", "away").otherwise("home")) \
                     .otherwise(F.col("event_side"))
-    a = a.select("game_id", "season", shooter_side.alias("side"), (~blocked).alias("unblocked"),
+    a = a.select("game_id", shooter_side.alias("side"), (~blocked).alias("unblocked"),
                  (F.col("strength_state") == "Even").alias("even"))
-    per = a.groupBy("game_id", "season", "side").agg(
+    per = a.groupBy("game_id", "side").agg(
         F.count(F.lit(1)).alias("cf"), F.count_if("unblocked").alias("ff"), F.count_if("even").alias("cf_even"))
-    tg = team_games.select("game_id", "team_abv", F.when(F.col("is_home"), "home").otherwise("away").alias("side"),
+    tg = team_games.select("game_id", "season", "team_abv", F.when(F.col("is_home"), "home").otherwise("away").alias("side"),
                            "goals", "goals_against", "shots", "shots_against", "saves")
     j = tg.join(per, ["game_id", "side"], "left")
     j = J.opponent_join(j, ["game_id"], "side", ["cf", "ff", "cf_even"])

@@ -492,3 +492,17 @@ def test_published_team_seasons_days_and_schedule(models):
     assert (d[("AWY", 8)].record, d[("AWY", 8)].point_pct, d[("AWY", 8)].div_sequence) == ("0-0-0", 0.0, None)
     u = {r.id: r for r in models["upcoming_games_published"].collect()}
     assert set(u) == {10, 11} and u[10].game_type == 2 and u[11].away_abv == "HOM" and u[10].winning_goalie_id is None
+
+
+def test_shot_metrics_of_a_side_without_attempts(spark):
+    from seasonflow.plans.season import marts
+    plays = spark.createDataFrame([(1, 2025, "goal", "Regulation", "home", "Even"), (1, 2025, "blocked-shot", "Regulation", "away", "PP")],
+                                  "game_id long, season int, event_type_name string, period_category string, event_side string, "
+                                  "strength_state string")
+    lines = spark.createDataFrame([(1, 2025, "HOM", True, 1, 0, 10, 8, 8), (1, 2025, "AWY", False, 0, 1, 8, 10, 9)],
+                                  "game_id long, season int, team_abv string, is_home boolean, goals int, goals_against int, shots int, "
+                                  "shots_against int, saves int")
+    m = {(r.season, r.team_abv): r for r in marts.team_shot_metrics(plays, lines).collect()}
+    assert set(m) == {(2025, "HOM"), (2025, "AWY")}
+    a = m[(2025, "AWY")]
+    assert (a.cf, a.ca, a.ff, a.fa, a.cf_even, a.ca_even, a.corsi_pct) == (0, 2, 0, 1, 0, 1, 0.0) and m[(2025, "HOM")].corsi_pct == 1.0
