@@ -1,6 +1,6 @@
 """Season models of play-by-play and team grain on feed-shaped frames derived from the given
 tables, each against an oracle written from the model's definition (M01, M08, M18, M20,
-M21, M28-M30, M37, M39, M40, M42, M55, M62, M63).
+M21, M28-M30, M33, M37, M39, M40, M42, M55, M62, M63).
 
 An order of the league is a game, its lines are the events of the feed: lines that share a
 line number are loads of one event, of which the last shipped one holds.
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from seasonflow.operators import joins as J
 from seasonflow.plans.models import goalie_lines
 from seasonflow.plans.registry import register, rr, sql
-from seasonflow.plans.season import facts, marts, published
+from seasonflow.plans.season import dims, facts, marts, published
 from seasonflow.plans.season import intermediate as I
 from seasonflow.plans.season import schemas as S
 from seasonflow.plans.season import staging as ST
@@ -307,6 +307,36 @@ WHERE EXISTS (SELECT 1 FROM universe u WHERE u.game_id = p.game_id)
 """))(player_game_model)
 
 
+def stints_model(spark: SparkSession, root: str) -> DataFrame:
+    """Stints by player, team and season.  A player is all suppliers with one remainder
+    by forty, so players change teams within and between seasons."""
+    bed = Bed(spark, root)
+    league = league_feed(bed)
+    lines = J.semi(bed.player_games(), league.select("game_id"), "game_id").select(
+        "game_id", "season", (F.col("player") % 40).alias("player_id"), F.col("team").cast("string").alias("team_abv"))
+    return dims.dim_player_team_bridge(lines, league).drop("bridge_key")
+
+
+register("stints_model", sql("""
+, a AS (SELECT p.player % 40 AS player_id, CAST(p.team AS VARCHAR) AS team_abv, p.season, game_id, u.game_date
+        FROM player_games p JOIN universe u USING (game_id))
+, st AS (SELECT player_id, team_abv, season, count(*) AS gp, min(game_id) AS first_game, max(game_id) AS last_game FROM a GROUP BY ALL)
+, day AS (SELECT DISTINCT game_id, game_date FROM a)
+, d AS (SELECT st.*, f.game_date AS start_date, l.game_date AS end_date FROM st JOIN day f ON f.game_id = first_game JOIN day l ON l.game_id = last_game)
+, x AS (SELECT *, count(*) OVER (PARTITION BY player_id, season) AS teams_in_season,
+               row_number() OVER (PARTITION BY player_id, season ORDER BY start_date, first_game, team_abv) AS nth,
+               lag(team_abv) OVER (PARTITION BY player_id ORDER BY season, start_date, first_game, team_abv) AS before FROM d)
+SELECT player_id, team_abv, season, start_date, end_date,
+       CASE WHEN teams_in_season > 1 AND nth > 1 THEN 'Trade' WHEN before IS NULL THEN 'Draft/Entry' WHEN before <> team_abv THEN 'Free Agent'
+            ELSE 'Retained' END AS acquisition_type,
+       season = (SELECT max(season) FROM d) AND end_date = (SELECT max(end_date) FROM d y WHERE y.player_id = x.player_id) AS is_current_team,
+       gp AS games_played_for_team, teams_in_season > 1 AS traded_mid_season, teams_in_season,
+       CAST(date_diff('day', start_date, end_date) + 1 AS INTEGER) AS stint_length_days,
+       CASE WHEN gp >= 41 THEN 'Full Season' WHEN gp >= 20 THEN 'Significant' WHEN gp >= 10 THEN 'Regular' ELSE 'Limited' END AS participation_level
+FROM x
+"""))(stints_model)
+
+
 def shot_metrics_model(spark: SparkSession, root: str) -> DataFrame:
     """Attempts of the feed by shooting team (a blocked shot is the other side's), their
     shares overall, unblocked and at even strength, and PDO from the team lines."""
