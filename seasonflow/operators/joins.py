@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -79,9 +79,20 @@ def opponent_join(df: DataFrame, group: Sequence[str], side: str,
                   how: str = "left") -> DataFrame:
     """Pair each side of a group with the other side(s).
 
-    Equi-join on ``group`` with a ``side <> side`` residual.  Both inputs are
-    the same plan hash-partitioned on ``group``, so the exchange is reused.
+    An equi-join on ``group`` with a ``side <> side`` residual.  As a left or inner
+    join the frame is derived and shuffled once: a window lists the sides of the row's
+    group (two in practice) and each row meets the others of that list.  A NULL in the
+    group or the side meets nobody.
     """
+    if how in ("left", "inner"):
+        known = F.col(side).isNotNull()
+        for g in group:
+            known = known & F.col(g).isNotNull()
+        peer = F.struct(F.col(side).alias(f"{prefix}{side}"), *[F.col(c).alias(f"{prefix}{c}") for c in cols])
+        peers = F.collect_list(F.when(known, peer)).over(Window.partitionBy(*group))
+        others = F.filter("__peers", lambda p: p[f"{prefix}{side}"] != F.col(side))
+        meet = F.inline_outer if how == "left" else F.inline
+        return df.withColumn("__peers", peers).select(*df.columns, meet(others))
     other = df.select(*[F.col(g).alias(f"__g_{g}") for g in group],
                       F.col(side).alias(f"{prefix}{side}"),
                       *[F.col(c).alias(f"{prefix}{c}") for c in cols])
@@ -94,6 +105,17 @@ def opponent_join(df: DataFrame, group: Sequence[str], side: str,
     return out.drop(*[f"__g_{g}" for g in group])
 
 
+def within(df: DataFrame, other: DataFrame, place: str, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on ``place`` and ``keys`` of two frames that both lie by ``place`` (a game, with
+    few rows each).  With every key in the equi-join Spark would place both frames anew by all
+    of them; here the keys are compared among the rows of a place, so neither is moved."""
+    o = {k: f"__o_{k}" for k in (place, *keys)}
+    cond = F.col(place) == F.col(o[place])
+    for k in keys:
+        cond = cond & F.col(k).between(F.col(o[k]), F.col(o[k]))
+    return df.join(other.withColumnsRenamed(o), cond, how).drop(*o.values())
+
+
 def scalar_join(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach a one-row scalar result to every row.
 

@@ -8,6 +8,8 @@ line number are loads of one event, of which the last shipped one holds.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from seasonflow.plans.season import intermediate as I
 from seasonflow.plans.season import schemas as S
 from seasonflow.plans.season import staging as ST
 from seasonflow.plans.testbed import Bed
-from seasonflow.session import cut_lineage
+from seasonflow.session import written
 
 # Fixed values of the analogue: event names by part, durations and codes by tax, situations by discount
 EVENTS = ("goal", "goal", "shot-on-goal", "missed-shot", "blocked-shot", "faceoff", "penalty", "penalty", "penalty", "hit")
@@ -74,6 +76,24 @@ def play_feed(bed: Bed) -> DataFrame:
     return j.select(*[feed.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in S.PLAY_BY_PLAY])
 
 
+# what the models below read of the staged plays
+TEAM_COLUMNS = ("game_id", "event_id", "description", "play_team_id", "period", "period_type", "time_in_period",
+                "elapsed_seconds", "situation_code", "penalty_duration")
+ACTOR_COLUMNS = ("event_player_id", "scoring_player_id", "assist1_player_id", "assist2_player_id", "shooting_player_id",
+                 "goalie_in_net_id", "hitting_player_id", "hittee_player_id", "blocking_player_id", "committed_by_player_id",
+                 "drawn_by_player_id", "served_by_player_id", "faceoff_winner_player_id", "faceoff_loser_player_id")
+
+
+def staged_plays(bed: Bed, columns: Sequence[str]) -> DataFrame:
+    """The staged plays (M08), derived once and written with the columns that the model
+    reads, so only these are sorted for the last load.  The other columns keep their
+    place in the frame; reading one is an error."""
+    staged = ST.stg_plays(play_feed(bed))
+    kept = written(staged.select(*columns), "run-plays")
+    unread = F.raise_error(F.lit("this column of the plays was not written"))
+    return kept.select(*[F.col(f.name) if f.name in columns else unread.cast(f.dataType).alias(f.name) for f in staged.schema])
+
+
 PLAYS_CTE = f"""
 , loaded AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey) AS back
              FROM lineitem)
@@ -158,12 +178,12 @@ def skater_lines(bed: Bed) -> DataFrame:
 
 
 def team_lines(bed: Bed) -> tuple[DataFrame, DataFrame]:
-    """The staged plays and the team game line (M20, M21, M28) over them.  As in the season
-    pipeline, frames with several readers are derived once and cut from their lineage."""
-    league, staged = league_feed(bed), cut_lineage(ST.stg_plays(play_feed(bed)))
+    """The staged plays and the team game line (M20, M21, M28) over them.  Frames with
+    several readers are derived once and written; the line has one reader in most models."""
+    league, staged = league_feed(bed), staged_plays(bed, TEAM_COLUMNS)
     lines = I.team_game_line(summary_feed(bed), I.game_faceoffs(staged, league), I.game_penalties(staged, league),
                              goalie_lines(bed, bed.written("player_games")), league, skater_lines(bed))
-    return staged, cut_lineage(lines)
+    return staged, lines
 
 
 def team_game_model(spark: SparkSession, root: str) -> DataFrame:
@@ -263,8 +283,8 @@ def player_game_model(spark: SparkSession, root: str) -> DataFrame:
     """A skater's line with assists by order, special goals, the winning goal and faceoffs
     counted from the feed's plays."""
     bed = Bed(spark, root)
-    league, pg = league_feed(bed), bed.written("player_games")
-    staged = cut_lineage(ST.stg_plays(play_feed(bed)))
+    league, pg = league_feed(bed), bed.player_games()
+    staged = staged_plays(bed, (*TEAM_COLUMNS, *ACTOR_COLUMNS))
     none = {c: F.lit(None).cast(t) for c, t in (("position", "string"), ("plus_minus", "int"), ("shifts", "int"),
                                                 ("faceoff_pct", "double"), ("type", "string"))}
     skaters = J.semi(pg, league.select("game_id"), "game_id").select(
@@ -342,7 +362,7 @@ def shot_metrics_model(spark: SparkSession, root: str) -> DataFrame:
     shares overall, unblocked and at even strength, and PDO from the team lines."""
     bed = Bed(spark, root)
     staged, lines = team_lines(bed)
-    plays = cut_lineage(facts.fct_plays(staged, league_feed(bed)))
+    plays = facts.fct_plays(staged, league_feed(bed))
     return marts.team_shot_metrics(plays, facts.fct_team_game(lines, plays))
 
 
@@ -369,7 +389,7 @@ FROM t
 def team_season_model(spark: SparkSession, root: str) -> DataFrame:
     """Both kinds of game, with the published columns (shares to 8 decimals)."""
     bed = Bed(spark, root)
-    _, lines = team_lines(bed)
+    lines = written(team_lines(bed)[1], "run-lines")
     teams = bed.teams().select(F.col("team").cast("string").alias("team_abv"), F.col("team_name").alias("logo_url"))
     parts = [published.team_season(lines, teams, kind).withColumn("game_type", F.lit(kind)) for kind in ("regular", "playoff")]
     out = parts[0].unionByName(parts[1])

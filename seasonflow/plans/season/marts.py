@@ -109,7 +109,7 @@ def team_shot_metrics(plays_fact: DataFrame, team_games: DataFrame) -> DataFrame
         F.count(F.lit(1)).alias("cf"), F.count_if("unblocked").alias("ff"), F.count_if("even").alias("cf_even"))
     tg = team_games.select("game_id", "season", "team_abv", F.when(F.col("is_home"), "home").otherwise("away").alias("side"),
                            "goals", "goals_against", "shots", "shots_against", "saves")
-    j = tg.join(per, ["game_id", "side"], "left")
+    j = J.within(tg, per, "game_id", ["side"])
     j = J.opponent_join(j, ["game_id"], "side", ["cf", "ff", "cf_even"])
     z = lambda n: F.coalesce(F.col(n), F.lit(0))
     s = j.groupBy("season", "team_abv").agg(
