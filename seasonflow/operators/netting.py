@@ -1,16 +1,19 @@
 """Offset netting (M21): coincident opposing penalties cancel.
 
 Per (group, side, clock, duration) count the eligible events; pair with the
-other side's count at the same (group, clock, duration); the side keeps
-``n - least(n, opp_n)`` of them.  Everything is partial aggregates and one
-equi-join on the group key (no per-group collection).
+other sides' count at the same (group, clock, duration); the side keeps
+``n - least(n, opp_n)`` of them.  The events are read once: an aggregate per slot
+and side, a window sum per slot and an aggregate per side (no self-join, no
+per-group collection), all in place where events lie by ``group``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,25 +27,17 @@ def offset_netting(events: DataFrame, group: Sequence[str], side: str,
     * ``n_net``        — eligible events left after cancelling against the
       opponent's eligible events at the same clock and duration.
     """
-    g = list(group)
-    totals = events.groupBy(*g, side).agg(
-        F.sum(weight).alias(out_prefix + "total_weight"),
-        F.count(F.lit(1)).alias(out_prefix + "n_events"))
-    elig = (events.filter(eligible)
-                  .groupBy(*g, side, *clock, duration).agg(F.count(F.lit(1)).alias("__n")))
-    other = elig.select(*[F.col(c).alias("__o_" + c) for c in (*g, side, *clock, duration)],
-                        F.col("__n").alias("__opp_n"))
-    cond = None
-    for c in (*g, *clock, duration):
-        e = F.col(c) == F.col("__o_" + c)
-        cond = e if cond is None else cond & e
-    cond = cond & (F.col(side) != F.col("__o_" + side))
-    paired = elig.join(other, cond, "left")
-    # several opposing sides at the same clock are summed first (two sides in practice)
-    per_slot = paired.groupBy(*g, side, *clock, duration, "__n").agg(
-        F.coalesce(F.sum("__opp_n"), F.lit(0)).alias("__opp"))
-    net = (per_slot.withColumn("__net", F.col("__n") - F.least(F.col("__n"), F.col("__opp")))
-                   .groupBy(*g, side).agg(F.sum("__net").alias(out_prefix + "n_net")))
-    return (totals.join(net, [*g, side], "left")
-                  .withColumn(out_prefix + "n_net",
-                              F.coalesce(F.col(out_prefix + "n_net"), F.lit(0)).cast("bigint")))
+    g, slot = list(group), [*group, *clock, duration]
+    slots = events.groupBy(*slot, side).agg(
+        F.sum(weight).alias("__weight"), F.count(F.lit(1)).alias("__all"), F.count_if(eligible).alias("__n"))
+
+    def known(cols: Sequence[str]) -> Column:
+        return reduce(and_, [F.col(c).isNotNull() for c in cols])
+    # several opposing sides at the same clock are summed (two sides in practice); a NULL meets nobody
+    n = F.col("__n")
+    met = F.sum(F.when(F.col(side).isNotNull(), n)).over(Window.partitionBy(*slot)) - n
+    opp = F.when(known([*slot, side]), met).otherwise(F.lit(0))
+    net = F.when(known([*g, side]), n - F.least(n, opp)).otherwise(F.lit(0))
+    return (slots.withColumn("__net", net).groupBy(*g, side).agg(
+        F.sum("__weight").alias(out_prefix + "total_weight"), F.sum("__all").alias(out_prefix + "n_events"),
+        F.sum("__net").cast("bigint").alias(out_prefix + "n_net")))

@@ -247,17 +247,18 @@ def team_game_line(summaries: DataFrame, faceoffs: DataFrame, penalties: DataFra
         "goals_against", "shots", "last_period_type")
     pen = penalties.select("game_id", "team_id", "pim", "times_shorthanded")
     fo = faceoffs.select("game_id", "team_id", "faceoffs_won", "faceoffs_in_game")
-    gl = goalies.groupBy("game_id", "team_abv").agg(F.sum("shots_saved").alias("saves"),
+    # every side lies by game, so no join below moves rows again
+    gl = goalies.repartition("game_id").groupBy("game_id", "team_abv").agg(F.sum("shots_saved").alias("saves"),
                                                     F.sum("shots_against").alias("shots_against"))
-    t = (base.join(pen, ["game_id", "team_id"], "left").join(fo, ["game_id", "team_id"], "left")
-             .join(gl, ["game_id", "team_abv"], "left"))
+    t = J.within(J.within(base, pen, "game_id", ["team_id"]), fo, "game_id", ["team_id"])
+    t = J.within(t, gl, "game_id", ["team_abv"])
     if skaters is not None:
-        ppg = skaters.groupBy("game_id", "team_abv").agg(F.sum("pp_goals").alias("pp_goals"),
+        ppg = skaters.repartition("game_id").groupBy("game_id", "team_abv").agg(F.sum("pp_goals").alias("pp_goals"),
                                                          F.sum("hits").alias("hits"),
                                                          F.sum("blocked_shots").alias("blocks"),
                                                          F.sum("giveaways").alias("giveaways"),
                                                          F.sum("takeaways").alias("takeaways"))
-        t = t.join(ppg, ["game_id", "team_abv"], "left")
+        t = J.within(t, ppg, "game_id", ["team_abv"])
     else:
         t = t.withColumns({"pp_goals": F.lit(0).cast("bigint"), "hits": F.lit(None).cast("bigint"),
                            "blocks": F.lit(None).cast("bigint"), "giveaways": F.lit(None).cast("bigint"),

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seasonflow.operators import joins as J
+from seasonflow.operators.netting import offset_netting
 from seasonflow.plans import feed_models as FM
 from seasonflow.plans.testbed import Bed
 
@@ -60,6 +61,17 @@ def test_within_moves_no_row_that_lies_by_game(merging, tmp_path):
         assert rows(out) == rows(left.join(right, ["g", "s"], how).select("g", "s", "v", "t"))
 
 
+def test_offset_netting_reads_the_events_once(merging, tmp_path):
+    ev = [(1, "A", 1, 2), (1, "A", 1, 2), (1, "B", 1, 2), (1, None, 1, 2), (1, "A", None, 5), (1, "B", None, 5), (None, "A", 1, 2),
+          (2, "A", 3, 10), (2, "A", 3, 4), (2, "B", 3, 4), (2, "C", 3, 4), (2, "C", 3, 4), (2, "C", 3, 4)]
+    df = on_disk(merging, tmp_path, ev, "g int, side string, clock int, dur int")
+    out = offset_netting(df, ["g"], "side", ["clock"], "dur", "dur", F.col("dur").isin(2, 4, 5))
+    assert plan(out).count("FileScan") == 1
+    # a NULL side or clock cancels nothing, a NULL game or side has no net events
+    assert {tuple(r) for r in out.collect()} == {(1, "A", 9, 3, 2), (1, "B", 7, 2, 1), (1, None, 2, 1, 0), (None, "A", 2, 1, 0),
+                                                 (2, "A", 14, 2, 0), (2, "B", 4, 1, 0), (2, "C", 12, 3, 1)}
+
+
 def test_staged_plays_are_written_with_the_columns_read(spark):
     bed = Bed(spark, SF)
     staged = FM.staged_plays(bed, FM.TEAM_COLUMNS)
