@@ -26,7 +26,6 @@ def fct_plays(plays: DataFrame, league: DataFrame, p: Params = Params()) -> Data
     strength state from the event team's side, empty net (the *opposing* goalie
     out), shot distance / angle / band, penalty severity, period category."""
     g = league.select("game_id", "season", "game_date", "home_team_id", "away_team_id")
-    j = plays.join(g, "game_id", "inner")
     d = F.col("description")
     c = F.col
     primary = (F.when(d == "goal", c("scoring_player_id"))
@@ -44,6 +43,10 @@ def fct_plays(plays: DataFrame, league: DataFrame, p: Params = Params()) -> Data
                   .when(d == "penalty", c("drawn_by_player_id")))
     tertiary = F.when(d == "goal", c("assist2_player_id"))
     goalie = F.when(d.isin("goal", "shot-on-goal", "missed-shot"), c("goalie_in_net_id"))
+    # actors before the join: three ids a row are moved, not every id of the feed
+    actors = {"primary_player_key": primary, "secondary_player_key": secondary, "tertiary_player_key": tertiary,
+              "goalie_player_key": goalie}
+    j = plays.withColumns(actors).join(g, "game_id", "inner")
     is_shot = d.isin(*SHOT_TYPES) & c("x_pos").isNotNull() & c("y_pos").isNotNull()
     dist = F.when(is_shot, X.shot_distance("x_pos", "y_pos"))
     strength = X.strength_columns("situation_code", "play_team_id", "home_team_id", "away_team_id")
@@ -53,8 +56,7 @@ def fct_plays(plays: DataFrame, league: DataFrame, p: Params = Params()) -> Data
         X.date_key("game_date").alias("date_key"), "period", "period_type", "time_in_period",
         "elapsed_seconds", X.elapsed_seconds("period", "elapsed_seconds").alias("game_elapsed_seconds"),
         d.alias("event_type_name"), c("play_team_id").alias("event_team_key"),
-        primary.alias("primary_player_key"), secondary.alias("secondary_player_key"),
-        tertiary.alias("tertiary_player_key"), goalie.alias("goalie_player_key"),
+        *actors,
         F.when(d.isin(*SHOT_TYPES), c("shot_type")).alias("shot_type"),
         dist.alias("shot_distance"), F.when(is_shot, X.shot_angle("x_pos", "y_pos")).alias("shot_angle"),
         X.distance_band(dist).alias("shot_distance_band"),
@@ -161,7 +163,7 @@ def fct_player_game(skaters: DataFrame, plays_fact: DataFrame, team_lines: DataF
     winners = team_lines.filter((F.col("goals") > F.col("goals_against")) &
                                 (F.coalesce(F.col("last_period_type"), F.lit("REG")) != "SO")) \
                         .select("game_id", F.col("team_id").alias("event_team_key"), "goals_against")
-    gwg = (seq.join(winners, ["game_id", "event_team_key"], "inner")
+    gwg = (J.within(seq, winners, "game_id", ["event_team_key"], "inner")
               .filter(F.col("team_goal_number") == F.col("goals_against") + 1)
               .select("game_id", F.col("primary_player_key").alias("player_id"), F.lit(1).alias("game_winning_goals")))
     fo = plays_fact.filter(F.col("event_type_name") == "faceoff")
@@ -170,9 +172,9 @@ def fct_player_game(skaters: DataFrame, plays_fact: DataFrame, team_lines: DataF
     fo = fo.groupBy("game_id", "player_id").agg(
         F.sum(F.when(F.col("role") == "won", F.col("n")).otherwise(0)).alias("faceoffs_won"),
         F.sum(F.when(F.col("role") == "lost", F.col("n")).otherwise(0)).alias("faceoffs_lost"))
-    out = (skaters.join(split, ["game_id", "player_id"], "left").join(special, ["game_id", "player_id"], "left")
-                  .join(helped, ["game_id", "player_id"], "left")
-                  .join(gwg, ["game_id", "player_id"], "left").join(fo, ["game_id", "player_id"], "left"))
+    out = skaters
+    for counted in (split, special, helped, gwg, fo):
+        out = J.within(out, counted, "game_id", ["player_id"])
     z = lambda n: F.coalesce(F.col(n), F.lit(0))
     return out.select(
         X.surrogate_key("game_id", "player_id").alias("player_game_key"), "game_id", "player_id", "team_abv",
@@ -196,7 +198,7 @@ def fct_team_game(team_lines: DataFrame, plays_fact: DataFrame) -> DataFrame:
         F.count_if(F.col("period") == 1).alias("p1"), F.count_if(F.col("period") <= 2).alias("p2"))
     first = goals.groupBy("game_id").agg(
         F.min_by("event_team_key", F.struct("game_elapsed_seconds", "event_id")).alias("first_goal_team_id"))
-    t = team_lines.join(per, ["game_id", "team_id"], "left").join(first, "game_id", "left")
+    t = J.within(team_lines, per, "game_id", ["team_id"]).join(first, "game_id", "left")
     t = J.opponent_join(t, ["game_id"], "team_id", ["p1", "p2"])
     z = lambda n: F.coalesce(F.col(n), F.lit(0))
     win = F.col("goals") > F.col("goals_against")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from seasonflow.operators.joins import both_sides_in
 from seasonflow.operators.reshape import two_sided_unpivot
-from seasonflow.session import shared_path
+from seasonflow.session import written
 from seasonflow.sources.readers import read_raw
 
 
@@ -46,10 +46,9 @@ class Bed:
         run: its many readers share one derivation, and a lost executor costs only
         the retry of its tasks."""
         if name not in self._tables:
-            path = shared_path(self.spark, f"run-{name}")
-            df = getattr(self, name)()
-            df.write.parquet(path)
-            self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
+            # the universe reads the games twice, as games and as participants
+            df = self.universe(self.written("games")) if name == "universe" else getattr(self, name)()
+            self._tables[name] = written(df, f"run-{name}")
         return self._tables[name]
 
     def t(self, name: str, *cols: str) -> DataFrame:
@@ -91,12 +90,13 @@ class Bed:
             F.col("s_nationkey").alias("away_team"),
             "home_score", "away_score")
 
-    def universe(self) -> DataFrame:
+    def universe(self, games: DataFrame | None = None) -> DataFrame:
         """League games: regular/playoff, two distinct teams, both participants
         of that season's regular schedule (J04)."""
-        g = self.games().filter(F.col("game_type").isin(2, 3) &
-                                (F.col("home_team") != F.col("away_team")))
-        part = (self.games().filter(F.col("game_type") == 2)
+        games = self.games() if games is None else games
+        g = games.filter(F.col("game_type").isin(2, 3) &
+                         (F.col("home_team") != F.col("away_team")))
+        part = (games.filter(F.col("game_type") == 2)
                 .select("season", F.col("home_team").alias("team")))
         return both_sides_in(g, part, "season", "home_team", "away_team", "team")
 
@@ -183,14 +183,14 @@ class Bed:
 
         Per line: goals = floor(qty) % 5, assists = linenumber % 3,
         shots = goals + linenumber % 4, toi = floor(price) % 1200 + 300 s,
-        pim = 2 on returned lines.  Lines are pre-aggregated on
-        (order, supplier) before the order join (partial aggregation).
+        pim = 2 on returned lines.  Lines are placed by their order once, so
+        the (order, supplier) aggregate and the order join need no further shuffle.
         """
         li = self.t("lineitem", "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity",
                     "l_extendedprice", "l_returnflag")
         q = F.floor("l_quantity")
         g = q % 5
-        per = li.groupBy(F.col("l_orderkey").alias("game_id"), F.col("l_suppkey").alias("player")).agg(
+        per = li.repartition("l_orderkey").groupBy(F.col("l_orderkey").alias("game_id"), F.col("l_suppkey").alias("player")).agg(
             F.sum(g).cast("bigint").alias("goals"),
             F.sum(F.col("l_linenumber") % 3).cast("bigint").alias("assists"),
             F.sum(g + F.col("l_linenumber") % 4).cast("bigint").alias("shots"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from seasonflow.operators import joins as J
 from seasonflow.operators.netting import offset_netting
 from seasonflow.plans import feed_models as FM
+from seasonflow.plans.season import facts
 from seasonflow.plans.testbed import Bed
 
 SF = "/root/testdata/sf0.001"
@@ -72,6 +73,18 @@ def test_offset_netting_reads_the_events_once(merging, tmp_path):
                                                  (2, "A", 14, 2, 0), (2, "B", 4, 1, 0), (2, "C", 12, 3, 1)}
 
 
+def test_the_universe_is_written_from_one_derivation_of_the_games(spark):
+    bed = Bed(spark, SF)
+    games = bed.written("games")
+    assert "lineitem.parquet" not in plan(bed.universe(games)) and plan(bed.universe()).count("lineitem.parquet") > 1
+    assert rows(bed.written("universe")) == rows(bed.universe()) and bed._tables["games"] is games
+
+
+def test_player_games_place_lines_once(merging):
+    assert "hashpartitioning(l_orderkey" in plan(Bed(merging, SF).player_games())
+    assert "hashpartitioning(game_id" not in plan(Bed(merging, SF).player_games())
+
+
 def test_staged_plays_are_written_with_the_columns_read(spark):
     bed = Bed(spark, SF)
     staged = FM.staged_plays(bed, FM.TEAM_COLUMNS)
@@ -80,3 +93,10 @@ def test_staged_plays_are_written_with_the_columns_read(spark):
     assert "ExistingRDD" not in plan(staged.select("game_id")) and "ReadSchema: struct<game_id:bigint>" in plan(staged.select("game_id"))
     with pytest.raises(Exception, match="was not written"):
         staged.select("x_pos").collect()
+
+
+def test_only_actor_keys_of_a_play_meet_the_league(merging):
+    bed = Bed(merging, SF)
+    p = plan(facts.fct_plays(FM.ST.stg_plays(FM.play_feed(bed)), FM.league_feed(bed)).select("primary_player_key", "season"))
+    join = p.splitlines().index(next(line for line in p.splitlines() if "SortMergeJoin [game_id" in line))
+    assert "CASE WHEN" not in "\n".join(p.splitlines()[:join])
