@@ -105,9 +105,9 @@ def goalie_lines(bed: Bed, player_games: DataFrame | None = None) -> DataFrame:
     """Goalie box lines: a player's line with goals conceded and shots faced; nobody
     is on the ice in a line with penalty minutes; the lowest player starts."""
     pg = (bed.player_games() if player_games is None else player_games).filter(F.col("game_type").isin(2, 3))
-    first = pg.groupBy("game_id").agg(F.min("player").alias("first"))
+    first = F.min("player").over(Window.partitionBy("game_id"))
     faced, conceded = F.col("shots").cast("int"), F.col("goals").cast("int")
-    return pg.join(first, "game_id").select(
+    return pg.withColumn("first", first).select(
         "game_id", "season", F.when(F.col("game_type") == 2, "regular").otherwise("playoff").alias("game_type"),
         F.when(F.col("player") % 2 == 0, "home").otherwise("away").alias("type"), F.col("team").cast("string").alias("team_abv"),
         F.col("player").alias("player_id"), F.col("player_name").alias("name"),

@@ -100,3 +100,11 @@ def test_only_actor_keys_of_a_play_meet_the_league(merging):
     p = plan(facts.fct_plays(FM.ST.stg_plays(FM.play_feed(bed)), FM.league_feed(bed)).select("primary_player_key", "season"))
     join = p.splitlines().index(next(line for line in p.splitlines() if "SortMergeJoin [game_id" in line))
     assert "CASE WHEN" not in "\n".join(p.splitlines()[:join])
+
+
+@pytest.mark.parametrize("key", ["shot_metrics_model", "team_game_model", "games_model", "player_game_model", "team_season_model"])
+def test_models_of_game_lines_move_rows_by_game_only(merging, key):
+    """No checkpoint of whole rows, and no key of a game and a team or player beside the game."""
+    from __spark_entry__ import queries
+    p = plan(queries()[key](merging, SF))
+    assert "ExistingRDD" not in p and not re.search(r"hashpartitioning\(game_id, (?!\d+\))", p)
